@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The modelled warehouse has no stream sources, watermarks, windows or state; its only incremental notion is a
+control table listing monthly spreadsheet files, handled in batch by ``trestle.sources.control``.
+"""
