@@ -59,8 +59,8 @@ def _pivot_two_digit_year(d: Column, pivot_year: int = 1970) -> Column:
 def first_of_month(c) -> Column:
     """M-1: 'Mon-YY' (any case) if it parses, else ISO text with a trailing ' 00:00:00'; floored to the month."""
     c = _col(c)
-    short = _pivot_two_digit_year(F.try_to_date(F.initcap(c), F.lit("MMM-yy")))
-    iso = F.try_to_date(F.replace(c, F.lit(" 00:00:00"), F.lit("")), F.lit("yyyy-MM-dd"))
+    short = _pivot_two_digit_year(F.try_to_date(F.initcap(c), "MMM-yy"))
+    iso = F.try_to_date(F.replace(c, F.lit(" 00:00:00"), F.lit("")), "yyyy-MM-dd")
     return F.trunc(F.coalesce(short, iso), "MM")
 
 
@@ -77,4 +77,4 @@ def parse_date(c, *formats: str) -> Column:
     c = _col(c)
     if not formats:
         return F.try_to_date(c)
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(c, f) for f in formats])

@@ -1,3 +1,3 @@
 """Imports every plan module so that its ``@query`` functions register."""
 
-from trestle.plans import gl  # noqa: F401
+from trestle.plans import gl, operator_queries  # noqa: F401
