@@ -3,5 +3,30 @@
 The Spark side of each lives in ``trestle.sources.analogs``.
 """
 
-EXTRA_SQL: dict[str, str] = {}
+EXTRA_SQL: dict[str, str] = {
+    # AP lines (APTL): one line per lineitem, same company/job coding as the job-cost analog.
+    "fx_ap_line": """
+select cast(l_linenumber % 2 + 1 as string) as apco, cast(date_trunc('month', l_shipdate) as date) as mth,
+  l_orderkey as aptrans, l_linenumber as apline, cast(l_linenumber % 2 + 1 as string) as jcco,
+  ' ' || cast(l_suppkey % 40 + 123000 as string) || '. ' as job,
+  cast(floor(l_extendedprice * 20) as bigint) as gross_cents, cast(floor(l_extendedprice * 2) as bigint) as retainage_cents
+from lineitem
+""",
+    # AP payment details (APTD): a quarter of the lines have none; open lines have no paid date.
+    "fx_ap_pay": """
+select cast(l_linenumber % 2 + 1 as string) as apco, cast(date_trunc('month', l_shipdate) as date) as mth,
+  l_orderkey as aptrans, l_linenumber as apline,
+  case when l_linestatus = 'F' then cast(l_shipdate as date) + 30 end as paid_date,
+  cast(floor(l_extendedprice * 20) as bigint) as amount_cents
+from lineitem where l_orderkey % 4 <> 0
+""",
+    # AR transactions (ARTH): one per order, contract coding as the change-item analog.
+    "fx_ar": """
+select cast(o_custkey % 2 + 1 as string) as arco, cast(date_trunc('month', o_orderdate) as date) as mth,
+  o_orderkey as artrans, cast(o_custkey % 2 + 1 as string) as jcco, cast(o_custkey % 100 + 123000 as string) || '.' as contract,
+  cast(floor(o_totalprice * 100) as bigint) as invoiced_cents, cast(floor(o_totalprice * 60) as bigint) as paid_cents,
+  cast(floor(o_totalprice * 5) as bigint) as retainage_cents
+from orders
+""",
+}
 EXTRA_DEPS: dict[str, list[str]] = {}

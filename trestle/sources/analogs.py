@@ -294,3 +294,38 @@ class Analogs:
                         _cents(o.o_totalprice).alias("revenue"),
                         _cents(o.o_totalprice / 10).alias("margin"),
                         month_floor(o.o_orderdate).alias("file_month")))
+
+
+    # --- payables and receivables (outside the fixture specification; SQL twins in oracle.extra_fixtures) ---
+    @cached_property
+    def ap_line(self) -> DataFrame:
+        li = self.t("lineitem")
+        co = (li.l_linenumber % 2 + 1).cast("string")
+        return li.select(
+            co.alias("apco"), month_floor(li.l_shipdate).alias("mth"), li.l_orderkey.alias("aptrans"),
+            li.l_linenumber.alias("apline"), co.alias("jcco"),
+            F.concat(F.lit(" "), (li.l_suppkey % 40 + 123000).cast("string"), F.lit(". ")).alias("job"),
+            _cents(li.l_extendedprice * 20).alias("gross_cents"),
+            _cents(li.l_extendedprice * 2).alias("retainage_cents"),
+        )
+
+    @cached_property
+    def ap_pay(self) -> DataFrame:
+        li = self.t("lineitem")
+        return (li.filter(li.l_orderkey % 4 != 0)
+                .select((li.l_linenumber % 2 + 1).cast("string").alias("apco"), month_floor(li.l_shipdate).alias("mth"),
+                        li.l_orderkey.alias("aptrans"), li.l_linenumber.alias("apline"),
+                        F.when(li.l_linestatus == "F", F.date_add(F.to_date(li.l_shipdate), 30)).alias("paid_date"),
+                        _cents(li.l_extendedprice * 20).alias("amount_cents")))
+
+    @cached_property
+    def ar(self) -> DataFrame:
+        o = self.t("orders")
+        co = (o.o_custkey % 2 + 1).cast("string")
+        return o.select(
+            co.alias("arco"), month_floor(o.o_orderdate).alias("mth"), o.o_orderkey.alias("artrans"), co.alias("jcco"),
+            F.concat((o.o_custkey % 100 + 123000).cast("string"), F.lit(".")).alias("contract"),
+            _cents(o.o_totalprice * 100).alias("invoiced_cents"), _cents(o.o_totalprice * 60).alias("paid_cents"),
+            _cents(o.o_totalprice * 5).alias("retainage_cents"),
+        )
+
