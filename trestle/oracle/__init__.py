@@ -36,13 +36,20 @@ def _order(names, deps):
     return order
 
 
+_Q = re.compile(r"\bq_(\w+)\b")
+
+
 def compose(body: str) -> str:
-    """Prefix ``body`` with the analog CTEs it references."""
+    """Prefix ``body`` with the analog CTEs it references (``fx_*``) and with other oracle queries it reads as
+    ``q_<key>`` (each composed on its own, so the CTE nests its own analogs)."""
     sqls, deps = _all_fixtures()
     used = sorted({m for m in _FX.findall(body) if m in sqls})
-    if not used:
+    queries = sorted({m for m in _Q.findall(body) if (SQL_DIR / f"{m}.sql").exists()})
+    if not used and not queries:
         return body.strip()
-    ctes = ",\n".join(f"{n} AS ({sqls[n].strip()})" for n in _order(used, deps))
+    parts = [f"{n} AS ({sqls[n].strip()})" for n in _order(used, deps)]
+    parts += [f"q_{m} AS ({compose((SQL_DIR / f'{m}.sql').read_text())})" for m in queries]
+    ctes = ",\n".join(parts)
     stripped = body.lstrip()
     if stripped[:4].lower() == "with":
         return f"WITH {ctes},\n{stripped[4:].lstrip()}"

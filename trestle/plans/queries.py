@@ -1,3 +1,3 @@
 """Imports every plan module so that its ``@query`` functions register."""
 
-from trestle.plans import finance, gl, operator_queries  # noqa: F401
+from trestle.plans import finance, gl, job_cost, operator_queries  # noqa: F401
