@@ -27,6 +27,29 @@ select cast(o_custkey % 2 + 1 as string) as arco, cast(date_trunc('month', o_ord
   cast(floor(o_totalprice * 100) as bigint) as invoiced_cents, cast(floor(o_totalprice * 60) as bigint) as paid_cents,
   cast(floor(o_totalprice * 5) as bigint) as retainage_cents
 from orders
+""",
+    # Opportunity -> office division assignments.
+    "fx_office_division": """
+select user_id % 5 + 1 as office_division_id,
+  case user_id % 5 when 0 then 'Midwest' when 1 then 'Great Lakes' when 2 then 'Mid-Atlantic' when 3 then 'Central' else 'West' end
+    as office_division_description,
+  user_id as opportunity_id, ts as last_load_dt
+from events
+""",
+    # Practice areas.
+    "fx_practice_area": """
+select p_partkey % 4 + 1 as practice_area_id,
+  case p_partkey % 4 when 0 then 'Education' when 1 then 'Healthcare' when 2 then 'Industrial' else 'Water Resources' end
+    as practice_area_name
+from part
+""",
+    # GL segment names (GLPI).
+    "fx_segment": """
+select * from (select distinct glco, 1 as partno, part1 as instance, 'Account ' || part1 as description from fx_gl where part1 <> '88200')
+union all
+select * from (select distinct glco, 2 as partno, part2 as instance, 'Division ' || part2 as description from fx_gl where part2 <> '0000')
+union all
+select * from (select distinct glco, 3 as partno, part3 as instance, 'Dept ' || part3 as description from fx_gl where part3 <> '000')
 """,
 }
-EXTRA_DEPS: dict[str, list[str]] = {}
+EXTRA_DEPS: dict[str, list[str]] = {"fx_segment": ["fx_gl"]}

@@ -71,3 +71,170 @@ def revenue_by_month(t: Tables, since_year: int = GL_SINCE_YEAR) -> DataFrame:
         F.sum(F.when(F.col("pl_line_item") == line, F.col("netamt_cents") * sign).otherwise(0)).alias(name)
         for name, line, sign in PL_MEASURES
     ])
+
+
+# --- general-ledger marts ---------------------------------------------------------------------------------------
+def _segment_names(t: Tables, partno: int, name: str) -> DataFrame:
+    s = t.fx.segment.filter(F.col("partno") == partno)
+    return s.select(F.trim("instance").alias("_inst"), F.trim("glco").alias("_co"),
+                    F.trim("description").alias(name)).distinct()
+
+
+def _divisions(t: Tables) -> DataFrame:
+    return t.fx.dept.select(F.trim("department").alias("_dept"), F.trim("glco").alias("_dco"),
+                            F.trim("description").alias("_div_desc")).distinct()
+
+
+@query("gl_account_summary")
+def gl_account_summary(t: Tables) -> DataFrame:
+    """R-24: GL summary + account segments + the three segment names, amounts and months kept as text.
+
+    Rows without a part-1 or part-3 name are dropped (outer joins made inner by their WHERE, P-11); the
+    division name comes from the department table, else from the part-2 name.
+    """
+    g = t.fx.gl.select(F.trim("glco").alias("gl_co"), F.concat_ws(".", "part1", "part2", "part3").alias("gl_account"),
+                       F.col("part1").alias("natural_account"), F.col("part2").alias("account_division"),
+                       F.col("part3").alias("account_department"), F.trim(F.col("mth").cast("string")).alias("mth"),
+                       F.trim(F.col("netamt_cents").cast("string")).alias("net_amount"))
+    dm = t.fx.dept.select(F.trim("department").alias("_dept"), F.trim("glco").alias("_dco"),
+                          F.col("description").alias("_dm_desc"))
+    p2 = t.fx.segment.filter(F.col("partno") == 2).select(
+        F.trim("instance").alias("_i2"), F.col("glco").alias("_c2"), F.col("description").alias("_p2_desc"))
+    p1 = t.fx.segment.filter(F.col("partno") == 1).select(
+        F.trim("instance").alias("_i1"), F.trim("glco").alias("_c1"), F.col("description").alias("natural_account_desc"))
+    p3 = t.fx.segment.filter(F.col("partno") == 3).select(
+        F.trim("instance").alias("_i3"), F.trim("glco").alias("_c3"), F.col("description").alias("department_description"))
+    j = (g.join(dm, (F.trim(g.account_division) == dm._dept) & (F.trim(g.gl_co) == dm._dco), "left")
+         .join(p2, (F.trim(g.account_division) == p2._i2) & (g.gl_co == p2._c2), "left")
+         .join(p1, (g.natural_account == p1._i1) & (g.gl_co == p1._c1), "inner")
+         .join(p3, (g.gl_co == p3._c3) & (g.account_department == p3._i3), "inner"))
+    return j.select("gl_co", "gl_account", "natural_account", "natural_account_desc", "account_division",
+                    F.coalesce("_dm_desc", "_p2_desc").alias("division_description"), "account_department",
+                    "department_description", "mth", "net_amount")
+
+
+@query("gl_segments_required")
+def gl_segments_required(t: Tables) -> DataFrame:
+    """P-11: GL rows kept only when both the part-1 and the part-3 segment have a name."""
+    g = t.fx.gl
+    p1 = _segment_names(t, 1, "natural_account_desc")
+    p3 = _segment_names(t, 3, "department_description")
+    j = (g.join(p1, (g.part1 == p1._inst) & (g.glco == p1._co), "inner")
+         .join(p3, (g.part3 == p3._inst) & (g.glco == p3._co), "inner"))
+    return j.groupBy("glco", "part1", "part3", "natural_account_desc", "department_description").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("netamt_cents").alias("netamt_cents"))
+
+
+def admin_category(division: Column, department: Column) -> Column:
+    return case_rules([(division.isin(*divs) & department.isin(*depts), label)
+                       for divs, depts, label in R.ADMIN_CATEGORIES], None)
+
+
+def indirect_flag(pl: Column, division: Column, year: Column, break_year: int) -> Column:
+    ind = pl == "indirect_construction_cost"
+    return (F.when(ind & division.isin(*R.INDIRECT_DIVISIONS) & (year >= break_year), 1)
+            .when(ind & (year <= break_year - 1), 1).otherwise(0))
+
+
+@query("gl_actuals")
+def gl_actuals(t: Tables, since_year: int = GL_SINCE_YEAR, break_year: int = INDIRECT_BREAK_YEAR) -> DataFrame:
+    """R-45/R-66: GL since ``since_year`` + segments and names, P&L line, company flag, region/market,
+    indirect-cost flag, admin category and 'Other' defaults.
+
+    The lookups (departments, segment names) are made distinct before joining; the region/market dimension is
+    joined as is (a department listed for two companies duplicates ledger rows, as in the reference).
+    """
+    from trestle.plans.dimensions import dim_region_market
+
+    g = gl_lines(t, since_year)
+    div = _divisions(t)
+    p1 = _segment_names(t, 1, "natural_account_desc")
+    p2 = _segment_names(t, 2, "_p2_desc")
+    p3 = _segment_names(t, 3, "department_description")
+    j = (g.join(div, (g.glco == div._dco) & (g.part2 == div._dept), "left")
+         .join(p1, (g.glco == p1._co) & (g.part1 == p1._inst), "left").drop("_co", "_inst")
+         .join(p2, (g.glco == p2._co) & (g.part2 == p2._inst), "left").drop("_co", "_inst")
+         .join(p3, (g.glco == p3._co) & (g.part3 == p3._inst), "left").drop("_co", "_inst"))
+    j = j.withColumns({
+        "division_description": F.coalesce("_div_desc", "_p2_desc"),
+        "account_division_number": F.when(F.col("part2") == "", 0).otherwise(F.col("part2").try_cast("int")),
+    })
+    rm = dim_region_market(t).select(F.col("department").alias("_rm_dept"), "region", "market")
+    j = j.join(rm, j.part2 == rm._rm_dept, "left")
+    j = j.withColumns({
+        "use_indirect_cost": indirect_flag(F.col("pl_line_item"), F.col("part2"), F.year("mth"), break_year),
+        "admin_expense_category": F.when(F.col("pl_line_item") == "admin_expenses",
+                                         admin_category(F.col("part2"), F.col("part3"))),
+        "region_clean": F.ifnull("region", F.lit("Other")),
+        "market_clean": F.ifnull("market", F.lit("Other")),
+    })
+    return j.select("glco", "glacct", "mth", "netamt_cents", F.col("part1").alias("natural_account"),
+                    F.col("part2").alias("account_division"), F.col("part3").alias("account_department"),
+                    "natural_account_desc", "division_description", "department_description",
+                    "account_division_number", "natural_account_number", "pl_line_item", "include_company",
+                    "region", "market", "use_indirect_cost", "admin_expense_category", "region_clean", "market_clean",
+                    F.concat("region_clean", F.lit(" - "), "market_clean").alias("region_market_clean"))
+
+
+@query("gl_budget")
+def gl_budget(t: Tables, break_year: int = INDIRECT_BREAK_YEAR) -> DataFrame:
+    """R-46/R-67: plan and forecast budget versions.
+
+    Lines of another year than their budget code are '<year> Plan' (newest FC number per account, name and
+    month); same-year lines are '<year> FC<round(n)>' and keep, per name and FC base (floor), the highest FC
+    number.  FC numbers compare as text (D12), so '9' beats '10'.  Lines whose code has no FC number get a NULL
+    name and vanish.  The Plan pick is arbitrary in the reference; company, code and amount break its ties.
+    """
+    from trestle.plans.dimensions import dim_region_market
+    from trestle.plans.finance import budget_parsed
+    from trestle.operators.windows import latest_per_key
+
+    b = budget_parsed(t)
+    mth_year = F.year("mth")
+    name = F.when(F.col("budget_year").try_cast("int") != mth_year,
+                  F.concat(mth_year.cast("string"), F.lit(" Plan"))).otherwise(
+        F.concat(F.col("budget_year"), F.lit(" FC"), F.round(F.col("fc_number").try_cast("double")).cast("bigint").cast("string")))
+    b = b.withColumns({"budget_name": name, "mth_year": mth_year})
+    b = b.withColumn("budget_type", F.when(F.col("budget_name").like("%Plan%"), "Plan")
+                     .when(F.col("budget_name").like("%FC%"), "FC"))
+    plan = latest_per_key(b.filter(F.col("budget_type") == "Plan"), ["gl_account", "budget_name", "mth"],
+                          ["fc_number"], tie=[F.col("gl_co").asc(), F.col("budget_code").asc(),
+                                              F.col("budget_cents").asc()])
+    fc = b.filter(F.col("budget_type") == "FC")
+    mapping = (fc.select("budget_name", "fc_number").distinct()
+               .groupBy("budget_name", F.floor(F.col("fc_number").try_cast("double")).alias("fc_base"))
+               .agg(F.max("fc_number").alias("max_fc_number"))
+               .select(F.col("budget_name").alias("_bn"), "max_fc_number"))
+    fc = fc.join(mapping, (fc.budget_name == mapping._bn) & (fc.fc_number == mapping.max_fc_number), "inner") \
+        .drop("_bn", "max_fc_number")
+    u = plan.unionByName(fc)
+    u = u.withColumns({
+        "account_division_number": F.when(F.col("account_division") == "", 0)
+        .otherwise(F.col("account_division").try_cast("int")),
+        "pl_line_item": pl_line_item_budget(F.col("gl_account")),
+        "include_company": company_included(F.col("gl_co")),
+    })
+    rm = dim_region_market(t).select(F.col("department").alias("_rm_dept"), "region", "market")
+    u = u.join(rm, u.account_division == rm._rm_dept, "left")
+    u = u.withColumns({
+        "use_indirect_cost": indirect_flag(F.col("pl_line_item"), F.col("account_division"),
+                                           F.col("budget_year").try_cast("int"), break_year),
+        "region_clean": F.ifnull("region", F.lit("Other")),
+        "market_clean": F.ifnull("market", F.lit("Other")),
+    })
+    return u.select("gl_co", "gl_account", "mth", "natural_account", "account_division", "account_department",
+                    "department_description", "budget_code", "budget_year", "fc_number", "budget_cents",
+                    "budget_name", "mth_year", "budget_type", "account_division_number", "pl_line_item",
+                    "include_company", "use_indirect_cost", "region", "market", "region_clean", "market_clean",
+                    F.concat("region_clean", F.lit(" - "), "market_clean").alias("region_market_clean"))
+
+
+def pl_line_item_budget(acct: Column) -> Column:
+    """The budget's P&L rule list has no cash line."""
+    admin = acct.startswith(R.ADMIN_PREFIX) & ~like_any(acct, [p + "%" for p in R.ADMIN_EXCLUDED_PREFIXES])
+    return case_rules([
+        (like_any(acct, [p + "%" for p in R.REVENUE_PREFIXES]), "construction_revenue"),
+        (like_any(acct, [p + "%" for p in R.DIRECT_COST_PREFIXES]), "direct_construction_cost"),
+        (like_any(acct, [p + "%" for p in R.INDIRECT_COST_PREFIXES]), "indirect_construction_cost"),
+        (admin, "admin_expenses"),
+    ], "other")

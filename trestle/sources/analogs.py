@@ -329,3 +329,35 @@ class Analogs:
             _cents(o.o_totalprice * 5).alias("retainage_cents"),
         )
 
+
+    # --- CRM dimensions and GL segment names (outside the fixture specification) -------------------------------
+    @cached_property
+    def office_division(self) -> DataFrame:
+        """Opportunity -> office division assignments (one per event)."""
+        e = self.t("events")
+        d = e.user_id % 5
+        name = (F.when(d == 0, "Midwest").when(d == 1, "Great Lakes").when(d == 2, "Mid-Atlantic")
+                .when(d == 3, "Central").otherwise("West"))
+        return e.select((d + 1).alias("office_division_id"), name.alias("office_division_description"),
+                        e.user_id.alias("opportunity_id"), e.ts.alias("last_load_dt"))
+
+    @cached_property
+    def practice_area(self) -> DataFrame:
+        """Practice areas (one row per part; the attribute domain has four values)."""
+        p = self.t("part")
+        k = p.p_partkey % 4
+        name = (F.when(k == 0, "Education").when(k == 1, "Healthcare").when(k == 2, "Industrial")
+                .otherwise("Water Resources"))
+        return p.select((k + 1).alias("practice_area_id"), name.alias("practice_area_name"))
+
+    @cached_property
+    def segment(self) -> DataFrame:
+        """GL segment names (GLPI): part 1, 2, 3 instances seen in the ledger, some without a name."""
+        g = self.gl
+        p1 = g.filter(g.part1 != "88200").select("glco", F.lit(1).alias("partno"), F.col("part1").alias("instance"),
+                                                  F.concat(F.lit("Account "), "part1").alias("description")).distinct()
+        p2 = g.filter(g.part2 != "0000").select("glco", F.lit(2).alias("partno"), F.col("part2").alias("instance"),
+                                                 F.concat(F.lit("Division "), "part2").alias("description")).distinct()
+        p3 = g.filter(g.part3 != "000").select("glco", F.lit(3).alias("partno"), F.col("part3").alias("instance"),
+                                                F.concat(F.lit("Dept "), "part3").alias("description")).distinct()
+        return p1.union(p2).union(p3)
