@@ -49,7 +49,16 @@ select * from (select distinct glco, 1 as partno, part1 as instance, 'Account '
 union all
 select * from (select distinct glco, 2 as partno, part2 as instance, 'Division ' || part2 as description from fx_gl where part2 <> '0000')
 union all
-select * from (select distinct glco, 3 as partno, part3 as instance, 'Dept ' || part3 as description from fx_gl where part3 <> '000')
+select * from (select distinct glco, 3 as partno, part3 as instance,
+  case when part3 in ('300', '311') then 'Region Dept ' else 'Dept ' end || part3 as description from fx_gl where part3 <> '000')
+""",
+    # WIP spreadsheet rows of all files.
+    "fx_wip_sheet": """
+select 'sheet_' || lower(o_orderstatus) as sheet_name, cast(o_custkey + 123000 as string) || '.' as job_number,
+  'Job ' || cast(o_custkey as string) as job_description, o_orderpriority as region,
+  cast(floor(o_totalprice / 1000) as bigint) as revenue_backlog, cast(floor(o_totalprice) as bigint) as ytd_revenue,
+  case when o_orderkey % 5 = 0 then 'False' else 'True' end as include_job
+from orders
 """,
 }
 EXTRA_DEPS: dict[str, list[str]] = {"fx_segment": ["fx_gl"]}

@@ -187,27 +187,8 @@ def gl_budget(t: Tables, break_year: int = INDIRECT_BREAK_YEAR) -> DataFrame:
     """
     from trestle.plans.dimensions import dim_region_market
     from trestle.plans.finance import budget_parsed
-    from trestle.operators.windows import latest_per_key
 
-    b = budget_parsed(t)
-    mth_year = F.year("mth")
-    name = F.when(F.col("budget_year").try_cast("int") != mth_year,
-                  F.concat(mth_year.cast("string"), F.lit(" Plan"))).otherwise(
-        F.concat(F.col("budget_year"), F.lit(" FC"), F.round(F.col("fc_number").try_cast("double")).cast("bigint").cast("string")))
-    b = b.withColumns({"budget_name": name, "mth_year": mth_year})
-    b = b.withColumn("budget_type", F.when(F.col("budget_name").like("%Plan%"), "Plan")
-                     .when(F.col("budget_name").like("%FC%"), "FC"))
-    plan = latest_per_key(b.filter(F.col("budget_type") == "Plan"), ["gl_account", "budget_name", "mth"],
-                          ["fc_number"], tie=[F.col("gl_co").asc(), F.col("budget_code").asc(),
-                                              F.col("budget_cents").asc()])
-    fc = b.filter(F.col("budget_type") == "FC")
-    mapping = (fc.select("budget_name", "fc_number").distinct()
-               .groupBy("budget_name", F.floor(F.col("fc_number").try_cast("double")).alias("fc_base"))
-               .agg(F.max("fc_number").alias("max_fc_number"))
-               .select(F.col("budget_name").alias("_bn"), "max_fc_number"))
-    fc = fc.join(mapping, (fc.budget_name == mapping._bn) & (fc.fc_number == mapping.max_fc_number), "inner") \
-        .drop("_bn", "max_fc_number")
-    u = plan.unionByName(fc)
+    u = budget_versions(budget_parsed(t))
     u = u.withColumns({
         "account_division_number": F.when(F.col("account_division") == "", 0)
         .otherwise(F.col("account_division").try_cast("int")),
@@ -238,3 +219,28 @@ def pl_line_item_budget(acct: Column) -> Column:
         (like_any(acct, [p + "%" for p in R.INDIRECT_COST_PREFIXES]), "indirect_construction_cost"),
         (admin, "admin_expenses"),
     ], "other")
+
+
+def budget_versions(b: DataFrame) -> DataFrame:
+    """Name each budget line ('<year> Plan' / '<year> FC<n>') and keep the selected versions (see gl_budget)."""
+    from trestle.operators.windows import latest_per_key
+
+    mth_year = F.year("mth")
+    fc_round = F.round(F.col("fc_number").try_cast("double")).cast("bigint").cast("string")
+    name = F.when(F.col("budget_year").try_cast("int") != mth_year,
+                  F.concat(mth_year.cast("string"), F.lit(" Plan"))).otherwise(
+        F.concat(F.col("budget_year"), F.lit(" FC"), fc_round))
+    b = b.withColumns({"budget_name": name, "mth_year": mth_year})
+    b = b.withColumn("budget_type", F.when(F.col("budget_name").like("%Plan%"), "Plan")
+                     .when(F.col("budget_name").like("%FC%"), "FC"))
+    plan = latest_per_key(b.filter(F.col("budget_type") == "Plan"), ["gl_account", "budget_name", "mth"],
+                          ["fc_number"], tie=[F.col("gl_co").asc(), F.col("budget_code").asc(),
+                                              F.col("budget_cents").asc()])
+    fc = b.filter(F.col("budget_type") == "FC")
+    mapping = (fc.select("budget_name", "fc_number").distinct()
+               .groupBy("budget_name", F.floor(F.col("fc_number").try_cast("double")).alias("fc_base"))
+               .agg(F.max("fc_number").alias("max_fc_number"))
+               .select(F.col("budget_name").alias("_bn"), "max_fc_number"))
+    fc = (fc.join(mapping, (fc.budget_name == mapping._bn) & (fc.fc_number == mapping.max_fc_number), "inner")
+          .drop("_bn", "max_fc_number"))
+    return plan.unionByName(fc)

@@ -359,5 +359,20 @@ class Analogs:
         p2 = g.filter(g.part2 != "0000").select("glco", F.lit(2).alias("partno"), F.col("part2").alias("instance"),
                                                  F.concat(F.lit("Division "), "part2").alias("description")).distinct()
         p3 = g.filter(g.part3 != "000").select("glco", F.lit(3).alias("partno"), F.col("part3").alias("instance"),
-                                                F.concat(F.lit("Dept "), "part3").alias("description")).distinct()
+                                                F.concat(F.when(F.col("part3").isin("300", "311"), "Region Dept ").otherwise("Dept "), "part3")
+                                                .alias("description")).distinct()
         return p1.union(p2).union(p3)
+
+    @cached_property
+    def wip_sheet(self) -> DataFrame:
+        """WIP spreadsheet rows of all files (file = sheet_name, listed by the same control table)."""
+        o = self.t("orders")
+        return o.select(
+            F.concat(F.lit("sheet_"), F.lower(o.o_orderstatus)).alias("sheet_name"),
+            F.concat((o.o_custkey + 123000).cast("string"), F.lit(".")).alias("job_number"),
+            F.concat(F.lit("Job "), o.o_custkey.cast("string")).alias("job_description"),
+            o.o_orderpriority.alias("region"),
+            _cents(o.o_totalprice / 1000).alias("revenue_backlog"),
+            _cents(o.o_totalprice).alias("ytd_revenue"),
+            F.when(o.o_orderkey % 5 == 0, "False").otherwise("True").alias("include_job"),
+        )
