@@ -1,3 +1,3 @@
 """Imports every plan module so that its ``@query`` functions register."""
 
-from trestle.plans import dimensions, finance, gl, job_cost, marts_finance, operator_queries  # noqa: F401
+from trestle.plans import dimensions, finance, gl, job_cost, marts_finance, operator_queries, schedule  # noqa: F401
