@@ -59,6 +59,28 @@ select 'sheet_' || lower(o_orderstatus) as sheet_name, cast(o_custkey + 123000 a
   cast(floor(o_totalprice / 1000) as bigint) as revenue_backlog, cast(floor(o_totalprice) as bigint) as ytd_revenue,
   case when o_orderkey % 5 = 0 then 'False' else 'True' end as include_job
 from orders
+""",
+    # CRM child tables: practice areas, delivery methods, debrief flags, units of measure per opportunity.
+    "fx_opp_practice_area": """
+select user_id as opportunity_id, event_id % 4 + 1 as practice_area_id,
+  case event_id % 4 when 0 then 'Education' when 1 then 'Healthcare' when 2 then 'Industrial' else 'Water' end as practice_area_name,
+  cast(ts as date) as last_load_dt
+from events
+""",
+    "fx_opp_delivery_method": """
+select user_id as opportunity_id,
+  case event_id % 3 when 0 then 'Design-Build' when 1 then 'CM at Risk' else 'Hard Bid' end as delivery_method_name,
+  cast(ts as date) as last_load_dt
+from events
+""",
+    "fx_opp_debrief": """
+select user_id as opportunity_id, case event_id % 3 when 0 then 'Yes' when 1 then 'no' else 'n/a' end as debrief_text,
+  ts as last_load_dt
+from events
+""",
+    "fx_opp_uom": """
+select user_id as opportunity_id, case when event_id % 2 = 0 then 'SF' else 'LF' end as unit_of_measure, ts as last_load_dt
+from events
 """,
 }
 EXTRA_DEPS: dict[str, list[str]] = {"fx_segment": ["fx_gl"]}

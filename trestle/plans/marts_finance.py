@@ -152,3 +152,36 @@ def backlog_months(t: Tables) -> DataFrame:
                     "ytd_revenue",
                     F.round(safe_div(F.col("revenue_backlog"), per_month), 6).alias("executed_backlog_months"),
                     F.round(safe_div(F.col("revenue_pending_backlog"), per_month), 6).alias("pending_backlog_months"))
+
+
+#: Company of the joint-venture view (an argument; the reference hard-codes one company).
+JV_COMPANY = "136"
+JV_HISTORY_YEARS = 8
+
+
+@query("joint_ventures")
+def joint_ventures(t: Tables, company: str = JV_COMPANY, as_of=DEFAULT_AS_OF, years: int = JV_HISTORY_YEARS) -> DataFrame:
+    """R-59: month spine per company with revenue, overbilling and cost (NULL when nothing was posted) and
+    their RANGE running sums (NULL until the first value), for one company.
+
+    The company filter sits on the spine; Catalyst pushes it into both sides of the spine/pivot join.
+    """
+    from trestle.functions import month_floor, shift_date
+
+    g = gl_actuals(t)
+    bounds = (g.groupBy("glco").agg(month_floor(F.min("mth")).alias("min_month"), month_floor(F.max("mth")).alias("max_month"))
+              .filter(F.col("min_month") >= month_floor(shift_date(F.lit(as_of.isoformat()).cast("date"), -years, "year"))))
+    spine = U.month_spine(bounds, F.col("min_month"), F.col("max_month"), cap=200, out="mth").select("glco", "mth")
+    acct = F.col("glacct")
+    pivot = g.groupBy("glco", "mth").agg(
+        F.sum(F.when(acct.like("41010%"), F.col("netamt_cents"))).alias("contract_revenue"),
+        F.sum(F.when(acct.like("41030%"), F.col("netamt_cents"))).alias("overbillings_adjusted"),
+        F.sum(F.when(F.col("pl_line_item") == "direct_construction_cost", F.col("netamt_cents"))).alias("cost"))
+    j = spine.join(pivot, ["glco", "mth"], "left").filter(F.col("glco") == company)
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("glco").orderBy("mth")
+    return j.select("glco", "mth", "contract_revenue",
+                    F.sum("contract_revenue").over(w).alias("cumulative_contract_revenue"), "overbillings_adjusted",
+                    F.sum("overbillings_adjusted").over(w).alias("cumulative_overbillings_adjusted"), "cost",
+                    F.sum("cost").over(w).alias("cumulative_cost"))

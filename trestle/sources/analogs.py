@@ -376,3 +376,34 @@ class Analogs:
             _cents(o.o_totalprice).alias("ytd_revenue"),
             F.when(o.o_orderkey % 5 == 0, "False").otherwise("True").alias("include_job"),
         )
+
+    # --- CRM child tables (outside the fixture specification) ------------------------------------------------
+    @cached_property
+    def opp_practice_area(self) -> DataFrame:
+        e = self.t("events")
+        k = e.event_id % 4
+        name = F.when(k == 0, "Education").when(k == 1, "Healthcare").when(k == 2, "Industrial").otherwise("Water")
+        return e.select(e.user_id.alias("opportunity_id"), (k + 1).alias("practice_area_id"),
+                        name.alias("practice_area_name"), F.to_date(e.ts).alias("last_load_dt"))
+
+    @cached_property
+    def opp_delivery_method(self) -> DataFrame:
+        e = self.t("events")
+        k = e.event_id % 3
+        name = F.when(k == 0, "Design-Build").when(k == 1, "CM at Risk").otherwise("Hard Bid")
+        return e.select(e.user_id.alias("opportunity_id"), name.alias("delivery_method_name"),
+                        F.to_date(e.ts).alias("last_load_dt"))
+
+    @cached_property
+    def opp_debrief(self) -> DataFrame:
+        e = self.t("events")
+        k = e.event_id % 3
+        text = F.when(k == 0, "Yes").when(k == 1, "no").otherwise("n/a")
+        return e.select(e.user_id.alias("opportunity_id"), text.alias("debrief_text"), e.ts.alias("last_load_dt"))
+
+    @cached_property
+    def opp_uom(self) -> DataFrame:
+        e = self.t("events")
+        return e.select(e.user_id.alias("opportunity_id"),
+                        F.when(e.event_id % 2 == 0, "SF").otherwise("LF").alias("unit_of_measure"),
+                        e.ts.alias("last_load_dt"))
