@@ -78,3 +78,10 @@ def parse_date(c, *formats: str) -> Column:
     if not formats:
         return F.try_to_date(c)
     return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+
+
+def date_lit(d) -> Column:
+    """A DATE literal from a ``datetime.date`` (or a Column passed through)."""
+    if isinstance(d, Column):
+        return d
+    return F.lit(d.isoformat()).cast("date")

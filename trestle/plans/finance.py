@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trestle import DEFAULT_AS_OF
-from trestle.functions import div0, first_of_month, month_floor, parse_amount, part, regex_group, shift_date
+from trestle.functions import date_lit, div0, first_of_month, month_floor, parse_amount, part, regex_group, shift_date
 from trestle.operators import windows as W
 from trestle.plans.registry import query
 from trestle.sources import control as S
 from trestle.sources.tables import Tables
 
-AS_OF = F.lit(DEFAULT_AS_OF.isoformat()).cast("date")
+AS_OF = DEFAULT_AS_OF
 #: Budget history kept from this year on (production: 2017).
 BUDGET_SINCE_YEAR = 1996
 
@@ -166,7 +166,7 @@ def forecast_carry_forward(t: Tables, as_of=AS_OF, cap: int = 13) -> DataFrame:
     carried = (latest.select("forecast_year", "revenue", "margin", month_floor("file_month_year").alias("_start"),
                              F.explode(F.sequence(F.lit(1), F.lit(cap))).alias("_n"))
                .withColumn("file_month_year", F.add_months("_start", F.col("_n")))
-               .filter((F.col("file_month_year") <= month_floor(as_of))
+               .filter((F.col("file_month_year") <= month_floor(date_lit(as_of)))
                        & (F.year("file_month_year") == F.col("forecast_year"))))
     actual = totals.filter(F.year("file_month_year") == F.col("forecast_year"))
     cols = ["file_month_year", "forecast_year", "revenue", "margin"]
@@ -222,4 +222,4 @@ def job_dimension(t: Tables, as_of=AS_OF, years: int = 10) -> DataFrame:
         (F.col("curr_estimate") - F.col("proj_estimate")).alias("over_under"),
         r6(div0("cost_to_date", "proj_estimate")).alias("percent_complete"),
     ).distinct()
-    return out.filter(F.col("start_date") >= shift_date(as_of, -years, "year"))
+    return out.filter(F.col("start_date") >= shift_date(date_lit(as_of), -years, "year"))

@@ -16,13 +16,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trestle import DEFAULT_AS_OF
-from trestle.functions import month_floor, shift_date
+from trestle.functions import date_lit, month_floor, shift_date
 from trestle.operators import reshape as U
 from trestle.plans.finance import change_orders, contract_master
 from trestle.plans.registry import query
 from trestle.sources.tables import Tables
 
-AS_OF = F.lit(DEFAULT_AS_OF.isoformat()).cast("date")
+AS_OF = DEFAULT_AS_OF
 JOB_HISTORY_YEARS = 8
 MAX_JOB_MONTHS = 200
 
@@ -73,11 +73,11 @@ def _facts(detail: DataFrame) -> DataFrame:
         F.max(F.col("is_actual") | e | F.col("is_committed")).alias("_any"))
 
 
-def _spine(t: Tables, detail: DataFrame, as_of: Column, years: int) -> DataFrame:
+def _spine(t: Tables, detail: DataFrame, as_of, years: int) -> DataFrame:
     relevant = detail.filter(F.col("is_actual") | F.col("is_estimate") | F.col("is_committed"))
     bounds = (relevant.groupBy("jcco", "job")
               .agg(month_floor(F.min("month_date")).alias("min_month"), month_floor(F.max("month_date")).alias("max_month"))
-              .filter(F.col("min_month") >= month_floor(shift_date(as_of, -years, "year"))))
+              .filter(F.col("min_month") >= month_floor(shift_date(date_lit(as_of), -years, "year"))))
     phases = detail.select(*PHASE_KEYS).distinct()
     spine = U.month_spine(phases.join(bounds, ["jcco", "job"]), F.col("min_month"), F.col("max_month"),
                           cap=MAX_JOB_MONTHS, out="month_date")
@@ -85,7 +85,7 @@ def _spine(t: Tables, detail: DataFrame, as_of: Column, years: int) -> DataFrame
 
 
 @query("job_cost_monthly")
-def job_cost_monthly(t: Tables, as_of: Column = AS_OF, years: int = JOB_HISTORY_YEARS) -> DataFrame:
+def job_cost_monthly(t: Tables, as_of=AS_OF, years: int = JOB_HISTORY_YEARS) -> DataFrame:
     """R-56: job x phase x cost type x month with running totals and the three indicators.
 
     Running totals partition by job, cost type, phase group and phase but not company (jobs that share a number

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trestle import DEFAULT_AS_OF
-from trestle.functions import (as_bool, as_number, case_rules, contains_ci, days_between, div0, first_of_month,
+from trestle.functions import (as_bool, date_lit, as_number, case_rules, contains_ci, days_between, div0, first_of_month,
                                floor_text, like_any, month_diff, month_end, month_floor, parse_amount, parse_ts,
                                part, regex_group, region_code, shift_date, shift_zone, strip_html, trim_text, word)
 from trestle.operators import aggregates as A
@@ -20,7 +20,7 @@ from trestle.plans.registry import query
 from trestle.sources import control as S
 from trestle.sources.tables import Tables, source
 
-AS_OF = F.lit(DEFAULT_AS_OF.isoformat()).cast("date")
+AS_OF = DEFAULT_AS_OF
 
 
 # --- 2.1 scans, sources, sinks ---------------------------------------------------------------------------------
@@ -135,7 +135,7 @@ def gl_company_filter(t: Tables) -> DataFrame:
 def rolling_cutoff(t: Tables) -> DataFrame:
     """P-9: ``mth >= month_floor(as_of - 5 years)`` (the production cutoff is 8 years)."""
     jc = t.fx.job_cost
-    cutoff = month_floor(shift_date(AS_OF, -5, "year"))
+    cutoff = month_floor(shift_date(date_lit(AS_OF), -5, "year"))
     return (jc.filter(F.col("mth") >= cutoff)
             .groupBy("jcco", "mth").agg(F.sum("est_cents").alias("est_cents")))
 
@@ -206,7 +206,7 @@ def cross_params(t: Tables) -> DataFrame:
 @query("month_spine")
 def month_spine(t: Tables) -> DataFrame:
     con = t.fx.contract.select("jcco", "contract", "start_date")
-    return U.month_spine(con, F.col("start_date"), AS_OF, cap=200, out="month")
+    return U.month_spine(con, F.col("start_date"), date_lit(AS_OF), cap=200, out="month")
 
 
 @query("trailing_cost")
@@ -442,7 +442,7 @@ def densify_months(t: Tables) -> DataFrame:
     monthly = jc.groupBy("jcco", F.trim("job").alias("contract"), F.col("mth").alias("month")).agg(
         F.sum("actual_cents").alias("actual_cents"))
     con = t.fx.contract.select("jcco", "contract", "start_date")
-    spine = U.month_spine(con, F.col("start_date"), AS_OF, cap=200, out="month").select("jcco", "contract", "month")
+    spine = U.month_spine(con, F.col("start_date"), date_lit(AS_OF), cap=200, out="month").select("jcco", "contract", "month")
     return U.densify(spine, monthly, ["jcco", "contract", "month"], ["actual_cents"])
 
 
@@ -610,8 +610,8 @@ def date_shift(t: Tables) -> DataFrame:
 @query("date_diff")
 def date_diff(t: Tables) -> DataFrame:
     c = t.fx.contract
-    return c.select("contract", days_between("start_date", AS_OF).alias("days_open"),
-                    month_diff("start_date", AS_OF).alias("months_open"),
+    return c.select("contract", days_between("start_date", date_lit(AS_OF)).alias("days_open"),
+                    month_diff("start_date", date_lit(AS_OF)).alias("months_open"),
                     month_diff("start_date", "owner_contract_date").alias("owner_months"))
 
 
