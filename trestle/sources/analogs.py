@@ -407,3 +407,45 @@ class Analogs:
         return e.select(e.user_id.alias("opportunity_id"),
                         F.when(e.event_id % 2 == 0, "SF").otherwise("LF").alias("unit_of_measure"),
                         e.ts.alias("last_load_dt"))
+
+
+# --- landing ----------------------------------------------------------------------------------------------------
+# Production sources are landed tables with plain columns.  The analogs are projections of the test tables
+# whose columns are expressions (codes built by CASE, then parsed again by regex downstream); left lazy, the
+# optimizer inlines those expressions into every filter and join that uses them, so each query re-derives the
+# sources several times.  Each analog is therefore landed once per Spark application: checkpointed (reliable
+# checkpoint, lineage cut) into the session's checkpoint folder, and read back as a plain table.
+# TRESTLE_LAND_ANALOGS=0 keeps them lazy (plan inspection).
+_LANDED: dict = {}
+
+
+def _land(self, name: str, df: DataFrame) -> DataFrame:
+    import os
+
+    from trestle.session import checkpoint_dir
+
+    if os.environ.get("TRESTLE_LAND_ANALOGS", "1") == "0":
+        return df
+    spark = self.t.spark
+    key = (spark.sparkContext.applicationId, self.t.root, name)
+    if key not in _LANDED:
+        checkpoint_dir(spark)
+        _LANDED[key] = df.checkpoint(eager=True)
+    return _LANDED[key]
+
+
+def _landed_property(name: str, build):
+    def get(self):
+        return self._land(name, build(self))
+
+    get.__name__ = name
+    get.__doc__ = build.__doc__
+    prop = cached_property(get)
+    prop.__set_name__(Analogs, name)
+    return prop
+
+
+Analogs._land = _land
+for _name, _value in list(vars(Analogs).items()):
+    if isinstance(_value, cached_property):
+        setattr(Analogs, _name, _landed_property(_name, _value.func))
