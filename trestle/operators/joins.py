@@ -62,8 +62,12 @@ def all_pairs(a: DataFrame, b: DataFrame, max_rows: int = 10_000) -> DataFrame:
 
 
 def with_params(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """J-7: attach the columns of a one-row relation (a global aggregate) to every row."""
-    return df.crossJoin(F.broadcast(one_row.limit(1)))
+    """J-7: attach the columns of a one-row relation to every row.
+
+    ``one_row`` must be a global aggregate (``agg`` without grouping), which has exactly one row by
+    construction; that is the proven bound behind the broadcast.
+    """
+    return df.crossJoin(F.broadcast(one_row))
 
 
 def trailing_sum(df: DataFrame, facts: DataFrame, keys: Sequence[str], at: str, date_col: str,

@@ -223,3 +223,19 @@ def job_dimension(t: Tables, as_of=AS_OF, years: int = 10) -> DataFrame:
         r6(div0("cost_to_date", "proj_estimate")).alias("percent_complete"),
     ).distinct()
     return out.filter(F.col("start_date") >= shift_date(date_lit(as_of), -years, "year"))
+
+
+@query("rolling_forecast_summary")
+def rolling_forecast_summary(t: Tables) -> DataFrame:
+    """R-5: every active rolling-forecast file (six columns) with provenance (S-2).
+
+    The forecast analog holds the rows of all files; its control table lists one file per file month.
+    """
+    rows = t.fx.forecast.withColumn("file_name", F.concat(F.lit("rf_"), F.date_format("file_month", "yyyyMM")))
+    control = (rows.select(F.col("file_name").alias("table_name"),
+                           F.col("file_month").cast("string").alias("file_month_year")).distinct()
+               .withColumn("active", F.lit(True)))
+    u = S.union_controlled(control, family=rows.drop("file_month"), family_key="file_name")
+    return u.select("forecast_type", "category_type", "category", "revenue", "margin",
+                    F.round(F.col("margin") / F.col("revenue"), 6).alias("pct_margin"), "source_table",
+                    "file_month_year")

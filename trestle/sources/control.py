@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Upper bound on control rows (files) that may be broadcast or collected.
+#: Upper bound on control rows (files) collected on the driver by the ``read`` path (checked, never truncated).
 MAX_CONTROL_ROWS = 100_000
 
 
@@ -39,8 +39,8 @@ def union_controlled(control: DataFrame, *, family: DataFrame | None = None, fam
         rows = rows.select("table_name").distinct()
     if family is not None:
         files = family if columns is None else family.select(family_key, *columns)
-        joined = files.join(F.broadcast(rows.limit(MAX_CONTROL_ROWS)),
-                            files[family_key] == rows["table_name"], "inner")
+        # The control side is one row per landed file; AQE broadcasts it once its runtime size is known.
+        joined = files.join(rows, files[family_key] == rows["table_name"], "inner")
         keep = [c for c in files.columns if c != family_key]
         if columns is not None:
             keep = list(columns)
@@ -50,7 +50,9 @@ def union_controlled(control: DataFrame, *, family: DataFrame | None = None, fam
         return joined.select(*[files[c] for c in keep], *prov)
     if read is None:
         raise ValueError("give family or read")
-    listed = rows.orderBy("table_name").limit(MAX_CONTROL_ROWS).collect()
+    listed = rows.orderBy("table_name").take(MAX_CONTROL_ROWS + 1)
+    if len(listed) > MAX_CONTROL_ROWS:
+        raise ValueError(f"control table lists more than {MAX_CONTROL_ROWS} files; use the family path")
     if not listed:
         raise ValueError("control table lists no files")
     parts = []
