@@ -8,7 +8,7 @@ from trestle.plans.registry import load_all
 # Queries whose plans legitimately contain a nested-loop join: a one-row relation, or the bounded dimension product.
 NESTED_LOOP_OK = {"cross_params", "cross_region_market", "dim_region_market", "gl_actuals", "gl_budget",
                   "revenue_metrics", "division_actuals", "opportunities_current", "closed_opportunities",
-                  "open_opportunities", "joint_ventures"}
+                  "open_opportunities", "joint_ventures", "source_refresh_meta", "source_refresh_exec"}
 
 
 def physical(df) -> str:

@@ -93,9 +93,20 @@ def job_cost_monthly(t: Tables, as_of=AS_OF, years: int = JOB_HISTORY_YEARS) ->
     frame is deterministic.
     """
     detail = _detail(t)
-    facts = _facts(detail).drop("_any")
-    filled = U.densify(_spine(t, detail, as_of, years), facts, [*PHASE_KEYS, "month_date"], list(MEASURES))
-    w = (Window.partitionBy("job", "cost_type", "phase_group", "phase").orderBy("month_date", "jcco")
+    facts = _facts(detail).drop("_any").withColumn("_in_spine", F.lit(0))
+    spine = _spine(t, detail, as_of, years).select(
+        *PHASE_KEYS, "month_date", *[F.lit(0).cast("bigint").alias(m) for m in MEASURES],
+        F.lit(1).alias("_in_spine"))
+    # Densify without a join: spine rows (zero measures) and fact rows are unioned and hash-partitioned once on
+    # the running-total key; the per-month sum (which needs only a subset of that key) and the window then run
+    # inside those partitions without another exchange.  Facts outside the spine (jobs older than the cutoff)
+    # are dropped by the spine flag.
+    run_keys = ["job", "cost_type", "phase_group", "phase"]
+    both = spine.unionByName(facts).repartition(*run_keys)
+    filled = (both.groupBy(*PHASE_KEYS, "month_date")
+              .agg(*[F.sum(m).alias(m) for m in MEASURES], F.max("_in_spine").alias("_in_spine"))
+              .filter(F.col("_in_spine") == 1).drop("_in_spine"))
+    w = (Window.partitionBy(*run_keys).orderBy("month_date", "jcco")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = filled.withColumns({f"cumulative_{m}": F.sum(m).over(w) for m in MEASURES})
     division = F.substring("phase", 1, 2)

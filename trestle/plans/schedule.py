@@ -37,6 +37,13 @@ def open_grading_tasks(t: Tables) -> DataFrame:
         "short_name", F.lit(None).cast("string"))
 
 
+def grading_base(t: Tables) -> DataFrame:
+    """The untagged snapshots shared by the nine metrics, landed once (see ``trestle.sources.landing``)."""
+    from trestle.sources.landing import land
+
+    return land(t.spark, t.root, "open_grading_tasks", open_grading_tasks(t))
+
+
 def _projects(t: Tables) -> DataFrame:
     return t.fx.project.select("proj_id", "proj_name", "project_name", "baseline_proj_id", "last_recalc_date",
                                "day_hr_cnt", "week_hr_cnt", "completion_date")
@@ -44,7 +51,7 @@ def _projects(t: Tables) -> DataFrame:
 
 def _task_proj(t: Tables) -> DataFrame:
     """Projects left join their (untagged) task snapshots."""
-    return _projects(t).join(open_grading_tasks(t), "proj_id", "left")
+    return _projects(t).join(grading_base(t), "proj_id", "left")
 
 
 def _grade(value: Column, bands) -> Column:
@@ -163,7 +170,7 @@ def out_of_sequence(t: Tables) -> DataFrame:
     tp = _task_proj(t)
     links = t.fx.task_pred.select("proj_id", "task_id", "pred_task_id", "pred_type")
     succ = tp.select("proj_id", "proj_name", "task_id", "start_week", "act_start_date", "act_end_date")
-    pred = open_grading_tasks(t).select(
+    pred = grading_base(t).select(
         "proj_id", F.col("task_id").alias("pred_task_id"), "start_week",
         F.col("act_start_date").alias("pred_act_start_date"), F.col("act_end_date").alias("pred_act_end_date"))
     x = (succ.join(links, ["proj_id", "task_id"], "inner")
@@ -200,7 +207,7 @@ def float_metrics(t: Tables) -> DataFrame:
         F.sum(F.when(fl > 44, 1).otherwise(0)).alias("high_float"))
     weekly = t.fx.weekly.select("proj_id", F.col("week_ending").alias("start_week"), "total_float")
     ff = floats.join(weekly, ["proj_id", "start_week"], "left")
-    tasks = open_grading_tasks(t)
+    tasks = grading_base(t)
     newest = t.fx.task.select(F.max("start_week")).scalar()
     cand = (ff.select("proj_id", "start_week")
             .join(tasks.select("proj_id", "start_week", "task_id", "early_end_date", "task_type", "wbs_id",
@@ -255,7 +262,7 @@ def high_duration(t: Tables) -> DataFrame:
         "proj_id", "proj_name", "day_hr_cnt", "start_week", "task_code")
     tp = tp.join(latest.select(F.col("orig_proj_id").alias("proj_id"), F.col("baseline_proj_id").alias("bl_id")),
                  "proj_id", "left")
-    base = (open_grading_tasks(t).groupBy(F.col("proj_id").alias("bl_id"), "task_code", "target_drtn_hr_cnt")
+    base = (grading_base(t).groupBy(F.col("proj_id").alias("bl_id"), "task_code", "target_drtn_hr_cnt")
             .agg(F.count(F.lit(1)).alias("_n")))
     x = tp.join(base, ["bl_id", "task_code"], "left")
     rows = F.coalesce(F.col("_n"), F.lit(1))
@@ -278,7 +285,7 @@ def baseline_metrics(t: Tables) -> DataFrame:
     earliest = W.earliest_per_key(baselines, ["orig_proj_id"], ["last_baseline_update_date", "baseline_proj_id"])
     pb = proj.select("proj_id", "proj_name").join(
         earliest.select(F.col("orig_proj_id").alias("proj_id"), "baseline_proj_id"), "proj_id", "left")
-    tasks = open_grading_tasks(t)
+    tasks = grading_base(t)
     actual = (pb.select("proj_id").join(tasks, "proj_id", "left").groupBy("proj_id", "start_week")
               .agg(F.countDistinct("task_id").alias("total_tasks_cnt"),
                    F.sum(F.when(F.col("act_end_date").isNotNull(), 1).otherwise(0)).alias("actual_complete")))
@@ -323,7 +330,7 @@ def resource_look_ahead(t: Tables) -> DataFrame:
     """
     proj = _projects(t).select(F.col("proj_id").alias("p6_proj_id"), F.col("project_name").alias("job_key"),
                                "proj_name")
-    weeks = open_grading_tasks(t).select(F.col("proj_id").alias("p6_proj_id"), "start_week").distinct()
+    weeks = grading_base(t).select(F.col("proj_id").alias("p6_proj_id"), "start_week").distinct()
     psw = proj.join(weeks, "p6_proj_id", "left")
     jc = t.fx.job_cost
     labor = (jc.filter((F.col("jcco") == LABOR_COMPANY) & (F.col("cost_type") == LABOR_COST_TYPE)

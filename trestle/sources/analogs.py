@@ -413,29 +413,14 @@ class Analogs:
 # Production sources are landed tables with plain columns.  The analogs are projections of the test tables
 # whose columns are expressions (codes built by CASE, then parsed again by regex downstream); left lazy, the
 # optimizer inlines those expressions into every filter and join that uses them, so each query re-derives the
-# sources several times.  Each analog is therefore landed once per Spark application as a parquet table in the
-# session's checkpoint folder (the shared folder on a cluster), and read back with the parquet reader, so
-# scans keep column pruning and filter pushdown.  TRESTLE_LAND_ANALOGS=0 keeps them lazy (plan inspection).
-_LANDED: dict = {}
+# sources several times.  Each analog is therefore landed once per Spark application (``trestle.sources.landing``)
+# and read back as a parquet table.
 
 
 def _land(self, name: str, df: DataFrame) -> DataFrame:
-    import hashlib
-    import os
-
-    from trestle.session import checkpoint_dir
-
-    if os.environ.get("TRESTLE_LAND_ANALOGS", "1") == "0":
-        return df
-    spark = self.t.spark
-    app = spark.sparkContext.applicationId
-    key = (app, self.t.root, name)
-    if key not in _LANDED:
-        root_tag = hashlib.sha1(self.t.root.encode()).hexdigest()[:12]
-        path = f"{checkpoint_dir(spark).rstrip('/')}/trestle-landed/{app}/{root_tag}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        _LANDED[key] = spark.read.parquet(path)
-    return _LANDED[key]
+    from trestle.sources.landing import land
+
+    return land(self.t.spark, self.t.root, f"analog-{name}", df)
 
 
 def _landed_property(name: str, build):
