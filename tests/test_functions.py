@@ -108,3 +108,45 @@ def test_least_strict_null(spark):
 def test_as_number_rounds(spark):
     df = one_col(spark, ["12.7", "-0.5", "x"])
     assert [r[0] for r in rows(df.select(as_number("v")))] == [Decimal("13"), Decimal("-1"), None]
+
+
+def test_regex_no_match_is_null_d7(spark):
+    df = one_col(spark, ["2025 BASE", "2025 FC"])
+    assert [r[0] for r in rows(df.select(regex_group("v", r"FC([0-9.]+)")))] == [None, None]
+
+
+def test_text_in_numeric_context_d11(spark):
+    from trestle.functions import try_number
+
+    df = one_col(spark, ["2017", " 12.5 ", "n/a"])
+    assert [r[0] for r in rows(df.select(try_number("v")))] == [2017.0, 12.5, None]
+
+
+def test_month_floor_stays_date_d15(spark):
+    from pyspark.sql.types import DateType
+
+    from trestle.functions import month_floor
+
+    df = spark.createDataFrame([(dt.date(2025, 3, 17),)], "d date").select(month_floor("d").alias("m"))
+    assert isinstance(df.schema["m"].dataType, DateType)
+    assert rows(df) == [(dt.date(2025, 3, 1),)]
+
+
+def test_concat_propagates_null_d16(spark):
+    df = spark.createDataFrame([("a", None), ("a", "b")], "x string, y string")
+    assert [r[0] for r in rows(df.select(F.concat("x", F.lit(" FC"), "y")))] == [None, "a FCb"]
+
+
+def test_union_is_positional_d19(spark):
+    from trestle.operators.reshape import stack_rows
+
+    a = spark.createDataFrame([(1, "x")], "k int, v string")
+    b = spark.createDataFrame([("y", 2)], "v string, k int").selectExpr("k", "v")
+    assert rows(stack_rows(a, b)) == [(1, "x"), (2, "y")]
+
+
+def test_float_to_int_rounds_d23(spark):
+    from trestle.functions import to_int
+
+    df = spark.createDataFrame([(2.5,), (-2.5,), (2.4,)], "x double")
+    assert [r[0] for r in rows(df.select(to_int("x")))] == [3, -3, 2]

@@ -35,3 +35,9 @@ def test_scan_prunes_columns_and_pushes_filters(tables):
     assert "l_quantity" not in scan and "l_tax" not in scan            # only the needed columns are read
     plan = physical(load_all()["latest_week_only"](tables))
     assert "Subquery" in plan or "ScalarSubquery" in plan or "subquery" in plan.lower()
+
+
+def test_top1_windows_get_a_group_limit(tables):
+    # row_number() = 1 filters are pushed below the shuffle as a map-side limit (hot keys stay bounded)
+    for key in ("gl_budget", "latest_per_key", "opportunities_current"):
+        assert "WindowGroupLimit" in physical(load_all()[key](tables)), key

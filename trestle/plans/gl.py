@@ -224,13 +224,14 @@ def pl_line_item_budget(acct: Column) -> Column:
 def budget_versions(b: DataFrame) -> DataFrame:
     """Name each budget line ('<year> Plan' / '<year> FC<n>') and keep the selected versions (see gl_budget).
 
-    Plan: newest FC number (text order, NULL first) per (account, name, month), one row (W-1).
+    Plan: newest FC number (text order, NULL first) per (account, name, month), one row (W-1).  The filter is a
+    pure ``row_number() = 1``, so Spark inserts a map-side group limit before the shuffle and a hot
+    (account, name, month) key never reaches one task whole.
     FC: rows whose FC number is the text-greatest of its (name, floor) group.  The group maxima are a small
-    aggregate (one row per budget version, partial aggregation map-side), joined back on (name, FC number);
-    Spark broadcasts it only when AQE measures it under the broadcast threshold.  One pass over the budget
-    lines feeds both selections, so the lines are scanned twice (aggregate + main) instead of three times.
+    aggregate (one row per budget version, partial aggregation map-side) joined back on (name, FC number);
+    AQE broadcasts it once its runtime size is known to be under the threshold.
     """
-    from pyspark.sql import Window
+    from trestle.operators.windows import latest_per_key
 
     mth_year = F.year("mth")
     fc_round = F.round(F.col("fc_number").try_cast("double")).cast("bigint").cast("string")
@@ -240,16 +241,12 @@ def budget_versions(b: DataFrame) -> DataFrame:
     b = b.withColumns({"budget_name": name, "mth_year": mth_year})
     b = b.withColumn("budget_type", F.when(F.col("budget_name").like("%Plan%"), "Plan")
                      .when(F.col("budget_name").like("%FC%"), "FC"))
-    b = b.filter(F.col("budget_type").isin("Plan", "FC"))
-    fc_max = (b.filter(F.col("budget_type") == "FC")
-              .groupBy(F.col("budget_name").alias("_bn"), F.floor(F.col("fc_number").try_cast("double")).alias("_base"))
+    plan = latest_per_key(b.filter(F.col("budget_type") == "Plan"), ["gl_account", "budget_name", "mth"],
+                          ["fc_number"], tie=[F.col("gl_co").asc(), F.col("budget_code").asc(),
+                                              F.col("budget_cents").asc()])
+    fc = b.filter(F.col("budget_type") == "FC")
+    fc_max = (fc.groupBy(F.col("budget_name").alias("_bn"), F.floor(F.col("fc_number").try_cast("double")).alias("_base"))
               .agg(F.max("fc_number").alias("_max_fc")).drop("_base"))
-    j = b.join(fc_max, (b.budget_name == fc_max._bn) & (b.fc_number == fc_max._max_fc), "left")
-    # Plan and FC names never share a window partition (the name carries the type).
-    w = Window.partitionBy("gl_account", "budget_name", "mth").orderBy(
-        F.col("fc_number").desc_nulls_first(), F.col("gl_co").asc(), F.col("budget_code").asc(),
-        F.col("budget_cents").asc())
-    j = j.withColumn("_rn", F.row_number().over(w))
-    keep = (((F.col("budget_type") == "Plan") & (F.col("_rn") == 1))
-            | ((F.col("budget_type") == "FC") & F.col("_max_fc").isNotNull()))
-    return j.filter(keep).drop("_bn", "_max_fc", "_rn")
+    fc = (fc.join(fc_max, (fc.budget_name == fc_max._bn) & (fc.fc_number == fc_max._max_fc), "inner")
+          .drop("_bn", "_max_fc"))
+    return plan.unionByName(fc)
