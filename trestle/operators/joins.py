@@ -74,14 +74,15 @@ def trailing_sum(df: DataFrame, facts: DataFrame, keys: Sequence[str], at: str,
                  value: str, days: int, name: str) -> DataFrame:
     """J-9: ``SUM(value)`` of facts with ``at - days < date <= at`` per row of ``df`` (equi join on ``keys``).
 
-    Facts are first aggregated to one row per (keys, date) so the join fans out by distinct days, not by
-    transactions; the window test is a conditional sum after the equi join.
+    Facts are first aggregated to one row per (keys, date), and the date window is part of the join condition,
+    so each probe row meets at most ``days`` fact rows per key instead of the key's whole history.
     """
     daily = facts.groupBy(*keys, date_col).agg(F.sum(value).alias("_v"))
     probe = df.select(*keys, at).distinct()
-    hit = F.col(date_col).between(F.date_sub(F.col(at), days - 1), F.col(at))
-    agg = (probe.join(daily, list(keys), "inner")
-           .groupBy(*keys, at).agg(F.sum(F.when(hit, F.col("_v")).otherwise(0)).alias(name)))
+    cond = [probe[k] == daily[k] for k in keys]
+    cond.append(daily[date_col].between(F.date_sub(probe[at], days - 1), probe[at]))
+    agg = (probe.join(daily, cond, "inner")
+           .groupBy(*[probe[k] for k in keys], probe[at]).agg(F.sum("_v").alias(name)))
     return df.join(agg, [*keys, at], "left")
 
 

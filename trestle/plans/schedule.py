@@ -341,7 +341,9 @@ def resource_look_ahead(t: Tables) -> DataFrame:
     d = F.col("actual_date")
     six = d.between(F.date_add(F.date_sub("start_week", 42), 1), F.col("start_week"))
     one = d.between(F.date_add(F.date_sub("start_week", 7), 1), F.col("start_week"))
-    cost = (probe.join(labor, "job_key", "inner").groupBy("job_key", "start_week")
+    in_window = (probe.job_key == labor.job_key) & labor.actual_date.between(
+        F.date_add(F.date_sub(probe.start_week, 42), 1), probe.start_week)
+    cost = (probe.join(labor, in_window, "inner").groupBy(probe.job_key, probe.start_week)
             .agg(F.sum(F.when(six, F.col("_cost")).otherwise(0)).alias("total_labor_cost"),
                  F.sum(F.when(one, F.col("_cost")).otherwise(0)).alias("current_labor_cost")))
     fl = psw.join(cost, ["job_key", "start_week"], "left").fillna(0, ["total_labor_cost", "current_labor_cost"])
