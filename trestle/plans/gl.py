@@ -250,3 +250,18 @@ def budget_versions(b: DataFrame) -> DataFrame:
     fc = (fc.join(fc_max, (fc.budget_name == fc_max._bn) & (fc.fc_number == fc_max._max_fc), "inner")
           .drop("_bn", "_max_fc"))
     return plan.unionByName(fc)
+
+
+def gl_actuals_table(t: Tables) -> DataFrame:
+    """``gl_actuals`` materialized once per application for the marts that read it several times (revenue
+    metrics, joint ventures), like a table-materialized model."""
+    from trestle.sources.landing import land
+
+    return land(t.spark, t.root, "model-gl_actuals", gl_actuals(t))
+
+
+def gl_budget_table(t: Tables) -> DataFrame:
+    """``gl_budget`` materialized once per application (revenue metrics, source freshness)."""
+    from trestle.sources.landing import land
+
+    return land(t.spark, t.root, "model-gl_budget", gl_budget(t))

@@ -56,7 +56,7 @@ def _cols(df: DataFrame) -> DataFrame:
 def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFrame:
     from trestle.plans.crm_safety import int_opportunities, osha_recordable_incidents
     from trestle.plans.finance import actual_cost
-    from trestle.plans.gl import gl_budget
+    from trestle.plans.gl import gl_budget_table
 
     log = S.load_window(refresh_log(t))                       # one row: first/last successful load
     freshness = refresh_log(t).agg(F.max("last_load_dt").alias("last_altered"))   # S-10 analog (one row)
@@ -75,7 +75,7 @@ def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFr
                                              _ny(F.col("last_altered")).alias("last_load_dt"))
     parts.append(gl)
 
-    fc = gl_budget(t).filter(F.col("budget_type") == "FC")
+    fc = gl_budget_table(t).filter(F.col("budget_type") == "FC")
     top = W.global_top1(fc.select("budget_name", "mth_year", "fc_number"), ["mth_year", "fc_number"]).select("budget_name")
     bud = fc.join(top, "budget_name").agg(F.min("mth").alias("data_date_ref"))
     bud = J.with_params(bud, freshness).select(F.lit("GL Budget").alias("data_source"), "data_date_ref",
