@@ -3,4 +3,4 @@ select proj_id, task_id, start_week,
        when act_start_date is not null then 'started'
        else case when cstr_type = 'CS_MEO' then 'hard-end' when cstr_type = 'CS_MSO' then 'hard-start' else 'soft' end
   end as kind
-from fx_task where proj_id < 50
+from fx_task

@@ -1,2 +1,2 @@
 select proj_id, task_id, task_type, start_week from fx_task
-where start_week = (select max(start_week) from fx_task) and proj_id < 50
+where start_week = (select max(start_week) from fx_task)

@@ -133,9 +133,9 @@ def gl_company_filter(t: Tables) -> DataFrame:
 
 @query("rolling_cutoff")
 def rolling_cutoff(t: Tables) -> DataFrame:
-    """P-9: ``mth >= month_floor(as_of - 5 years)`` (the production cutoff is 8 years)."""
+    """P-9: ``mth >= month_floor(as_of - 8 years)``."""
     jc = t.fx.job_cost
-    cutoff = month_floor(shift_date(date_lit(AS_OF), -5, "year"))
+    cutoff = month_floor(shift_date(date_lit(AS_OF), -8, "year"))
     return (jc.filter(F.col("mth") >= cutoff)
             .groupBy("jcco", "mth").agg(F.sum("est_cents").alias("est_cents")))
 
@@ -145,7 +145,7 @@ def latest_week_only(t: Tables) -> DataFrame:
     """P-10: ``start_week = (SELECT max(start_week) ...)`` as a scalar subquery."""
     tk = t.fx.task
     newest = tk.select(F.max("start_week")).scalar()
-    return tk.filter((F.col("start_week") == newest) & (F.col("proj_id") < 50)).select(
+    return tk.filter(F.col("start_week") == newest).select(
         "proj_id", "task_id", "task_type", "start_week")
 
 
@@ -222,7 +222,7 @@ def trailing_cost(t: Tables) -> DataFrame:
 @query("pred_status_join")
 def pred_status_join(t: Tables) -> DataFrame:
     """J-10: each link with its predecessor's status in the same project and snapshot (inner in effect)."""
-    tk = t.fx.task.filter(F.col("proj_id") < 50)
+    tk = t.fx.task
     links = t.fx.task_pred
     succ = tk.select("proj_id", "task_id", "start_week", "act_start_date")
     pred = tk.select("proj_id", F.col("task_id").alias("pred_task_id"), "start_week",
@@ -245,7 +245,7 @@ def baseline_join(t: Tables) -> DataFrame:
 
 @query("pred_succ_counts")
 def pred_succ_counts(t: Tables) -> DataFrame:
-    nodes = t.fx.task.filter(F.col("proj_id") < 50).select("proj_id", "task_id").distinct()
+    nodes = t.fx.task.select("proj_id", "task_id").distinct()
     return J.link_counts(nodes, t.fx.task_pred, ["proj_id"], "task_id", "pred_task_id")
 
 
@@ -564,7 +564,7 @@ def null_handling(t: Tables) -> DataFrame:
 @query("case_rules")
 def case_rules_q(t: Tables) -> DataFrame:
     """X-20: nested searched CASE, NULL comparisons fall to ELSE."""
-    tk = t.fx.task.filter(F.col("proj_id") < 50)
+    tk = t.fx.task
     inner = case_rules([(F.col("cstr_type") == "CS_MEO", "hard-end"), (F.col("cstr_type") == "CS_MSO", "hard-start")],
                        "soft")
     kind = case_rules([(F.col("act_end_date").isNotNull(), "done"),
