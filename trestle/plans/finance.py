@@ -116,6 +116,10 @@ def budget_parsed(t: Tables, since_year: int = BUDGET_SINCE_YEAR) -> DataFrame:
     b = b.withColumns({"natural_account": part("gl_account", ".", 1),
                        "account_division": part("gl_account", ".", 2),
                        "account_department": part("gl_account", ".", 3)})
+    from trestle.operators.joins import bounded
+    from trestle.plans.gl import LOOKUP_MAX_ROWS
+
+    dept = bounded(dept, LOOKUP_MAX_ROWS)
     j = b.join(dept, (F.trim(b.account_division) == dept._dept) & (F.trim(b.gl_co) == dept._co), "left")
     out = j.select("gl_co", "gl_account", "natural_account", "account_division", "account_department",
                    "department_description", "budget_code", part("budget_code", " ", 1).alias("budget_year"),

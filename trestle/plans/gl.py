@@ -6,10 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trestle.functions import case_rules, include_company, like_any
+from trestle.operators.joins import bounded
 from trestle.plans import rules_gl as R
 from trestle.plans.registry import query
 from trestle.sources.tables import Tables
 
+#: Row bound under which a lookup (departments, segment names, region map, budget versions) is broadcast; the
+#: ledger's keys are few and hot (one company or division can hold a large share of the rows), so these joins
+#: must not be hash-partitioned on those keys.  ``bounded`` proves the bound first and fails beyond it.
+LOOKUP_MAX_ROWS = 500_000
+
 #: Year cutoffs of the marts (the production values are 2017 / 2020 / 2023; the test data is older).
 GL_SINCE_YEAR = 1997
 INDIRECT_BREAK_YEAR = 1999
@@ -147,10 +153,10 @@ def gl_actuals(t: Tables, since_year: int = GL_SINCE_YEAR, break_year: int = IND
     from trestle.plans.dimensions import dim_region_market
 
     g = gl_lines(t, since_year)
-    div = _divisions(t)
-    p1 = _segment_names(t, 1, "natural_account_desc")
-    p2 = _segment_names(t, 2, "_p2_desc")
-    p3 = _segment_names(t, 3, "department_description")
+    div = bounded(_divisions(t), LOOKUP_MAX_ROWS)
+    p1 = bounded(_segment_names(t, 1, "natural_account_desc"), LOOKUP_MAX_ROWS)
+    p2 = bounded(_segment_names(t, 2, "_p2_desc"), LOOKUP_MAX_ROWS)
+    p3 = bounded(_segment_names(t, 3, "department_description"), LOOKUP_MAX_ROWS)
     j = (g.join(div, (g.glco == div._dco) & (g.part2 == div._dept), "left")
          .join(p1, (g.glco == p1._co) & (g.part1 == p1._inst), "left").drop("_co", "_inst")
          .join(p2, (g.glco == p2._co) & (g.part2 == p2._inst), "left").drop("_co", "_inst")
@@ -159,7 +165,8 @@ def gl_actuals(t: Tables, since_year: int = GL_SINCE_YEAR, break_year: int = IND
         "division_description": F.coalesce("_div_desc", "_p2_desc"),
         "account_division_number": F.when(F.col("part2") == "", 0).otherwise(F.col("part2").try_cast("int")),
     })
-    rm = dim_region_market(t).select(F.col("department").alias("_rm_dept"), "region", "market")
+    rm = bounded(dim_region_market(t).select(F.col("department").alias("_rm_dept"), "region", "market"),
+                 LOOKUP_MAX_ROWS)
     j = j.join(rm, j.part2 == rm._rm_dept, "left")
     j = j.withColumns({
         "use_indirect_cost": indirect_flag(F.col("pl_line_item"), F.col("part2"), F.year("mth"), break_year),
@@ -195,7 +202,8 @@ def gl_budget(t: Tables, break_year: int = INDIRECT_BREAK_YEAR) -> DataFrame:
         "pl_line_item": pl_line_item_budget(F.col("gl_account")),
         "include_company": company_included(F.col("gl_co")),
     })
-    rm = dim_region_market(t).select(F.col("department").alias("_rm_dept"), "region", "market")
+    rm = bounded(dim_region_market(t).select(F.col("department").alias("_rm_dept"), "region", "market"),
+                 LOOKUP_MAX_ROWS)
     u = u.join(rm, u.account_division == rm._rm_dept, "left")
     u = u.withColumns({
         "use_indirect_cost": indirect_flag(F.col("pl_line_item"), F.col("account_division"),
@@ -247,6 +255,7 @@ def budget_versions(b: DataFrame) -> DataFrame:
     fc = b.filter(F.col("budget_type") == "FC")
     fc_max = (fc.groupBy(F.col("budget_name").alias("_bn"), F.floor(F.col("fc_number").try_cast("double")).alias("_base"))
               .agg(F.max("fc_number").alias("_max_fc")).drop("_base"))
+    fc_max = bounded(fc_max, LOOKUP_MAX_ROWS)   # one row per budget version; the join keys are very few
     fc = (fc.join(fc_max, (fc.budget_name == fc_max._bn) & (fc.fc_number == fc_max._max_fc), "inner")
           .drop("_bn", "_max_fc"))
     return plan.unionByName(fc)

@@ -77,7 +77,8 @@ def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFr
 
     fc = gl_budget_table(t).filter(F.col("budget_type") == "FC")
     top = W.global_top1(fc.select("budget_name", "mth_year", "fc_number"), ["mth_year", "fc_number"]).select("budget_name")
-    bud = fc.join(top, "budget_name").agg(F.min("mth").alias("data_date_ref"))
+    # ``top`` is a top-1 (one row): a proven bound for the broadcast
+    bud = fc.join(F.broadcast(top), "budget_name").agg(F.min("mth").alias("data_date_ref"))
     bud = J.with_params(bud, freshness).select(F.lit("GL Budget").alias("data_source"), "data_date_ref",
                                                F.lit(None).alias("first_load_dt"),
                                                _ny(F.col("last_altered")).alias("last_load_dt"))
