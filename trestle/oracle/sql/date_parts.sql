@@ -1 +1 @@
-select contract, year(start_date) as yr, month(start_date) as mo, last_day(start_date) as month_end from fx_contract
+select contract, cast(year(start_date) as int) as yr, cast(month(start_date) as int) as mo, last_day(start_date) as month_end from fx_contract

@@ -2,11 +2,11 @@ with jd as (
   select jcco, job, contract, description, start_date, cast(null as date) as actual_close_date from q_contract_master
 ), pj as (
   select jcco, job,
-    sum(case when trans_type = 'OE' then est_cents end) as orig_estimate, max(case when trans_type = 'OE' then actual_date end) as orig_est_max_date,
-    sum(case when trans_type in ('OE', 'CO') then est_cents end) as curr_estimate,
+    cast(sum(case when trans_type = 'OE' then est_cents end) as bigint) as orig_estimate, max(case when trans_type = 'OE' then actual_date end) as orig_est_max_date,
+    cast(sum(case when trans_type in ('OE', 'CO') then est_cents end) as bigint) as curr_estimate,
     max(case when trans_type in ('OE', 'CO') then actual_date end) as curr_est_max_date,
-    sum(case when trans_type = 'PF' then proj_cents end) as proj_estimate, max(case when trans_type = 'PF' then actual_date end) as proj_est_max_date,
-    sum(actual_cents) as cost_to_date, sum(committed_cents) as committed_cost, max(actual_date) as cost_max_date
+    cast(sum(case when trans_type = 'PF' then proj_cents end) as bigint) as proj_estimate, max(case when trans_type = 'PF' then actual_date end) as proj_est_max_date,
+    cast(sum(actual_cents) as bigint) as cost_to_date, cast(sum(committed_cents) as bigint) as committed_cost, max(actual_date) as cost_max_date
   from fx_job_cost group by jcco, job
 ), x as (
   select jd.*, pj.* exclude (jcco, job),

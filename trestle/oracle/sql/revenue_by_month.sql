@@ -16,11 +16,11 @@ with g as (
   from g
 )
 select mth,
-  sum(case when pl_line_item = 'construction_revenue' then -netamt_cents else 0 end) as revenue_cents,
-  sum(case when pl_line_item = 'direct_construction_cost' then netamt_cents else 0 end) as direct_cost_cents,
-  sum(case when pl_line_item = 'indirect_construction_cost' then netamt_cents else 0 end) as indirect_cost_cents,
-  sum(case when pl_line_item = 'admin_expenses' then netamt_cents else 0 end) as admin_cents,
-  sum(case when pl_line_item = 'cash' then netamt_cents else 0 end) as cash_cents,
-  sum(case when pl_line_item = 'other' then netamt_cents else 0 end) as other_cents
+  cast(sum(case when pl_line_item = 'construction_revenue' then -netamt_cents else 0 end) as bigint) as revenue_cents,
+  cast(sum(case when pl_line_item = 'direct_construction_cost' then netamt_cents else 0 end) as bigint) as direct_cost_cents,
+  cast(sum(case when pl_line_item = 'indirect_construction_cost' then netamt_cents else 0 end) as bigint) as indirect_cost_cents,
+  cast(sum(case when pl_line_item = 'admin_expenses' then netamt_cents else 0 end) as bigint) as admin_cents,
+  cast(sum(case when pl_line_item = 'cash' then netamt_cents else 0 end) as bigint) as cash_cents,
+  cast(sum(case when pl_line_item = 'other' then netamt_cents else 0 end) as bigint) as other_cents
 from p where include_company = 1
 group by mth

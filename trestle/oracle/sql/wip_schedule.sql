@@ -25,8 +25,8 @@ with costs as (
 ), h4 as (
   select *, jtd_margin + jtd_cost as jtd_revenue from h3
 )
-select jcco, job, mth, round(tj_contract_amount, 2) as tj_contract_amount, round(tj_cost, 2) as tj_cost, round(tj_margin, 2) as tj_margin,
-  round(tj_margin_pct, 6) as tj_margin_pct, round(jtd_revenue, 2) as jtd_revenue, round(jtd_cost, 2) as jtd_cost,
+select jcco, job, mth, round(tj_contract_amount, 2) as tj_contract_amount, cast(round(tj_cost, 2) as bigint) as tj_cost, round(tj_margin, 2) as tj_margin,
+  round(tj_margin_pct, 6) as tj_margin_pct, round(jtd_revenue, 2) as jtd_revenue, cast(round(jtd_cost, 2) as bigint) as jtd_cost,
   round(jtd_margin, 2) as jtd_margin, round(jtd_percent_complete, 6) as jtd_percent_complete,
   round(tj_contract_amount - jtd_revenue, 2) as backlog_revenue, round(tj_margin - jtd_margin, 2) as backlog_margin
 from h4
