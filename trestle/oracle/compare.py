@@ -48,3 +48,26 @@ def compare(sdf, con, sql):
     same_cols = sorted(scols) == sorted(ocols)
     same_vals = same_cols and canon(scols, srows) == canon(ocols, orows)
     return same_cols, len(srows) == len(orows), same_vals, len(srows), len(orows)
+
+
+_SPARK_TYPES = {"int": "int32", "bigint": "int64", "smallint": "int16", "tinyint": "int8", "double": "float64",
+                "float": "float32", "string": "string", "date": "date", "boolean": "bool", "timestamp": "timestamp",
+                "timestamp_ntz": "timestamp"}
+_DUCK_TYPES = {"INTEGER": "int32", "BIGINT": "int64", "SMALLINT": "int16", "TINYINT": "int8", "DOUBLE": "float64",
+               "FLOAT": "float32", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "bool", "TIMESTAMP": "timestamp",
+               "HUGEINT": "int128"}
+
+
+def type_diffs(sdf, rel) -> list[tuple[str, str, str]]:
+    """Columns whose Spark and DuckDB types differ (by class and width)."""
+    def s_cls(t):
+        name = t.simpleString()
+        return _SPARK_TYPES.get(name, name.replace(" ", ""))
+
+    def d_cls(t):
+        name = str(t).upper()
+        return _DUCK_TYPES.get(name, name.lower().replace(" ", ""))
+
+    spark_types = {f.name: s_cls(f.dataType) for f in sdf.schema.fields}
+    duck_types = {n: d_cls(t) for n, t in zip(rel.columns, rel.types)}
+    return [(c, spark_types[c], duck_types.get(c)) for c in spark_types if spark_types[c] != duck_types.get(c)]
