@@ -62,12 +62,12 @@ def all_pairs(a: DataFrame, b: DataFrame, max_rows: int = 10_000) -> DataFrame:
 
 
 def with_params(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """J-7: attach the columns of a one-row relation to every row.
+    """J-7: attach the columns of a one-row relation (a global aggregate) to every row.
 
-    ``one_row`` must be a global aggregate (``agg`` without grouping), which has exactly one row by
-    construction; that is the proven bound behind the broadcast.
+    Each column becomes a scalar subquery: computed once, then used as a constant in the projection, so there is
+    no join at all (no nested loop, no shuffle).
     """
-    return df.crossJoin(F.broadcast(one_row))
+    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
 
 
 def trailing_sum(df: DataFrame, facts: DataFrame, keys: Sequence[str], at: str, date_col: str,
