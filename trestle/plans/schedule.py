@@ -1,8 +1,8 @@
 """Schedule-quality metrics over weekly task snapshots (R-32..R-43) and the long grading table (R-58).
 
 Grain of every metric: project x snapshot week.  All metrics start from the same base (projects left join
-the task snapshots minus 'OFG'-tagged tasks); Spark reuses the identical exchanges of that base inside one
-query (ReuseExchange), and :func:`grading_long` joins the nine metrics on the same (proj_id, start_week) key.
+the task snapshots minus 'OFG'-tagged tasks); that base is landed once (:func:`grading_base`) and every metric
+reads it, and :func:`grading_long` joins the nine metrics on the same (proj_id, start_week) key.
 
 Scale notes: tasks x weeks is the large side.  Link (TASKPRED) statistics are pre-aggregated per task before
 they meet the snapshots wherever the metric allows it, and the baseline comparison of ``high_duration`` is
