@@ -21,12 +21,16 @@ class TooLarge(ValueError):
 def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Return ``df`` hinted for broadcast after proving it holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows; beyond the bound the caller must use a shuffle join.
+    The lookup is cached (its size is exactly what is being bounded), counted once, and the same cached rows are
+    then broadcast, so the check does not recompute the lookup.  Beyond the bound it raises: the caller must
+    use a shuffle join instead; rows are never truncated.
     """
-    n = df.limit(max_rows + 1).count()
+    cached = df.cache()
+    n = cached.count()
     if n > max_rows:
+        cached.unpersist()
         raise TooLarge(f"{n} > {max_rows} rows")
-    return F.broadcast(df)
+    return F.broadcast(cached)
 
 
 def left_using(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
 from trestle.session import checkpoint_dir
 
 _LANDED: dict = {}
+_LOCK = threading.Lock()   # queries built from several threads land each table once
 
 
 def land(spark: SparkSession, scope: str, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
@@ -24,6 +26,11 @@ def land(spark: SparkSession, scope: str, name: str, df: DataFrame, partition_by
         return df
     app = spark.sparkContext.applicationId
     key = (app, scope, name)
+    with _LOCK:
+        return _land_locked(spark, app, key, scope, name, df, partition_by)
+
+
+def _land_locked(spark, app, key, scope, name, df, partition_by):
     if key not in _LANDED:
         tag = hashlib.sha1(scope.encode()).hexdigest()[:12]
         path = f"{checkpoint_dir(spark).rstrip('/')}/trestle-landed/{app}/{tag}/{name}"
