@@ -6,7 +6,7 @@ with log as (
   select cast(file_month_year as date) as data_date_ref, cast(file_month_year as timestamp) as first_load_dt,
     cast(file_month_year as timestamp) + to_days(load_no) as last_load_dt
   from fx_control where active = true order by file_month_year desc limit 1
-), kpa as (
+), safety as (
   select injury_date from q_incident_month order by injury_date desc nulls first limit 1
 ), fc as (
   select * from q_gl_budget where budget_type = 'FC'
@@ -17,9 +17,9 @@ with log as (
   union all select 'WIP', data_date_ref, first_load_dt, last_load_dt from ctl
   union all select 'Rolling Forecast', data_date_ref, first_load_dt, last_load_dt from ctl
   union all select 'Pending Backlog', data_date_ref, first_load_dt, last_load_dt from ctl
-  union all select 'KPA', kpa.injury_date,
+  union all select 'KPA', safety.injury_date,
       timezone('America/New_York', timezone('America/Los_Angeles', log.first_load_dt)),
-      timezone('America/New_York', timezone('America/Los_Angeles', log.last_load_dt)) from kpa, log
+      timezone('America/New_York', timezone('America/Los_Angeles', log.last_load_dt)) from safety, log
   union all select 'GL Actuals', (select max(actual_date) from q_cost_nonzero where actual_date <= date '2001-08-01'),
       cast(null as timestamp), timezone('America/New_York', timezone('America/Los_Angeles', fresh.last_altered)) from fresh
   union all select 'GL Budget', (select min(mth) from fc join topfc using (budget_name)), cast(null as timestamp),

@@ -15,7 +15,7 @@ MAX_PRACTICE_AREAS = 10_000
 
 
 @query("cross_region_market")
-def dim_unanet_region_market(t: Tables) -> DataFrame:
+def dim_crm_region_market(t: Tables) -> DataFrame:
     """R-30/J-6: every CRM division x practice area, 'Water Resources' shortened to 'Water'.
 
     The reference crosses the two full tables and then takes DISTINCT; here each side is made distinct first
@@ -59,11 +59,12 @@ def dim_region_market(t: Tables) -> DataFrame:
                  F.substring("department", 3, 4).alias("market_number"), "description", "region",
                  F.when(abbr.like("ED%"), "EDU").otherwise(abbr).alias("market_abbr"),
                  market.alias("market"), group.alias("market_abstraction"))
-    unanet = dim_unanet_region_market(t)
-    regions = unanet.select("office_division_id", "office_division_description").distinct()
-    markets = unanet.select("practice_area_id", "practice_area_name").distinct()
+    crm = dim_crm_region_market(t)
+    regions = crm.select("office_division_id", "office_division_description").distinct()
+    markets = crm.select("practice_area_id", "practice_area_name").distinct()
     j = (d.join(regions, d.region == regions.office_division_description, "left")
          .join(markets, F.trim(d.market) == F.trim(markets.practice_area_name), "left"))
+    # The output column names of the region/market dimension (CRM ids keep their source name).
     return j.select("department", "region_number", "market_number",
                     F.col("office_division_id").alias("unanet_region_id"),
                     F.col("practice_area_id").alias("unanet_market_id"),

@@ -22,6 +22,9 @@ from trestle.sources.tables import Tables, source
 
 SOURCE_ZONE = "America/Los_Angeles"
 REPORT_ZONE = "America/New_York"
+# The data-source labels of the freshness report.
+SAFETY_SOURCE = "KPA"
+CRM_SOURCE = "Unanet"
 # Sources whose data date is reported at the end of its month.
 MONTH_END_SOURCES = ("GL Budget", "New Sales", "WIP", "Rolling Forecast", "Pending Backlog")
 
@@ -62,11 +65,11 @@ def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFr
     freshness = refresh_log(t).agg(F.max("last_load_dt").alias("last_altered"))   # S-10 analog (one row)
     parts = [_control_row(t, name) for name in ("New Sales", "WIP", "Rolling Forecast", "Pending Backlog")]
 
-    kpa = W.global_top1(osha_recordable_incidents(t).select("injury_date"), ["injury_date"])
-    kpa = J.with_params(kpa, log).select(F.lit("KPA").alias("data_source"), F.col("injury_date").alias("data_date_ref"),
+    safety = W.global_top1(osha_recordable_incidents(t).select("injury_date"), ["injury_date"])
+    safety = J.with_params(safety, log).select(F.lit(SAFETY_SOURCE).alias("data_source"), F.col("injury_date").alias("data_date_ref"),
                                          _ny(F.col("first_load_dt")).alias("first_load_dt"),
                                          _ny(F.col("last_load_dt")).alias("last_load_dt"))
-    parts.append(kpa)
+    parts.append(safety)
 
     now_date = date_lit(as_of)
     gl = actual_cost(t).filter(F.col("actual_date") <= now_date).agg(F.max("actual_date").alias("data_date_ref"))
@@ -86,7 +89,7 @@ def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFr
 
     if with_crm:
         newest = int_opportunities(t).agg(F.max("last_modified_date_time").alias("data_date_ref"))
-        parts.append(J.with_params(log, newest).select(F.lit("Unanet").alias("data_source"), "data_date_ref",
+        parts.append(J.with_params(log, newest).select(F.lit(CRM_SOURCE).alias("data_source"), "data_date_ref",
                                                        "first_load_dt", "last_load_dt"))
     now = _ny(date_lit(as_of).cast("timestamp_ntz"))
     parts.append(log.select(F.lit("power_bi_refresh").alias("data_source"), now.alias("data_date_ref"),
