@@ -88,12 +88,23 @@ def _open_links(t: Tables) -> DataFrame:
     return tp.join(links, ["proj_id", "task_id"], "left")
 
 
+def _link_stats(t: Tables) -> DataFrame:
+    """Per project-week: distinct links of the open tasks, finish-to-start links, lags and leads (rows).
+
+    Shared by the relationship and lag/lead metrics: one join of open tasks to links, one aggregate; inside
+    the grading table the identical subplan is computed once (exchange reuse).
+    """
+    return _open_links(t).groupBy("proj_id", "proj_name", "start_week").agg(
+        F.countDistinct("task_pred_id").alias("total_remaining_relationships"),
+        F.sum(F.when(F.col("pred_type") == "PR_FS", 1).otherwise(0)).alias("total_fs_relationships"),
+        F.sum(F.when(F.col("lag_hr_cnt") > 0, 1).otherwise(0)).alias("lags_cnt"),
+        F.sum(F.when(F.col("lag_hr_cnt") < 0, 1).otherwise(0)).alias("leads_cnt"))
+
+
 @query("sched_relationships")
 def relationships(t: Tables) -> DataFrame:
     """R-41: finish-to-start share of the open tasks' links."""
-    r = _open_links(t).groupBy("proj_id", "proj_name", "start_week").agg(
-        F.countDistinct("task_pred_id").alias("total_remaining_relationships"),
-        F.sum(F.when(F.col("pred_type") == "PR_FS", 1).otherwise(0)).alias("total_fs_relationships"))
+    r = _link_stats(t)
     r = r.withColumn("fs_pct", div0("total_fs_relationships", "total_remaining_relationships") * 100)
     return r.filter(F.col("start_week").isNotNull()).select(
         "proj_id", "proj_name", "start_week", "total_remaining_relationships", "total_fs_relationships",
@@ -105,10 +116,7 @@ def relationships(t: Tables) -> DataFrame:
 @query("sched_lag_lead")
 def lag_lead(t: Tables) -> DataFrame:
     """R-38: lag and lead shares; the denominator counts distinct links, the numerators count rows."""
-    r = _open_links(t).groupBy("proj_id", "proj_name", "start_week").agg(
-        F.countDistinct("task_pred_id").alias("total_remaining_relationships"),
-        F.sum(F.when(F.col("lag_hr_cnt") > 0, 1).otherwise(0)).alias("lags_cnt"),
-        F.sum(F.when(F.col("lag_hr_cnt") < 0, 1).otherwise(0)).alias("leads_cnt"))
+    r = _link_stats(t)
     r = r.withColumns({"lags_pct": div0("lags_cnt", "total_remaining_relationships") * 100,
                        "leads_pct": div0("leads_cnt", "total_remaining_relationships") * 100})
     lp = F.col("leads_pct")
