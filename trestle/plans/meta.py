@@ -2,7 +2,7 @@
 
 One row per data source: the newest data date it holds and when it was last loaded.  Every row is a global
 aggregate or a global top-1 (per-partition top-1 then merge, W-4), never a single-partition window; one-row
-relations are attached with a broadcast nested-loop join of exactly one row (J-7).
+relations are attached as scalar subqueries (J-7), so no join is involved.
 """
 
 from __future__ import annotations
