@@ -49,12 +49,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; a scratch folder only when none is set (tests)."""
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only in local mode (tests, the benchmark) is a scratch folder created when none is set; on a cluster a
+    missing setting is an error, because a machine-local folder is not visible to the other executors.
+    """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (landed tables are written there)")
         configured = tempfile.mkdtemp(prefix="trestle-ckpt-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(configured)
     return configured
