@@ -58,16 +58,28 @@ def _grade(value: Column, bands) -> Column:
     return case_rules([(pred(value), g) for g, pred in bands], "F")
 
 
-@query("sched_constraints")
-def constraints(t: Tables) -> DataFrame:
-    """R-35: hard constraints (A if <= 1), soft-constraint share, actual starts after the data date."""
+def _open_task_stats(t: Tables) -> DataFrame:
+    """Per project-week over the open tasks: remaining tasks, constraint counts, invalid dates, high float.
+
+    Shared by the constraints and float metrics (project attributes ride along as grouping columns; they are
+    one per project); inside the grading table the identical aggregate is computed once.
+    """
     tp = _task_proj(t).filter(F.col("act_end_date").isNull())
     c = F.col("cstr_type")
-    g = tp.groupBy("proj_id", "proj_name", "start_week", "last_recalc_date").agg(
+    fl = F.col("total_float_hr_cnt") / F.col("day_hr_cnt")
+    return tp.groupBy("proj_id", "proj_name", "start_week", "last_recalc_date", "day_hr_cnt", "week_hr_cnt",
+                      "completion_date").agg(
         F.countDistinct("task_id").alias("total_tasks_remaining"),
         F.sum(F.when(c.isin(*HARD_CONSTRAINTS), 1).otherwise(0)).alias("num_hard_consts"),
         F.sum(F.when(~c.isin(*HARD_CONSTRAINTS) & c.isNotNull(), 1).otherwise(0)).alias("num_soft_consts"),
-        F.sum(F.when(F.col("act_start_date") > F.col("last_recalc_date"), 1).otherwise(0)).alias("num_invalid_dates"))
+        F.sum(F.when(F.col("act_start_date") > F.col("last_recalc_date"), 1).otherwise(0)).alias("num_invalid_dates"),
+        F.sum(F.when(fl > 44, 1).otherwise(0)).alias("high_float"))
+
+
+@query("sched_constraints")
+def constraints(t: Tables) -> DataFrame:
+    """R-35: hard constraints (A if <= 1), soft-constraint share, actual starts after the data date."""
+    g = _open_task_stats(t)
     g = g.withColumn("pct_soft_consts", div0("num_soft_consts", "total_tasks_remaining") * 100)
     n_inv = F.col("num_invalid_dates")
     return g.filter(F.col("start_week").isNotNull()).select(
@@ -208,11 +220,8 @@ def float_metrics(t: Tables) -> DataFrame:
     The critical path comes from the newest snapshot week only (earliest open finish milestone, W-1) and is
     applied to every week of the project.  Weeks are ROUNDed, not floored, plus the remainder (kept).
     """
-    tp = _task_proj(t).filter(F.col("act_end_date").isNull())
-    fl = F.col("total_float_hr_cnt") / F.col("day_hr_cnt")
-    floats = tp.groupBy("proj_id", "proj_name", "day_hr_cnt", "week_hr_cnt", "start_week", "completion_date").agg(
-        F.countDistinct("task_id").alias("total_tasks_remaining"),
-        F.sum(F.when(fl > 44, 1).otherwise(0)).alias("high_float"))
+    floats = _open_task_stats(t).select("proj_id", "proj_name", "day_hr_cnt", "week_hr_cnt", "start_week",
+                                        "completion_date", "total_tasks_remaining", "high_float")
     weekly = t.fx.weekly.select("proj_id", F.col("week_ending").alias("start_week"), "total_float")
     ff = floats.join(weekly, ["proj_id", "start_week"], "left")
     tasks = grading_base(t)
