@@ -84,12 +84,14 @@ def revenue_metrics(t: Tables, as_of=DEFAULT_AS_OF, since_year: int = METRICS_SI
     the plan slices keep the rows of the text-greatest FC number of their slice (W-7, a scalar max per slice).
     """
     y = as_of.year
-    act = _pl_sums(gl_actuals_table(t).filter((F.col("include_company") == 1) & (F.year("mth") >= since_year)),
+    act = _pl_sums(gl_actuals_table(t).filter((F.col("include_company") == 1)
+                                                     & (F.col("mth") >= F.lit(f"{since_year}-01-01").cast("date"))),
                    "netamt_cents", ["mth"])
     yr = F.year("mth")
     actual = U.labelled_slices(act, {str(y - 2): yr == y - 2, str(y - 1): yr == y - 1, f"{y} YTD": yr == y},
                                label_col="rev_type")
-    bud = _pl_sums(gl_budget_table(t).filter((F.col("include_company") == 1) & (F.col("mth_year") >= since_year)),
+    bud = _pl_sums(gl_budget_table(t).filter((F.col("include_company") == 1)
+                                                    & (F.col("mth") >= F.lit(f"{since_year}-01-01").cast("date"))),
                    "budget_cents", ["mth", "budget_type", "budget_name", "fc_number", "mth_year"])
     plan_now = where_max(bud.filter((F.col("mth_year") == y) & (F.col("budget_type") == "Plan")), "fc_number") \
         .withColumn("rev_type", F.lit(f"{y} Plan"))
