@@ -12,6 +12,8 @@ from trestle.sources.tables import Tables
 
 #: Bound on the distinct practice areas broadcast into the region x market product.
 MAX_PRACTICE_AREAS = 10_000
+#: Bound on the region x market product itself.
+MAX_CRM_PAIRS = 1_000_000
 
 
 @query("cross_region_market")
@@ -59,7 +61,8 @@ def dim_region_market(t: Tables) -> DataFrame:
                  F.substring("department", 3, 4).alias("market_number"), "description", "region",
                  F.when(abbr.like("ED%"), "EDU").otherwise(abbr).alias("market_abbr"),
                  market.alias("market"), group.alias("market_abstraction"))
-    crm = dim_crm_region_market(t)
+    # The CRM product is a dimension (divisions x practice areas): proven small, cached once, read by both lookups.
+    crm = J.bounded(dim_crm_region_market(t), MAX_CRM_PAIRS)
     regions = crm.select("office_division_id", "office_division_description").distinct()
     markets = crm.select("practice_area_id", "practice_area_name").distinct()
     j = (d.join(regions, d.region == regions.office_division_description, "left")
