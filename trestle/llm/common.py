@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -55,6 +56,17 @@ def is_held_out(id_col: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def share_code(spark: SparkSession) -> SparkSession:
+    """Let the Python workers import this package from where the driver did (a path that all machines share, unless
+    the package is installed or was sent with ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trestle.llm.common import table
+from trestle.llm.common import share_code, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(share_code(spark), sf_dir)
     return fn
 
 
@@ -25,3 +25,76 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                           public_tokenizers.PATTERN)
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from trestle.llm import quality
+
+    rows = quality.ledger(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       quality.failed("base-1").alias("base_failed"),
+                       (~quality.failed(quality.DEFAULT_POLICY)).alias("kept"), F.col("n_lines"), F.col("failures"))
+
+
+ORACLE_SQL["op8_quality_rules"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT doc_id, r, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM d
+), windows AS (
+  SELECT r, i, words[i : i + 7] AS w8 FROM (SELECT r, words, unnest(range(1, len(words) - 6)) AS i FROM w)
+), twice AS (
+  SELECT r, unnest(places) AS i
+  FROM (SELECT r, w8, list(i) AS places FROM windows GROUP BY r, w8 HAVING count(*) > 1)
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY r
+), m AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN covered USING (r)
+), f AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT
+              + 4 * (10 * n_symbols > word_chars)::INT + 8 * (n_dup_lines >= 3 AND 2 * n_dup_lines > n_lines)::INT
+              + 16 * (word_chars < 2 * n_words)::INT + 32 * (word_chars > 40 * n_words)::INT AS BIGINT) AS failures
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, failures = 0 AS kept, n_lines,
+       failures
+FROM f
+"""
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from trestle.llm import packing
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trestle.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
+@query
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from trestle.llm import token_store
+
+    store = token_store.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    keys = spark.read.parquet(f"{store.root}/entries").select("doc_id", "copy")
+    return token_store.read_digests(spark, store, token_store.lookup(spark, store, keys))
