@@ -98,3 +98,49 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = token_store.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     keys = spark.read.parquet(f"{store.root}/entries").select("doc_id", "copy")
     return token_store.read_digests(spark, store, token_store.lookup(spark, store, keys))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trestle.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+#: The rules of the registered query.
+URL_RULES = (
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+)
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trestle.llm import url_filter
+
+    rules = spark.createDataFrame(list(URL_RULES), "rule string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+ORACLE_SQL["op5_url_filter"] = """
+WITH rules(rule, verdict) AS (
+  VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'), ('com/fr/', 'allow'),
+         ('com/de/', 'block')
+), r AS (
+  SELECT rule, verdict, split_part(rule, '/', 1) AS rule_host, substr(rule, strpos(rule, '/')) AS rule_path FROM rules
+), p AS (
+  SELECT page_id, row_number() OVER () AS n,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), hit AS (
+  SELECT n, rule, verdict, row_number() OVER (PARTITION BY n ORDER BY length(rule) DESC, rule DESC) AS k
+  FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN hit ON p.n = hit.n AND k = 1
+"""
