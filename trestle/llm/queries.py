@@ -144,3 +144,10 @@ WITH rules(rule, verdict) AS (
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN hit ON p.n = hit.n AND k = 1
 """
+
+
+@query
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trestle.llm import lsh_forest
+
+    return lsh_forest.groups(table(spark, sf_dir, "documents"), size=4, threshold=80)
