@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trestle.llm.common import land, map_batches, shuffle_width, texts
-from trestle.llm.tokens import encoded
+from trestle.llm.tokens import encode_all
 
 SEQUENCE = 2048
 END_ID = 0
@@ -37,8 +37,8 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int =
     def run(batches):
         for b in batches:
             out = {c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            for doc, ids in encoded(tokenizer, zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
-                ids += end
+            for doc, ids in zip(b.column(0).to_pylist(), encode_all(tokenizer, b.column(1))):
+                ids = ids.tobytes() + end
                 n, lo, k = len(ids) // 4, 0, 0
                 while lo < n:
                     hi = lo + ((n - lo) % size or size)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trestle.llm.common import map_batches, shuffle_width, texts
-from trestle.llm.tokens import encoded
+from trestle.llm.tokens import encode_all
 from trestle.session import checkpoint_dir
 
 GROUP = 4096
@@ -115,8 +115,6 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, root: str | None = None,
     spark = docs.sparkSession
     root = root or f"{checkpoint_dir(spark).rstrip('/')}/llm/store-{uuid.uuid4().hex}"
     kind = {2: "<u2", 4: "<u4"}[width]
-    end = np.array([end_id], "<u4").tobytes()
-    # Whether the id is null is kept apart: the fold to 0 is only for the key's bits.
     rows = texts(docs, id_col, text_col).repartitionByRange(shuffle_width(spark), "doc_id")
 
     def run(batches):
@@ -129,8 +127,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, root: str | None = None,
                 store, path = _open(f"{root}/{name}")
                 store.create_dir(path.rpartition("/")[0], recursive=True)
                 out = store.open_output_stream(path)
-            for doc, ids in encoded(tokenizer, zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
-                ids = np.frombuffer(ids + end, "<u4")
+            for doc, ids in zip(b.column(0).to_pylist(), encode_all(tokenizer, b.column(1))):
+                ids = np.append(ids, np.uint32(end_id))
                 if width == 2 and ids.max() > 0xFFFF:
                     raise ValueError("this vocabulary needs width 4")
                 out.write(ids.astype(kind).tobytes())

@@ -1,50 +1,121 @@
 """Whole texts to token ids with the tokenizers library, through bounded per-worker tables of known chunks.
 
-A text is cut at single spaces: in both supported kinds (byte level, and words with white space dropped) a single
-space begins a new piece, so the ids of a text are those of its chunks one after another.  Texts with runs of spaces
-go to the library whole.  Every chunk that a worker has not met yet is encoded by the library, in batches.
+A text without two white-space characters in a row is cut at its spaces and line ends: in both supported kinds (byte
+level, and lower-cased words with white space dropped) a single space begins a new piece and a single line end is a
+piece of its own or nothing, so the ids of a text are those of its chunks one after another.  Other texts go to the
+library whole.  Arrow finds the distinct chunks of some megabytes of text at once; a chunk that the worker meets for
+the first time is encoded by the library: plain words straight by its model, a word with one mark after it as both
+parts, and all else by the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
-MAX_CHUNKS = 400_000     # entries of a worker's table; a full table is emptied
-BATCH_CHARS = 1_000_000  # characters that are worked on at once
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+MAX_CHUNKS = 300_000    # entries of a table; a full one becomes the older one, from which chunks still in use return
+LONGEST_KEPT = 64       # characters of a chunk that is kept
+AT_ONCE = 8 << 20       # bytes of text that are worked on together
+_MARKS = frozenset(",.;:!?")
+_FOLDS_ALONE = "İ"  # letters before this one stay one letter when they are normalised and folded
+_WHITE = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _pack(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 class TextEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"    # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True       # their strings are ordinary text here
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _encode(self, strings: list[str]) -> list[bytes]:
-        run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        return [array("I", e.ids).tobytes() for e in run(strings, add_special_tokens=False)]
-
-    def _learn(self, known: dict[str, bytes], chunks: set[str], lead: str) -> None:
-        new = list(chunks - known.keys())
-        known.update(zip(new, self._encode([lead + c for c in new])))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.first) + len(self.later) > MAX_CHUNKS:
-            self.first.clear()
-            self.later.clear()
-        cut = [None if "  " in t else t.split(" ") for t in texts]
-        whole = iter(self._encode([t for t, c in zip(texts, cut) if c is None]))
-        self._learn(self.first, {c[0] for c in cut if c}, "")
-        self._learn(self.later, {x for c in cut if c for x in c[1:]}, " ")
-        later = self.later.__getitem__
-        return [next(whole) if c is None else self.first[c[0]] + b"".join(map(later, c[1:])) for c in cut]
+        self.model = self.tokenizer.model
+        self.folds = self.tokenizer.normalizer is not None
+        # The printable characters that stand for single bytes in the vocabulary.
+        self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.space = "" if self.folds else self.as_bytes(" ")[0][0]
+        self.line_end = self.by_library("\n")
+        self.first, self.later = _Known(self, ""), _Known(self, " ")
+
+    def by_library(self, text: str) -> bytes:
+        return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def word(self, word: str, lead: str) -> bytes:
+        """Ids of a chunk of letters only."""
+        if not word.isascii():
+            if self.folds and max(word) >= _FOLDS_ALONE:
+                return self.by_library(lead + word)
+            word = self.as_bytes(word.lower() if self.folds else word)[0][0]
+        elif self.folds:
+            word = word.lower()
+        return _pack([t.id for t in self.model.tokenize(self.space + word if lead else word)])
+
+    def chunk(self, chunk: str, lead: str) -> bytes:
+        if chunk.isalpha():
+            return self.word(chunk, lead)
+        if chunk[-1:] in _MARKS and chunk[:-1].isalpha() and (not self.folds or max(chunk) < _FOLDS_ALONE):
+            return (self.later if lead else self.first)[chunk[:-1]] + self.first[chunk[-1]]
+        return self.by_library(lead + chunk) if lead or chunk else b""
+
+    def part(self, part: str) -> bytes:
+        """Ids of what stands between two spaces of the prepared texts."""
+        if part[:1] != "\n":
+            return self.later[part]
+        return self.first[part[2:]] if part[1:2] == "\n" else self.line_end + self.first[part[1:]]
+
+    def _encode_clean(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        # A part that follows a line end, and the first part of a text, are marked by one and by two line ends.
+        texts = pc.binary_join_element_wise("\n\n", pc.replace_substring(texts, "\n", " \n"), "")
+        parts = pc.split_pattern(texts, " ")
+        words = parts.flatten().dictionary_encode()
+        own = list(map(self.part, words.dictionary.to_pylist()))
+        flat = np.frombuffer(b"".join(own), "<u4")
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        start = np.cumsum(size) - size
+        index = words.indices.to_numpy()
+        n = size[index]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(start[index] - (ends - n), n) + np.arange(ends[-1])]
+        borders = parts.offsets.to_numpy()
+        borders = np.concatenate(([0], ends[borders[1:] - borders[0] - 1]))
+        return (ids[a:b] for a, b in zip(borders, borders[1:]))
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text, in order."""
+        texts = texts.cast(pa.string())
+        whole = pc.match_substring_regex(texts, _WHITE + _WHITE)
+        clean = texts.filter(pc.invert(whole))
+        got = self._encode_clean(clean) if len(clean) else iter(())
+        for is_whole, text in zip(whole.to_pylist(), texts):
+            yield np.frombuffer(self.by_library(text.as_py()), "<u4") if is_whole else next(got)
+
+
+class _Known(dict):
+    """Ids of known chunks."""
+
+    def __init__(self, encoder: TextEncoder, lead: str):
+        super().__init__()
+        self.encoder, self.lead, self.older = encoder, lead, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self.encoder.chunk(chunk, self.lead)
+        if len(chunk) <= LONGEST_KEPT:
+            if len(self) >= MAX_CHUNKS:
+                self.older = dict(self)
+                self.clear()
+            self[chunk] = ids
+        return ids
 
 
 @lru_cache(maxsize=2)
@@ -52,13 +123,11 @@ def encoder(path: str) -> TextEncoder:
     return TextEncoder(path)
 
 
-def encoded(path: str, rows: Iterable[tuple[int | None, str]]) -> Iterator[tuple[int | None, bytes]]:
-    """``(id, ids)`` for ``(id, text)``, a bounded amount of text at a time."""
-    enc, held, size = encoder(path), [], 0
-    for row in rows:
-        held.append(row)
-        size += len(row[1])
-        if size >= BATCH_CHARS:
-            yield from zip([r[0] for r in held], enc.encode([r[1] for r in held]))
-            held, size = [], 0
-    yield from zip([r[0] for r in held], enc.encode([r[1] for r in held]))
+def encode_all(path: str, texts: pa.Array) -> Iterator[np.ndarray]:
+    """Ids of each text of a column without nulls, as unsigned 32-bit integers; a bounded amount of text at a time."""
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + AT_ONCE, side="right")))
+        yield from encoder(path).encode(texts.slice(lo, hi - lo))
+        lo = hi
