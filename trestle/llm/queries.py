@@ -151,3 +151,47 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trestle.llm import lsh_forest
 
     return lsh_forest.groups(table(spark, sf_dir, "documents"), size=4, threshold=80)
+
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trestle.llm import line_dedup
+
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op4_line_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, text, row_number() OVER () AS r FROM documents
+), l AS (
+  SELECT doc_id, unnest(range(len(lines))) AS line, unnest(lines) AS s
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM d WHERE text IS NOT NULL)
+), w AS (
+  SELECT doc_id, line, regexp_extract_all(s, '[^\x20\x09-\x0D]+') AS words FROM l
+), c AS (
+  SELECT words, len(words) AS n, min(struct_pack(d := doc_id, l := line)) AS first
+  FROM w WHERE len(words) >= 3 GROUP BY words
+), v AS (
+  SELECT words, n, first, i, list_concat(words[1 : i - 1], words[i + 1 : n]) AS rest
+  FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM c WHERE n >= 8)
+), changed AS (
+  SELECT words FROM (SELECT words, first, min(first) OVER (PARTITION BY rest, i) AS earliest FROM v)
+  WHERE first > earliest
+), longer AS (
+  SELECT v.words AS more, v.first AS f_more, c.words AS less, c.first AS f_less
+  FROM v JOIN c ON v.rest = c.words WHERE c.n >= 8
+), near AS (
+  SELECT words FROM changed
+  UNION SELECT more FROM longer WHERE f_more > f_less
+  UNION SELECT less FROM longer WHERE f_less > f_more
+), gone AS (
+  SELECT w.doc_id, list_sort(list(DISTINCT CAST(w.line AS INTEGER))) AS dropped
+  FROM w JOIN c ON w.words = c.words LEFT JOIN near ON near.words = w.words
+  WHERE near.words IS NOT NULL OR struct_pack(d := w.doc_id, l := w.line) <> c.first
+  GROUP BY w.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(string_split(text, chr(10))), 0) - coalesce(len(dropped), 0) AS BIGINT) AS n_kept,
+       coalesce(dropped, CAST([] AS INTEGER[])) AS dropped
+FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id
+"""
