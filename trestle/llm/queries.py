@@ -195,3 +195,10 @@ SELECT d.doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) A
        coalesce(dropped, CAST([] AS INTEGER[])) AS dropped
 FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id
 """
+
+
+@query
+def op1_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trestle.llm import ann
+
+    return ann.search(table(spark, sf_dir, "embeddings"))

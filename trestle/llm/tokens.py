@@ -73,11 +73,14 @@ class TextEncoder:
         return self.first[part[2:]] if part[1:2] == "\n" else self.line_end + self.first[part[1:]]
 
     def _encode_clean(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        # A part that follows a line end, and the first part of a text, are marked by one and by two line ends.
-        texts = pc.binary_join_element_wise("\n\n", pc.replace_substring(texts, "\n", " \n"), "")
+        if self.folds:      # white space is dropped, so a chunk is the same wherever it stands
+            texts, ids_of = pc.replace_substring(texts, "\n", " "), self.later.__getitem__
+        else:               # what follows a line end, or begins a text, is marked by one or by two line ends
+            texts = pc.binary_join_element_wise("\n\n", pc.replace_substring(texts, "\n", " \n"), "")
+            ids_of = self.part
         parts = pc.split_pattern(texts, " ")
         words = parts.flatten().dictionary_encode()
-        own = list(map(self.part, words.dictionary.to_pylist()))
+        own = list(map(ids_of, words.dictionary.to_pylist()))
         flat = np.frombuffer(b"".join(own), "<u4")
         size = np.fromiter(map(len, own), np.int64, len(own)) // 4
         start = np.cumsum(size) - size
