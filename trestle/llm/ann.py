@@ -201,6 +201,8 @@ def places(one: DataFrame, curves: Curves, kind: str) -> DataFrame:
 def calibrate(one: DataFrame, placed: DataFrame, n: int, kind: str) -> tuple[int, int]:
     """Number of curves and half width of the window that reach ``TARGET`` at the least cost."""
     asked = one.filter("is_query").orderBy(F.xxhash64("key")).limit(CALIBRATE).select("key", "v").collect()
+    if not asked:
+        return 2, BLOCK
     q, own = _matrix([bytes(r["v"]) for r in asked], kind), np.array([r["key"] for r in asked])
 
     def brute(batches):
@@ -272,7 +274,7 @@ def search(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
     def score(group: pd.DataFrame) -> pd.DataFrame:
         asks = group["asks"].to_numpy(bool)
         if not asks.any() or asks.all():
-            return pd.DataFrame({"q": [], "keys": [], "firsts": [], "scores": []})
+            return pd.DataFrame({c.split()[0]: pd.Series([], dtype=object) for c in _FOUND.split(", ")})
         q, x = _matrix(group["v"][asks], kind), _matrix(group["v"][~asks], kind)
         keys, firsts = group["key"][~asks].to_numpy(), group["first"][~asks].to_numpy()
         out = []

@@ -182,7 +182,7 @@ def lookup(spark: SparkSession, store: Store, keys: DataFrame) -> DataFrame:
 
     def run(rows: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(part):
-            return pd.DataFrame({c.split()[0]: [] for c in _ENTRY.split(", ")})
+            return pd.DataFrame({c.split()[0]: pd.Series([], dtype=object) for c in _ENTRY.split(", ")})
         p = part.iloc[0]
         h = _keys(rows)
         at = find(np.frombuffer(p["seeds"], "<i4"), h)
