@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from trestle.llm.common import land
 
 LEAST, FUZZY, LONG = 3, 8, 2048
-_GAP = "[ \\t-\\r]+"
+_OTHER = "[\\t-\\r]"
 _NO_ID = -(1 << 63)
 
 
@@ -42,7 +42,9 @@ def _lines(text: Column) -> Column:
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, _GAP), lambda w: w != "")
+    """White space other than spaces is rare within a line, and splitting at one character is much cheaper."""
+    spaced = F.when(line.rlike(_OTHER), F.regexp_replace(line, _OTHER, " ")).otherwise(line)
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def _half(side: int, n: Column, k: Column, words: Column) -> Column:
@@ -51,11 +53,11 @@ def _half(side: int, n: Column, k: Column, words: Column) -> Column:
 
 
 def hashed_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line with enough words: its place, hashes, and the hashes of its halves (for either length that a
-    partner can have)."""
+    """One row per line: its place, number of words, hashes, and the hashes of its halves (for either length that a
+    partner can have).  Short lines are left out when the table is read, where the filter needs no second split."""
     rows = docs.select(_doc(id_col).alias("doc"), F.posexplode(_lines(F.col(text_col))).alias("line", "text"))
     rows = rows.select("doc", "line", _words(F.col("text")).alias("words"))
-    rows = rows.select("doc", "line", "words", F.size("words").alias("n")).filter(F.col("n") >= LEAST)
+    rows = rows.select("doc", "line", "words", F.size("words").alias("n"))
     n, words = F.col("n"), F.col("words")
     k, j = F.floor((n - 1) / 2).cast("int"), F.floor((n - 2) / 2).cast("int")
     other = k != j
@@ -70,58 +72,60 @@ def _place_hash(h: Column, place: Column, seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(h, place, F.lit(seed)), 24)
 
 
-def _sums(values: Column) -> Column:
-    """0 and the running sums."""
-    return F.aggregate(values, F.array(F.lit(0).cast("long")),
-                       lambda acc, x: F.concat(acc, F.array(F.element_at(acc, F.lit(-1)) + x)))
+def _key(n: Column, by_place: Column, all_words: Column) -> Column:
+    """Of a line of ``n`` words, by the sum of its words' hashes with and without their places."""
+    return F.xxhash64(n, by_place, all_words)
 
 
-def _key(n: Column, sums: list[Column]) -> Column:
-    return F.xxhash64(n, *sums)
+def _word_hashes(w: Column, i: Column) -> list[Column]:
+    """Of a word at place ``i`` (from 0): without its place, as it stands after a deletion before it, and what it has
+    more at its own place."""
+    h = F.xxhash64(w)
+    moved = _place_hash(h, i, 1)
+    return [_place_hash(h, F.lit(0), 2).alias("bag"), moved.alias("moved"), (_place_hash(h, i + 1, 1) - moved).alias("more")]
 
 
 def _short_variants(lines: DataFrame) -> DataFrame:
-    """``place, key`` per variant (place 0: the whole line) from arrays of running sums."""
-    lines = lines.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    for s in (1, 2):      # at its own place, and one place earlier as after a deletion
-        lines = lines.withColumn(f"own{s}", _sums(F.transform("hashes", lambda h, i: _place_hash(h, i + 1, s))))
-        lines = lines.withColumn(f"moved{s}", _sums(F.transform("hashes", lambda h, i: _place_hash(h, i, s))))
-    all_sums = F.array(F.struct(*[F.col(f"{c}{s}") for s in (1, 2) for c in ("own", "moved")]))
-    n = F.col("n")
-
-    def without(x):
-        def at(i):
-            return F.struct(i.alias("place"), _key(n - 1, [
-                x[f"own{s}"][i - 1] + F.element_at(x[f"moved{s}"], F.lit(-1)) - x[f"moved{s}"][i] for s in (1, 2)
-            ]).alias("key"))
+    """``place, key`` per variant (place 0: the whole line) from an array of running sums."""
+    zero = F.lit(0).cast("long")
 
+    def total(field):
+        return F.aggregate("x", zero, lambda acc, x: acc + x[field])
+
+    lines = lines.withColumn("x", F.transform("words", lambda w, i: F.struct(*_word_hashes(w, i))))
+    lines = lines.withColumns({
+        "bag": total("bag"), "moved": total("moved"),
+        "before": F.aggregate("x", F.array(zero), lambda acc, x: F.concat(
+            acc, F.array(F.element_at(acc, F.lit(-1)) + x["more"])))})
+    n, given = F.col("n"), F.array(F.struct("x", "bag", "moved", "before"))
+
+    def variants(g):
         whole = F.struct(F.lit(0).alias("place"),
-                         _key(n, [F.element_at(x[f"own{s}"], F.lit(-1)) for s in (1, 2)]).alias("key"))
-        return F.concat(F.array(whole), F.transform(F.sequence("low", "high"), at))
+                         _key(n, g["moved"] + F.element_at(g["before"], F.lit(-1)), g["bag"]).alias("key"))
+        return F.concat(F.array(whole), F.transform(F.sequence("low", "high"), lambda i: F.struct(
+            i.alias("place"), _key(n - 1, g["moved"] - g["x"][i - 1]["moved"] + g["before"][i - 1],
+                                   g["bag"] - g["x"][i - 1]["bag"]).alias("key"))))
 
-    return lines.select("h", "g", "doc", "line", F.explode(F.transform(all_sums, without)[0]).alias("v")).select(
+    return lines.select("h", "g", "doc", "line", F.explode(F.transform(given, variants)[0]).alias("v")).select(
         "h", "g", "doc", "line", "v.place", "v.key")
 
 
 def _long_variants(lines: DataFrame) -> DataFrame:
     """The same from one row per word and a window over the words of a line."""
     rows = lines.select("h", "g", "doc", "line", "n", "low", "high", F.posexplode("words").alias("i", "w"))
-    rows = rows.withColumn("x", F.xxhash64("w"))
-    before = Window.partitionBy("h", "g").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("h", "g").orderBy("i").rowsBetween(1, Window.unboundedFollowing)
-    whole = []
-    for s in (1, 2):
-        own, moved = _place_hash(F.col("x"), F.col("i") + 1, s), _place_hash(F.col("x"), F.col("i"), s)
-        rows = rows.withColumns({f"own{s}": own, f"moved{s}": moved})
-        whole.append(F.sum(f"own{s}").alias(f"s{s}"))
-    total = rows.groupBy("h", "g", "doc", "line", "n").agg(*whole).select(
-        "h", "g", "doc", "line", F.lit(0).alias("place"), _key(F.col("n"), [F.col("s1"), F.col("s2")]).alias("key"))
-    for s in (1, 2):
-        rows = rows.withColumn(f"s{s}", F.coalesce(F.sum(f"own{s}").over(before), F.lit(0).cast("long"))
-                               + F.coalesce(F.sum(f"moved{s}").over(after), F.lit(0).cast("long")))
-    some = rows.filter((F.col("i") + 1).between(F.col("low"), F.col("high"))).select(
+    rows = rows.select("*", *_word_hashes(F.col("w"), F.col("i")))
+    total = rows.groupBy("h", "g", "doc", "line", "n").agg(
+        F.sum(F.col("moved") + F.col("more")).alias("s"), F.sum("bag").alias("bag")).select(
+        "h", "g", "doc", "line", F.lit(0).alias("place"), _key(F.col("n"), F.col("s"), F.col("bag")).alias("key"))
+    line = Window.partitionBy("h", "g").orderBy("i")
+    before = F.sum("more").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    every = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    some = rows.select("*", F.coalesce(before, F.lit(0)).alias("before"), F.sum("moved").over(every).alias("all_moved"),
+                       F.sum("bag").over(every).alias("all_bag"))
+    some = some.filter((F.col("i") + 1).between(F.col("low"), F.col("high"))).select(
         "h", "g", "doc", "line", (F.col("i") + 1).alias("place"),
-        _key(F.col("n") - 1, [F.col("s1"), F.col("s2")]).alias("key"))
+        _key(F.col("n") - 1, F.col("all_moved") - F.col("moved") + F.col("before"),
+             F.col("all_bag") - F.col("bag")).alias("key"))
     return total.union(some)
 
 
@@ -180,7 +184,7 @@ def near_lines(docs: DataFrame, lines: DataFrame, classes: DataFrame, id_col: st
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_line: int = LONG) -> DataFrame:
     """``doc, dropped``: the numbers (from 0, ascending) of the lines that go, per document that loses any."""
-    lines = land(hashed_lines(docs, id_col, text_col))
+    lines = land(hashed_lines(docs, id_col, text_col)).filter(F.col("n") >= LEAST)
     classes = land(lines.groupBy("h", "g").agg(F.min(F.struct("doc", "line")).alias("first"),
                                                F.count("*").alias("m"), F.first("n").alias("n")))
     places = classes.select("h", "g", "n", "first.doc", "first.line")
