@@ -3,6 +3,7 @@
 import tempfile
 
 from conftest import SF_SMALL
+from trestle.sources import control as S
 from trestle.plans import meta, schedule
 
 
@@ -22,5 +23,5 @@ def test_register_view(spark, tables):
 
 def test_table_freshness_reads_file_metadata(spark):
     df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    (ts,) = meta.table_freshness(df).collect()[0]
+    (ts,) = S.table_freshness(df).collect()[0]
     assert ts is not None

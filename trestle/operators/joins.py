@@ -2,8 +2,8 @@
 
 Joins are declared; the physical strategy is Spark's.  With AQE on, a side whose *runtime* size is under
 ``spark.sql.autoBroadcastJoinThreshold`` is broadcast, otherwise both sides are hash-partitioned on the keys
-(sort-merge), and skewed partitions are split (``spark.sql.adaptive.skewJoin.enabled``).  An explicit
-``broadcast`` hint is used only behind :func:`bounded`, which proves a row bound first.
+(sort-merge), and skewed partitions of a streamed side are split (``spark.sql.adaptive.skewJoin.enabled``).  Lookups
+are made distinct and joined plainly: no size is checked beforehand and nothing is cached.
 """
 
 from __future__ import annotations
@@ -14,25 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-class TooLarge(ValueError):
-    pass
-
-
-def bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Return ``df`` hinted for broadcast after proving it holds at most ``max_rows`` rows.
-
-    The lookup is cached (its size is exactly what is being bounded), counted once, and the same cached rows are
-    then broadcast, so the check does not recompute the lookup.  Beyond the bound it raises: the caller must
-    use a shuffle join instead; rows are never truncated.
-    """
-    cached = df.cache()
-    n = cached.count()
-    if n > max_rows:
-        cached.unpersist()
-        raise TooLarge(f"{n} > {max_rows} rows")
-    return F.broadcast(cached)
-
-
 def left_using(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """J-1: ``LEFT JOIN .. USING (keys)``: key columns appear once."""
     return df.join(dim, list(keys), "left")
@@ -60,9 +41,9 @@ def drop_tagged(df: DataFrame, tags: DataFrame, keys: Sequence[str]) -> DataFram
     return df.join(tags.select(*keys), list(keys), "left_anti")
 
 
-def all_pairs(a: DataFrame, b: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """J-6: cross product of two small dimensions; the right side is proven small, deduplicated, broadcast."""
-    return a.crossJoin(bounded(b, max_rows))
+def all_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    """J-6: every pair of two dimensions.  The output is the product by definition; make both sides distinct first."""
+    return a.crossJoin(b)
 
 
 def with_params(df: DataFrame, one_row: DataFrame) -> DataFrame:

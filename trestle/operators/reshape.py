@@ -35,16 +35,15 @@ def unpivot(df: DataFrame, ids: Sequence[str], metrics: Sequence[tuple[str, str,
     return exploded.select(*ids, *[F.col(f"_m.{c}").alias(c) for c in cols])
 
 
-def month_spine(df: DataFrame, start: str | Column, end: str | Column, cap: int = 200,
-                out: str = "month") -> DataFrame:
-    """J-8/U-5/W-10/M-2: one row per month from ``start``'s month to ``end``'s month (at most ``cap`` months).
+def month_spine(df: DataFrame, start: str | Column, end: str | Column, out: str = "month") -> DataFrame:
+    """J-8/U-5/W-10/M-2: one row per month from ``start``'s month to ``end``'s month, however many there are.
 
     Generated per row with ``sequence`` + ``explode``: no number table, no nested-loop join, no shuffle.
     The month offset ``n`` (0-based) is kept as ``<out>_offset``.
     """
     s = month_floor(start)
     e = month_floor(end)
-    last = F.least(month_diff(s, e), F.lit(cap - 1))
+    last = month_diff(s, e)
     offsets = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
     return (df.withColumn("_n", F.explode(offsets))
             .withColumn(out, F.add_months(s, F.col("_n")))

@@ -53,10 +53,18 @@ def earliest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, tie: S
     return latest_per_key(df, keys, order, tie, descending=False)
 
 
-def top_rank(df: DataFrame, keys: Sequence[str], order: Sequence, descending: bool = True) -> DataFrame:
-    """W-3: rows with ``RANK() = 1`` per key (ties kept)."""
-    w = Window.partitionBy(*keys).orderBy(*_order(order, descending))
-    return df.withColumn("_rk", F.rank().over(w)).filter(F.col("_rk") == 1).drop("_rk")
+def top_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = True) -> DataFrame:
+    """W-3: rows with ``RANK() = 1`` per key (ties kept), for orderings by columns.
+
+    The best order value of each key is a map-side combined aggregate that is joined back, so a key of which very
+    many rows tie is never sorted in one task: the join's left side can be split.
+    """
+    value = F.struct(*[x for c in order for x in (F.col(c).isNull().alias(f"_n_{c}"), F.col(c).alias(f"_v_{c}"))])
+    best = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        (F.max(value) if descending else F.min(value)).alias("_best"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return df.join(best, same).filter(value.eqNullSafe(F.col("_best"))).select(*df.columns)
+
 
 
 def global_top1(df: DataFrame, order: Sequence, descending: bool = True) -> DataFrame:

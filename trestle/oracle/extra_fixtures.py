@@ -83,4 +83,42 @@ select user_id as opportunity_id, case when event_id % 2 = 0 then 'SF' else 'LF'
 from events
 """,
 }
+# Rule tables.  A rule with a smaller priority wins; the names follow the account text.
+EXTRA_SQL |= {
+    "fx_rule_line": """
+select * from (values
+  (1, '89', 'other'), (1, '88200', 'other'), (1, '88300', 'other'), (1, '88400', 'other'),
+  (2, '41010', 'construction_revenue'), (2, '41020', 'construction_revenue'), (2, '41030', 'construction_revenue'),
+  (2, '5', 'direct_construction_cost'), (2, '6', 'indirect_construction_cost'), (2, '7', 'indirect_construction_cost'),
+  (2, '8', 'admin_expenses')) as r(priority, prefix, line)
+""",
+    "fx_excluded_company": """
+select unnest(['41', '47', '51', '54', '56', '58', '61', '64', '67', '120', '122', '124', '126', '128', '130', '132', '134']) as glco
+union all
+select cast(n as varchar) from generate_series(71, 104) as g(n)
+""",
+    "fx_rule_admin": """
+select unnest(areas) as area, dept, category from (
+  select areas, unnest(depts) as dept, category from (values
+    (['0000'], ['309', '009'], 'Accounting'), (['0000'], ['414', '014'], 'Business Development'),
+    (['0000'], ['012', '312'], 'HR'), (['0000'], ['407', '007'], 'Project Solutions'),
+    (['0000'], ['316', '016'], 'Risk Management'), (['0000'], ['000', '300'], 'C-Suite'),
+    (['0400', '0600', '0800', '1200'], ['300', '010'], 'Project Support'),
+    (['0400', '0600', '0800', '1200'], ['004'], 'Facilities'),
+    (['0000', '0400', '0600', '0800', '1200'], ['302', '002'], 'Field Ops'),
+    (['0000', '0400', '0600', '0800', '1200'], ['311', '011'], 'Safety'),
+    (['0000', '0400', '0600', '0800', '1200'], ['008', '108', '308', '408', '508'], 'Technology'),
+    (['0400'], ['000', '100', '106', '400', '500'], 'Great Lakes'), (['0600'], ['000', '100', '106', '400', '500'], 'Central'),
+    (['0800'], ['000', '100', '106', '400', '500'], 'Mid-Atlantic'), (['1200'], ['000', '100', '106', '400', '500'], 'Midwest')
+  ) as r(areas, depts, category))
+""",
+    # Grade bands closed below and open above.
+    "fx_band": """
+select * from (values
+  ('high_float', 0, 3, 'A'), ('high_float', 3, 5, 'B'), ('high_float', 5, 10, 'C'), ('high_float', 10, 15, 'D'),
+  ('tfci', 1, 1e300, 'A'), ('tfci', .97, 1, 'B'), ('tfci', .95, .97, 'C'), ('tfci', .9, .95, 'D'),
+  ('cpli', 1, 1e300, 'A'), ('cpli', .95, 1, 'B'), ('cpli', .9, .95, 'C'), ('cpli', .85, .9, 'D')
+) as b(metric, low, below, grade)
+""",
+}
 EXTRA_DEPS: dict[str, list[str]] = {"fx_segment": ["fx_gl"]}

@@ -29,7 +29,9 @@ select cast(l_partkey % 140 + 1 as string) as gl_co,
 from lineitem
 """,
     "fx_job_cost": """
-select cast(l_linenumber % 2 + 1 as string) as jcco, ' ' || cast(l_suppkey % 40 + 123000 as string) || '. ' as job, '1' as phase_group,
+select cast(l_linenumber % 2 + 1 as string) as jcco,
+  case when l_suppkey % 2 = 0 then ' ' || cast(l_suppkey % 40 + 123000 as string) || '. ' else cast(l_suppkey % 40 + 123000 as string) || '.' end as job,
+  '1' as phase_group,
   lpad(cast(case l_partkey % 20 when 0 then 96 when 1 then 80 else l_partkey % 20 end as string), 2, '0') || '1000.90' || cast(l_partkey % 9 as string) || '.' as phase,
   cast(l_linenumber % 4 + 1 as string) as cost_type,
   case l_returnflag when 'A' then 'OE' when 'R' then 'CO' else 'PF' end as trans_type,
@@ -43,8 +45,10 @@ from lineitem
     "fx_contract": """
 select cast(s_suppkey % 2 + 1 as string) as jcco, cast(s_suppkey + 123000 as string) || '.' as contract, s_name as description,
   case when s_suppkey % 3 = 0 then null else date '1996-01-01' + cast(s_suppkey % 900 as int) end as owner_contract_date,
-  date '1996-01-01' + cast(s_suppkey % 700 as int) as start_date,
-  cast(floor(s_acctbal * 1000) as bigint) as orig_contract_cents
+  case when s_suppkey % 10 = 0 then date '1980-01-01' else date '1996-01-01' end + cast(s_suppkey % 700 as int) as start_date,
+  cast(floor(s_acctbal * 1000) as bigint) as orig_contract_cents,
+  cast(floor(s_acctbal * 1000) as bigint) + s_suppkey * 700 as contract_cents,
+  case when s_suppkey % 4 = 1 then date '2001-01-01' + cast(s_suppkey % 90 as int) end as actual_close_date
 from supplier
 """,
     "fx_change_item": """
@@ -63,7 +67,7 @@ from fx_job_cost where trans_type = 'CO' and phase like '05%' group by jcco, tri
 select date '1999-01-01' + cast(7 * k as int) as start_week from (values (0),(1),(2),(3),(4),(5),(6),(7)) as t(k)
 """,
     "fx_task": """
-select o.o_orderkey % 50 + b.off as proj_id, o.o_orderkey + b.off * 100000 as task_id, 'T' || cast(o.o_orderkey as string) as task_code, w.start_week,
+select o.o_orderkey % (select count(*) from customer) + b.off as proj_id, o.o_orderkey + b.off * 1000 as task_id, 'T' || cast(o.o_orderkey as string) as task_code, w.start_week,
   case o.o_orderkey % 40 when 0 then 'TT_Mile' when 1 then 'TT_FinMile' when 2 then 'TT_LOE' else 'TT_Task' end as task_type,
   case when o.o_orderkey % 40 <= 1 then 1 else 2 end as wbs_id,
   case when b.off = 0 and cast(o.o_orderdate as date) <= w.start_week then cast(o.o_orderdate as date) end as act_start_date,
@@ -72,31 +76,40 @@ select o.o_orderkey % 50 + b.off as proj_id, o.o_orderkey + b.off * 100000 as ta
   cast(o.o_orderdate as date) + cast(o.o_orderkey % 90 as int) as early_end_date,
   case o.o_orderkey % 25 when 0 then 'CS_MEO' when 1 then 'CS_MSO' when 2 then 'CS_MSOA' end as cstr_type,
   o.o_orderkey % 600 - 120 as total_float_hr_cnt, (o.o_orderkey % 30) * 8 as target_drtn_hr_cnt
-from orders o cross join fx_week w cross join (values (0),(1000)) as b(off)
+from orders o cross join fx_week w cross join (values (cast(0 as bigint)), (1000000000)) as b(off)
 """,
     "fx_task_tag": """
 select proj_id, task_id, start_week, 'OFG' as short_name from fx_task where task_id % 11 = 0
 """,
     "fx_task_pred": """
-select l_orderkey % 50 as proj_id, l_orderkey as task_id, l_orderkey - 50 * l_linenumber as pred_task_id, l_orderkey * 10 + l_linenumber as task_pred_id,
+select l_orderkey % (select count(*) from customer) as proj_id, l_orderkey as task_id, l_orderkey - (select count(*) from customer) * l_linenumber as pred_task_id, l_orderkey * 10 + l_linenumber as task_pred_id,
   case l_linenumber % 4 when 0 then 'PR_SS' when 1 then 'PR_FS' when 2 then 'PR_FF' else 'PR_SF' end as pred_type,
   cast(l_quantity as int) % 7 - 2 as lag_hr_cnt
-from lineitem where l_orderkey % 3 <> 0 and l_orderkey >= 50 * l_linenumber
+from lineitem where l_orderkey % 3 <> 0 and l_orderkey >= (select count(*) from customer) * l_linenumber
 """,
     "fx_project": """
-select c_custkey as proj_id, c_custkey + 1000 as baseline_proj_id, 'P' || cast(c_custkey as string) as proj_name, cast(c_custkey % 40 + 123000 as string) as project_name,
+select c_custkey % (select count(*) from customer) as proj_id, c_custkey % (select count(*) from customer) + 1000000000 as baseline_proj_id, 'P' || cast(c_custkey as string) as proj_name, cast(c_custkey % 40 + 123000 as string) as project_name,
   date '1999-01-20' as last_recalc_date, case when c_custkey % 2 = 0 then 8 else 10 end as day_hr_cnt, 40 as week_hr_cnt, date '1999-06-30' + cast(c_custkey % 60 as int) as completion_date
-from customer where c_custkey < 50
+from customer
+""",
+    "fx_baseline": """
+select c_custkey % n as orig_proj_id, c_custkey % n + 1000000000 as baseline_proj_id,
+  case when c_custkey % 7 <> 0 then date '1999-01-20' - cast(c_custkey % 5 as int) end as last_baseline_update_date
+from customer, (select count(*) as n from customer) as c
+union all
+select c_custkey % n, (c_custkey + 1) % n + 1000000000, date '1999-01-20' + case when c_custkey % 2 = 0 then 5 else -9 end
+from customer, (select count(*) as n from customer) as c where c_custkey % 3 = 0
 """,
     "fx_weekly": """
 select proj_id, start_week as week_ending, min(total_float_hr_cnt) as total_float, sum(case when act_end_date is not null then target_drtn_hr_cnt else 0 end) as resources_to_date,
   sum(case when act_end_date is null then target_drtn_hr_cnt else 0 end) as next_week_resources
-from fx_task where proj_id < 50 group by proj_id, start_week
+from fx_task where proj_id < 1000000000 and not (proj_id % 9 = 0 and start_week = date '1999-01-22') group by proj_id, start_week
 """,
     "fx_opportunity": """
 select event_id as version_id, user_id as opportunity_id, case when event_id % 13 = 0 then null else ts end as load_ts,
   case event_type when 'purchase' then 'Closed Won' when 'error' then 'Closed Lost' when 'view' then 'Open' when 'click' then 'Pending' else 'Lead' end as stage_type,
-  case event_id % 9 when 0 then 'yes' when 1 then 'No' when 2 then '0' else 'false' end as delete_record, cast(value as string) as size_text, event_type as market_name
+  case event_id % 9 when 0 then 'yes' when 1 then 'No' when 2 then '0' else 'false' end as delete_record, cast(value as string) as size_text, event_type as market_name,
+  'Client ' || cast(user_id % 97 as string) as client_name, '<p class="n">Call&nbsp;' || cast(event_id % 9 + 1 as string) || '</p><br/>' as next_action_html
 from events
 """,
     "fx_incident": """
@@ -120,7 +133,7 @@ select * from (values ('sheet_f', '2001-05-01', true, 1), ('sheet_o', '2001-06-0
     "fx_forecast": """
 select cast(year(o_orderdate) as string) || ' Rolling Forecast' as forecast_type, case when o_orderkey % 3 = 0 then 'Region' else 'Market' end as category_type,
   o_orderpriority as category, cast(floor(o_totalprice) as bigint) as revenue, cast(floor(o_totalprice / 10) as bigint) as margin, cast(date_trunc('month', o_orderdate) as date) as file_month
-from orders where o_orderdate < timestamp '2001-03-01 00:00:00'
+from orders
 """,
 }
 

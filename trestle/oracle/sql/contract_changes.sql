@@ -1,5 +1,5 @@
 with u as (
-  select jcco, contract, cast(date_trunc('month', start_date) as date) as change_date, orig_contract_cents as contract_amt from q_contract_master
+  select jcco, contract, start_month as change_date, orig_contract_cents as contract_amt from q_contract_master
   union all
   select pmco, project, approved_date, approved_cents from q_change_orders where is_pending = false
 )

@@ -1,11 +1,8 @@
-with c as (
-  select jcco, contract, cast(date_trunc('month', start_date) as date) as s,
-    (2001 - year(start_date)) * 12 + 8 - month(start_date) as diff
+with spine as (
+  select jcco, contract, cast(unnest(generate_series(date_trunc('month', cast(start_date as timestamp)), timestamp '2001-08-01',
+    interval 1 month)) as date) as month
   from fx_contract
-), spine as (
-  select jcco, contract, cast(s + to_months(cast(n as int)) as date) as month from c, range(0, 200) r(n) where n <= diff
 ), m as (
-  select jcco, trim(job) as contract, mth as month, sum(actual_cents) as actual_cents from fx_job_cost group by all
+  select jcco, trim(job) as contract, mth as month, sum(actual_cents) as cents from fx_job_cost group by all
 )
-select spine.jcco, spine.contract, spine.month, cast(coalesce(m.actual_cents, 0) as bigint) as actual_cents
-from spine left join m using (jcco, contract, month)
+select jcco, contract, month, cast(coalesce(cents, 0) as bigint) as actual_cents from spine left join m using (jcco, contract, month)

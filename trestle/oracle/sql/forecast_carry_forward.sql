@@ -1,17 +1,11 @@
-with rf as (
-  select *, try_cast(split_part(forecast_type, ' ', 1) as int) as forecast_year from fx_forecast where category_type = 'Region'
-), s as (
-  select file_month as file_month_year, forecast_year, cast(sum(revenue) as bigint) as revenue, cast(sum(margin) as bigint) as margin
-  from rf where forecast_year is not null group by file_month, forecast_year
-), params as (
-  select cast(date_trunc('month', max(file_month_year)) as date) as start_month, date '2001-08-01' as max_month from s
-), mr as (
-  select s.revenue, s.margin, s.forecast_year from s, params where cast(date_trunc('month', s.file_month_year) as date) = params.start_month
-), mm as (
-  select cast(p.start_month + to_months(cast(n as int) + 1) as date) as month, p.max_month
-  from range(0, 13) g(n), params p
+with total as (
+  select file_month, cast(try_cast(split_part(forecast_type, ' ', 1) as int) as int) as forecast_year,
+    cast(sum(revenue) as bigint) as revenue, cast(sum(margin) as bigint) as margin
+  from fx_forecast where category_type = 'Region' group by all having forecast_year is not null
+), spread as (         -- the newest file also stands for every later month of the year 2001
+  select unnest(if(file_month = max(file_month) over (),
+    generate_series(cast(file_month as timestamp), timestamp '2001-12-01', interval 1 month), [cast(file_month as timestamp)])) as t,
+    forecast_year, revenue, margin
+  from total
 )
-select file_month_year, forecast_year, revenue, margin from s where year(file_month_year) = forecast_year
-union all
-select mm.month, mr.forecast_year, mr.revenue, mr.margin
-from mm join mr on year(mm.month) = mr.forecast_year where mm.month <= mm.max_month
+select cast(t as date) as file_month_year, forecast_year, revenue, margin from spread where extract(year from t) = forecast_year

@@ -1,75 +1,38 @@
-with d as (
-  select trim(jcco) as jcco, trim(job) as job, cost_type, trim(phase_group) as phase_group, trim(phase) as phase, mth,
-    trans_type, est_cents, proj_cents, actual_cents, committed_cents
+with cost as (
+  select trim(jcco) as jcco, trim(job) as job, cost_type, trim(phase_group) as phase_group, trim(phase) as phase, mth as month_date,
+    trim(trans_type) as kind, est_cents, proj_cents, actual_cents, committed_cents
   from fx_job_cost
-), est as (
-  select *, case when trans_type in ('OE', 'CO') then est_cents when trans_type = 'PF' then proj_cents else 0 end as estimated_cost
-  from d where trim(trans_type) in ('OE', 'CO', 'PF')
-), bounds as (
-  select jcco, job, min(cast(date_trunc('month', mth) as date)) as min_month, max(cast(date_trunc('month', mth) as date)) as max_month
-  from (select jcco, job, mth from d where actual_cents != 0
-        union select jcco, job, mth from est
-        union select jcco, job, mth from d where committed_cents != 0) u
-  group by jcco, job
-), cur as (
-  select * from bounds where min_month >= cast(date_trunc('month', date '2001-08-01' - interval 8 year) as date)
-), months as (
-  select jcco, job, cast(min_month + to_months(cast(n as int)) as date) as month_date
-  from cur join range(0, 200) r(n)
-    on n <= (year(max_month) - year(min_month)) * 12 + month(max_month) - month(min_month)
-), phases as (
-  select distinct jcco, job, cost_type, phase_group, phase from d
-), jcm as (
-  select distinct p.jcco, p.job, p.cost_type, p.phase_group, p.phase, m.month_date
-  from phases p join months m on p.jcco = m.jcco and p.job = m.job
-), ea as (
-  select jcco, job, cost_type, phase_group, phase, mth as month_date,
-    sum(case when trans_type = 'OE' then estimated_cost else 0 end) as original_est,
-    sum(case when trans_type in ('OE', 'CO') then estimated_cost else 0 end) as current_est,
-    sum(case when trans_type = 'PF' then estimated_cost else 0 end) as projected
-  from est group by all
-), aa as (
-  select jcco, job, cost_type, phase_group, phase, mth as month_date, sum(actual_cents) as actual_cost
-  from d where actual_cents != 0 group by all
-), ca as (
-  select jcco, job, cost_type, phase_group, phase, mth as month_date, sum(committed_cents) as committed_cost
-  from d where committed_cents != 0 group by all
-), f as (
-  select jcm.*, cast(coalesce(ea.original_est, 0) as bigint) as original_est, cast(coalesce(ea.current_est, 0) as bigint) as current_est,
-    cast(coalesce(ea.projected, 0) as bigint) as projected, cast(coalesce(aa.actual_cost, 0) as bigint) as actual_cost,
-    cast(coalesce(ca.committed_cost, 0) as bigint) as committed_cost
-  from jcm left join ea using (jcco, job, cost_type, phase_group, phase, month_date)
-    left join aa using (jcco, job, cost_type, phase_group, phase, month_date)
-    left join ca using (jcco, job, cost_type, phase_group, phase, month_date)
-), c as (
-  select *,
-    cast(sum(original_est) over w as bigint) as cumulative_original_est,
-    cast(sum(current_est) over w as bigint) as cumulative_current_est,
-    cast(sum(projected) over w as bigint) as cumulative_projected,
-    cast(sum(actual_cost) over w as bigint) as cumulative_actual_cost,
-    cast(sum(committed_cost) over w as bigint) as cumulative_committed_cost,
-    substr(phase, 1, 11) as phase_core, substr(phase, 1, 2) as division
-  from f
-  window w as (partition by job, cost_type, phase_group, phase order by month_date, jcco rows between unbounded preceding and current row)
-), i as (
-  select *,
-    case when division not in ('80', '96', '97', '98') and round((cumulative_projected - cumulative_actual_cost) / 100, 0) < 0 then 1 else 0 end as negative_ctc_indicator,
-    case when division not in ('80', '96', '97', '98') and cast(cost_type as varchar) in ('2', '3') and cumulative_committed_cost > 0
-          and cumulative_actual_cost < cumulative_projected and cumulative_projected >= cumulative_committed_cost * 1.05 then 1 else 0 end as po_variance_opp_indicator,
-    case when division in ('96', '97', '98') and cumulative_actual_cost > cumulative_projected then 1 else 0 end as profit_at_risk_indicator
-  from c
+), life as (           -- the months from a job's first to its last posting, for jobs begun in the last eight years
+  select jcco, job, unnest(generate_series(cast(min(month_date) as timestamp), cast(max(month_date) as timestamp), interval 1 month)) as at
+  from cost where kind in ('OE', 'CO', 'PF') or actual_cents <> 0 or committed_cents <> 0
+  group by jcco, job having min(month_date) >= date '1993-08-01'
+), posted as (         -- all five measures from one pass
+  select jcco, job, cost_type, phase_group, phase, month_date,
+    sum(est_cents) filter (kind = 'OE') as oe, sum(est_cents) filter (kind = 'CO') as co, sum(proj_cents) filter (kind = 'PF') as pf,
+    sum(actual_cents) as act, sum(committed_cents) as com
+  from cost group by all
+), grid as (
+  select ph.*, cast(life.at as date) as month_date,
+    cast(coalesce(oe, 0) as bigint) as original_est, cast(coalesce(oe, 0) + coalesce(co, 0) as bigint) as current_est,
+    cast(coalesce(pf, 0) as bigint) as projected, cast(coalesce(act, 0) as bigint) as actual_cost, cast(coalesce(com, 0) as bigint) as committed_cost
+  from (select distinct jcco, job, cost_type, phase_group, phase from cost) ph join life using (jcco, job)
+    left join posted p on (p.jcco, p.job, p.cost_type, p.phase_group, p.phase, p.month_date)
+      = (ph.jcco, ph.job, ph.cost_type, ph.phase_group, ph.phase, life.at)
 )
-select *,
-  case when negative_ctc_indicator = 1 then cumulative_projected - cumulative_actual_cost else 0 end as negative_ctc_value,
-  case when po_variance_opp_indicator = 1 then cumulative_projected - cumulative_committed_cost + least(0, cumulative_committed_cost - cumulative_actual_cost) else 0 end as po_variance_opp_value,
-  case when profit_at_risk_indicator = 1 then cumulative_actual_cost - cumulative_projected else 0 end as profit_at_risk_value,
-  case when phase_core = '801000.900.' then 'Supplemental Conditions'
-       when phase_core = '801000.901.' then 'Internal Contract Contingency'
-       when phase_core = '801000.902.' then 'Economic Contingency'
-       when phase_core = '801000.903.' then 'Labor Goal'
-       when phase_core = '801000.904.' then 'Profit on Change Orders'
-       when phase_core = '801000.905.' then 'Profit on Bonds and Insurance'
-       when phase_core = '801000.906.' then 'Profit on Unit Prices'
-       when phase_core = '801000.907.' then 'Profit on Billable Rates'
-       when phase_core = '801000.908.' then 'Profit on SDI' end as profit_enhancers
-from i
+select *, left(phase, 11) as phase_core, left(phase, 2) as division,
+  cast(division not in ('80', '96', '97', '98') and round((cumulative_projected - cumulative_actual_cost) / 100) < 0 as int) as negative_ctc_indicator,
+  cast(division not in ('80', '96', '97', '98') and cost_type in ('2', '3') and cumulative_committed_cost > 0
+       and cumulative_projected > cumulative_actual_cost and cumulative_projected >= 1.05 * cumulative_committed_cost as int) as po_variance_opp_indicator,
+  cast(division in ('96', '97', '98') and cumulative_projected < cumulative_actual_cost as int) as profit_at_risk_indicator,
+  negative_ctc_indicator * (cumulative_projected - cumulative_actual_cost) as negative_ctc_value,
+  po_variance_opp_indicator * (cumulative_projected - greatest(cumulative_committed_cost, cumulative_actual_cost)) as po_variance_opp_value,
+  profit_at_risk_indicator * (cumulative_actual_cost - cumulative_projected) as profit_at_risk_value,
+  map_extract_value(map {'900': 'Supplemental Conditions', '901': 'Internal Contract Contingency', '902': 'Economic Contingency',
+    '903': 'Labor Goal', '904': 'Profit on Change Orders', '905': 'Profit on Bonds and Insurance', '906': 'Profit on Unit Prices',
+    '907': 'Profit on Billable Rates', '908': 'Profit on SDI'},
+    if(starts_with(phase, '801000.'), regexp_extract(phase_core, '[.]([0-9]+)[.]$', 1), null)) as profit_enhancers
+from (
+  select *, cast(sum(original_est) over upto as bigint) as cumulative_original_est, cast(sum(current_est) over upto as bigint) as cumulative_current_est,
+    cast(sum(projected) over upto as bigint) as cumulative_projected, cast(sum(actual_cost) over upto as bigint) as cumulative_actual_cost,
+    cast(sum(committed_cost) over upto as bigint) as cumulative_committed_cost
+  from grid window upto as (partition by job, cost_type, phase_group, phase order by month_date, jcco rows unbounded preceding))

@@ -1,6 +1,6 @@
 with cm as (
   select trim(jcco) as jcco, trim(contract) as contract, trim(contract) as job, description,
-    coalesce(owner_contract_date, start_date) as start_date, orig_contract_cents
+    coalesce(owner_contract_date, start_date) as start_date, orig_contract_cents, contract_cents, actual_close_date
   from fx_contract
 ), est as (
   select trim(jcco) as jcco, trim(job) as job,
@@ -31,19 +31,19 @@ with cm as (
   from fx_ap_line a left join fx_ap_pay b using (apco, mth, aptrans, apline) where b.paid_date is null group by 1, 2
 ), h as (
   select distinct cm.jcco, cm.contract, cm.job, cm.description, cm.job || ' - ' || cm.description as job_number_name,
-    cm.start_date, cm.orig_contract_cents as orig_contract_amt, cast(ar.billed_amt as bigint) as billed_amt,
+    cm.start_date, cm.actual_close_date, cm.orig_contract_cents as orig_contract_amt, cm.contract_cents as contract_amt, cast(ar.billed_amt as bigint) as billed_amt,
     cast(ar.current_retain_amt as bigint) as current_retain_amt,
     cast(co.approved_change_orders as bigint) as approved_change_orders, cast(co.pending_change_orders as bigint) as pending_change_orders,
     cast(cm.orig_contract_cents - est.orig_estimate as bigint) as orig_gross_margin,
-    cast(cm.orig_contract_cents - est.curr_estimate as bigint) as curr_gross_margin,
-    cast(cm.orig_contract_cents - est.proj_estimate as bigint) as proj_gross_margin,
+    cast(cm.contract_cents - est.curr_estimate as bigint) as curr_gross_margin,
+    cast(cm.contract_cents - est.proj_estimate as bigint) as proj_gross_margin,
     round(case when cm.orig_contract_cents = 0 then 0 else (cm.orig_contract_cents - est.orig_estimate) / cm.orig_contract_cents end, 6) as orig_gross_margin_pct,
-    round(case when cm.orig_contract_cents = 0 then 0 else (cm.orig_contract_cents - est.curr_estimate) / cm.orig_contract_cents end, 6) as curr_gross_margin_pct,
-    round(case when cm.orig_contract_cents = 0 then 0 else (cm.orig_contract_cents - est.proj_estimate) / cm.orig_contract_cents end, 6) as proj_gross_margin_pct,
+    round(case when cm.contract_cents = 0 then 0 else (cm.contract_cents - est.curr_estimate) / cm.contract_cents end, 6) as curr_gross_margin_pct,
+    round(case when cm.contract_cents = 0 then 0 else (cm.contract_cents - est.proj_estimate) / cm.contract_cents end, 6) as proj_gross_margin_pct,
     round((case when ctd.cost_to_date is null or est.curr_estimate is null then null when est.curr_estimate = 0 then 0
-           else ctd.cost_to_date / est.curr_estimate end) * cm.orig_contract_cents, 2) as earned_revenue,
+           else ctd.cost_to_date / est.curr_estimate end) * cm.contract_cents, 2) as earned_revenue,
     round(ar.billed_amt - (case when ctd.cost_to_date is null or est.proj_estimate is null then null when est.proj_estimate = 0 then 0
-           else ctd.cost_to_date / est.proj_estimate end) * cm.orig_contract_cents, 2) as over_under_billed,
+           else ctd.cost_to_date / est.proj_estimate end) * cm.contract_cents, 2) as over_under_billed,
     cast(ar.ar_balance as bigint) as ar_balance, cast(ap.ap_balance as bigint) as ap_balance,
     cast((ar.billed_amt - ar.ar_balance - ar.current_retain_amt) - (ctd.cost_to_date - ap.ap_balance) as bigint) as cash_flow,
     cast(est.orig_estimate as bigint) as orig_estimate, cast(est.curr_estimate as bigint) as curr_estimate,

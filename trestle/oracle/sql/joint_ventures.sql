@@ -1,23 +1,14 @@
-with g as (select * from q_gl_actuals),
-b as (
-  select glco, min(cast(date_trunc('month', mth) as date)) as min_month, max(cast(date_trunc('month', mth) as date)) as max_month
-  from g group by glco
-), cb as (
-  select * from b where min_month >= cast(date_trunc('month', date '2001-08-01' - interval 8 year) as date)
-), m as (
-  select glco, cast(min_month + to_months(cast(n as int)) as date) as mth
-  from cb join range(0, 200) r(n) on n <= (year(max_month) - year(min_month)) * 12 + month(max_month) - month(min_month)
-), p as (
-  select glco, mth,
-    sum(case when glacct like '41010%' then netamt_cents end) as contract_revenue,
-    sum(case when glacct like '41030%' then netamt_cents end) as overbillings_adjusted,
-    sum(case when pl_line_item = 'direct_construction_cost' then netamt_cents end) as cost
-  from g group by glco, mth
+with posting as (
+  select mth, cast(sum(netamt_cents) filter (starts_with(glacct, '41010')) as bigint) as contract_revenue,
+    cast(sum(netamt_cents) filter (starts_with(glacct, '41030')) as bigint) as overbillings_adjusted,
+    cast(sum(netamt_cents) filter (pl_line_item = 'direct_construction_cost') as bigint) as cost
+  from q_gl_actuals where glco = '136' group by mth
+), life as (
+  select unnest(generate_series(cast(min(mth) as timestamp), cast(max(mth) as timestamp), interval 1 month)) as t
+  from posting having min(mth) >= date '1993-08-01'
 )
-select m.glco, m.mth, cast(a.contract_revenue as bigint) as contract_revenue,
-  cast(sum(a.contract_revenue) over (partition by m.glco order by m.mth) as bigint) as cumulative_contract_revenue,
-  cast(a.overbillings_adjusted as bigint) as overbillings_adjusted,
-  cast(sum(a.overbillings_adjusted) over (partition by m.glco order by m.mth) as bigint) as cumulative_overbillings_adjusted,
-  cast(a.cost as bigint) as cost, cast(sum(a.cost) over (partition by m.glco order by m.mth) as bigint) as cumulative_cost
-from m left join p a on m.glco = a.glco and m.mth = a.mth
-where m.glco = '136'
+select '136' as glco, cast(t as date) as mth, m.contract_revenue, m.overbillings_adjusted, m.cost,
+  (select cast(sum(contract_revenue) as bigint) from posting where mth <= t) as cumulative_contract_revenue,
+  (select cast(sum(overbillings_adjusted) as bigint) from posting where mth <= t) as cumulative_overbillings_adjusted,
+  (select cast(sum(cost) as bigint) from posting where mth <= t) as cumulative_cost
+from life left join posting m on m.mth = t

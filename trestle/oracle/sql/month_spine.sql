@@ -1,8 +1,4 @@
-with c as (
-  select jcco, contract, start_date, cast(date_trunc('month', start_date) as date) as s,
-    (2001 - year(start_date)) * 12 + 8 - month(start_date) as diff
-  from fx_contract
-)
-select jcco, contract, start_date, cast(n as int) as month_offset, cast(s + to_months(cast(n as int)) as date) as month
-from c, range(0, 200) r(n)
-where n <= diff
+select jcco, contract, start_date, cast(unnest(range(len(months))) as int) as month_offset, cast(unnest(months) as date) as month
+from (select jcco, contract, start_date,
+        generate_series(date_trunc('month', cast(start_date as timestamp)), timestamp '2001-08-01', interval 1 month) as months
+      from fx_contract)

@@ -1,5 +1,5 @@
 with jd as (
-  select jcco, job, contract, description, start_date, cast(null as date) as actual_close_date from q_contract_master
+  select jcco, job, contract, description, start_date, actual_close_date from q_contract_master
 ), pj as (
   select jcco, job,
     cast(sum(case when trans_type = 'OE' then est_cents end) as bigint) as orig_estimate, max(case when trans_type = 'OE' then actual_date end) as orig_est_max_date,
@@ -17,5 +17,5 @@ with jd as (
          when proj_estimate < curr_estimate then 'under' end as comp_curr_est
   from jd left join pj on jd.jcco = pj.jcco and jd.job = pj.job
 )
-select * from x where start_date >= date '1999-01-01' and (percent_complete >= 98 or actual_close_date is not null)
+select * from x where start_date >= date '1997-01-01' and (percent_complete >= 98 or actual_close_date is not null)
   and cost_to_date > 0 and percent_complete <= 100

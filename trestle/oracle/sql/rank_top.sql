@@ -1,2 +1,3 @@
-select proj_id, task_id, start_week from fx_task where proj_id >= 1000
-qualify rank() over (partition by proj_id order by start_week desc nulls first) = 1
+select proj_id, task_id, start_week from fx_task join (
+  select proj_id, max(start_week) as start_week from fx_task where proj_id >= 1000000000 group by proj_id
+) using (proj_id, start_week)

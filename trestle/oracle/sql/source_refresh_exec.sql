@@ -1,31 +1,20 @@
-with log as (
-  select min(ts) as first_load_dt, max(ts) as last_load_dt from events where event_type != 'error'
-), fresh as (
-  select max(ts) as last_altered from events
-), ctl as (
-  select cast(file_month_year as date) as data_date_ref, cast(file_month_year as timestamp) as first_load_dt,
-    cast(file_month_year as timestamp) + to_days(load_no) as last_load_dt
-  from fx_control where active = true order by file_month_year desc limit 1
-), safety as (
-  select injury_date from q_incident_month order by injury_date desc nulls first limit 1
-), fc as (
-  select * from q_gl_budget where budget_type = 'FC'
-), topfc as (
-  select budget_name from fc order by mth_year desc nulls first, fc_number desc nulls first limit 1
-), u as (
-  select 'New Sales' as data_source, data_date_ref, first_load_dt, last_load_dt from ctl
-  union all select 'WIP', data_date_ref, first_load_dt, last_load_dt from ctl
-  union all select 'Rolling Forecast', data_date_ref, first_load_dt, last_load_dt from ctl
-  union all select 'Pending Backlog', data_date_ref, first_load_dt, last_load_dt from ctl
-  union all select 'KPA', safety.injury_date,
-      timezone('America/New_York', timezone('America/Los_Angeles', log.first_load_dt)),
-      timezone('America/New_York', timezone('America/Los_Angeles', log.last_load_dt)) from safety, log
-  union all select 'GL Actuals', (select max(actual_date) from q_cost_nonzero where actual_date <= date '2001-08-01'),
-      cast(null as timestamp), timezone('America/New_York', timezone('America/Los_Angeles', fresh.last_altered)) from fresh
-  union all select 'GL Budget', (select min(mth) from fc join topfc using (budget_name)), cast(null as timestamp),
-      timezone('America/New_York', timezone('America/Los_Angeles', fresh.last_altered)) from fresh
-  
-  union all select 'power_bi_refresh', cast(timezone('America/New_York', timezone('America/Los_Angeles', timestamp '2001-08-01 00:00:00')) as date),
-      cast(null as timestamp), timezone('America/New_York', timezone('America/Los_Angeles', timestamp '2001-08-01 00:00:00')) from log
+with clock as (        -- load times, also as seen from the report's zone, and the newest file of the control table
+  select min(ts) filter (event_type <> 'error') as first_ok, max(ts) filter (event_type <> 'error') as last_ok,
+    max(ts) as last_any, (timestamp '2001-08-01' at time zone 'America/Los_Angeles') at time zone 'America/New_York' as now,
+    (select max_by({day: cast(file_month_year as date), loaded: cast(file_month_year as timestamp) + to_days(load_no)}, file_month_year)
+     from fx_control where active) as file
+  from events
+), newest_forecast as (
+  select max_by(budget_name, (mth_year, fc_number)) as budget_name from q_gl_budget where budget_type = 'FC'
 )
-select data_source, cast(data_date_ref as date) as data_date_ref, last_load_dt from u
+select x.n as data_source, x.d as data_date_ref, x.l as last_load_dt
+from (select unnest([
+  {n: 'New Sales', d: file.day, l: file.loaded}, {n: 'WIP', d: file.day, l: file.loaded},
+  {n: 'Rolling Forecast', d: file.day, l: file.loaded}, {n: 'Pending Backlog', d: file.day, l: file.loaded},
+  {n: 'KPA', d: (select if(count(*) > count(injury_date), null, max(injury_date)) from q_incident_month),
+   l: (last_ok at time zone 'America/Los_Angeles') at time zone 'America/New_York'},
+  {n: 'GL Actuals', d: (select max(actual_date) from q_cost_nonzero where actual_date <= date '2001-08-01'),
+   l: (last_any at time zone 'America/Los_Angeles') at time zone 'America/New_York'},
+  {n: 'GL Budget', d: (select min(mth) from q_gl_budget semi join newest_forecast using (budget_name) where budget_type = 'FC'),
+   l: (last_any at time zone 'America/Los_Angeles') at time zone 'America/New_York'},
+  {n: 'power_bi_refresh', d: cast(now as date), l: now}]) as x from clock)

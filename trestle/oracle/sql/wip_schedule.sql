@@ -1,32 +1,25 @@
-with costs as (
-  select jcco, job, month_date as mth, sum(cumulative_actual_cost) as cumulative_actual_cost,
-    sum(cumulative_projected) as cumulative_projected_cost
+with month as (        -- one row per job and month with the running cost totals of all its phases
+  select jcco, job, month_date as mth, cast(sum(cumulative_actual_cost) as double) as spent,
+    cast(sum(cumulative_projected) as double) as projected
   from q_job_cost_monthly group by all
-), contracts as (
-  select jcco, contract, cast(date_trunc('month', change_date) as date) as mth, sum(contract_amt) as contract_amt_change
-  from q_contract_changes group by all
-), ov as (
-  select jcco, contract, mth, nullif(sum(proj_revenue), 0) as or_proj_revenue, nullif(sum(proj_over_cost), 0) as or_proj_over_cost
+), granted as (        -- contract amount up to each month that the job has: every change not later than it
+  select m.jcco, m.job, m.mth, sum(k.amount) as amount
+  from month m join (select jcco, contract as job, change_month, sum(contract_amt) as amount from q_contract_changes group by all) k
+    on k.jcco = m.jcco and k.job = m.job and k.change_month <= m.mth
+  where exists (from month o where o.jcco = m.jcco and o.job = m.job and o.mth = k.change_month)
+  group by all
+), override as (
+  select jcco, contract as job, mth, nullif(sum(proj_revenue), 0) as revenue, nullif(sum(proj_over_cost), 0) as cost
   from fx_override group by all
-), h0 as (
-  select c.jcco, c.job, c.mth, c.cumulative_actual_cost, c.cumulative_projected_cost, o.or_proj_revenue, o.or_proj_over_cost,
-    sum(k.contract_amt_change) over (partition by c.jcco, c.job order by c.mth) as current_contract_amt
-  from costs c left join contracts k on c.jcco = k.jcco and c.job = k.contract and c.mth = k.mth
-    left join ov o on c.jcco = o.jcco and c.job = o.contract and c.mth = o.mth
-), h1 as (
-  select jcco, job, mth, round(coalesce(cast(or_proj_revenue as double), current_contract_amt), 0) as tj_contract_amount,
-    round(coalesce(or_proj_over_cost, cumulative_projected_cost), 0) as tj_cost, round(cumulative_actual_cost, 0) as jtd_cost
-  from h0
-), h2 as (
-  select *, tj_contract_amount - tj_cost as tj_margin, case when tj_cost = 0 then 0.0 else jtd_cost / tj_cost end as jtd_percent_complete from h1
-), h3 as (
-  select *, case when tj_contract_amount = 0 then 0.0 else tj_margin / tj_contract_amount end as tj_margin_pct,
-    case when tj_margin < 0 then tj_margin else jtd_percent_complete * tj_margin end as jtd_margin from h2
-), h4 as (
-  select *, jtd_margin + jtd_cost as jtd_revenue from h3
 )
-select jcco, job, mth, round(tj_contract_amount, 2) as tj_contract_amount, cast(round(tj_cost, 2) as bigint) as tj_cost, round(tj_margin, 2) as tj_margin,
-  round(tj_margin_pct, 6) as tj_margin_pct, round(jtd_revenue, 2) as jtd_revenue, cast(round(jtd_cost, 2) as bigint) as jtd_cost,
-  round(jtd_margin, 2) as jtd_margin, round(jtd_percent_complete, 6) as jtd_percent_complete,
-  round(tj_contract_amount - jtd_revenue, 2) as backlog_revenue, round(tj_margin - jtd_margin, 2) as backlog_margin
-from h4
+select jcco, job, mth, tj_contract_amount, cast(tj_cost as bigint) as tj_cost, tj_margin, round(margin_share, 6) as tj_margin_pct,
+  round(earned + spent, 2) as jtd_revenue, cast(spent as bigint) as jtd_cost, round(earned, 2) as jtd_margin,
+  round(done, 6) as jtd_percent_complete, round(tj_contract_amount - (earned + spent), 2) as backlog_revenue,
+  round(tj_margin - earned, 2) as backlog_margin
+from (
+  select m.jcco, m.job, m.mth, round(m.spent) as spent, round(coalesce(cast(o.revenue as double), g.amount)) as tj_contract_amount,
+    round(coalesce(cast(o.cost as double), m.projected)) as tj_cost, tj_contract_amount - tj_cost as tj_margin,
+    if(tj_cost = 0, 0.0, m.spent / tj_cost) as done,
+    if(tj_contract_amount = 0, 0.0, tj_margin / tj_contract_amount) as margin_share,
+    if(tj_margin < 0, tj_margin, done * tj_margin) as earned     -- a loss counts in full at once
+  from month m left join granted g using (jcco, job, mth) left join override o using (jcco, job, mth))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trestle.functions import as_bool, as_number, month_floor, parse_date, parse_ts
+from trestle.functions import as_bool, as_number, month_floor, parse_date, parse_ts, strip_html
 from trestle.operators import aggregates as A
 from trestle.operators import windows as W
 from trestle.plans.registry import query
@@ -74,7 +74,8 @@ def stg_opportunities(t: Tables) -> DataFrame:
     return o.select(F.col("version_id"), F.col("opportunity_id").alias("opportunity_number"),
                     F.col("opportunity_id"), F.col("load_ts").alias("last_modified_date_time"), "stage_type",
                     as_bool("delete_record").alias("delete_record"),
-                    as_number("size_text").cast("bigint").alias("size"), F.col("market_name").alias("market"))
+                    as_number("size_text").cast("bigint").alias("size"), F.col("market_name").alias("market"),
+                    "client_name", "next_action_html")
 
 
 @query("stg_opportunity_size")
@@ -129,6 +130,12 @@ def _latest(df: DataFrame, tie: list[str]) -> DataFrame:
     return W.latest_per_key(df, ["opportunity_id"], ["last_load_dt"], tie=tie)
 
 
+def current_versions(t: Tables) -> DataFrame:
+    """The newest version of every opportunity that is not deleted."""
+    raw = stg_opportunities(t).filter(F.col("delete_record") == F.lit(False))
+    return W.latest_per_key(raw, ["opportunity_number"], ["last_modified_date_time"], tie=["version_id"])
+
+
 @query("opportunities_current")
 def int_opportunities(t: Tables) -> DataFrame:
     """R-31: latest non-deleted version per opportunity + latest size, unit, debrief flag, division, and the
@@ -140,16 +147,16 @@ def int_opportunities(t: Tables) -> DataFrame:
     """
     from trestle.plans.dimensions import dim_region_market
 
-    raw = stg_opportunities(t).filter(F.col("delete_record") == F.lit(False))
-    raw = W.latest_per_key(raw, ["opportunity_number"], ["last_modified_date_time"], tie=["version_id"])
+    raw = current_versions(t)
     size = _latest(stg_opportunity_size(t), ["version_id"]).select("opportunity_id", "estimated_project_size")
     uom = _latest(stg_opportunity_uom(t), ["unit_of_measure"]).select("opportunity_id", "unit_of_measure")
     rm = dim_region_market(t)
-    markets = rm.select("unanet_market_id", "market_number").distinct()
+    markets = rm.select("unanet_market_id").distinct()
     pa = stg_opportunity_practicearea(t)
     pa = pa.join(markets, pa.practice_area_id == markets.unanet_market_id, "left")
     pa = pa.groupBy("opportunity_id", "last_load_dt").agg(
-        A.listagg_distinct("market_number").alias("market_number"),
+        # the reference lists the market ids under this name
+        A.listagg_distinct("unanet_market_id").alias("market_number"),
         A.listagg_distinct("practice_area_name").alias("practice_area_name"))
     pa = _latest(pa, []).drop("last_load_dt")
     dm = stg_opportunity_delivery_method(t).groupBy("opportunity_id", "last_load_dt").agg(
@@ -168,7 +175,8 @@ def int_opportunities(t: Tables) -> DataFrame:
                     "unit_of_measure", "stage_type", "market_number", F.col("practice_area_name").alias("market_channel"),
                     "region_number", F.col("office_division_description").alias("region"),
                     F.col("delivery_method_name").alias("delivery_method"), "debrief_call_complete",
-                    "opportunity_number", "last_modified_date_time")
+                    "opportunity_number", "last_modified_date_time", "client_name",
+                    strip_html("next_action_html").alias("next_action"))
 
 
 @query("closed_opportunities")

@@ -10,26 +10,26 @@ from trestle.operators import joins as J
 from trestle.plans.registry import query
 from trestle.sources.tables import Tables
 
-#: Bound on the distinct practice areas broadcast into the region x market product.
-MAX_PRACTICE_AREAS = 10_000
-#: Bound on the region x market product itself.
-MAX_CRM_PAIRS = 1_000_000
+
+def _divisions(t: Tables) -> DataFrame:
+    return t.fx.office_division.select("office_division_id", "office_division_description").distinct()
+
+
+def _areas(t: Tables) -> DataFrame:
+    """Practice areas, 'Water Resources' shortened to 'Water'."""
+    name = F.col("practice_area_name")
+    return t.fx.practice_area.select(
+        "practice_area_id", F.when(name == "Water Resources", "Water").otherwise(name).alias("practice_area_name")).distinct()
 
 
 @query("cross_region_market")
 def dim_crm_region_market(t: Tables) -> DataFrame:
-    """R-30/J-6: every CRM division x practice area, 'Water Resources' shortened to 'Water'.
+    """R-30/J-6: every CRM division x practice area.
 
     The reference crosses the two full tables and then takes DISTINCT; here each side is made distinct first
-    (same result), so the product is |divisions| x |areas| of the dimension domains, and the smaller side is
-    broadcast only after its size is proven.
+    (same result), so the product is |divisions| x |areas| of the dimension domains.
     """
-    divisions = t.fx.office_division.select("office_division_id", "office_division_description").distinct()
-    areas = t.fx.practice_area.select(
-        "practice_area_id",
-        F.when(F.col("practice_area_name") == "Water Resources", "Water").otherwise(F.col("practice_area_name"))
-        .alias("practice_area_name")).distinct()
-    return J.all_pairs(divisions, areas, MAX_PRACTICE_AREAS).distinct()
+    return J.all_pairs(_divisions(t), _areas(t))
 
 
 # Market abbreviation prefix -> (market, market group).
@@ -61,10 +61,9 @@ def dim_region_market(t: Tables) -> DataFrame:
                  F.substring("department", 3, 4).alias("market_number"), "description", "region",
                  F.when(abbr.like("ED%"), "EDU").otherwise(abbr).alias("market_abbr"),
                  market.alias("market"), group.alias("market_abstraction"))
-    # The CRM product is a dimension (divisions x practice areas): proven small, cached once, read by both lookups.
-    crm = J.bounded(dim_crm_region_market(t), MAX_CRM_PAIRS)
-    regions = crm.select("office_division_id", "office_division_description").distinct()
-    markets = crm.select("practice_area_id", "practice_area_name").distinct()
+    # Only the two sides of the CRM product are needed, not the pairs.  (With one CRM table empty the product is
+    # empty and no id would be found; here the ids of the other table still are.)
+    regions, markets = _divisions(t), _areas(t)
     j = (d.join(regions, d.region == regions.office_division_description, "left")
          .join(markets, F.trim(d.market) == F.trim(markets.practice_area_name), "left"))
     # The output column names of the region/market dimension (CRM ids keep their source name).

@@ -6,6 +6,8 @@ per company+job first), so the joins of the job dimension are between tables wit
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from trestle.sources.tables import Tables
 AS_OF = DEFAULT_AS_OF
 #: Budget history kept from this year on (production: 2017).
 BUDGET_SINCE_YEAR = 1996
+#: The forecast is carried to the end of the evaluation year.
+FORECAST_AS_OF = date(2001, 12, 31)
 
 
 # --- contracts --------------------------------------------------------------------------------------------------
@@ -30,7 +34,7 @@ def contract_master(t: Tables) -> DataFrame:
     return c.select(F.trim("jcco").alias("jcco"), F.trim("contract").alias("contract"),
                     F.trim("contract").alias("job"), "description", start_month.alias("start_month"),
                     F.coalesce("owner_contract_date", "start_date", start_month).alias("start_date"),
-                    F.col("orig_contract_cents"))
+                    "orig_contract_cents", "contract_cents", "actual_close_date")
 
 
 @query("change_orders")
@@ -116,10 +120,6 @@ def budget_parsed(t: Tables, since_year: int = BUDGET_SINCE_YEAR) -> DataFrame:
     b = b.withColumns({"natural_account": part("gl_account", ".", 1),
                        "account_division": part("gl_account", ".", 2),
                        "account_department": part("gl_account", ".", 3)})
-    from trestle.operators.joins import bounded
-    from trestle.plans.gl import LOOKUP_MAX_ROWS
-
-    dept = bounded(dept, LOOKUP_MAX_ROWS)
     j = b.join(dept, (F.trim(b.account_division) == dept._dept) & (F.trim(b.gl_co) == dept._co), "left")
     out = j.select("gl_co", "gl_account", "natural_account", "account_division", "account_department",
                    "department_description", "budget_code", part("budget_code", " ", 1).alias("budget_year"),
@@ -158,20 +158,20 @@ def forecast_totals(t: Tables) -> DataFrame:
 
 
 @query("forecast_carry_forward")
-def forecast_carry_forward(t: Tables, as_of=AS_OF, cap: int = 13) -> DataFrame:
+def forecast_carry_forward(t: Tables, as_of=FORECAST_AS_OF) -> DataFrame:
     """R-25/U-7: actual slices (file year = forecast year) plus the newest file's values carried to each later
-    month up to ``as_of`` (at most ``cap`` months), matched on the forecast year.
+    month up to ``as_of``, matched on the forecast year.
 
     The newest month is a scalar subquery; the carried months are generated per row with ``sequence``.
     """
     totals = forecast_totals(t)
     start = totals.select(month_floor(F.max("file_month_year"))).scalar()
     latest = totals.filter(month_floor("file_month_year") == start)
-    carried = (latest.select("forecast_year", "revenue", "margin", month_floor("file_month_year").alias("_start"),
-                             F.explode(F.sequence(F.lit(1), F.lit(cap))).alias("_n"))
-               .withColumn("file_month_year", F.add_months("_start", F.col("_n")))
-               .filter((F.col("file_month_year") <= month_floor(date_lit(as_of)))
-                       & (F.year("file_month_year") == F.col("forecast_year"))))
+    last = month_floor(date_lit(as_of))
+    carried = (latest.withColumn("_next", F.add_months(month_floor("file_month_year"), 1)).filter(F.col("_next") <= last)
+               .select("forecast_year", "revenue", "margin",
+                       F.explode(F.sequence(F.col("_next"), last, F.expr("interval 1 month"))).alias("file_month_year"))
+               .filter(F.year("file_month_year") == F.col("forecast_year")))
     actual = totals.filter(F.year("file_month_year") == F.col("forecast_year"))
     cols = ["file_month_year", "forecast_year", "revenue", "margin"]
     return actual.select(*cols).union(carried.select(*cols))
@@ -204,20 +204,20 @@ def job_dimension(t: Tables, as_of=AS_OF, years: int = 10) -> DataFrame:
           .groupBy("jcco", "job").agg(F.sum("amount_cents").alias("ap_balance")))
     h = (cm.join(co, ["jcco", "job"], "left").join(est, ["jcco", "job"], "left").join(ctd, ["jcco", "job"], "left")
          .join(ap, ["jcco", "job"], "left").join(ar, ["jcco", "job"], "left"))
-    orig = F.col("orig_contract_cents")
+    orig, now = F.col("orig_contract_cents"), F.col("contract_cents")
     r6 = lambda c: F.round(c, 6)
     out = h.select(
         "jcco", "contract", "job", "description", F.concat("job", F.lit(" - "), "description").alias("job_number_name"),
-        "start_date", orig.alias("orig_contract_amt"), "billed_amt", "current_retain_amt",
+        "start_date", "actual_close_date", orig.alias("orig_contract_amt"), now.alias("contract_amt"), "billed_amt", "current_retain_amt",
         "approved_change_orders", "pending_change_orders",
         (orig - F.col("orig_estimate")).alias("orig_gross_margin"),
-        (orig - F.col("curr_estimate")).alias("curr_gross_margin"),
-        (orig - F.col("proj_estimate")).alias("proj_gross_margin"),
+        (now - F.col("curr_estimate")).alias("curr_gross_margin"),
+        (now - F.col("proj_estimate")).alias("proj_gross_margin"),
         r6(div0(orig - F.col("orig_estimate"), orig)).alias("orig_gross_margin_pct"),
-        r6(div0(orig - F.col("curr_estimate"), orig)).alias("curr_gross_margin_pct"),
-        r6(div0(orig - F.col("proj_estimate"), orig)).alias("proj_gross_margin_pct"),
-        F.round(div0("cost_to_date", "curr_estimate") * orig, 2).alias("earned_revenue"),
-        F.round(F.col("billed_amt") - div0("cost_to_date", "proj_estimate") * orig, 2).alias("over_under_billed"),
+        r6(div0(now - F.col("curr_estimate"), now)).alias("curr_gross_margin_pct"),
+        r6(div0(now - F.col("proj_estimate"), now)).alias("proj_gross_margin_pct"),
+        F.round(div0("cost_to_date", "curr_estimate") * now, 2).alias("earned_revenue"),
+        F.round(F.col("billed_amt") - div0("cost_to_date", "proj_estimate") * now, 2).alias("over_under_billed"),
         "ar_balance", "ap_balance",
         ((F.col("billed_amt") - F.col("ar_balance") - F.col("current_retain_amt"))
          - (F.col("cost_to_date") - F.col("ap_balance"))).alias("cash_flow"),

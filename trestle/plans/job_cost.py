@@ -24,7 +24,6 @@ from trestle.sources.tables import Tables
 
 AS_OF = DEFAULT_AS_OF
 JOB_HISTORY_YEARS = 8
-MAX_JOB_MONTHS = 200
 
 # Phase divisions that are not cost-to-complete tracked, and the profit-at-risk divisions.
 NON_CTC_DIVISIONS = ("80", "96", "97", "98")
@@ -80,7 +79,7 @@ def _spine(t: Tables, detail: DataFrame, as_of, years: int) -> DataFrame:
               .filter(F.col("min_month") >= month_floor(shift_date(date_lit(as_of), -years, "year"))))
     phases = detail.select(*PHASE_KEYS).distinct()
     spine = U.month_spine(phases.join(bounds, ["jcco", "job"]), F.col("min_month"), F.col("max_month"),
-                          cap=MAX_JOB_MONTHS, out="month_date")
+                          out="month_date")
     return spine.select(*PHASE_KEYS, "month_date")
 
 
@@ -202,7 +201,7 @@ def wip_schedule(t: Tables) -> DataFrame:
 
 
 #: First contract start year of the over/under report (production: 2023).
-OVER_UNDER_SINCE_YEAR = 1999
+OVER_UNDER_SINCE_YEAR = 1997
 
 
 @query("over_under_projection")
@@ -210,11 +209,10 @@ def over_under_projection(t: Tables, since_year: int = OVER_UNDER_SINCE_YEAR) ->
     """R-64: finished jobs: cost vs projection, original and current estimates compared (over/under/same/zero).
 
     The cost side is keyed on the *untrimmed* company and job text, as in the reference, so padded job numbers
-    do not match the trimmed contract keys (kept; on the padded test analog the report is empty).  One scan of
+    do not match the trimmed contract keys (kept; half of the analog's jobs are padded).  One scan of
     the cost detail feeds all four per-job aggregates.
     """
-    jobs = contract_master(t).select("jcco", "job", "contract", "description", "start_date",
-                                     F.lit(None).cast("date").alias("actual_close_date"))
+    jobs = contract_master(t).select("jcco", "job", "contract", "description", "start_date", "actual_close_date")
     jc = t.fx.job_cost
     tt = F.col("trans_type")
     d = F.col("actual_date")

@@ -174,7 +174,7 @@ def joint_ventures(t: Tables, company: str = JV_COMPANY, as_of=DEFAULT_AS_OF, ye
     g = gl_actuals_table(t)
     bounds = (g.groupBy("glco").agg(month_floor(F.min("mth")).alias("min_month"), month_floor(F.max("mth")).alias("max_month"))
               .filter(F.col("min_month") >= month_floor(shift_date(F.lit(as_of.isoformat()).cast("date"), -years, "year"))))
-    spine = U.month_spine(bounds, F.col("min_month"), F.col("max_month"), cap=200, out="mth").select("glco", "mth")
+    spine = U.month_spine(bounds, F.col("min_month"), F.col("max_month"), out="mth").select("glco", "mth")
     acct = F.col("glacct")
     pivot = g.groupBy("glco", "mth").agg(
         F.sum(F.when(acct.like("41010%"), F.col("netamt_cents"))).alias("contract_revenue"),

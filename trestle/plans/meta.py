@@ -57,7 +57,7 @@ def _cols(df: DataFrame) -> DataFrame:
 
 
 def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFrame:
-    from trestle.plans.crm_safety import int_opportunities, osha_recordable_incidents
+    from trestle.plans.crm_safety import current_versions, osha_recordable_incidents
     from trestle.plans.finance import actual_cost
     from trestle.plans.gl import gl_budget_table
 
@@ -87,9 +87,10 @@ def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFr
                                                _ny(F.col("last_altered")).alias("last_load_dt"))
     parts.append(bud)
 
-    if with_crm:
-        newest = int_opportunities(t).agg(F.max("last_modified_date_time").alias("data_date_ref"))
-        parts.append(J.with_params(log, newest).select(F.lit(CRM_SOURCE).alias("data_source"), "data_date_ref",
+    if with_crm:      # the CRM row counts failed loads too
+        newest = current_versions(t).agg(F.max("last_modified_date_time").alias("data_date_ref"))
+        loads = refresh_log(t).agg(F.min("last_load_dt").alias("first_load_dt"), F.max("last_load_dt").alias("last_load_dt"))
+        parts.append(J.with_params(loads, newest).select(F.lit(CRM_SOURCE).alias("data_source"), "data_date_ref",
                                                        "first_load_dt", "last_load_dt"))
     now = _ny(date_lit(as_of).cast("timestamp_ntz"))
     parts.append(log.select(F.lit("power_bi_refresh").alias("data_source"), now.alias("data_date_ref"),
@@ -129,6 +130,9 @@ def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None)
     w.parquet(path)
 
 
-def table_freshness(df: DataFrame) -> DataFrame:
-    """S-10: last modification time of the files behind a parquet table (from the scan's file metadata)."""
-    return S.table_freshness(df)
+@query("table_freshness")
+def table_freshness(t: Tables) -> DataFrame:
+    """S-10: last modification time of the files behind each landed table (from the scan's file metadata)."""
+    names = ("orders", "lineitem", "customer", "events")
+    return reduce(DataFrame.union, [
+        S.table_freshness(source(t, n)).select(F.lit(n).alias("table_name"), "last_altered") for n in names])

@@ -206,7 +206,7 @@ def cross_params(t: Tables) -> DataFrame:
 @query("month_spine")
 def month_spine(t: Tables) -> DataFrame:
     con = t.fx.contract.select("jcco", "contract", "start_date")
-    return U.month_spine(con, F.col("start_date"), date_lit(AS_OF), cap=200, out="month")
+    return U.month_spine(con, F.col("start_date"), date_lit(AS_OF), out="month")
 
 
 @query("trailing_cost")
@@ -358,7 +358,7 @@ def earliest_per_key(t: Tables) -> DataFrame:
 
 @query("rank_top")
 def rank_top(t: Tables) -> DataFrame:
-    base = t.fx.task.filter(F.col("proj_id") >= 1000).select("proj_id", "task_id", "start_week")
+    base = t.fx.task.filter(F.col("proj_id") >= t.fx.BASELINE).select("proj_id", "task_id", "start_week")
     return W.top_rank(base, ["proj_id"], ["start_week"])
 
 
@@ -442,7 +442,7 @@ def densify_months(t: Tables) -> DataFrame:
     monthly = jc.groupBy("jcco", F.trim("job").alias("contract"), F.col("mth").alias("month")).agg(
         F.sum("actual_cents").alias("actual_cents"))
     con = t.fx.contract.select("jcco", "contract", "start_date")
-    spine = U.month_spine(con, F.col("start_date"), date_lit(AS_OF), cap=200, out="month").select("jcco", "contract", "month")
+    spine = U.month_spine(con, F.col("start_date"), date_lit(AS_OF), out="month").select("jcco", "contract", "month")
     return U.densify(spine, monthly, ["jcco", "contract", "month"], ["actual_cents"])
 
 

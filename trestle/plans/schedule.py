@@ -50,8 +50,20 @@ def _projects(t: Tables) -> DataFrame:
 
 
 def _task_proj(t: Tables) -> DataFrame:
-    """Projects left join their (untagged) task snapshots."""
-    return _projects(t).join(grading_base(t), "proj_id", "left")
+    """Projects left join their (untagged) task snapshots.
+
+    Written with the tasks as the streamed side: one project can hold a large share of them, and Spark splits a hot
+    key of the left side only.  Projects without any snapshot follow with empty task columns.
+    """
+    tasks, projects = grading_base(t), _projects(t)
+    found = tasks.join(projects, "proj_id")
+    without = projects.join(tasks.select("proj_id").distinct(), "proj_id", "left_anti")
+    return found.unionByName(without, allowMissingColumns=True)
+
+
+def _baselines(t: Tables) -> DataFrame:
+    """Baselines with an update date; a project's baseline without one never counts as its first or newest."""
+    return t.fx.baseline.filter(F.col("last_baseline_update_date").isNotNull())
 
 
 def _grade(value: Column, bands) -> Column:
@@ -271,10 +283,7 @@ def high_duration(t: Tables) -> DataFrame:
     not by week, so every open task counts once per baseline snapshot (kept); that fan-out is computed from a
     per-(baseline, task code, duration) count instead of being materialised.  Rows with a NULL week are kept.
     """
-    proj = _projects(t)
-    baselines = proj.select(F.col("proj_id").alias("orig_proj_id"), "baseline_proj_id",
-                            F.col("last_recalc_date").alias("last_baseline_update_date"))
-    latest = W.top_rank(baselines, ["orig_proj_id"], ["last_baseline_update_date", "baseline_proj_id"])
+    latest = W.top_rank(_baselines(t), ["orig_proj_id"], ["last_baseline_update_date", "baseline_proj_id"])
     tp = _task_proj(t).filter(F.col("act_end_date").isNull()).select(
         "proj_id", "proj_name", "day_hr_cnt", "start_week", "task_code")
     tp = tp.join(latest.select(F.col("orig_proj_id").alias("proj_id"), F.col("baseline_proj_id").alias("bl_id")),
@@ -295,28 +304,26 @@ def high_duration(t: Tables) -> DataFrame:
 
 @query("sched_baseline")
 def baseline_metrics(t: Tables) -> DataFrame:
-    """R-43: baseline execution index and missed activities against the *earliest* baseline."""
+    """R-43: baseline execution index and missed activities against the *earliest* dated baseline.
+
+    The snapshots are reduced to one row per project and week before they meet the projects.
+    """
     proj = _projects(t)
-    baselines = proj.select(F.col("proj_id").alias("orig_proj_id"), "baseline_proj_id",
-                            F.col("last_recalc_date").alias("last_baseline_update_date"))
-    earliest = W.earliest_per_key(baselines, ["orig_proj_id"], ["last_baseline_update_date", "baseline_proj_id"])
+    earliest = W.earliest_per_key(_baselines(t), ["orig_proj_id"], ["last_baseline_update_date", "baseline_proj_id"])
     pb = proj.select("proj_id", "proj_name").join(
         earliest.select(F.col("orig_proj_id").alias("proj_id"), "baseline_proj_id"), "proj_id", "left")
     tasks = grading_base(t)
-    actual = (pb.select("proj_id").join(tasks, "proj_id", "left").groupBy("proj_id", "start_week")
+    actual = (tasks.groupBy("proj_id", "start_week")
               .agg(F.countDistinct("task_id").alias("total_tasks_cnt"),
                    F.sum(F.when(F.col("act_end_date").isNotNull(), 1).otherwise(0)).alias("actual_complete")))
     bl_tasks = tasks.select(F.col("proj_id").alias("baseline_proj_id"), "start_week", "task_code",
                             F.col("act_end_date").alias("bs_act_end"), F.col("target_end_date").alias("bs_target"),
                             F.col("early_end_date").alias("bs_early_end"))
-    bcomplete = (pb.select("proj_id", "baseline_proj_id").join(bl_tasks, "baseline_proj_id", "left")
-                 .groupBy("proj_id", "baseline_proj_id", "start_week")
-                 .agg(F.sum(F.when(F.col("bs_target") <= F.col("start_week"), 1).otherwise(0)).alias("baseline_complete"))
-                 .drop("baseline_proj_id"))
-    both = pb.join(actual, "proj_id", "left").join(bcomplete, ["proj_id", "start_week"], "left")
+    bcomplete = (bl_tasks.groupBy("baseline_proj_id", "start_week")
+                 .agg(F.sum(F.when(F.col("bs_target") <= F.col("start_week"), 1).otherwise(0)).alias("baseline_complete")))
+    both = pb.join(actual, "proj_id").join(bcomplete, ["baseline_proj_id", "start_week"], "left")
     cur = tasks.select("proj_id", "start_week", "task_code", "act_end_date")
-    missed = (both.select("proj_id", "baseline_proj_id", "start_week")
-              .join(cur, ["proj_id", "start_week"], "left")
+    missed = (cur.join(pb.select("proj_id", "baseline_proj_id"), "proj_id")
               .join(bl_tasks, ["baseline_proj_id", "task_code", "start_week"], "left")
               .groupBy("proj_id", "start_week")
               .agg(F.sum(F.when((F.col("act_end_date") > F.col("bs_early_end"))
@@ -366,12 +373,13 @@ def resource_look_ahead(t: Tables) -> DataFrame:
     fl = psw.join(cost, ["job_key", "start_week"], "left").fillna(0, ["total_labor_cost", "current_labor_cost"])
     sub = t.fx.weekly.select(F.col("proj_id").alias("p6_proj_id"), F.col("week_ending").alias("start_week"),
                              "resources_to_date", "next_week_resources")
-    used = psw.select("p6_proj_id", "start_week").join(sub, ["p6_proj_id", "start_week"], "left")
+    # Weeks without a subtotal neither count as steps back nor give a row.
+    used = psw.select("p6_proj_id", "start_week").join(sub, ["p6_proj_id", "start_week"])
     wk = Window.partitionBy("p6_proj_id").orderBy(F.col("start_week").desc_nulls_first())
     used = used.withColumn("resource_6wa", F.lead("resources_to_date", 6).over(wk)).select(
         "p6_proj_id", "start_week", (F.col("resources_to_date") - F.col("resource_6wa")).alias("resources_used_6_weeks"),
         "next_week_resources")
-    x = fl.join(used, ["p6_proj_id", "start_week"], "left")
+    x = fl.join(used, ["p6_proj_id", "start_week"])
     x = x.withColumn("six_week_cpi", div0("resources_used_6_weeks", "total_labor_cost"))
     x = x.withColumn("resource_look_ahead_pct",
                      div0(F.col("current_labor_cost") * F.col("six_week_cpi"), F.col("next_week_resources")) * 100)
@@ -382,7 +390,7 @@ def resource_look_ahead(t: Tables) -> DataFrame:
         (p.between(80, 85) | p.between(130, 140), "C"),
         (p.between(75, 80) | p.between(140, 150), "D"),
     ], "F")
-    return x.filter(F.col("start_week").isNotNull()).select(
+    return x.select(
         F.col("p6_proj_id").alias("proj_id"), "proj_name", "start_week", F.round("six_week_cpi", 6).alias("six_week_cpi"),
         "current_labor_cost", "next_week_resources", F.round(p, 6).alias("resource_look_ahead_pct"),
         grade.alias("resource_look_ahead_grade"))

@@ -83,11 +83,12 @@ class Analogs:
     def job_cost(self) -> DataFrame:
         li = self.t("lineitem")
         p20 = li.l_partkey % 20
+        job = F.concat((li.l_suppkey % 40 + 123000).cast("string"), F.lit("."))    # even ones are padded
         phase_head = F.when(p20 == 0, 96).when(p20 == 1, 80).otherwise(p20)
         price_cents = _cents(li.l_extendedprice * 100)
         return li.select(
             (li.l_linenumber % 2 + 1).cast("string").alias("jcco"),
-            F.concat(F.lit(" "), (li.l_suppkey % 40 + 123000).cast("string"), F.lit(". ")).alias("job"),
+            F.when(li.l_suppkey % 2 == 0, F.concat(F.lit(" "), job, F.lit(" "))).otherwise(job).alias("job"),
             F.lit("1").alias("phase_group"),
             F.concat(_lpad_num(phase_head, 2), F.lit("1000.90"), (li.l_partkey % 9).cast("string"), F.lit("."))
             .alias("phase"),
@@ -107,14 +108,18 @@ class Analogs:
     def contract(self) -> DataFrame:
         s = self.t("supplier")
         base = F.lit("1996-01-01").cast("date")
+        first = F.when(s.s_suppkey % 10 == 0, F.lit("1980-01-01").cast("date")).otherwise(base)   # some run very long
         return s.select(
             (s.s_suppkey % 2 + 1).cast("string").alias("jcco"),
             F.concat((s.s_suppkey + 123000).cast("string"), F.lit(".")).alias("contract"),
             s.s_name.alias("description"),
             F.when(s.s_suppkey % 3 == 0, F.lit(None).cast("date"))
             .otherwise(_add_days(base, s.s_suppkey % 900)).alias("owner_contract_date"),
-            _add_days(base, s.s_suppkey % 700).alias("start_date"),
+            _add_days(first, s.s_suppkey % 700).alias("start_date"),
             _cents(s.s_acctbal * 1000).alias("orig_contract_cents"),
+            (_cents(s.s_acctbal * 1000) + s.s_suppkey * 700).alias("contract_cents"),
+            F.when(s.s_suppkey % 4 == 1, _add_days(F.lit("2001-01-01").cast("date"), s.s_suppkey % 90))
+            .alias("actual_close_date"),
         )
 
     @cached_property
@@ -144,19 +149,27 @@ class Analogs:
 
     # --- schedule snapshots ----------------------------------------------------------------------------------
     WEEKS = 8
+    #: Added to the numbers of baseline projects, so they never meet those of current projects.
+    BASELINE = 1_000_000_000
     FIRST_WEEK = "1999-01-01"
 
+    @property
+    def _n_projects(self) -> Column:
+        return self.t("customer").select(F.count(F.lit(1))).scalar()
+
     @cached_property
     def task(self) -> DataFrame:
         """Task snapshots: every order is a task in each of 8 weekly snapshots, once current, once baseline.
 
+        Tasks are spread over all projects (one per customer) by the order number.
+
         The 16 (week, offset) copies are generated per row with ``explode`` (no join, no shuffle).
         """
         o = self.t("orders").select("o_orderkey", F.to_date("o_orderdate").alias("od"))
         first = F.lit(self.FIRST_WEEK).cast("date")
         copies = F.explode(F.array(*[
-            F.struct(F.date_add(first, 7 * k).alias("start_week"), F.lit(off).alias("off"))
-            for off in (0, 1000) for k in range(self.WEEKS)
+            F.struct(F.date_add(first, 7 * k).alias("start_week"), F.lit(off).cast("bigint").alias("off"))
+            for off in (0, self.BASELINE) for k in range(self.WEEKS)
         ]))
         x = o.select("o_orderkey", "od", copies.alias("c")).select("o_orderkey", "od", "c.start_week", "c.off")
         k = x.o_orderkey
@@ -165,8 +178,8 @@ class Analogs:
         k40 = k % 40
         k25 = k % 25
         return x.select(
-            (k % 50 + x.off).alias("proj_id"),
-            (k + x.off * 100000).alias("task_id"),
+            (k % self._n_projects + x.off).alias("proj_id"),
+            (k + x.off * 1000).alias("task_id"),
             F.concat(F.lit("T"), k.cast("string")).alias("task_code"),
             "start_week",
             F.when(k40 == 0, "TT_Mile").when(k40 == 1, "TT_FinMile").when(k40 == 2, "TT_LOE")
@@ -192,10 +205,11 @@ class Analogs:
         li = self.t("lineitem")
         ln = li.l_linenumber
         m4 = ln % 4
-        return (li.filter((li.l_orderkey % 3 != 0) & (li.l_orderkey >= 50 * ln))
-                .select((li.l_orderkey % 50).alias("proj_id"),
+        n = self._n_projects
+        return (li.filter((li.l_orderkey % 3 != 0) & (li.l_orderkey >= n * ln))
+                .select((li.l_orderkey % n).alias("proj_id"),
                         li.l_orderkey.alias("task_id"),
-                        (li.l_orderkey - 50 * ln).alias("pred_task_id"),
+                        (li.l_orderkey - n * ln).alias("pred_task_id"),
                         (li.l_orderkey * 10 + ln).alias("task_pred_id"),
                         F.when(m4 == 0, "PR_SS").when(m4 == 1, "PR_FS").when(m4 == 2, "PR_FF")
                         .otherwise("PR_SF").alias("pred_type"),
@@ -204,9 +218,9 @@ class Analogs:
     @cached_property
     def project(self) -> DataFrame:
         c = self.t("customer")
-        return (c.filter(c.c_custkey < 50)
-                .select(c.c_custkey.alias("proj_id"),
-                        (c.c_custkey + 1000).alias("baseline_proj_id"),
+        number = c.c_custkey % self._n_projects
+        return (c.select(number.alias("proj_id"),
+                         (number + self.BASELINE).alias("baseline_proj_id"),
                         F.concat(F.lit("P"), c.c_custkey.cast("string")).alias("proj_name"),
                         (c.c_custkey % 40 + 123000).cast("string").alias("project_name"),
                         F.lit("1999-01-20").cast("date").alias("last_recalc_date"),
@@ -214,11 +228,25 @@ class Analogs:
                         F.lit(40).alias("week_hr_cnt"),
                         _add_days(F.lit("1999-06-30").cast("date"), c.c_custkey % 60).alias("completion_date")))
 
+    @cached_property
+    def baseline(self) -> DataFrame:
+        """Baselines of the projects: an own one, undated for some, and for some the next project's as a second."""
+        c, n = self.t("customer"), self._n_projects
+        k, base = c.c_custkey, F.lit("1999-01-20").cast("date")
+        own = c.select((k % n).alias("orig_proj_id"), (k % n + self.BASELINE).alias("baseline_proj_id"),
+                       F.when(k % 7 != 0, _add_days(base, -(k % 5))).alias("last_baseline_update_date"))
+        second = c.filter(k % 3 == 0).select(
+            (k % n).alias("orig_proj_id"), ((k + 1) % n + self.BASELINE).alias("baseline_proj_id"),
+            F.date_add(base, F.when(k % 2 == 0, 5).otherwise(-9)).alias("last_baseline_update_date"))
+        return own.union(second)
+
     @cached_property
     def weekly(self) -> DataFrame:
+        """Weekly subtotals of the current projects; every ninth project has none for the fourth week."""
         t = self.task
         done = t.act_end_date.isNotNull()
-        return (t.filter(t.proj_id < 50)
+        absent = (t.proj_id % 9 == 0) & (t.start_week == F.lit("1999-01-22").cast("date"))
+        return (t.filter((t.proj_id < self.BASELINE) & ~absent)
                 .groupBy("proj_id", F.col("start_week").alias("week_ending"))
                 .agg(F.min("total_float_hr_cnt").alias("total_float"),
                      F.sum(F.when(done, t.target_drtn_hr_cnt).otherwise(0)).alias("resources_to_date"),
@@ -239,6 +267,8 @@ class Analogs:
             F.when(m9 == 0, "yes").when(m9 == 1, "No").when(m9 == 2, "0").otherwise("false").alias("delete_record"),
             e.value.cast("string").alias("size_text"),
             et.alias("market_name"),
+            F.concat(F.lit("Client "), (e.user_id % 97).cast("string")).alias("client_name"),
+            F.concat(F.lit("<p class=\"n\">Call&nbsp;"), (m9 + 1).cast("string"), F.lit("</p><br/>")).alias("next_action_html"),
         )
 
     @cached_property
@@ -287,8 +317,7 @@ class Analogs:
     @cached_property
     def forecast(self) -> DataFrame:
         o = self.t("orders")
-        return (o.filter(o.o_orderdate < F.lit("2001-03-01 00:00:00").cast(o.schema["o_orderdate"].dataType))
-                .select(F.concat(F.year(o.o_orderdate).cast("string"), F.lit(" Rolling Forecast")).alias("forecast_type"),
+        return (o.select(F.concat(F.year(o.o_orderdate).cast("string"), F.lit(" Rolling Forecast")).alias("forecast_type"),
                         F.when(o.o_orderkey % 3 == 0, "Region").otherwise("Market").alias("category_type"),
                         o.o_orderpriority.alias("category"),
                         _cents(o.o_totalprice).alias("revenue"),

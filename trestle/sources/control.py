@@ -1,33 +1,24 @@
 """Control-table driven sources (S-2..S-7, S-10, S-11).
 
-A control table lists same-shaped files (one spreadsheet per month).  Two plans are offered:
-
-* ``family`` given: all files are already one DataFrame with a file-name column (one multi-path parquet read,
-  or a table partitioned by file).  The control rows are joined to it on the file name; no driver round trip.
-  The control table is bounded (one row per landed file) and is the broadcast side.
-* ``read`` given: the control table (tens of rows) is collected on the driver and each file is read and
-  unioned by position with its provenance literals, which is what the macro compiles to.
+A control table lists same-shaped files (one spreadsheet per month).  All files are one DataFrame with a file-name
+column (one multi-path parquet read, or a table partitioned by file); the control rows are joined to it on the name,
+without a driver round trip.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Upper bound on control rows (files) collected on the driver by the ``read`` path (checked, never truncated).
-MAX_CONTROL_ROWS = 100_000
-
 
 def _control_rows(control: DataFrame, active_only: bool) -> DataFrame:
     c = control.filter(F.col("active") == F.lit(True)) if active_only else control
     return c.select("table_name", "file_month_year")
 
 
-def union_controlled(control: DataFrame, *, family: DataFrame | None = None, family_key: str = "table_name",
-                     read: Callable[[str], DataFrame] | None = None, active_only: bool = True,
+def union_controlled(control: DataFrame, *, family: DataFrame, family_key: str = "table_name", active_only: bool = True,
                      columns: Sequence[str] | None = None, with_month: bool = True) -> DataFrame:
     """S-2/S-3/S-4: UNION ALL of the files named by the control table plus ``source_table``/``file_month_year``.
 
@@ -37,34 +28,12 @@ def union_controlled(control: DataFrame, *, family: DataFrame | None = None, fam
     rows = _control_rows(control, active_only)
     if not with_month:
         rows = rows.select("table_name").distinct()
-    if family is not None:
-        files = family if columns is None else family.select(family_key, *columns)
-        # The control side is one row per landed file; AQE broadcasts it once its runtime size is known.
-        joined = files.join(rows, files[family_key] == rows["table_name"], "inner")
-        keep = [c for c in files.columns if c != family_key]
-        if columns is not None:
-            keep = list(columns)
-        prov = [F.col("table_name").alias("source_table")]
-        if with_month:
-            prov.append(F.col("file_month_year"))
-        return joined.select(*[files[c] for c in keep], *prov)
-    if read is None:
-        raise ValueError("give family or read")
-    listed = rows.orderBy("table_name").take(MAX_CONTROL_ROWS + 1)
-    if len(listed) > MAX_CONTROL_ROWS:
-        raise ValueError(f"control table lists more than {MAX_CONTROL_ROWS} files; use the family path")
-    if not listed:
-        raise ValueError("control table lists no files")
-    parts = []
-    for r in listed:
-        part = read(r["table_name"])
-        if columns is not None:
-            part = part.select(*columns)
-        part = part.withColumn("source_table", F.lit(r["table_name"]))
-        if with_month:
-            part = part.withColumn("file_month_year", F.lit(r["file_month_year"]))
-        parts.append(part)
-    return reduce(DataFrame.union, parts)
+    keep = [c for c in family.columns if c != family_key] if columns is None else list(columns)
+    files = family.select(family_key, *keep)
+    # The control side is one row per landed file; AQE broadcasts it once its runtime size is known.
+    joined = files.join(rows, files[family_key] == rows["table_name"], "inner")
+    prov = [F.col("table_name").alias("source_table"), *([F.col("file_month_year")] if with_month else [])]
+    return joined.select(*[files[c] for c in keep], *prov)
 
 
 def latest_load(control: DataFrame, load_col: str = "load_no") -> DataFrame:
