@@ -17,6 +17,9 @@ from trestle.session import checkpoint_dir
 #: White space of the word rules: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\f\r"
 
+#: Rows come to Python workers in Arrow batches of about this size, however long their texts are.
+BATCH_BYTES = 16 << 20
+
 
 def land(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet below the shared checkpoint folder and return the table read back.
@@ -58,12 +61,13 @@ def is_held_out(id_col: str | Column = "doc_id") -> Column:
 
 def share_code(spark: SparkSession) -> SparkSession:
     """Let the Python workers import this package from where the driver did (a path that all machines share, unless
-    the package is installed or was sent with ``--py-files``)."""
+    the package is installed or was sent with ``--py-files``), and get their rows in batches of bounded size."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

@@ -6,11 +6,11 @@ by ``DEPTH`` values of it.  In the sorted order of a tree, a region is a run of
 values; runs that are larger than ``REGION`` are divided by one more value at a time, so the depth follows how crowded
 a region is, and neighbours across a division (their common prefix is the longest that is left) are kept together.
 
-Inside a region, candidates are pairs whose signatures agree often enough (the threshold less four standard errors).
-First every class is compared with one hub of its region, the same hub in every tree where possible; then only classes
-that are still in different components, with ever more partners, until no candidate is left untried.  A candidate
-becomes a link only if the two full sets reach the threshold.  So the pairs that are tried grow with the number of
-classes, not with the square of a group, and no partner is left out.
+The classes of a region are candidates for each other.  The full sets come with them, and the sizes of all
+intersections of one class with the region are counted at once over the region's shingles; only links that reach the
+threshold leave the task, at most one per class that was not connected before.  The first few trees link most groups;
+in the others only regions that still hold different components are looked at.  So what is moved and made grows with
+the number of classes, not with the square of a group, and no partner is left out.
 
 Sets are compared by 64-bit shingle hashes and classes are named by a 64-bit hash of the set.
 
@@ -23,6 +23,7 @@ never names a component (a component without an id has none, and its rows are ke
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,10 @@ from trestle.llm.common import land, map_batches, shuffle_width, texts
 from trestle.llm.components import components
 
 TREES, DEPTH, LEAST = 16, 8, 4
+FIRST_TREES = 4      # looked at whole; the others follow, for what is not yet linked
 VALUES = TREES * DEPTH
-REGION = 2048
-ERRORS = 4           # standard errors below the threshold that a candidate's signatures may agree
+REGION, REGION_BYTES = 2048, 48 << 20
+HUBS = 8             # rows of a region that are compared with all others before its main component is named
 MAX_WORDS = 400_000  # a worker's table of word hashes; a full table is emptied
 
 _rng = np.random.default_rng(1729)
@@ -102,34 +104,46 @@ def profiles(docs: DataFrame, size: int) -> DataFrame:
     return map_batches(docs, run, "doc_id long, n_shingles long, node long, signature array<long>")
 
 
-def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Regions-to-be: consecutive rows with the same tree and head.
+@dataclass
+class _Run:
+    """Consecutive rows with the same tree and head."""
+
+    tail: np.ndarray
+    node: np.ndarray
+    comp: np.ndarray
+    sets: list[np.ndarray]
+
+    def part(self, lo: int, hi: int) -> _Run:
+        return _Run(self.tail[lo:hi], self.node[lo:hi], self.comp[lo:hi], self.sets[lo:hi])
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[_Run]:
+    """A run that outgrows ``2 * REGION`` rows or ``REGION_BYTES`` comes in parts that share one row."""
+    plain, sets, size = [], [], 0
+
+    def run():
+        tail, node, comp = np.array([x[2:] for x in plain], np.int64).T
+        return _Run(tail, node, comp, sets)
 
-    Yields the plain columns ``tree, head, tail, node, n, comp`` and the signatures of one run; a run longer than
-    ``2 * REGION`` comes in parts that share one row.
-    """
-    held, signs = np.empty((0, 6), np.int64), np.empty((0, VALUES), np.uint16)
     for b in batches:
-        if not b.num_rows:
-            continue
-        plain = np.stack([np.asarray(b.column(k), np.int64) for k in range(6)], axis=1)
-        got = np.asarray(b.column(6).flatten(), np.int64).reshape(-1, 2 * TREES).view(np.uint16)
-        held, signs = np.concatenate([held, plain]), np.concatenate([signs, got])
-        cuts = np.flatnonzero((held[1:, :2] != held[:-1, :2]).any(1)) + 1
-        lo = 0
-        for hi in cuts:
-            yield held[lo:hi], signs[lo:hi]
-            lo = hi
-        held, signs = held[lo:], signs[lo:]
-        while len(held) > 2 * REGION:
-            yield held[:2 * REGION], signs[:2 * REGION]
-            held, signs = held[2 * REGION - 1:], signs[2 * REGION - 1:]
-    if len(held):
-        yield held, signs
+        for row in zip(*(b.column(k).to_pylist() for k in range(5)), b.column(5)):
+            found = np.frombuffer(row[5].as_buffer(), np.uint64).copy()
+            if plain and plain[-1][:2] != row[:2]:
+                if len(plain) > 1:
+                    yield run()
+                plain, sets, size = [], [], 0
+            plain.append(row[:5])
+            sets.append(found)
+            size += found.nbytes
+            if len(plain) > 1 and (len(plain) >= 2 * REGION or size > REGION_BYTES):
+                yield run()
+                plain, sets, size = plain[-1:], sets[-1:], found.nbytes
+    if len(plain) > 1:
+        yield run()
 
 
 def _regions(tail: np.ndarray, lo: int, hi: int, depth: int) -> Iterator[tuple[int, int]]:
-    """Divide a sorted run until its parts are small; each part also holds the next part's first row."""
+    """Divide a sorted run until its parts are small."""
     if hi - lo <= REGION or depth == DEPTH:
         for k in range(lo, hi, REGION):
             yield k, min(k + REGION, hi)
@@ -140,83 +154,56 @@ def _regions(tail: np.ndarray, lo: int, hi: int, depth: int) -> Iterator[tuple[i
         yield from _regions(tail, a, b, depth + 1)
 
 
-def _alike(rows, signs, i, others, floor, threshold):
-    """Which of ``others`` may reach the threshold with row ``i``, and how often their signatures agree."""
-    agree = (signs[others] == signs[i]).mean(1)
-    n = rows[others, 4]
-    small, large = np.minimum(n, rows[i, 4]), np.maximum(n, rows[i, 4])
-    return (agree >= floor) & (100 * small >= threshold * large), agree
-
-
-def _star(rows, signs, floor, threshold) -> Iterator[tuple[int, int, bool]]:
-    """Compare with hubs: the smallest node takes all that may be like it; the rest get a hub of their own."""
-    left = np.argsort(rows[:, 3], kind="stable")
-    while len(left) > 1:
-        hub, rest = left[0], left[1:]
-        ok, _ = _alike(rows, signs, hub, rest, floor, threshold)
-        for j in rest[ok]:
-            if rows[j, 3] != rows[hub, 3]:
-                yield int(rows[hub, 3]), int(rows[j, 3]), False
-        left = rest[~ok]
-
-
-def _across(rows, signs, floor, threshold, wide) -> Iterator[tuple[int, int, bool]]:
-    """Per row outside the largest component: its ``wide`` best partners in other components."""
-    comps, n = np.unique(rows[:, 5], return_counts=True)
-    if len(comps) < 2:
+def region_links(run: _Run, threshold: int) -> Iterator[tuple[int, int]]:
+    """Links that connect the components of a region as far as its full sets reach the threshold."""
+    _, label = np.unique(run.comp, return_inverse=True)
+    n = label.max() + 1
+    if n < 2:
         return
-    every = np.arange(len(rows))
-    for i in np.flatnonzero(rows[:, 5] != comps[n.argmax()]):
-        others = every[rows[:, 5] != rows[i, 5]]
-        ok, agree = _alike(rows, signs, i, others, floor, threshold)
-        best = others[ok][np.lexsort((rows[others[ok], 3], -agree[ok]))]
-        for j in best[:wide]:
-            a, b = sorted((int(rows[i, 3]), int(rows[j, 3])))
-            yield a, b, len(best) > wide
-
-
-def candidates(rows: DataFrame, threshold: int, wide: int | None) -> DataFrame:
-    """``a, b, more``: pairs to try.  ``rows``: ``tree, head, tail, node, n, comp, signature``."""
-    share = threshold / 100
-    floor = share - ERRORS * (share * (1 - share) / VALUES) ** 0.5
+    rows = len(run.sets)
+    size = np.array([len(x) for x in run.sets])
+    _, word = np.unique(np.concatenate(run.sets), return_inverse=True)     # numbers of the region's shingles
+    owner = np.repeat(np.arange(rows), size)[np.argsort(word, kind="stable")]
+    count = np.bincount(word)
+    first = np.cumsum(count) - count
+    border = np.cumsum(size) - size
+
+    def like(i: int) -> np.ndarray:
+        """Rows whose set reaches the threshold with that of row ``i``."""
+        own = word[border[i]:border[i] + size[i]]
+        c = count[own]
+        at = np.repeat(first[own] - (np.cumsum(c) - c), c) + np.arange(c.sum())
+        both = np.bincount(owner[at], minlength=rows)
+        return np.flatnonzero(100 * both >= threshold * (size[i] + size - both))
+
+    main = None
+    for k, i in enumerate(np.argsort(run.node, kind="stable")):
+        if k == HUBS:
+            main = np.flatnonzero(label == np.bincount(label).argmax())[0]
+        if main is not None and label[i] == label[main]:
+            continue        # its pairs with rows outside this component are seen from those rows
+        for j in like(i):
+            if label[j] != label[i]:
+                yield tuple(sorted((int(run.node[i]), int(run.node[j]))))
+                label[label == label[j]] = label[i]
+                n -= 1
+        if n == 1:
+            return
+
+
+def links(rows: DataFrame, threshold: int) -> DataFrame:
+    """``a, b`` from ``tree, head, tail, node, comp, found``."""
     order = ["tree", "head", "tail", "node"]
     rows = rows.repartitionByRange(shuffle_width(rows.sparkSession), *order).sortWithinPartitions(*order)
 
     def run(batches):
-        out = []
-        for run_rows, signs in _rows_of(batches):
-            for lo, hi in _regions(run_rows[:, 2], 0, len(run_rows), LEAST):
-                lo = max(lo - 1, 0)              # the neighbour before the division
-                if hi - lo > 1:
-                    part, own = run_rows[lo:hi], signs[lo:hi]
-                    out += (_star(part, own, floor, threshold) if wide is None
-                            else _across(part, own, floor, threshold, wide))
-            if len(out) > 50_000:
-                out = list(set(out))
-                if len(out) > 25_000:
-                    yield dict(zip("ab", list(zip(*out))[:2]), more=[x[2] for x in out])
-                    out = []
-        if out:
-            out = list(set(out))
-            yield dict(zip("ab", list(zip(*out))[:2]), more=[x[2] for x in out])
-
-    return (map_batches(rows, run, "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")))
-
-
-def _confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """``a, b, ok`` by the full sets."""
-    def run(batches):
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= threshold * (len(x) + len(y) - both))
-            yield {"a": b.column(0), "b": b.column(1), "ok": ok}
+        for r in _runs(batches):
+            out = [pair for lo, hi in _regions(r.tail, 0, len(r.node), LEAST)
+                   for pair in region_links(r.part(max(lo - 1, 0), hi), threshold)]   # with the neighbour before it
+            if out:
+                yield dict(zip("ab", zip(*out)))
 
-    joined = (pairs.join(sets.select(F.col("node").alias("b"), F.col("found").alias("found_b")), "b")
-              .join(sets.select(F.col("node").alias("a"), F.col("found").alias("found_a")), "a"))
-    return map_batches(joined.select("a", "b", "found_a", "found_b"), run, "a long, b long, ok boolean")
+    return map_batches(rows, run, "a long, b long").distinct()
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -242,33 +229,26 @@ def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "d
     docs = texts(docs, id_col, text_col)
     rows = land(profiles(docs, size))
     classes = land(rows.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")))
+        F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")))
 
     heads = classes.select("node", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)),
                                                             lambda t: F.col("signature")[2 * t])).alias("tree", "head"))
     crowded = heads.groupBy("tree", "head").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x < y")
     keys = land(heads.join(crowded.select("tree", "head"), ["tree", "head"]))
     near = land(classes.join(keys.select("node").distinct(), "node"))
-    sets = land(_whole_sets(docs, near, size))
-
-    def forest(keys_now, comp):
-        return keys_now.join(near, "node").select(
-            "tree", "head", F.element_at("signature", 2 * F.col("tree") + 2).alias("tail"), "node", "n",
-            comp.alias("comp"), "signature")
-
-    tried = land(_confirm(candidates(forest(keys, F.col("node")), threshold, None), sets, threshold))
-    wide = 8
-    while True:
-        labels = components(tried.filter("ok").select("a", "b"))
-        own = keys.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-        mixed = own.groupBy("tree", "head").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
-        own = own.join(mixed.select("tree", "head"), ["tree", "head"])
-        found = land(candidates(forest(own, F.col("comp")), threshold, wide))
-        fresh = land(found.join(tried, ["a", "b"], "left_anti"))
-        if fresh.isEmpty() and found.filter("more").isEmpty():
-            break
-        wide *= 8
-        tried = land(tried.union(_confirm(fresh, sets, threshold)))
+    near = land(near.drop("doc_id").join(_whole_sets(docs, near, size), "node"))
+
+    def forest(now, comp):
+        return now.join(near, "node").select(
+            "tree", "head", F.element_at("signature", 2 * F.col("tree") + 2).alias("tail"), "node",
+            comp.alias("comp"), "found")
+
+    found = land(links(forest(keys.filter(F.col("tree") < FIRST_TREES), F.col("node")), threshold))
+    own = keys.filter(F.col("tree") >= FIRST_TREES).join(components(found), "node", "left").withColumn(
+        "comp", F.coalesce("root", "node"))
+    mixed = own.groupBy("tree", "head").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
+    own = own.select("tree", "head", "node", "comp").join(mixed.select("tree", "head"), ["tree", "head"])
+    labels = components(land(found.union(links(forest(own, F.col("comp")), threshold))))
 
     # The smallest id of each component, for the classes that have links; other classes are components.
     linked = classes.join(labels, "node")
