@@ -34,7 +34,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     missing = sorted(set(load_all()) - set(oracle_queries()))
-    assert missing == []
+    assert missing == ["table_freshness"]   # file times have no SQL form (see test_sinks)
 
 
 @pytest.mark.parametrize("key", KEYS)

@@ -25,3 +25,8 @@ def test_table_freshness_reads_file_metadata(spark):
     df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     (ts,) = S.table_freshness(df).collect()[0]
     assert ts is not None
+
+
+def test_table_freshness_query(tables):
+    got = {r["table_name"]: r["last_altered"] for r in meta.table_freshness(tables).collect()}
+    assert set(got) == {"orders", "lineitem", "customer", "events"} and all(got.values())

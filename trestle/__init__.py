@@ -6,7 +6,6 @@ Layout
 - ``operators``  DataFrame-level operators (latest row per key, month spines, running totals, unpivot ...).
 - ``sources``    Table loading, control-table driven unions and the test-data analogs.
 - ``plans``      The data products (staging -> intermediate -> marts) and the named query registry.
-- ``streaming``  Nothing: the modelled warehouse has no streams (see module docstring).
 - ``oracle``     Independent DuckDB SQL for every registered query.
 """
 

@@ -35,11 +35,6 @@ def sum_or_null(c) -> Column:
     return F.nullif(F.sum(_col(c)), F.lit(0))
 
 
-def signed_sum(c, factor) -> Column:
-    """A-12: ``factor * SUM(c)``."""
-    return F.lit(factor) * F.sum(_col(c))
-
-
 def to_int(c) -> Column:
     """D23: float -> integer rounds (the dialect) instead of truncating (Spark)."""
     return F.round(_col(c)).cast("bigint")
@@ -53,8 +48,3 @@ def floor_text(c) -> Column:
 def try_number(c, type_: str = "double") -> Column:
     """D11: the dialect casts text silently in numeric contexts; here bad text becomes NULL."""
     return _col(c).try_cast(type_)
-
-
-def cents_to_units(c) -> Column:
-    """Integer cents to a 2-decimal amount."""
-    return (_col(c) / 100).cast("decimal(20,2)")

@@ -8,12 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def sum_by(df: DataFrame, keys: Sequence, cols: Sequence[str], fn: str = "sum") -> DataFrame:
-    """A-1: ``GROUP BY keys`` with one aggregate per column (``sum``/``max``/``min``)."""
-    agg = getattr(F, fn)
-    return df.groupBy(*keys).agg(*[agg(c).alias(c) for c in cols])
-
-
 def cond_sum(df: DataFrame, keys: Sequence, measures: Mapping[str, tuple[Column, Column | int]]) -> DataFrame:
     """A-2: ``SUM(CASE WHEN pred THEN val ELSE 0 END)`` per measure, all in one pass."""
     return df.groupBy(*keys).agg(*[

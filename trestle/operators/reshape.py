@@ -11,6 +11,20 @@ from pyspark.sql import functions as F
 from trestle.functions.dates import month_diff, month_floor
 
 
+def project(df: DataFrame, columns: Mapping[str, str | Column]) -> DataFrame:
+    """P-1: rename/cast projection by a column map: output name -> ``"source"``, ``"source: type"`` or an expression.
+
+    Only the mapped columns are read from the source.
+    """
+    def column(name: str, given: str | Column) -> Column:
+        if isinstance(given, Column):
+            return given.alias(name)
+        source, _, type_ = (x.strip() for x in given.partition(":"))
+        return (F.col(source).cast(type_) if type_ else F.col(source)).alias(name)
+
+    return df.select(*[column(name, given) for name, given in columns.items()])
+
+
 def stack_rows(*dfs: DataFrame, distinct: bool = False) -> DataFrame:
     """U-1/U-2: ``UNION ALL`` by position (D19); ``UNION`` when ``distinct``."""
     out = reduce(DataFrame.union, dfs)

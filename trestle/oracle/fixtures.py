@@ -115,6 +115,9 @@ from events
     "fx_incident": """
 select case when event_id % 50 = 0 then 'Link' else 'http://x/' || cast(event_id as string) end as link,
   lpad(cast(month(ts) as string), 2, '0') || '/' || lpad(cast(day(ts) as string), 2, '0') || '/' || cast(year(ts) as string) as injury_date_text,
+  lpad(cast(event_id % 12 + 1 as string), 2, '0') || ':15 ' || case when event_id % 2 = 0 then 'AM' else 'PM' end as injury_time_text,
+  case when event_id % 3 = 0 then 'Near Miss' else 'Injury' end as incident_type, 'Region ' || cast(user_id % 5 as string) as region,
+  cast(case when event_id % 6 <> 0 then event_id % 30 end as int) as days_lost,
   case event_id % 4 when 0 then 'true' else 'false' end as days_away, case event_id % 5 when 0 then 'true' else 'false' end as transfer, case event_id % 97 when 0 then 'true' else 'false' end as death
 from events where event_type = 'error'
 """,

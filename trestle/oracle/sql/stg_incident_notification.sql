@@ -1,4 +1,4 @@
 select link, regexp_extract(link, '(\d+)$', 1) as report_number,
-  try_strptime(trim(injury_date_text) || ' 10:15 AM', '%m/%d/%Y %I:%M %p') as datetime_of_incident,
-  'Injury' as incident_type, 'Field' as region, injury_date_text as description_1
+  try_strptime(trim(injury_date_text) || ' ' || injury_time_text, '%m/%d/%Y %I:%M %p') as datetime_of_incident,
+  incident_type, region, injury_date_text as description_1
 from fx_incident where link != 'Link'

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trestle.functions import as_bool, as_number, month_floor, parse_date, parse_ts, strip_html
 from trestle.operators import aggregates as A
 from trestle.operators import windows as W
+from trestle.operators.reshape import project
 from trestle.plans.registry import query
 from trestle.sources import control as S
 from trestle.sources.tables import Tables
@@ -18,21 +19,29 @@ from trestle.sources.tables import Tables
 def stg_incident_notification(t: Tables) -> DataFrame:
     """R-1: incident form rows renamed, exported header rows dropped, 12-hour incident time parsed."""
     i = S.drop_header_rows(t.fx.incident, "link", "Link")
-    ts_text = F.concat(F.trim("injury_date_text"), F.lit(" 10:15 AM"))
-    return i.select("link", F.regexp_extract("link", r"(\d+)$", 1).alias("report_number"),
-                    parse_ts(ts_text, "MM/dd/yyyy hh:mm a").alias("datetime_of_incident"),
-                    F.lit("Injury").alias("incident_type"), F.lit("Field").alias("region"),
-                    F.col("injury_date_text").alias("description_1"))
+    return project(i, {
+        "link": "link",
+        "report_number": F.regexp_extract("link", r"(\d+)$", 1),
+        "datetime_of_incident": parse_ts(F.concat_ws(" ", F.trim("injury_date_text"), "injury_time_text"),
+                                         "MM/dd/yyyy hh:mm a"),
+        "incident_type": "incident_type",
+        "region": "region",
+        "description_1": "injury_date_text",
+    })
 
 
 @query("stg_osha_recordable_incidents")
 def stg_osha_recordable_incidents(t: Tables) -> DataFrame:
     """R-2: recordable-incident form rows renamed, 'MM/DD/YYYY' dates parsed, header rows dropped."""
     i = S.drop_header_rows(t.fx.incident, "link", "Link")
-    return i.select("link", parse_date("injury_date_text", "MM/dd/yyyy").alias("injury_date"),
-                    F.col("days_away").alias("select_days_away_from_work"),
-                    F.col("transfer").alias("select_job_transfer_or_restriction"),
-                    F.col("death").alias("select_death"), F.lit(None).cast("int").alias("periods_away_restricted"))
+    return project(i, {
+        "link": "link",
+        "injury_date": parse_date("injury_date_text", "MM/dd/yyyy"),
+        "select_days_away_from_work": "days_away",
+        "select_job_transfer_or_restriction": "transfer",
+        "select_death": "death",
+        "periods_away_restricted": "days_lost: int",
+    })
 
 
 @query("incident_type")

@@ -137,6 +137,17 @@ def indirect_flag(pl: Column, division: Column, year: Column, break_year: int) -
             .when(ind & (year <= break_year - 1), 1).otherwise(0))
 
 
+def gl_flagged(t: Tables, since_year: int = GL_SINCE_YEAR, break_year: int = INDIRECT_BREAK_YEAR) -> DataFrame:
+    """Ledger lines with P&L line, company flag, region, market and indirect-cost flag, without the segment names:
+    what the monthly marts add up.  The region/market dimension is joined as is (see :func:`gl_actuals`)."""
+    from trestle.plans.dimensions import dim_region_market
+
+    rm = dim_region_market(t).select(F.col("department").alias("_rm_dept"), "region", "market")
+    g = gl_lines(t, since_year)
+    return g.join(rm, g.part2 == rm._rm_dept, "left").withColumn(
+        "use_indirect_cost", indirect_flag(F.col("pl_line_item"), F.col("part2"), F.year("mth"), break_year))
+
+
 @query("gl_actuals")
 def gl_actuals(t: Tables, since_year: int = GL_SINCE_YEAR, break_year: int = INDIRECT_BREAK_YEAR) -> DataFrame:
     """R-45/R-66: GL since ``since_year`` + segments and names, P&L line, company flag, region/market,
@@ -145,9 +156,7 @@ def gl_actuals(t: Tables, since_year: int = GL_SINCE_YEAR, break_year: int = IND
     The lookups (departments, segment names) are made distinct before joining; the region/market dimension is
     joined as is (a department listed for two companies duplicates ledger rows, as in the reference).
     """
-    from trestle.plans.dimensions import dim_region_market
-
-    g = gl_lines(t, since_year)
+    g = gl_flagged(t, since_year, break_year)
     div = _divisions(t)
     p1 = _segment_names(t, 1, "natural_account_desc")
     p2 = _segment_names(t, 2, "_p2_desc")
@@ -160,10 +169,7 @@ def gl_actuals(t: Tables, since_year: int = GL_SINCE_YEAR, break_year: int = IND
         "division_description": F.coalesce("_div_desc", "_p2_desc"),
         "account_division_number": F.when(F.col("part2") == "", 0).otherwise(F.col("part2").try_cast("int")),
     })
-    rm = dim_region_market(t).select(F.col("department").alias("_rm_dept"), "region", "market")
-    j = j.join(rm, j.part2 == rm._rm_dept, "left")
     j = j.withColumns({
-        "use_indirect_cost": indirect_flag(F.col("pl_line_item"), F.col("part2"), F.year("mth"), break_year),
         "admin_expense_category": F.when(F.col("pl_line_item") == "admin_expenses",
                                          admin_category(F.col("part2"), F.col("part3"))),
         "region_clean": F.ifnull("region", F.lit("Other")),
@@ -254,18 +260,3 @@ def budget_versions(b: DataFrame) -> DataFrame:
     fc = (fc.join(fc_max, (fc.budget_name == fc_max._bn) & (fc.fc_number == fc_max._max_fc), "inner")
           .drop("_bn", "_max_fc"))
     return plan.unionByName(fc)
-
-
-def gl_actuals_table(t: Tables) -> DataFrame:
-    """``gl_actuals`` materialized once per application for the marts that read it several times (revenue
-    metrics, joint ventures), like a table-materialized model."""
-    from trestle.sources.landing import land
-
-    return land(t.spark, t.root, "model-gl_actuals", gl_actuals(t))
-
-
-def gl_budget_table(t: Tables) -> DataFrame:
-    """``gl_budget`` materialized once per application (revenue metrics, source freshness)."""
-    from trestle.sources.landing import land
-
-    return land(t.spark, t.root, "model-gl_budget", gl_budget(t))

@@ -5,9 +5,9 @@ Plan of the monthly spine (the largest product: phases x months per job):
 
 * one scan of the cost detail yields both the job bounds (min/max month) and the per-(job, phase, month) facts
   (five conditional sums), instead of the reference's three scans + UNION;
-* the month spine is generated after joining the distinct phases to the one-row-per-job bounds, with
-  ``sequence`` + ``explode`` (no number table, no nested loop join);
-* spine and facts meet in one equi join, and the five running totals share one window specification.
+* the distinct phases carry their job's bounds through the one exchange on the running-total key, and their months
+  are generated behind it with ``sequence`` + ``explode`` (no number table, no nested loop join, no filler moved);
+* the five running totals share one window specification inside the same partitions.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from trestle import DEFAULT_AS_OF
 from trestle.functions import date_lit, month_floor, shift_date
-from trestle.operators import reshape as U
 from trestle.plans.finance import change_orders, contract_master
 from trestle.plans.registry import query
 from trestle.sources.tables import Tables
@@ -72,15 +71,13 @@ def _facts(detail: DataFrame) -> DataFrame:
         F.max(F.col("is_actual") | e | F.col("is_committed")).alias("_any"))
 
 
-def _spine(t: Tables, detail: DataFrame, as_of, years: int) -> DataFrame:
+def _phase_spans(t: Tables, detail: DataFrame, as_of, years: int) -> DataFrame:
+    """Distinct phases with the first and last month of their job."""
     relevant = detail.filter(F.col("is_actual") | F.col("is_estimate") | F.col("is_committed"))
     bounds = (relevant.groupBy("jcco", "job")
               .agg(month_floor(F.min("month_date")).alias("min_month"), month_floor(F.max("month_date")).alias("max_month"))
               .filter(F.col("min_month") >= month_floor(shift_date(date_lit(as_of), -years, "year"))))
-    phases = detail.select(*PHASE_KEYS).distinct()
-    spine = U.month_spine(phases.join(bounds, ["jcco", "job"]), F.col("min_month"), F.col("max_month"),
-                          out="month_date")
-    return spine.select(*PHASE_KEYS, "month_date")
+    return detail.select(*PHASE_KEYS).distinct().join(bounds, ["jcco", "job"])
 
 
 @query("job_cost_monthly")
@@ -92,18 +89,19 @@ def job_cost_monthly(t: Tables, as_of=AS_OF, years: int = JOB_HISTORY_YEARS) ->
     frame is deterministic.
     """
     detail = _detail(t)
-    facts = _facts(detail).drop("_any").withColumn("_in_spine", F.lit(0))
-    spine = _spine(t, detail, as_of, years).select(
-        *PHASE_KEYS, "month_date", *[F.lit(0).cast("bigint").alias(m) for m in MEASURES],
-        F.lit(1).alias("_in_spine"))
-    # Densify without a join: spine rows (zero measures) and fact rows are unioned and hash-partitioned once on
-    # the running-total key; the per-month sum (which needs only a subset of that key) and the window then run
-    # inside those partitions without another exchange.  Facts outside the spine (jobs older than the cutoff)
-    # are dropped by the spine flag.
+    facts = _facts(detail).drop("_any")
+    spans = _phase_spans(t, detail, as_of, years)
+    # Densify without a join: one row per phase with its span, and the fact rows, are unioned and hash-partitioned
+    # once on the running-total key.  The months of a span are made after that exchange, so no filler row is moved;
+    # the per-month sum and the window then run inside those partitions.  Facts outside the spine (jobs older than
+    # the cutoff) are dropped by the spine flag.
     run_keys = ["job", "cost_type", "phase_group", "phase"]
-    both = spine.unionByName(facts).repartition(*run_keys)
+    both = facts.unionByName(spans, allowMissingColumns=True).repartition(*run_keys)
+    in_span = F.col("min_month").isNotNull()
+    months = F.when(in_span, F.sequence("min_month", "max_month", F.expr("interval 1 month"))).otherwise(F.array("month_date"))
+    both = both.withColumn("month_date", F.explode(months)).withColumn("_in_spine", in_span.cast("int"))
     filled = (both.groupBy(*PHASE_KEYS, "month_date")
-              .agg(*[F.sum(m).alias(m) for m in MEASURES], F.max("_in_spine").alias("_in_spine"))
+              .agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MEASURES], F.max("_in_spine").alias("_in_spine"))
               .filter(F.col("_in_spine") == 1).drop("_in_spine"))
     w = (Window.partitionBy(*run_keys).orderBy("month_date", "jcco")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))

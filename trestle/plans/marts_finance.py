@@ -10,8 +10,7 @@ from trestle import DEFAULT_AS_OF
 from trestle.functions import region_code, safe_div
 from trestle.operators import reshape as U
 from trestle.operators.windows import where_max
-from trestle.plans.gl import (GL_SINCE_YEAR, budget_versions, gl_account_summary, gl_actuals_table,
-                              gl_budget_table)
+from trestle.plans.gl import (GL_SINCE_YEAR, budget_versions, gl_account_summary, gl_budget, gl_flagged)
 from trestle.plans.registry import query
 from trestle.sources import control as S
 from trestle.sources.tables import Tables
@@ -84,13 +83,13 @@ def revenue_metrics(t: Tables, as_of=DEFAULT_AS_OF, since_year: int = METRICS_SI
     the plan slices keep the rows of the text-greatest FC number of their slice (W-7, a scalar max per slice).
     """
     y = as_of.year
-    act = _pl_sums(gl_actuals_table(t).filter((F.col("include_company") == 1)
+    act = _pl_sums(gl_flagged(t).filter((F.col("include_company") == 1)
                                                      & (F.col("mth") >= F.lit(f"{since_year}-01-01").cast("date"))),
                    "netamt_cents", ["mth"])
     yr = F.year("mth")
     actual = U.labelled_slices(act, {str(y - 2): yr == y - 2, str(y - 1): yr == y - 1, f"{y} YTD": yr == y},
                                label_col="rev_type")
-    bud = _pl_sums(gl_budget_table(t).filter((F.col("include_company") == 1)
+    bud = _pl_sums(gl_budget(t).filter((F.col("include_company") == 1)
                                                     & (F.col("mth") >= F.lit(f"{since_year}-01-01").cast("date"))),
                    "budget_cents", ["mth", "budget_type", "budget_name", "fc_number", "mth_year"])
     plan_now = where_max(bud.filter((F.col("mth_year") == y) & (F.col("budget_type") == "Plan")), "fc_number") \
@@ -171,7 +170,7 @@ def joint_ventures(t: Tables, company: str = JV_COMPANY, as_of=DEFAULT_AS_OF, ye
     """
     from trestle.functions import month_floor, shift_date
 
-    g = gl_actuals_table(t)
+    g = gl_flagged(t)
     bounds = (g.groupBy("glco").agg(month_floor(F.min("mth")).alias("min_month"), month_floor(F.max("mth")).alias("max_month"))
               .filter(F.col("min_month") >= month_floor(shift_date(F.lit(as_of.isoformat()).cast("date"), -years, "year"))))
     spine = U.month_spine(bounds, F.col("min_month"), F.col("max_month"), out="mth").select("glco", "mth")

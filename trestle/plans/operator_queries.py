@@ -84,16 +84,15 @@ def load_window(t: Tables) -> DataFrame:
 @query("project_mapping")
 def project_mapping(t: Tables) -> DataFrame:
     """P-1: rename/cast projection driven by a column map."""
-    mapping = {
-        "opportunity_version_id": F.col("version_id"),
-        "opportunity_id": F.col("opportunity_id"),
-        "last_load_dt": F.col("load_ts"),
-        "stage_type": F.col("stage_type"),
+    return U.project(t.fx.opportunity, {
+        "opportunity_version_id": "version_id",
+        "opportunity_id": "opportunity_id",
+        "last_load_dt": "load_ts",
+        "stage_type": "stage_type",
         "delete_record": as_bool("delete_record"),
         "size": as_number(F.col("size_text")).cast("bigint"),
-        "market_name": F.col("market_name"),
-    }
-    return t.fx.opportunity.select(*[expr.alias(name) for name, expr in mapping.items()])
+        "market_name": "market_name",
+    })
 
 
 @query("like_rules")

@@ -281,6 +281,11 @@ class Analogs:
                         F.concat_ws("/", F.lpad(F.month(e.ts).cast("string"), 2, "0"),
                                     F.lpad(F.dayofmonth(e.ts).cast("string"), 2, "0"),
                                     F.year(e.ts).cast("string")).alias("injury_date_text"),
+                        F.concat(F.lpad((e.event_id % 12 + 1).cast("string"), 2, "0"), F.lit(":15 "),
+                                 F.when(e.event_id % 2 == 0, "AM").otherwise("PM")).alias("injury_time_text"),
+                        F.when(e.event_id % 3 == 0, "Near Miss").otherwise("Injury").alias("incident_type"),
+                        F.concat(F.lit("Region "), (e.user_id % 5).cast("string")).alias("region"),
+                        F.when(e.event_id % 6 != 0, e.event_id % 30).cast("int").alias("days_lost"),
                         flag(4).alias("days_away"), flag(5).alias("transfer"), flag(97).alias("death")))
 
     @cached_property
