@@ -121,4 +121,27 @@ select * from (values
 ) as b(metric, low, below, grade)
 """,
 }
-EXTRA_DEPS: dict[str, list[str]] = {"fx_segment": ["fx_gl"]}
+# Lookups: accounts, budget codes, phase and cost-type names, each with some entries absent.
+EXTRA_SQL |= {
+    "fx_account": """
+select *, 'Account ' || glacct as description, case left(part1, 1) when '4' then 'I' when '1' then 'A' else 'E' end as acct_type
+from (
+  select distinct glco, part1 || '.' || part2 || '.' || part3 as glacct, part1, part2, part3 from fx_gl
+  union
+  select distinct gl_co, gl_account, split_part(gl_account, '.', 1), split_part(gl_account, '.', 2), '' from fx_budget)
+where not (part1 = '61000' and cast(glco as int) % 13 = 0)
+""",
+    "fx_budget_code": """
+select distinct gl_co as glco, budget_code, 'Budget ' || budget_code as description from fx_budget where cast(gl_co as int) % 11 <> 0
+""",
+    "fx_phase_name": """
+select distinct jcco, job, phase_group, phase, 'Phase ' || left(phase, 6) as description from fx_job_cost where phase not like '80%'
+""",
+    "fx_cost_type": """
+select distinct phase_group, cost_type, case cost_type when '1' then 'Labor' when '2' then 'Material' else 'Subcontract' end as name
+from fx_job_cost where cost_type <> '4'
+""",
+}
+EXTRA_DEPS: dict[str, list[str]] = {"fx_segment": ["fx_gl"], "fx_account": ["fx_gl", "fx_budget"],
+                                    "fx_budget_code": ["fx_budget"], "fx_phase_name": ["fx_job_cost"],
+                                    "fx_cost_type": ["fx_job_cost"]}

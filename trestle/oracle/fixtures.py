@@ -48,19 +48,28 @@ select cast(s_suppkey % 2 + 1 as string) as jcco, cast(s_suppkey + 123000 as str
   case when s_suppkey % 10 = 0 then date '1980-01-01' else date '1996-01-01' end + cast(s_suppkey % 700 as int) as start_date,
   cast(floor(s_acctbal * 1000) as bigint) as orig_contract_cents,
   cast(floor(s_acctbal * 1000) as bigint) + s_suppkey * 700 as contract_cents,
-  case when s_suppkey % 4 = 1 then date '2001-01-01' + cast(s_suppkey % 90 as int) end as actual_close_date
+  case when s_suppkey % 4 = 1 then date '2001-01-01' + cast(s_suppkey % 90 as int) end as actual_close_date,
+  case when s_suppkey % 8 = 3 then date '2001-03-01' end as month_closed, s_nationkey as customer,
+  cast(s_suppkey % 3 as int) as contract_status, cast(floor(s_acctbal * 1000) as bigint) * 3 as received_cents
 from supplier
 """,
     "fx_change_item": """
 select o_orderkey as key_id, cast(o_custkey % 2 + 1 as string) as jcco, cast(o_custkey % 100 + 123000 as string) || '.' as project,
   case o_orderstatus when 'F' then 'Y' when 'O' then 'N' else null end as approved,
-  case when o_orderkey % 3 = 0 then o_orderkey else null end as posted_key,
+  'A' || cast(o_orderkey % 97 as string) as aco, o_orderkey // 97 as aco_item,
   cast(o_orderdate as date) as approved_date,
   cast(floor(o_totalprice * 100) as bigint) as approved_cents, cast(floor(o_totalprice * 40) as bigint) as pending_cents, cast(floor(o_totalprice * 90) as bigint) as fixed_cents
 from orders
+""",
+    "fx_posted_item": """
+select o_orderkey * 10 + 7 as key_id, cast(o_custkey % 2 + 1 as string) as jcco, cast(o_custkey % 100 + 123000 as string) || '.' as job,
+  'A' || cast(o_orderkey % 97 as string) as aco, o_orderkey // 97 as aco_item, cast(date_trunc('month', o_orderdate) as date) as approved_month
+from orders where o_orderkey % 3 = 0
 """,
     "fx_override": """
-select jcco, trim(job) as contract, mth, sum(est_cents) - sum(est_cents) % 1000 as proj_revenue, sum(proj_cents) * 0 as proj_over_cost
+select jcco, trim(job) as contract, mth, sum(est_cents) - sum(est_cents) % 1000 as proj_revenue,
+  case when month(mth) % 4 = 0 then sum(proj_cents) + 1000 else 0 end as proj_over_cost,
+  case when month(mth) = 6 then sum(est_cents) - sum(est_cents) % 7 end as actual_cost
 from fx_job_cost where trans_type = 'CO' and phase like '05%' group by jcco, trim(job), mth
 """,
     "fx_week": """
@@ -127,7 +136,10 @@ select 'sheet_' || lower(o_orderstatus) as sheet_name,
        else substr(cast(cast(o_orderdate as date) as string), 1, 10) || ' 00:00:00' end as month_text,
   o_orderpriority as region, cast(o_orderkey as string) as title,
   case o_orderkey % 6 when 0 then ' - ' when 1 then 'nan' when 2 then '(' || cast(o_orderkey % 9 + 1 as string) || ',' || lpad(cast(o_orderkey % 1000 as string), 3, '0') || ')' when 3 then '-5' when 4 then null
-       else cast(o_orderkey % 9 + 1 as string) || ',' || lpad(cast(o_orderkey % 1000 as string), 3, '0') || '.50' end as amount_text
+       else cast(o_orderkey % 9 + 1 as string) || ',' || lpad(cast(o_orderkey % 1000 as string), 3, '0') || '.50' end as amount_text,
+  case (o_orderkey + 2) % 6 when 0 then ' - ' when 1 then 'nan' when 2 then '(' || cast(o_orderkey % 9 + 1 as string) || ',' || lpad(cast(o_orderkey % 1000 as string), 3, '0') || ')' when 3 then '-5' when 4 then null
+       else cast(o_orderkey % 9 + 1 as string) || ',' || lpad(cast(o_orderkey % 1000 as string), 3, '0') || '.50' end as actual_text,
+  case o_custkey % 4 when 0 then 'EDU' when 1 then 'HC' when 2 then 'IND' else 'Water' end as market_channel
 from orders
 """,
     "fx_control": """

@@ -1,13 +1,10 @@
-with b as (
-  select key_id, jcco, project, posted_key as jcoi_key_id, cast(date_trunc('month', approved_date) as date) as approved_month
-  from fx_change_item where posted_key is not null
-), j as (
-  select a.jcco as pmco, trim(a.project) as project, trim(a.project) as contract, a.approved, a.approved_date,
-    a.approved_cents, a.fixed_cents, b.approved_month, a.key_id as pmoi_key_id, b.jcoi_key_id,
-    case when a.approved = 'Y' and b.key_id is null then true when a.approved != 'Y' then true else false end as is_pending,
-    case when a.approved = 'Y' and b.key_id is null then a.approved_cents when a.approved != 'Y' then a.pending_cents
-         else a.fixed_cents end as pending_cents
-  from fx_change_item a left join b on a.key_id = b.key_id and a.jcco = b.jcco and a.project = b.project
+with posted as (
+  select key_id as jcoi_key_id, jcco, job as project, aco, aco_item, approved_month from fx_posted_item
 )
-select * from j
-qualify row_number() over (partition by pmoi_key_id, jcoi_key_id order by approved_date asc nulls last) = 1
+select jcco as pmco, trim(project) as project, trim(project) as contract, approved, approved_date, approved_cents, fixed_cents,
+  approved_month, key_id as pmoi_key_id, jcoi_key_id,
+  coalesce(approved <> 'Y' or jcoi_key_id is null and approved = 'Y', false) as is_pending,
+  if(approved <> 'Y', pending_cents, if(approved = 'Y' and jcoi_key_id is null, approved_cents, fixed_cents)) as pending_cents
+from (
+  select distinct on (key_id, jcoi_key_id) * from fx_change_item left join posted using (jcco, project, aco, aco_item)
+  order by key_id, jcoi_key_id, approved_date)

@@ -1,18 +1,15 @@
-with g as (
-  select trim(glco) as gl_co, part1 || '.' || part2 || '.' || part3 as gl_account, part1 as natural_account, part2 as account_division,
-    part3 as account_department, trim(cast(mth as varchar)) as mth, trim(cast(netamt_cents as varchar)) as net_amount
-  from fx_gl
-), ad as (
-  select g.*, coalesce(dm.description, p2.description) as division_description
-  from g left join fx_dept dm on trim(g.account_division) = trim(dm.department) and trim(g.gl_co) = trim(dm.glco)
-  left join fx_segment p2 on trim(g.account_division) = trim(p2.instance) and g.gl_co = p2.glco and p2.partno = 2
-), na as (
-  select ad.*, p1.description as natural_account_desc
-  from ad left join fx_segment p1 on ad.natural_account = trim(p1.instance) and ad.gl_co = trim(p1.glco) where p1.partno = 1
-), dd as (
-  select na.*, p3.description as department_description
-  from na left join fx_segment p3 on na.gl_co = trim(p3.glco) and na.account_department = trim(p3.instance) where p3.partno = 3
+with name as (
+  select partno, trim(glco) as co, trim(instance) as code, description as label from fx_segment
+), entry as (
+  select trim(glco) as gl_co, concat_ws('.', part1, part2, part3) as gl_account, * from fx_gl
 )
-select gl_co, gl_account, natural_account, natural_account_desc, account_division, division_description, account_department,
-  department_description, mth, net_amount
-from dd
+select e.gl_co, e.gl_account, a.description as account_description, a.acct_type as account_type, e.part1 as natural_account,
+  n1.label as natural_account_desc, e.part2 as account_division, coalesce(d.description, n2.label) as division_description,
+  e.part3 as account_department, n3.label as department_description, cast(e.mth as varchar) as mth,
+  cast(e.netamt_cents as varchar) as net_amount
+from entry e
+  join name n1 on n1.partno = 1 and n1.co = e.gl_co and n1.code = e.part1
+  join name n3 on n3.partno = 3 and n3.co = e.gl_co and n3.code = e.part3
+  left join name n2 on n2.partno = 2 and n2.co = e.gl_co and n2.code = e.part2
+  left join fx_dept d on trim(d.glco) = e.gl_co and trim(d.department) = e.part2
+  left join fx_account a on a.glco = e.gl_co and a.glacct = e.gl_account

@@ -19,7 +19,8 @@ with cost as (
     left join posted p on (p.jcco, p.job, p.cost_type, p.phase_group, p.phase, p.month_date)
       = (ph.jcco, ph.job, ph.cost_type, ph.phase_group, ph.phase, life.at)
 )
-select *, left(phase, 11) as phase_core, left(phase, 2) as division,
+select g.*, pn.name as phase_name, ct.name as cost_type_name, cost_type || ' - ' || ct.name as cost_type_description,
+  phase || ' - ' || pn.name as phase_description, left(phase, 11) as phase_core, left(phase, 2) as division,
   cast(division not in ('80', '96', '97', '98') and round((cumulative_projected - cumulative_actual_cost) / 100) < 0 as int) as negative_ctc_indicator,
   cast(division not in ('80', '96', '97', '98') and cost_type in ('2', '3') and cumulative_committed_cost > 0
        and cumulative_projected > cumulative_actual_cost and cumulative_projected >= 1.05 * cumulative_committed_cost as int) as po_variance_opp_indicator,
@@ -35,4 +36,7 @@ from (
   select *, cast(sum(original_est) over upto as bigint) as cumulative_original_est, cast(sum(current_est) over upto as bigint) as cumulative_current_est,
     cast(sum(projected) over upto as bigint) as cumulative_projected, cast(sum(actual_cost) over upto as bigint) as cumulative_actual_cost,
     cast(sum(committed_cost) over upto as bigint) as cumulative_committed_cost
-  from grid window upto as (partition by job, cost_type, phase_group, phase order by month_date, jcco rows unbounded preceding))
+  from grid window upto as (partition by job, cost_type, phase_group, phase order by month_date, jcco rows unbounded preceding)) g
+  left join (select trim(jcco) as jcco, trim(job) as job, trim(phase_group) as phase_group, trim(phase) as phase,
+      any_value(description) as name from fx_phase_name group by 1, 2, 3, 4) pn using (jcco, job, phase_group, phase)
+  left join fx_cost_type ct using (phase_group, cost_type)

@@ -1,6 +1,6 @@
 with cm as (
   select trim(jcco) as jcco, trim(contract) as contract, trim(contract) as job, description,
-    coalesce(owner_contract_date, start_date) as start_date, orig_contract_cents, contract_cents, actual_close_date
+    coalesce(owner_contract_date, start_date) as start_date, orig_contract_cents, contract_cents, received_cents, coalesce(actual_close_date, month_closed) as close_date, customer, contract_status
   from fx_contract
 ), est as (
   select trim(jcco) as jcco, trim(job) as job,
@@ -10,18 +10,10 @@ with cm as (
   from fx_job_cost where trim(trans_type) in ('OE', 'CO', 'PF') group by 1, 2
 ), ctd as (
   select trim(jcco) as jcco, trim(job) as job, sum(actual_cents) as cost_to_date from fx_job_cost where actual_cents != 0 group by 1, 2
-), chg as (
-  select a.*, b.key_id as b_key,
-    case when a.approved = 'Y' and b.key_id is null then true when a.approved != 'Y' then true else false end as is_pending,
-    case when a.approved = 'Y' and b.key_id is null then a.approved_cents when a.approved != 'Y' then a.pending_cents
-         else a.fixed_cents end as pend_cents
-  from fx_change_item a left join (select key_id, jcco, project from fx_change_item where posted_key is not null) b
-    on a.key_id = b.key_id and a.jcco = b.jcco and a.project = b.project
 ), co as (
-  select jcco, trim(project) as job,
-    sum(case when is_pending = false then approved_cents else 0 end) as approved_change_orders,
-    sum(case when is_pending = true then pend_cents else 0 end) as pending_change_orders
-  from chg group by 1, 2
+  select pmco as jcco, project as job,
+    sum(if(is_pending, 0, approved_cents)) as approved_change_orders, sum(if(is_pending, pending_cents, 0)) as pending_change_orders
+  from q_change_orders group by all
 ), ar as (
   select trim(jcco) as jcco, trim(contract) as job, sum(invoiced_cents) - sum(paid_cents) - sum(retainage_cents) as ar_balance,
     sum(invoiced_cents) as billed_amt, sum(retainage_cents) as current_retain_amt
@@ -31,7 +23,7 @@ with cm as (
   from fx_ap_line a left join fx_ap_pay b using (apco, mth, aptrans, apline) where b.paid_date is null group by 1, 2
 ), h as (
   select distinct cm.jcco, cm.contract, cm.job, cm.description, cm.job || ' - ' || cm.description as job_number_name,
-    cm.start_date, cm.actual_close_date, cm.orig_contract_cents as orig_contract_amt, cm.contract_cents as contract_amt, cast(ar.billed_amt as bigint) as billed_amt,
+    cm.start_date, cm.close_date, cm.customer, cm.contract_status, cm.orig_contract_cents as orig_contract_amt, cm.contract_cents as contract_amt, cm.received_cents as received_amt, cast(ar.billed_amt as bigint) as billed_amt,
     cast(ar.current_retain_amt as bigint) as current_retain_amt,
     cast(co.approved_change_orders as bigint) as approved_change_orders, cast(co.pending_change_orders as bigint) as pending_change_orders,
     cast(cm.orig_contract_cents - est.orig_estimate as bigint) as orig_gross_margin,

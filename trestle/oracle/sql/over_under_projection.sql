@@ -17,5 +17,5 @@ with jd as (
          when proj_estimate < curr_estimate then 'under' end as comp_curr_est
   from jd left join pj on jd.jcco = pj.jcco and jd.job = pj.job
 )
-select * from x where start_date >= date '1997-01-01' and (percent_complete >= 98 or actual_close_date is not null)
+select * from x where start_date >= date '1996-01-01' and (percent_complete >= 98 or actual_close_date is not null)
   and cost_to_date > 0 and percent_complete <= 100

@@ -5,7 +5,7 @@ with u as (
 select
   cast(date_trunc('month', coalesce(cast(try_strptime(month_text, '%b-%y') as date),
     cast(try_strptime(replace(month_text, ' 00:00:00', ''), '%Y-%m-%d') as date))) as date) as month_date,
-  region, title as project, source_table, file_month_year,
+  region, market_channel, title as project, source_table, file_month_year,
   cast(case when trim(amount_text) = '-' then null when trim(amount_text) = 'nan' then null
        when amount_text like '%(%)%' then -1 * try_cast(replace(replace(replace(amount_text, ',', ''), '(', ''), ')', '') as decimal(38,0))
        else try_cast(replace(amount_text, ',', '') as decimal(38,0)) end as bigint) as pending_backlog_revenue,

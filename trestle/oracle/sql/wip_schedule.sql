@@ -9,17 +9,22 @@ with month as (        -- one row per job and month with the running cost totals
   where exists (from month o where o.jcco = m.jcco and o.job = m.job and o.mth = k.change_month)
   group by all
 ), override as (
-  select jcco, contract as job, mth, nullif(sum(proj_revenue), 0) as revenue, nullif(sum(proj_over_cost), 0) as cost
+  select jcco, contract as job, mth, nullif(sum(proj_revenue), 0) as revenue, nullif(sum(proj_over_cost), 0) as cost, nullif(sum(actual_cost), 0) as actual
   from fx_override group by all
+), restated as (       -- overrides of the actual cost add up over the months that the job has
+  select m.jcco, m.job, m.mth, cast(sum(o.actual) as double) as spent
+  from month m join override o on o.jcco = m.jcco and o.job = m.job and o.mth <= m.mth
+  where exists (from month x where x.jcco = m.jcco and x.job = m.job and x.mth = o.mth) group by all
 )
 select jcco, job, mth, tj_contract_amount, cast(tj_cost as bigint) as tj_cost, tj_margin, round(margin_share, 6) as tj_margin_pct,
   round(earned + spent, 2) as jtd_revenue, cast(spent as bigint) as jtd_cost, round(earned, 2) as jtd_margin,
   round(done, 6) as jtd_percent_complete, round(tj_contract_amount - (earned + spent), 2) as backlog_revenue,
   round(tj_margin - earned, 2) as backlog_margin
 from (
-  select m.jcco, m.job, m.mth, round(m.spent) as spent, round(coalesce(cast(o.revenue as double), g.amount)) as tj_contract_amount,
+  select m.jcco, m.job, m.mth, round(coalesce(r.spent, m.spent)) as spent, round(coalesce(cast(o.revenue as double), g.amount)) as tj_contract_amount,
     round(coalesce(cast(o.cost as double), m.projected)) as tj_cost, tj_contract_amount - tj_cost as tj_margin,
-    if(tj_cost = 0, 0.0, m.spent / tj_cost) as done,
+    if(tj_cost = 0, 0.0, round(coalesce(r.spent, m.spent)) / tj_cost) as done,
     if(tj_contract_amount = 0, 0.0, tj_margin / tj_contract_amount) as margin_share,
     if(tj_margin < 0, tj_margin, done * tj_margin) as earned     -- a loss counts in full at once
-  from month m left join granted g using (jcco, job, mth) left join override o using (jcco, job, mth))
+  from month m left join granted g using (jcco, job, mth) left join override o using (jcco, job, mth)
+    left join restated r using (jcco, job, mth))

@@ -34,17 +34,16 @@ def contract_master(t: Tables) -> DataFrame:
     return c.select(F.trim("jcco").alias("jcco"), F.trim("contract").alias("contract"),
                     F.trim("contract").alias("job"), "description", start_month.alias("start_month"),
                     F.coalesce("owner_contract_date", "start_date", start_month).alias("start_date"),
-                    "orig_contract_cents", "contract_cents", "actual_close_date")
+                    "orig_contract_cents", "contract_cents", "received_cents", "actual_close_date", "month_closed", "customer",
+                    "contract_status")
 
 
 @query("change_orders")
 def change_orders(t: Tables) -> DataFrame:
     """R-16: owner change items left-joined to posted items; pending rule; dedupe on both key ids (W-2)."""
-    items = t.fx.change_item
-    posted = items.filter(F.col("posted_key").isNotNull()).select(
-        "key_id", "jcco", "project", F.col("posted_key").alias("jcoi_key_id"),
-        month_floor("approved_date").alias("approved_month"))
-    j = items.join(posted, ["key_id", "jcco", "project"], "left")
+    posted = t.fx.posted_item.select("aco", "aco_item", "jcco", F.col("job").alias("project"),
+                                     F.col("key_id").alias("jcoi_key_id"), "approved_month")
+    j = t.fx.change_item.join(posted, ["aco", "aco_item", "jcco", "project"], "left")
     approved_unposted = (F.col("approved") == "Y") & F.col("jcoi_key_id").isNull()
     not_approved = F.col("approved") != "Y"
     out = j.select(
@@ -109,7 +108,7 @@ def accounts_receivable(t: Tables) -> DataFrame:
 # --- budget -----------------------------------------------------------------------------------------------------
 @query("budget_parsed")
 def budget_parsed(t: Tables, since_year: int = BUDGET_SINCE_YEAR) -> DataFrame:
-    """R-23: budget lines + account segments + department; year text and FC number parsed from the code.
+    """R-23: budget lines + account and budget-code lookups + department; year text and FC number from the code.
 
     ``budget_year`` and ``fc_number`` stay text (D12: FC numbers order lexicographically downstream); the year
     filter casts the text (D11).
@@ -117,12 +116,17 @@ def budget_parsed(t: Tables, since_year: int = BUDGET_SINCE_YEAR) -> DataFrame:
     b = t.fx.budget.filter(F.col("mth") >= F.lit(f"{since_year}-01-01").cast("date"))
     dept = t.fx.dept.select(F.trim("department").alias("_dept"), F.trim("glco").alias("_co"),
                             F.col("description").alias("department_description"))
-    b = b.withColumns({"natural_account": part("gl_account", ".", 1),
-                       "account_division": part("gl_account", ".", 2),
-                       "account_department": part("gl_account", ".", 3)})
+    acct = t.fx.account.select(F.col("glco").alias("_aco"), F.col("glacct").alias("_acct"),
+                               F.col("part1").alias("natural_account"), F.col("part2").alias("account_division"),
+                               F.col("part3").alias("account_department"), F.col("description").alias("account_description"),
+                               F.col("acct_type").alias("account_type"))
+    code = t.fx.budget_code.select(F.col("glco").alias("_bco"), F.col("budget_code").alias("_code"),
+                                   F.col("description").alias("budget_description"))
+    b = (b.join(acct, (b.gl_co == acct._aco) & (b.gl_account == acct._acct), "left")
+         .join(code, (b.gl_co == code._bco) & (b.budget_code == code._code), "left"))
     j = b.join(dept, (F.trim(b.account_division) == dept._dept) & (F.trim(b.gl_co) == dept._co), "left")
     out = j.select("gl_co", "gl_account", "natural_account", "account_division", "account_department",
-                   "department_description", "budget_code", part("budget_code", " ", 1).alias("budget_year"),
+                   "account_description", "account_type", "department_description", "budget_code", "budget_description", part("budget_code", " ", 1).alias("budget_year"),
                    regex_group("budget_code", r"FC([0-9.]+)").alias("fc_number"), "mth", "budget_cents")
     return out.filter(F.col("budget_year").try_cast("int") >= since_year)
 
@@ -132,17 +136,19 @@ def budget_parsed(t: Tables, since_year: int = BUDGET_SINCE_YEAR) -> DataFrame:
 def new_sales_clean(t: Tables) -> DataFrame:
     """R-3/R-26/R-53: sales files (every listed file, fixed columns), month floor, amounts parsed."""
     u = S.union_controlled(t.fx.control, family=t.fx.sheet, family_key="sheet_name", active_only=False,
-                           columns=["month_text", "region", "title", "amount_text"], with_month=False)
-    return u.select(first_of_month("month_text").alias("month_date"), "source_table", "region",
-                    F.col("title").alias("project"), parse_amount("amount_text").cast("bigint").alias("plan_sales"))
+                           columns=["month_text", "region", "market_channel", "title", "amount_text", "actual_text"],
+                           with_month=False)
+    return u.select(first_of_month("month_text").alias("month_date"), "source_table", "region", "market_channel",
+                    F.col("title").alias("project"), parse_amount("amount_text").cast("bigint").alias("plan_sales"),
+                    parse_amount("actual_text").cast("bigint").alias("actual_sales"))
 
 
 @query("pending_backlog_clean")
 def pending_backlog_clean(t: Tables) -> DataFrame:
     """R-4/R-51: active backlog files; revenue and margin parsed with their two different hyphen rules."""
     u = S.union_controlled(t.fx.control, family=t.fx.sheet, family_key="sheet_name")
-    return u.select(first_of_month("month_text").alias("month_date"), "region", F.col("title").alias("project"),
-                    "source_table", "file_month_year",
+    return u.select(first_of_month("month_text").alias("month_date"), "region", "market_channel",
+                    F.col("title").alias("project"), "source_table", "file_month_year",
                     parse_amount("amount_text").cast("bigint").alias("pending_backlog_revenue"),
                     parse_amount("amount_text", any_hyphen_null=True).cast("bigint").alias("pending_backlog_margin"))
 
@@ -208,7 +214,7 @@ def job_dimension(t: Tables, as_of=AS_OF, years: int = 10) -> DataFrame:
     r6 = lambda c: F.round(c, 6)
     out = h.select(
         "jcco", "contract", "job", "description", F.concat("job", F.lit(" - "), "description").alias("job_number_name"),
-        "start_date", "actual_close_date", orig.alias("orig_contract_amt"), now.alias("contract_amt"), "billed_amt", "current_retain_amt",
+        "start_date", F.coalesce("actual_close_date", "month_closed").alias("close_date"), "customer", "contract_status", orig.alias("orig_contract_amt"), now.alias("contract_amt"), F.col("received_cents").alias("received_amt"), "billed_amt", "current_retain_amt",
         "approved_change_orders", "pending_change_orders",
         (orig - F.col("orig_estimate")).alias("orig_gross_margin"),
         (now - F.col("curr_estimate")).alias("curr_gross_margin"),

@@ -81,6 +81,11 @@ def _segment_names(t: Tables, partno: int, name: str) -> DataFrame:
                     F.trim("description").alias(name)).distinct()
 
 
+def _accounts(t: Tables) -> DataFrame:
+    return t.fx.account.select(F.trim("glco").alias("_aco"), F.trim("glacct").alias("_acct"),
+                               F.col("description").alias("account_description"), F.col("acct_type").alias("account_type"))
+
+
 def _divisions(t: Tables) -> DataFrame:
     return t.fx.dept.select(F.trim("department").alias("_dept"), F.trim("glco").alias("_dco"),
                             F.trim("description").alias("_div_desc")).distinct()
@@ -105,11 +110,13 @@ def gl_account_summary(t: Tables) -> DataFrame:
         F.trim("instance").alias("_i1"), F.trim("glco").alias("_c1"), F.col("description").alias("natural_account_desc"))
     p3 = t.fx.segment.filter(F.col("partno") == 3).select(
         F.trim("instance").alias("_i3"), F.trim("glco").alias("_c3"), F.col("description").alias("department_description"))
+    ac = _accounts(t)
+    g = g.join(ac, (g.gl_co == ac._aco) & (g.gl_account == ac._acct), "left")
     j = (g.join(dm, (F.trim(g.account_division) == dm._dept) & (F.trim(g.gl_co) == dm._dco), "left")
          .join(p2, (F.trim(g.account_division) == p2._i2) & (g.gl_co == p2._c2), "left")
          .join(p1, (g.natural_account == p1._i1) & (g.gl_co == p1._c1), "inner")
          .join(p3, (g.gl_co == p3._c3) & (g.account_department == p3._i3), "inner"))
-    return j.select("gl_co", "gl_account", "natural_account", "natural_account_desc", "account_division",
+    return j.select("gl_co", "gl_account", "account_description", "account_type", "natural_account", "natural_account_desc", "account_division",
                     F.coalesce("_dm_desc", "_p2_desc").alias("division_description"), "account_department",
                     "department_description", "mth", "net_amount")
 
@@ -157,6 +164,8 @@ def gl_actuals(t: Tables, since_year: int = GL_SINCE_YEAR, break_year: int = IND
     joined as is (a department listed for two companies duplicates ledger rows, as in the reference).
     """
     g = gl_flagged(t, since_year, break_year)
+    ac = _accounts(t)
+    g = g.join(ac, (g.glco == ac._aco) & (g.glacct == ac._acct), "left")
     div = _divisions(t)
     p1 = _segment_names(t, 1, "natural_account_desc")
     p2 = _segment_names(t, 2, "_p2_desc")
@@ -175,7 +184,7 @@ def gl_actuals(t: Tables, since_year: int = GL_SINCE_YEAR, break_year: int = IND
         "region_clean": F.ifnull("region", F.lit("Other")),
         "market_clean": F.ifnull("market", F.lit("Other")),
     })
-    return j.select("glco", "glacct", "mth", "netamt_cents", F.col("part1").alias("natural_account"),
+    return j.select("glco", "glacct", "account_description", "account_type", "mth", "netamt_cents", F.col("part1").alias("natural_account"),
                     F.col("part2").alias("account_division"), F.col("part3").alias("account_department"),
                     "natural_account_desc", "division_description", "department_description",
                     "account_division_number", "natural_account_number", "pl_line_item", "include_company",

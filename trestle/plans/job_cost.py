@@ -72,12 +72,16 @@ def _facts(detail: DataFrame) -> DataFrame:
 
 
 def _phase_spans(t: Tables, detail: DataFrame, as_of, years: int) -> DataFrame:
-    """Distinct phases with the first and last month of their job."""
+    """Distinct phases with the first and last month of their job, and the names of phase and cost type."""
     relevant = detail.filter(F.col("is_actual") | F.col("is_estimate") | F.col("is_committed"))
     bounds = (relevant.groupBy("jcco", "job")
               .agg(month_floor(F.min("month_date")).alias("min_month"), month_floor(F.max("month_date")).alias("max_month"))
               .filter(F.col("min_month") >= month_floor(shift_date(date_lit(as_of), -years, "year"))))
-    return detail.select(*PHASE_KEYS).distinct().join(bounds, ["jcco", "job"])
+    phases = t.fx.phase_name.groupBy(F.trim("jcco").alias("jcco"), F.trim("job").alias("job"), F.trim("phase_group").alias(
+        "phase_group"), F.trim("phase").alias("phase")).agg(F.min("description").alias("phase_name"))
+    types = t.fx.cost_type.select(F.trim("phase_group").alias("phase_group"), "cost_type", F.col("name").alias("cost_type_name"))
+    return (detail.select(*PHASE_KEYS).distinct().join(bounds, ["jcco", "job"])
+            .join(phases, ["jcco", "job", "phase_group", "phase"], "left").join(types, ["phase_group", "cost_type"], "left"))
 
 
 @query("job_cost_monthly")
@@ -101,7 +105,8 @@ def job_cost_monthly(t: Tables, as_of=AS_OF, years: int = JOB_HISTORY_YEARS) ->
     months = F.when(in_span, F.sequence("min_month", "max_month", F.expr("interval 1 month"))).otherwise(F.array("month_date"))
     both = both.withColumn("month_date", F.explode(months)).withColumn("_in_spine", in_span.cast("int"))
     filled = (both.groupBy(*PHASE_KEYS, "month_date")
-              .agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MEASURES], F.max("_in_spine").alias("_in_spine"))
+              .agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MEASURES], F.max("_in_spine").alias("_in_spine"),
+                   F.max("phase_name").alias("phase_name"), F.max("cost_type_name").alias("cost_type_name"))
               .filter(F.col("_in_spine") == 1).drop("_in_spine"))
     w = (Window.partitionBy(*run_keys).orderBy("month_date", "jcco")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -125,6 +130,8 @@ def job_cost_monthly(t: Tables, as_of=AS_OF, years: int = JOB_HISTORY_YEARS) ->
         "po_variance_opp_value": F.when(po_var, proj - cmt + F.least(F.lit(0), cmt - act)).otherwise(0),
         "profit_at_risk_value": F.when(at_risk, act - proj).otherwise(0),
         "profit_enhancers": enh,
+        "cost_type_description": F.concat("cost_type", F.lit(" - "), "cost_type_name"),
+        "phase_description": F.concat("phase", F.lit(" - "), "phase_name"),
     })
 
 
@@ -159,7 +166,7 @@ def wip_schedule(t: Tables) -> DataFrame:
     """R-57: WIP per job and month: contract, cost, margin, percent complete, earned revenue, backlog.
 
     Overrides replace computed values; a projected loss is recognised in full at once.  Of the cumulative
-    overrides only the actual-cost one is used (always NULL on the analog).
+    overrides only the actual-cost one is used; the others feed no output.
     """
     costs = (job_cost_monthly(t).groupBy("jcco", "job", F.col("month_date").alias("mth"))
              .agg(F.sum("cumulative_actual_cost").alias("cumulative_actual_cost"),
@@ -169,8 +176,8 @@ def wip_schedule(t: Tables) -> DataFrame:
     ov = t.fx.override
     overrides = (ov.groupBy("jcco", F.col("contract").alias("job"), "mth")
                  .agg(F.nullif(F.sum("proj_revenue"), F.lit(0)).alias("or_proj_revenue"),
-                      F.nullif(F.sum("proj_over_cost"), F.lit(0)).alias("or_proj_over_cost"))
-                 .withColumn("or_actual_cost", F.lit(None).cast("bigint")))
+                      F.nullif(F.sum("proj_over_cost"), F.lit(0)).alias("or_proj_over_cost"),
+                      F.nullif(F.sum("actual_cost"), F.lit(0)).alias("or_actual_cost")))
     h = costs.join(contracts, ["jcco", "job", "mth"], "left").join(overrides, ["jcco", "job", "mth"], "left")
     w = Window.partitionBy("jcco", "job").orderBy("mth")
     h = h.withColumns({"current_contract_amt": F.sum("contract_amt_change").over(w),
@@ -199,7 +206,7 @@ def wip_schedule(t: Tables) -> DataFrame:
 
 
 #: First contract start year of the over/under report (production: 2023).
-OVER_UNDER_SINCE_YEAR = 1997
+OVER_UNDER_SINCE_YEAR = 1996
 
 
 @query("over_under_projection")

@@ -119,7 +119,8 @@ def pending_backlog_prof(t: Tables) -> DataFrame:
     from trestle.plans.finance import pending_backlog_clean
 
     p = pending_backlog_clean(t)
-    return p.select(F.col("month_date").alias("mth"), F.col("region").alias("region_name"), "project",
+    return p.select(F.col("month_date").alias("mth"), F.col("region").alias("region_name"),
+                    F.col("market_channel").alias("market_name"), "project",
                     F.col("pending_backlog_revenue").cast("double").alias("pending_backlog_revenue"),
                     F.col("pending_backlog_margin").cast("double").alias("pending_backlog_margin"))
 

@@ -120,8 +120,43 @@ class Analogs:
             (_cents(s.s_acctbal * 1000) + s.s_suppkey * 700).alias("contract_cents"),
             F.when(s.s_suppkey % 4 == 1, _add_days(F.lit("2001-01-01").cast("date"), s.s_suppkey % 90))
             .alias("actual_close_date"),
+            F.when(s.s_suppkey % 8 == 3, F.lit("2001-03-01").cast("date")).alias("month_closed"),
+            s.s_nationkey.alias("customer"),
+            (s.s_suppkey % 3).cast("int").alias("contract_status"),
+            (_cents(s.s_acctbal * 1000) * 3).alias("received_cents"),
         )
 
+    @cached_property
+    def account(self) -> DataFrame:
+        """Accounts of the ledger and of the budget; some companies lack the overhead accounts."""
+        full = F.concat_ws(".", "part1", "part2", "part3")
+        ledger = self.gl.select("glco", full.alias("glacct"), "part1", "part2", "part3")
+        part = F.split("gl_account", "[.]")
+        budget = self.budget.select(F.col("gl_co").alias("glco"), F.col("gl_account").alias("glacct"), part[0].alias("part1"),
+                                    part[1].alias("part2"), F.lit("").alias("part3"))
+        kind = F.when(F.left("part1", F.lit(1)) == "4", "I").when(F.left("part1", F.lit(1)) == "1", "A").otherwise("E")
+        a = ledger.union(budget).distinct()
+        a = a.filter(~((F.col("part1") == "61000") & (F.col("glco").cast("int") % 13 == 0)))
+        return a.select("*", F.concat(F.lit("Account "), "glacct").alias("description"), kind.alias("acct_type"))
+
+    @cached_property
+    def budget_code(self) -> DataFrame:
+        b = self.budget.select(F.col("gl_co").alias("glco"), "budget_code").distinct()
+        return b.filter(F.col("glco").cast("int") % 11 != 0).select("*", F.concat(F.lit("Budget "), "budget_code").alias("description"))
+
+    @cached_property
+    def phase_name(self) -> DataFrame:
+        """Names of the phases of a job; general conditions (80) have none."""
+        p = self.job_cost.select("jcco", "job", "phase_group", "phase").distinct()
+        return p.filter(~F.col("phase").startswith("80")).select("*", F.concat(F.lit("Phase "), F.left("phase", F.lit(6))).alias("description"))
+
+    @cached_property
+    def cost_type(self) -> DataFrame:
+        """Names of the cost types that the ledger uses, but for the last."""
+        c = self.job_cost.select("phase_group", "cost_type").distinct()
+        k = F.col("cost_type")
+        return c.filter(k != "4").select("*", F.when(k == "1", "Labor").when(k == "2", "Material").otherwise("Subcontract").alias("name"))
+
     @cached_property
     def change_item(self) -> DataFrame:
         o = self.t("orders")
@@ -130,13 +165,26 @@ class Analogs:
             (o.o_custkey % 2 + 1).cast("string").alias("jcco"),
             F.concat((o.o_custkey % 100 + 123000).cast("string"), F.lit(".")).alias("project"),
             F.when(o.o_orderstatus == "F", "Y").when(o.o_orderstatus == "O", "N").alias("approved"),
-            F.when(o.o_orderkey % 3 == 0, o.o_orderkey).alias("posted_key"),
+            F.concat(F.lit("A"), (o.o_orderkey % 97).cast("string")).alias("aco"),
+            F.floor(o.o_orderkey / 97).cast("bigint").alias("aco_item"),
             F.to_date(o.o_orderdate).alias("approved_date"),
             _cents(o.o_totalprice * 100).alias("approved_cents"),
             _cents(o.o_totalprice * 40).alias("pending_cents"),
             _cents(o.o_totalprice * 90).alias("fixed_cents"),
         )
 
+    @cached_property
+    def posted_item(self) -> DataFrame:
+        """Posted change items: a third of the owner change items, under keys of their own."""
+        o = self.t("orders")
+        return (o.filter(o.o_orderkey % 3 == 0)
+                .select((o.o_orderkey * 10 + 7).alias("key_id"),
+                        (o.o_custkey % 2 + 1).cast("string").alias("jcco"),
+                        F.concat((o.o_custkey % 100 + 123000).cast("string"), F.lit(".")).alias("job"),
+                        F.concat(F.lit("A"), (o.o_orderkey % 97).cast("string")).alias("aco"),
+                        F.floor(o.o_orderkey / 97).cast("bigint").alias("aco_item"),
+                        month_floor(o.o_orderdate).alias("approved_month")))
+
     @cached_property
     def override(self) -> DataFrame:
         jc = self.job_cost
@@ -145,7 +193,8 @@ class Analogs:
                 .agg(F.sum("est_cents").alias("_est"), F.sum("proj_cents").alias("_proj"))
                 .select("jcco", "contract", "mth",
                         (F.col("_est") - F.col("_est") % 1000).alias("proj_revenue"),
-                        (F.col("_proj") * 0).alias("proj_over_cost")))
+                        F.when(F.month("mth") % 4 == 0, F.col("_proj") + 1000).otherwise(0).alias("proj_over_cost"),
+                        F.when(F.month("mth") == 6, F.col("_est") - F.col("_est") % 7).alias("actual_cost")))
 
     # --- schedule snapshots ----------------------------------------------------------------------------------
     WEEKS = 8
@@ -299,16 +348,22 @@ class Analogs:
             k % 2 == 0,
             F.concat(month_abbr, F.lit("-"), F.substring(F.year(o.o_orderdate).cast("string"), 3, 2)),
         ).otherwise(F.concat(F.to_date(o.o_orderdate).cast("string"), F.lit(" 00:00:00")))
-        amount = (F.when(m6 == 0, " - ").when(m6 == 1, "nan")
-                  .when(m6 == 2, F.concat(F.lit("("), thousands, F.lit(")")))
-                  .when(m6 == 3, "-5").when(m6 == 4, F.lit(None).cast("string"))
-                  .otherwise(F.concat(thousands, F.lit(".50"))))
+
+        def amount(kind: Column) -> Column:
+            return (F.when(kind == 0, " - ").when(kind == 1, "nan")
+                    .when(kind == 2, F.concat(F.lit("("), thousands, F.lit(")")))
+                    .when(kind == 3, "-5").when(kind == 4, F.lit(None).cast("string"))
+                    .otherwise(F.concat(thousands, F.lit(".50"))))
+
+        m4 = o.o_custkey % 4
         return o.select(
             F.concat(F.lit("sheet_"), F.lower(o.o_orderstatus)).alias("sheet_name"),
             month_text.alias("month_text"),
             o.o_orderpriority.alias("region"),
             k.cast("string").alias("title"),
-            amount.alias("amount_text"),
+            amount(m6).alias("amount_text"),
+            amount((k + 2) % 6).alias("actual_text"),
+            F.when(m4 == 0, "EDU").when(m4 == 1, "HC").when(m4 == 2, "IND").otherwise("Water").alias("market_channel"),
         )
 
     @cached_property
