@@ -4,13 +4,14 @@ A text without two white-space characters in a row is cut at its spaces and line
 level, and lower-cased words with white space dropped) a single space begins a new piece and a single line end is a
 piece of its own or nothing, so the ids of a text are those of its chunks one after another.  Other texts go to the
 library whole.  Arrow finds the distinct chunks of some megabytes of text at once; a chunk that the worker meets for
-the first time is encoded by the library: plain words straight by its model, a word with one mark after it as both
+the first time is encoded by the library: plain words straight by its model, a word with marks after it as both
 parts, and all else by the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -19,10 +20,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_CHUNKS = 300_000    # entries of a table; a full one becomes the older one, from which chunks still in use return
+MAX_CHUNKS = 400_000    # entries of a table; a full one becomes the older one, from which chunks still in use return
 LONGEST_KEPT = 64       # characters of a chunk that is kept
 AT_ONCE = 8 << 20       # bytes of text that are worked on together
-_MARKS = frozenset(",.;:!?")
+_WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)").fullmatch    # no apostrophe: it can begin a piece
 _FOLDS_ALONE = "İ"  # letters before this one stay one letter when they are normalised and folded
 _WHITE = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -31,6 +32,14 @@ def _pack(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
+def _gather(flat: np.ndarray, start: np.ndarray, n: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The ``n`` values of ``flat`` from each ``start``, one run after another."""
+    kind = np.int32 if ends[-1] < 1 << 31 else np.int64
+    at = np.repeat((start - (ends - n)).astype(kind), n)
+    at += np.arange(len(at), dtype=kind)
+    return flat[at]
+
+
 class TextEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"    # Spark's tasks are the parallelism
@@ -62,8 +71,9 @@ class TextEncoder:
     def chunk(self, chunk: str, lead: str) -> bytes:
         if chunk.isalpha():
             return self.word(chunk, lead)
-        if chunk[-1:] in _MARKS and chunk[:-1].isalpha() and (not self.folds or max(chunk) < _FOLDS_ALONE):
-            return (self.later if lead else self.first)[chunk[:-1]] + self.first[chunk[-1]]
+        both = _WORD_AND_MARKS(chunk)
+        if both and both[1].isalpha() and (not self.folds or max(chunk) < _FOLDS_ALONE):
+            return (self.later if lead else self.first)[both[1]] + self.first[both[2]]
         return self.by_library(lead + chunk) if lead or chunk else b""
 
     def part(self, part: str) -> bytes:
@@ -74,6 +84,8 @@ class TextEncoder:
 
     def _encode_clean(self, texts: pa.Array) -> Iterator[np.ndarray]:
         if self.folds:      # white space is dropped, so a chunk is the same wherever it stands
+            # Folding plain ASCII early, where nothing can combine, leaves fewer different chunks.
+            texts = pc.if_else(pc.string_is_ascii(texts), pc.ascii_lower(texts), texts)
             texts, ids_of = pc.replace_substring(texts, "\n", " "), self.later.__getitem__
         else:               # what follows a line end, or begins a text, is marked by one or by two line ends
             texts = pc.binary_join_element_wise("\n\n", pc.replace_substring(texts, "\n", " \n"), "")
@@ -82,12 +94,12 @@ class TextEncoder:
         words = parts.flatten().dictionary_encode()
         own = list(map(ids_of, words.dictionary.to_pylist()))
         flat = np.frombuffer(b"".join(own), "<u4")
-        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        start = np.cumsum(size) - size
+        size = np.fromiter(map(len, own), np.int32, len(own)) // 4
+        start = np.cumsum(size, dtype=np.int32) - size
         index = words.indices.to_numpy()
         n = size[index]
-        ends = np.cumsum(n)
-        ids = flat[np.repeat(start[index] - (ends - n), n) + np.arange(ends[-1])]
+        ends = np.cumsum(n, dtype=np.int64)
+        ids = _gather(flat, start[index], n, ends)
         borders = parts.offsets.to_numpy()
         borders = np.concatenate(([0], ends[borders[1:] - borders[0] - 1]))
         return (ids[a:b] for a, b in zip(borders, borders[1:]))
