@@ -155,9 +155,12 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
     from trestle.llm import line_dedup
 
-    return line_dedup.report(table(spark, sf_dir, "documents"))
+    rows = line_dedup.report(table(spark, sf_dir, "documents"))
+    return rows.withColumn("dropped", F.array_join(F.col("dropped").cast("array<string>"), ","))
 
 
 ORACLE_SQL["op4_line_dedup"] = r"""
@@ -185,14 +188,14 @@ WITH d AS (
   UNION SELECT more FROM longer WHERE f_more > f_less
   UNION SELECT less FROM longer WHERE f_less > f_more
 ), gone AS (
-  SELECT w.doc_id, list_sort(list(DISTINCT CAST(w.line AS INTEGER))) AS dropped
+  SELECT w.doc_id, list_sort(list(DISTINCT w.line)) AS dropped
   FROM w JOIN c ON w.words = c.words LEFT JOIN near ON near.words = w.words
   WHERE near.words IS NOT NULL OR struct_pack(d := w.doc_id, l := w.line) <> c.first
   GROUP BY w.doc_id
 )
 SELECT d.doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines,
        CAST(coalesce(len(string_split(text, chr(10))), 0) - coalesce(len(dropped), 0) AS BIGINT) AS n_kept,
-       coalesce(dropped, CAST([] AS INTEGER[])) AS dropped
+       coalesce(array_to_string(dropped, ','), '') AS dropped
 FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id
 """
 
