@@ -114,8 +114,10 @@ def failed(policy: str | Sequence[str], failures: str | Column = "failures") ->
 def keep(docs: DataFrame, policy: str | Sequence[str] = DEFAULT_POLICY, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass ``policy``, with their own columns; the measurements take names of their own."""
     p = "_trestle_quality_"
-    return measure(docs, text_col, p).filter(~failed(policy, _failures(p))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    # Generated, not projected: a filter on a projected column is pushed below it and measures everything again.
+    rows = measure(docs, text_col, p).select(*own, F.explode(F.array(_failures(p))).alias(f"{p}failures"))
+    return rows.filter(~failed(policy, f"{p}failures")).select(*own)
 
 
 def ablation(rows: DataFrame, policies: Sequence[str] = tuple(POLICIES)) -> DataFrame:
