@@ -13,6 +13,7 @@ from trestle.llm import langid, line_dedup, lsh_forest, packing, quality
 from trestle.llm.common import land, share_code, table
 
 TOKENIZER = "byte_bpe_50k.json"
+KNOWN_CHUNKS = 100_000   # workers are shared with the stages before, so their tables are kept smaller than by default
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,7 @@ def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their places in sequences of 2048 tokens."""
     share_code(spark)
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), max_chunks=KNOWN_CHUNKS)
 
 
 STAGES = [

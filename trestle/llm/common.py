@@ -18,7 +18,7 @@ from trestle.session import checkpoint_dir
 WHITE = " \t\n\x0b\f\r"
 
 #: Rows come to Python workers in Arrow batches of about this size, however long their texts are.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def land(df: DataFrame) -> DataFrame:

@@ -39,7 +39,7 @@ FIRST_TREES = 4      # looked at whole; the others follow, for what is not yet l
 VALUES = TREES * DEPTH
 REGION, REGION_BYTES = 2048, 48 << 20
 HUBS = 8             # rows of a region that are compared with all others before its main component is named
-MAX_WORDS = 400_000  # a worker's table of word hashes; a full table is emptied
+MAX_WORDS = 100_000  # a worker's table of word hashes; a full table is emptied
 
 _rng = np.random.default_rng(1729)
 _MULTIPLY = _rng.integers(0, 1 << 63, VALUES, np.uint64) * np.uint64(2) + np.uint64(1)

@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trestle.llm.common import land, map_batches, shuffle_width, texts
-from trestle.llm.tokens import encode_all
+from trestle.llm.tokens import MAX_CHUNKS, encode_all
 
 SEQUENCE = 2048
 END_ID = 0
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = END_ID, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
+           text_col: str = "text", max_chunks: int = MAX_CHUNKS) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: documents with their end id; only longer ones than ``size`` are
     cut, into pieces of ``size`` of which the first may be shorter."""
     end = np.array([end_id], "<u4").tobytes()
@@ -37,7 +37,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int =
     def run(batches):
         for b in batches:
             out = {c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            for doc, ids in zip(b.column(0).to_pylist(), encode_all(tokenizer, b.column(1))):
+            for doc, ids in zip(b.column(0).to_pylist(), encode_all(tokenizer, b.column(1), max_chunks)):
                 ids = ids.tobytes() + end
                 n, lo, k = len(ids) // 4, 0, 0
                 while lo < n:
@@ -138,7 +138,11 @@ def pack(items: DataFrame, size: int = SEQUENCE, length_col: str = "length", ord
     return map_batches(numbered.select(*kept, "_number"), run, f"{schema}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
-    """Tokenize, cut and pack: one row per piece with its sequence and place."""
-    cut = land(pieces(docs, tokenizer, size, end_id))
+def pack_documents(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = END_ID,
+                   max_chunks: int = MAX_CHUNKS) -> DataFrame:
+    """Tokenize, cut and pack: one row per piece with its sequence and place.
+
+    ``max_chunks`` bounds each worker's table of known chunks; a smaller one takes less memory and more time.
+    """
+    cut = land(pieces(docs, tokenizer, size, end_id, max_chunks=max_chunks))
     return pack(cut, size, order_by=("doc_id", "piece", "ids_crc32", "start", "length"))

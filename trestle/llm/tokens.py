@@ -20,9 +20,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_CHUNKS = 400_000    # entries of a table; a full one becomes the older one, from which chunks still in use return
+MAX_CHUNKS = 300_000    # entries of a table; a full one becomes the older one, from which chunks still in use return
 LONGEST_KEPT = 64       # characters of a chunk that is kept
-AT_ONCE = 8 << 20       # bytes of text that are worked on together
+AT_ONCE = 4 << 20       # bytes of text that are worked on together
 _WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]+)").fullmatch    # no apostrophe: it can begin a piece
 _FOLDS_ALONE = "İ"  # letters before this one stay one letter when they are normalised and folded
 _WHITE = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -41,7 +41,8 @@ def _gather(flat: np.ndarray, start: np.ndarray, n: np.ndarray, ends: np.ndarray
 
 
 class TextEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, max_chunks: int = MAX_CHUNKS):
+        self.max_chunks = max_chunks
         os.environ["TOKENIZERS_PARALLELISM"] = "false"    # Spark's tasks are the parallelism
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -126,7 +127,7 @@ class _Known(dict):
         if ids is None:
             ids = self.encoder.chunk(chunk, self.lead)
         if len(chunk) <= LONGEST_KEPT:
-            if len(self) >= MAX_CHUNKS:
+            if len(self) >= self.encoder.max_chunks:
                 self.older = dict(self)
                 self.clear()
             self[chunk] = ids
@@ -134,15 +135,15 @@ class _Known(dict):
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> TextEncoder:
-    return TextEncoder(path)
+def encoder(path: str, max_chunks: int) -> TextEncoder:
+    return TextEncoder(path, max_chunks)
 
 
-def encode_all(path: str, texts: pa.Array) -> Iterator[np.ndarray]:
+def encode_all(path: str, texts: pa.Array, max_chunks: int = MAX_CHUNKS) -> Iterator[np.ndarray]:
     """Ids of each text of a column without nulls, as unsigned 32-bit integers; a bounded amount of text at a time."""
     size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
     lo = 0
     while lo < len(texts):
         hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + AT_ONCE, side="right")))
-        yield from encoder(path).encode(texts.slice(lo, hi - lo))
+        yield from encoder(path, max_chunks).encode(texts.slice(lo, hi - lo))
         lo = hi
