@@ -97,6 +97,16 @@ def test_regions_cover_the_run_and_share_prefixes():
     assert max(b - a for a, b in parts) <= lsh_forest.REGION
 
 
+def test_few_pairs_over_many_partitions(code, monkeypatch):
+    bases = [[f"w{k}_{i}" for i in range(60)] for k in range(3)]
+    texts = [" ".join(w) for b in bases for w in (b, b[:2] + ["other"] + b[3:])]      # similarity 0.9
+    ids = list(range(len(texts)))
+    docs = code.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    monkeypatch.setattr(lsh_forest, "shuffle_width", lambda spark: 64)
+    got = table_of(lsh_forest.groups(docs, size=4))
+    assert [got[i][0]["component_id"] for i in ids] == brute(ids, texts, 4)[1] == [0, 0, 2, 2, 4, 4]
+
+
 def test_signatures_estimate_the_similarity():
     rng = np.random.default_rng(2)
     for share in (0.5, 0.8, 0.95):

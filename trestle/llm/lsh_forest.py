@@ -3,8 +3,8 @@
 A document's set holds the hashes of its distinct word shingles.  Documents with equal sets are one class from the
 start, so exact copies are never compared.  A class has a MinHash signature; each of ``TREES`` trees orders the classes
 by ``DEPTH`` values of it.  In the sorted order of a tree, a region is a run of classes with the same first ``LEAST``
-values; runs that are larger than ``REGION`` are divided by one more value at a time, so the depth follows how crowded
-a region is, and neighbours across a division (their common prefix is the longest that is left) are kept together.
+values, and is whole in one task.  Runs that are larger than ``REGION`` are dealt over tasks and divided by one more
+value at a time, so the depth follows how crowded a region is.
 
 The classes of a region are candidates for each other.  The full sets come with them, and the sizes of all
 intersections of one class with the region are counted at once over the region's shingles; only links that reach the
@@ -117,8 +117,8 @@ class _Run:
         return _Run(self.tail[lo:hi], self.node[lo:hi], self.comp[lo:hi], self.sets[lo:hi])
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[_Run]:
-    """A run that outgrows ``2 * REGION`` rows or ``REGION_BYTES`` comes in parts that share one row."""
+def _runs(batches: Iterator[pa.RecordBatch], region: int, region_bytes: int) -> Iterator[_Run]:
+    """A run that outgrows ``2 * region`` rows or ``region_bytes`` comes in parts that share one row."""
     plain, sets, size = [], [], 0
 
     def run():
@@ -135,23 +135,23 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[_Run]:
             plain.append(row[:5])
             sets.append(found)
             size += found.nbytes
-            if len(plain) > 1 and (len(plain) >= 2 * REGION or size > REGION_BYTES):
+            if len(plain) > 1 and (len(plain) >= 2 * region or size > region_bytes):
                 yield run()
                 plain, sets, size = plain[-1:], sets[-1:], found.nbytes
     if len(plain) > 1:
         yield run()
 
 
-def _regions(tail: np.ndarray, lo: int, hi: int, depth: int) -> Iterator[tuple[int, int]]:
+def _regions(tail: np.ndarray, lo: int, hi: int, depth: int, region: int = REGION) -> Iterator[tuple[int, int]]:
     """Divide a sorted run until its parts are small."""
-    if hi - lo <= REGION or depth == DEPTH:
-        for k in range(lo, hi, REGION):
-            yield k, min(k + REGION, hi)
+    if hi - lo <= region or depth == DEPTH:
+        for k in range(lo, hi, region):
+            yield k, min(k + region, hi)
         return
     value = tail[lo:hi] >> np.int64(16 * (DEPTH - 1 - depth))
     cuts = [lo, *(np.flatnonzero(value[1:] != value[:-1]) + 1 + lo), hi]
     for a, b in zip(cuts, cuts[1:]):
-        yield from _regions(tail, a, b, depth + 1)
+        yield from _regions(tail, a, b, depth + 1, region)
 
 
 def region_links(run: _Run, threshold: int) -> Iterator[tuple[int, int]]:
@@ -192,18 +192,25 @@ def region_links(run: _Run, threshold: int) -> Iterator[tuple[int, int]]:
 
 
 def links(rows: DataFrame, threshold: int) -> DataFrame:
-    """``a, b`` from ``tree, head, tail, node, comp, found``."""
-    order = ["tree", "head", "tail", "node"]
-    rows = rows.repartitionByRange(shuffle_width(rows.sparkSession), *order).sortWithinPartitions(*order)
+    """``a, b`` from ``tree, head, tail, node, comp, found, large``.
+
+    A head that fits a region is whole in one task, however many tasks there are; large heads are dealt by range.
+    """
+    order, width = ["tree", "head", "tail", "node"], shuffle_width(rows.sparkSession)
+    region, region_bytes = REGION, REGION_BYTES
 
     def run(batches):
-        for r in _runs(batches):
-            out = [pair for lo, hi in _regions(r.tail, 0, len(r.node), LEAST)
+        for r in _runs(batches, region, region_bytes):
+            out = [pair for lo, hi in _regions(r.tail, 0, len(r.node), LEAST, region)
                    for pair in region_links(r.part(max(lo - 1, 0), hi), threshold)]   # with the neighbour before it
             if out:
                 yield dict(zip("ab", zip(*out)))
 
-    return map_batches(rows, run, "a long, b long").distinct()
+    def linked(part):
+        return map_batches(part.drop("large").sortWithinPartitions(*order), run, "a long, b long")
+
+    whole = linked(rows.filter("NOT large").repartition(width, "tree", "head"))
+    return whole.union(linked(rows.filter("large").repartitionByRange(width, *order))).distinct()
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -229,25 +236,28 @@ def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "d
     docs = texts(docs, id_col, text_col)
     rows = land(profiles(docs, size))
     classes = land(rows.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")))
+        F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"),
+        F.first("n_shingles").alias("n_shingles")))
 
-    heads = classes.select("node", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)),
+    heads = classes.select("node", "n_shingles", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)),
                                                             lambda t: F.col("signature")[2 * t])).alias("tree", "head"))
-    crowded = heads.groupBy("tree", "head").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x < y")
-    keys = land(heads.join(crowded.select("tree", "head"), ["tree", "head"]))
+    large = (F.count("*") > REGION) | (F.sum("n_shingles") * 8 > REGION_BYTES)
+    crowded = heads.groupBy("tree", "head").agg(F.min("node").alias("x"), F.max("node").alias("y"),
+                                                large.alias("large")).filter("x < y")
+    keys = land(heads.drop("n_shingles").join(crowded.select("tree", "head", "large"), ["tree", "head"]))
     near = land(classes.join(keys.select("node").distinct(), "node"))
-    near = land(near.drop("doc_id").join(_whole_sets(docs, near, size), "node"))
+    near = land(near.drop("doc_id", "n_shingles").join(_whole_sets(docs, near, size), "node"))
 
     def forest(now, comp):
         return now.join(near, "node").select(
             "tree", "head", F.element_at("signature", 2 * F.col("tree") + 2).alias("tail"), "node",
-            comp.alias("comp"), "found")
+            comp.alias("comp"), "found", "large")
 
     found = land(links(forest(keys.filter(F.col("tree") < FIRST_TREES), F.col("node")), threshold))
     own = keys.filter(F.col("tree") >= FIRST_TREES).join(components(found), "node", "left").withColumn(
         "comp", F.coalesce("root", "node"))
     mixed = own.groupBy("tree", "head").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
-    own = own.select("tree", "head", "node", "comp").join(mixed.select("tree", "head"), ["tree", "head"])
+    own = own.select("tree", "head", "node", "comp", "large").join(mixed.select("tree", "head"), ["tree", "head"])
     labels = components(land(found.union(links(forest(own, F.col("comp")), threshold))))
 
     # The smallest id of each component, for the classes that have links; other classes are components.
