@@ -107,6 +107,48 @@ def test_few_pairs_over_many_partitions(code, monkeypatch):
     assert [got[i][0]["component_id"] for i in ids] == brute(ids, texts, 4)[1] == [0, 0, 2, 2, 4, 4]
 
 
+def template_pairs(pairs):
+    """Texts about 0.7 alike, each with one partner at 0.81 (sets of single words)."""
+    rng = random.Random(7)
+    texts = []
+    for k in range(pairs):
+        own = [f"o{k}_{i}" for i in range(15)]
+        for member in range(2):
+            words = [f"t{i}" for i in range(70)] + own[:6 + 9 * (1 - member)] + [f"p{k}_{i}" for i in range(9 * member)]
+            rng.shuffle(words)
+            texts.append(" ".join(words))
+    rng.shuffle(texts)
+    return texts
+
+
+def test_divided_regions_have_an_exact_rest(code, monkeypatch):
+    texts = template_pairs(200)
+    ids = list(range(len(texts)))
+    docs = code.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    monkeypatch.setattr(lsh_forest, "REGION", 4)
+    got = table_of(lsh_forest.groups(docs, size=1))
+    want = brute(ids, texts, 1)[1]
+    assert len(set(want)) == 200
+    assert [got[i][0]["component_id"] for i in ids] == want
+
+
+def test_pairs_by_rarest_shingles_against_all_pairs(code, monkeypatch):
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(lsh_forest, "SALT_ROWS", 3)
+    pool = rng.integers(0, 1 << 63, 40, np.uint64)
+    sets = [rng.choice(pool, rng.integers(1, 20), replace=False) for _ in range(150)]
+    sets = list(map(np.unique, sets + [np.append(x[1:], rng.choice(pool)) for x in sets]))
+    rows = [(i, i % 7, x.tobytes()) for i, x in enumerate(sets)]
+    got = lsh_forest.exact_links(code.createDataFrame(rows, "node long, comp long, found binary"), 80).collect()
+    want = set()
+    for i, x in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(x, sets[j]))
+            if i % 7 != j % 7 and 100 * both >= 80 * (len(x) + len(sets[j]) - both):
+                want.add((j, i))
+    assert len(want) > 50 and sorted(tuple(sorted((r["a"], r["b"]))) for r in got) == sorted(want)
+
+
 def test_signatures_estimate_the_similarity():
     rng = np.random.default_rng(2)
     for share in (0.5, 0.8, 0.95):

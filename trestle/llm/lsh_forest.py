@@ -10,7 +10,12 @@ The classes of a region are candidates for each other.  The full sets come with
 intersections of one class with the region are counted at once over the region's shingles; only links that reach the
 threshold leave the task, at most one per class that was not connected before.  The first few trees link most groups;
 in the others only regions that still hold different components are looked at.  So what is moved and made grows with
-the number of classes, not with the square of a group, and no partner is left out.
+the number of classes, not with the square of a group.
+
+Heads that are larger than a region lose pairs at their divisions.  Where such a head still holds different components
+after all trees, its classes are joined exactly: two sets that reach the threshold share one of their rarest shingles,
+at places that their sizes bound (``pairs``).  Pairs of different components that do are compared on their full sets.
+So the links do not depend on the number of tasks or on how large a region may be.
 
 Sets are compared by 64-bit shingle hashes and classes are named by a 64-bit hash of the set.
 
@@ -38,6 +43,8 @@ TREES, DEPTH, LEAST = 16, 8, 4
 FIRST_TREES = 4      # looked at whole; the others follow, for what is not yet linked
 VALUES = TREES * DEPTH
 REGION, REGION_BYTES = 2048, 48 << 20
+SAMPLE, COMMON = 4 << 20, 100_000   # shingles that are counted to find the common ones; they only set an order
+SALT_ROWS = 1024     # rows of one shingle that one salt meets
 HUBS = 8             # rows of a region that are compared with all others before its main component is named
 MAX_WORDS = 100_000  # a worker's table of word hashes; a full table is emptied
 
@@ -213,6 +220,92 @@ def links(rows: DataFrame, threshold: int) -> DataFrame:
     return whole.union(linked(rows.filter("large").repartitionByRange(width, *order))).distinct()
 
 
+def _common(sets: DataFrame) -> np.ndarray:
+    """The shingles that are frequent in a sample of ``found``, the rarest of them first."""
+    total = sets.agg(F.sum(F.length("found"))).first()[0] or 0
+    sample = sets.filter(F.pmod("node", F.lit(total // 8 // SAMPLE + 1)) == 0).select("found")
+
+    def run(batches):
+        for b in batches:
+            for found in b.column(0):
+                yield {"word": np.frombuffer(found.as_buffer(), np.int64)}
+
+    rows = map_batches(sample, run, "word long").groupBy("word").count().filter("count > 1")
+    rows = rows.orderBy(F.desc("count"), "word").limit(COMMON).collect()
+    return np.array([r["word"] for r in reversed(rows)], np.int64)
+
+
+def _rarest(sets: DataFrame, threshold: int) -> DataFrame:
+    """``word, place, size, node, comp``: the first shingles of each set, rare ones first.
+
+    The order is the same for all sets, so two sets that reach the threshold meet in these.
+    """
+    common = _common(sets)
+    at = np.argsort(common)
+    key, rank_of = np.append(common[at], np.iinfo(np.int64).max), np.append(at + 1, 0)
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for node, comp, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                words = np.frombuffer(found.as_buffer(), np.int64)
+                k = np.searchsorted(key, words)
+                rank = np.where(key[k] == words, rank_of[k], 0)
+                n = len(words)
+                words = words[np.lexsort((words, rank))][:n + 1 - (threshold * n + 99) // 100]
+                out.append((words, np.arange(len(words)), *(np.full(len(words), x, np.int64) for x in (n, node, comp))))
+            if out:
+                yield dict(zip(("word", "place", "size", "node", "comp"), map(np.concatenate, zip(*out))))
+
+    return map_batches(sets.select("node", "comp", "found"), run,
+                       "word long, place long, size long, node long, comp long")
+
+
+def pairs(sets: DataFrame, threshold: int) -> DataFrame:
+    """``a, b``: every pair of ``node, comp, found`` that can reach the threshold and is of different components.
+
+    ``need`` shingles must be common.  The first one in the order has no common one before it, so in each set at least
+    ``need`` places are left from it on; otherwise the pair falls out here.
+    """
+    words = land(_rarest(sets, threshold))
+    mixed = words.groupBy("word").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n"))
+    mixed = mixed.filter("x < y").select("word", (F.floor(F.col("n") / SALT_ROWS) + 1).alias("salts"))
+    words = land(words.join(mixed, "word"))
+
+    def need(both: str) -> str:
+        return f"(({threshold} * ({both}) + {99 + threshold}) div {100 + threshold})"
+
+    large = words.withColumn("salt", F.pmod(F.hash("node"), "salts")).drop("salts").alias("l")
+    small = words.filter(f"place <= size - {need('size + size')}").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts").alias("s")
+    enough = need("l.size + s.size")
+    meet = large.join(small, F.expr(
+        f"l.word = s.word AND l.salt = s.salt AND l.comp != s.comp"
+        f" AND (s.size < l.size OR s.size = l.size AND s.node < l.node)"
+        f" AND l.place <= l.size - {enough} AND s.place <= s.size - {enough}"))
+    return meet.select(F.col("s.node").alias("a"), F.col("l.node").alias("b")).distinct()
+
+
+def exact_links(sets: DataFrame, threshold: int) -> DataFrame:
+    """``a, b``: the pairs of different components in ``node, comp, found`` that reach the threshold."""
+    near = land(pairs(sets, threshold))
+    rows = near.join(sets.select(F.col("node").alias("a"), F.col("found").alias("found_a")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("found").alias("found_b")), "b")
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2), batch.column(3)):
+                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= threshold * (len(x) + len(y) - both):
+                    out.append((a, b))
+            if out:
+                yield dict(zip("ab", zip(*out)))
+
+    return map_batches(rows.select("a", "b", "found_a", "found_b"), run, "a long, b long")
+
+
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``node, found``: the full sets of the classes in ``wanted`` (``node, doc_id``)."""
     rows = docs.join(wanted.select(F.col("doc_id").alias("_id"), "node"), F.col("doc_id").eqNullSafe(F.col("_id")))
@@ -258,7 +351,16 @@ def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "d
         "comp", F.coalesce("root", "node"))
     mixed = own.groupBy("tree", "head").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
     own = own.select("tree", "head", "node", "comp", "large").join(mixed.select("tree", "head"), ["tree", "head"])
-    labels = components(land(found.union(links(forest(own, F.col("comp")), threshold))))
+    found = land(found.union(links(forest(own, F.col("comp")), threshold)))
+    labels = components(found)
+    divided = keys.filter("large").select("tree", "head", "node")
+    if not divided.isEmpty():
+        divided = divided.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node"))
+        divided = land(divided.select("tree", "head", "node", "comp"))
+        mixed = divided.groupBy("tree", "head").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x < y")
+        rest = divided.join(mixed.select("tree", "head"), ["tree", "head"]).select("node", "comp").distinct()
+        rest = land(near.select("node", "found").join(rest, "node"))
+        labels = components(land(found.union(exact_links(rest, threshold))))
 
     # The smallest id of each component, for the classes that have links; other classes are components.
     linked = classes.join(labels, "node")
