@@ -159,6 +159,26 @@ def test_signatures_estimate_the_similarity():
         assert abs(agree - share) < 4 * (share * (1 - share) / lsh_forest.VALUES) ** 0.5
 
 
+def test_signatures_of_very_large_sets_differ():
+    rng = np.random.default_rng(3)
+    x, y = (lsh_forest.signature(rng.integers(0, 1 << 63, 300_000).astype(np.uint64)) for _ in range(2))
+    assert len(np.unique(x)) > 120 and (x == y).mean() < 0.05
+
+
+def test_long_texts_that_outgrow_the_bytes_of_a_region(code, monkeypatch):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randint(0, 10 ** 9)}" for _ in range(3000)]
+        texts += [" ".join(base), " ".join(base[:1500] + ["x"] + base[1501:])]
+    rng.shuffle(texts)
+    ids = list(range(len(texts)))
+    docs = code.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    monkeypatch.setattr(lsh_forest, "REGION_BYTES", 10_000)
+    got = table_of(lsh_forest.groups(docs, size=4))
+    assert [got[i][0]["component_id"] for i in ids] == brute(ids, texts, 4)[1]
+
+
 def test_query_against_all_pairs(code):
     sf = "/root/testdata/sf0.001"
     docs = code.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()

@@ -83,13 +83,16 @@ def shingles(text: str, size: int) -> np.ndarray:
 
 
 def signature(found: np.ndarray) -> np.ndarray:
-    """The leading 16 bits of the smallest value of every hash function."""
+    """16 bits of the smallest value of every hash function.
+
+    The smallest of many values is small, so its leading bits say little; it is mixed before it is shortened.
+    """
     least = np.full(VALUES, np.iinfo(np.uint64).max, np.uint64)
     for lo in range(0, len(found), 1024):
         part = found[None, lo:lo + 1024] * _MULTIPLY[:, None]
         part += _ADD[:, None]
         np.minimum(least, part.min(1), out=least)
-    return (least >> np.uint64(48)).astype(">u2")
+    return (_mix(least) >> np.uint64(48)).astype(">u2")
 
 
 def node_of(found: np.ndarray) -> int:
