@@ -32,6 +32,20 @@ def test_same_ids_as_the_library_and_round_trip(both):
         assert own.decode(ids).decode() == text
 
 
+def test_spaces_beside_other_white_space(both):
+    own, library = both
+    rng = random.Random(6)
+    parts = ["a", "word", "1", ",", "'s", " ", " ", "\n", "\r\n", "\t", "\x85", "\xa0", "\u2003", "\u2028", "\u3000", "\x1c", "\u200b"]
+    texts = ["a \xa0 \xa0 b", " \xa0 \xa0", "x \xa0 \xa0", "\n \n", "a\n ", "a \n b", " \n", "\n a", " "]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(20_000)]
+    for text in texts:
+        assert own.encode(text) == library.encode_ordinary(text), text
+        pieces = own.pieces(text)
+        if "  " not in text and not bpe._INNER_SPACE(text):     # cut at spaces: the same pieces
+            first, *rest = text.split(" ")
+            assert pieces == [p for c in [first, *(" " + x for x in rest)] for p in own.pieces(c)], text
+
+
 def test_every_token_is_whole_and_long_pieces_take_linear_steps(both):
     own, library = both
     for token in list(own.ranks)[::97]:

@@ -7,8 +7,8 @@ places that no token sequence can leave.  Two tokens may stand next to each othe
 bytes by rank would give these two tokens again; that answer is memoised by pair.  Each place is entered at most once
 per token that ends there, so the work is linear in the length of the piece.
 
-A document is cut at single spaces first, because a space always begins a piece; chunks and pieces that were met
-before come from bounded per-worker tables.
+A document is cut at single spaces first, because such a space begins a piece unless it stands inside a run of white
+space or ends one at the end of the text; chunks and pieces that were met before come from bounded per-worker tables.
 
 Defined cases: a null text counts as empty; an empty text has no ids, the digest of the empty string and decodes to
 no bytes; repeated rows are encoded each on its own; other columns are ignored; an empty table gives an empty table.
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from functools import lru_cache
 
 import ahocorasick
@@ -28,6 +29,7 @@ from trestle.llm.common import map_batches, texts
 
 MAX_CHUNKS = 400_000   # entries of a worker's tables of chunks and of pieces; a full table is emptied
 MAX_PAIRS = 2_000_000
+_INNER_SPACE = re.compile(r"(?<=\s) (?:\s|\Z)").search    # a space that belongs to the piece before it
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -159,12 +161,12 @@ class ByteBpe:
     def encode_text(self, text: str) -> str:
         """Decimal ids of a whole text, joined by one space.
 
-        A single space before anything but a space begins a piece, so the text can be cut there.  Runs of spaces
-        are one piece, so texts that hold one go through the pattern whole.
+        A space begins a piece unless white space stands before it and white space or the end follows, so the text
+        can be cut at its spaces.  Texts that hold such a space, or two spaces in a row, go through the pattern whole.
         """
         if not text:
             return ""
-        if "  " in text:
+        if "  " in text or _INNER_SPACE(text):
             return self.encode_chunk(text)
         if len(self.after_space) + len(self.plain) > MAX_CHUNKS:
             self.after_space.clear()
