@@ -205,3 +205,24 @@ def op1_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from trestle.llm import ann
 
     return ann.search(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trestle.llm import whitening
+
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trestle.llm import simhash
+
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from trestle.llm import repair
+
+    return repair.report(table(spark, sf_dir, "conversations"))
