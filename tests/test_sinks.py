@@ -1,19 +1,37 @@
 """Sinks (S-8, S-9) and table freshness (S-10)."""
 
-import tempfile
+import pytest
 
 from conftest import SF_SMALL
 from trestle.sources import control as S
 from trestle.plans import meta, schedule
 
 
-def test_materialize_round_trip(spark, tables):
-    df = schedule.grading_long(tables)
-    path = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/grading_metrics"
-    meta.materialize(df, path, partition_by=["metric_type"])
-    back = spark.read.parquet(path)
-    assert back.count() == df.count()
-    assert set(back.columns) == set(df.columns)
+def test_rebuilt_table(spark, tmp_path):
+    name, folder = "trestle_test_rebuilt", str(tmp_path)
+    first = spark.range(40).selectExpr("date_add('2024-01-01', cast(id % 4 as int)) as week", "id", "concat('v', id) as v")
+
+    def held():
+        return sorted(map(tuple, spark.table(name).select("week", "id", "v").collect()))
+
+    assert sorted(map(tuple, meta.rebuild_table(first, name, ["week"], folder).select("week", "id", "v").collect())) == sorted(
+        map(tuple, first.collect()))
+    before = held()
+    broken = first.selectExpr("week", "id + 100 as id", "if(id = 39, raise_error('broken'), v) as v")
+    with pytest.raises(Exception, match="broken"):
+        meta.rebuild_table(broken, name, ["week"], folder)
+    assert held() == before                                     # a failed rebuild leaves the old table
+    second = first.filter("id % 4 < 3").selectExpr("week", "id * 2 as id", "v")
+    meta.rebuild_table(second, name, ["week"], folder)
+    assert held() == sorted(map(tuple, second.collect())) and len(before) == 40        # the fourth week is gone
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_grading_table_is_rebuilt_by_every_run(spark, tables):
+    want = sorted(map(str, schedule.grading_long(tables).collect()))
+    assert sorted(map(str, meta.grading_table(tables).collect())) == want
+    again = meta.grading_table(tables)
+    assert sorted(map(str, again.collect())) == want and again.columns == schedule.grading_long(tables).columns
 
 
 def test_register_view(spark, tables):

@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+RUN = 1 << 12      # values that one task joins into one text
 
 
 def cond_sum(df: DataFrame, keys: Sequence, measures: Mapping[str, tuple[Column, Column | int]]) -> DataFrame:
@@ -25,14 +28,38 @@ def pivot_cond(df: DataFrame, keys: Sequence, preds: Mapping[str, Column], val:
     ])
 
 
-def listagg_distinct(c: str | Column, sep: str = ", ") -> Column:
-    """A-6: ``LISTAGG(DISTINCT c, sep) WITHIN GROUP (ORDER BY c)``; '' when there are no values (D8).
+def listagg_distinct(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column | str], sep: str = ", ") -> DataFrame:
+    """A-6: one row per key with ``LISTAGG(DISTINCT c, sep) WITHIN GROUP (ORDER BY c)`` for each ``name: c``; '' when
+    there are no values (D8).
 
-    The distinct set per group is bounded by the attribute's domain (markets, delivery methods), not by rows.
+    Values are made distinct by an aggregate first, however often they repeat.  The distinct ones are sorted by range
+    over all tasks and joined in runs of ``RUN`` values, and only the texts of the runs meet per key, in order; so a
+    group of very many values is sorted and joined by many tasks.  Numbers sort as numbers, then become text.
     """
-    c = F.col(c) if isinstance(c, str) else c
-    ordered = F.array_sort(F.collect_set(c))  # numeric ids sort as numbers, then become text
-    return F.array_join(F.transform(ordered, lambda x: x.cast("string")), sep)
+    items = []
+    for i, c in enumerate(values.values()):
+        c = F.col(c) if isinstance(c, str) else c
+        kind = df.select(c.alias("c")).schema["c"].dataType
+        whole = isinstance(kind, (T.IntegralType, T.DecimalType))
+        items.append(F.struct(
+            F.lit(i).alias("_i"), (c if whole else F.lit(None)).cast("decimal(38,9)").alias("_d"),
+            (c if isinstance(kind, T.FractionalType) and not whole else F.lit(None)).cast("double").alias("_f"),
+            c.cast("string").alias("_s")))
+    order = [*keys, "_i", "_d", "_f", "_s"]
+    single = df.select(*keys, F.explode(F.array(*items)).alias("_x")).select(*keys, "_x.*").filter(
+        "_s IS NOT NULL").distinct()
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = single.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn(
+        "_run", F.floor(F.monotonically_increasing_id() / RUN))
+    text = F.array_sort(F.collect_list(F.struct("_d", "_f", "_s")))
+    texts = runs.groupBy(*keys, "_i", "_run").agg(F.array_join(F.transform(text, lambda x: x["_s"]), sep).alias("_t"))
+    lists = texts.groupBy(*keys).agg(*[
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_i") == i, F.struct("_run", "_t")))),
+                                 lambda x: x["_t"]), sep).alias(name) for i, name in enumerate(values)])
+    every = df.select(*keys).distinct()
+    lists = lists.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return every.join(lists, same, "left").select(*keys, *[F.coalesce(n, F.lit("")).alias(n) for n in values])
 
 
 def global_agg(df: DataFrame, *aggs: Column) -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trestle.operators.blocks import running_sums
+
 
 def left_using(df: DataFrame, dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     """J-1: ``LEFT JOIN .. USING (keys)``: key columns appear once."""
@@ -55,20 +57,30 @@ def with_params(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
 
 
-def trailing_sum(df: DataFrame, facts: DataFrame, keys: Sequence[str], at: str, date_col: str,
-                 value: str, days: int, name: str) -> DataFrame:
-    """J-9: ``SUM(value)`` of facts with ``at - days < date <= at`` per row of ``df`` (equi join on ``keys``).
+def trailing_sums(df: DataFrame, facts: DataFrame, keys: Sequence[str], at: str, date_col: str, value: str,
+                  windows: Mapping[str, int]) -> DataFrame:
+    """J-9: per row of ``df`` the ``SUM(value)`` of facts with ``at - days < date <= at``, for each ``name: days``.
 
-    Facts are first aggregated to one row per (keys, date), and the date window is part of the join condition,
-    so each probe row meets at most ``days`` fact rows per key instead of the key's whole history.
+    An event sweep: the sum of a day enters the windows on that day and leaves each one when it is as many days old.
+    The running total of these events up to ``at`` is the sum of the window, so no row meets a range of days, and one
+    pass serves all windows.  A window without values is NULL.
     """
-    daily = facts.groupBy(*keys, date_col).agg(F.sum(value).alias("_v"))
-    probe = df.select(*keys, at).distinct()
-    cond = [probe[k] == daily[k] for k in keys]
-    cond.append(daily[date_col].between(F.date_sub(probe[at], days - 1), probe[at]))
-    agg = (probe.join(daily, cond, "inner")
-           .groupBy(*[probe[k] for k in keys], probe[at]).agg(F.sum("_v").alias(name)))
-    return df.join(agg, [*keys, at], "left")
+    daily = facts.groupBy(*keys, F.col(date_col).alias("_day")).agg(F.sum(value).alias("_v")).filter("_v IS NOT NULL")
+    names = list(windows)
+    changes = [F.struct(F.col("_day"), *[F.lit(1).alias(f"_n{i}") for i in range(len(names))])]
+    changes += [F.struct(F.date_add("_day", days).alias("_day"), *[F.lit(-int(i == k)).alias(f"_n{i}") for i in range(len(names))])
+                for k, days in enumerate(windows.values())]
+    moved = daily.select(*keys, "_v", F.explode(F.array(*changes)).alias("_e")).select(
+        *keys, "_e._day", F.lit(False).alias("_asked"), *[F.col(f"_e._n{i}").alias(f"_n{i}") for i in range(len(names))],
+        *[(F.col(f"_e._n{i}") * F.col("_v")).alias(f"_v{i}") for i in range(len(names))])
+    asked = df.select(*keys, F.col(at).alias("_day")).distinct().withColumn("_asked", F.lit(True))
+    cols = [f"_{x}{i}" for i in range(len(names)) for x in "nv"]
+    events = moved.unionByName(asked, allowMissingColumns=True).groupBy(*keys, "_day").agg(
+        F.max("_asked").alias("_asked"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols])
+    swept = running_sums(events, keys, [F.col("_day")], {f"{c}_now": c for c in cols}).filter("_asked")
+    sums = swept.select(*keys, F.col("_day").alias(at), *[
+        F.when(F.col(f"_n{i}_now") > 0, F.col(f"_v{i}_now")).alias(name) for i, name in enumerate(names)])
+    return df.join(sums, [*keys, at], "left")
 
 
 def link_counts(nodes: DataFrame, links: DataFrame, keys: Sequence[str], node: str, pred: str,

@@ -20,7 +20,8 @@ def project(df: DataFrame, columns: Mapping[str, str | Column]) -> DataFrame:
         if isinstance(given, Column):
             return given.alias(name)
         source, _, type_ = (x.strip() for x in given.partition(":"))
-        return (F.col(source).cast(type_) if type_ else F.col(source)).alias(name)
+        found = F.col(f"`{source}`")
+        return (found.cast(type_) if type_ else found).alias(name)
 
     return df.select(*[column(name, given) for name, given in columns.items()])
 

@@ -1,19 +1,21 @@
 """Window operators (W-1..W-9) with the dialect's NULL ordering (D1: NULL is the largest value).
 
-All per-key windows partition by their key, so Spark hash-partitions once by the key and sorts within
-partitions; ``row_number() == 1`` filters are pruned early by Catalyst (InferWindowGroupLimit).  A hot key
-(one project or job holding a third of the rows) lands in one task but is streamed through the sort with
-spill, never collected.  Global (unpartitioned) windows are never used: a global top-1 is a
+Top-1 windows partition by their key; ``row_number() == 1`` filters are pruned early by Catalyst
+(InferWindowGroupLimit), so a hot key (one project or job holding a third of the rows) never reaches one task whole.
+Running totals and LEAD need all rows of a key in order; they are dealt to several tasks in blocks
+(``trestle.operators.blocks``).  Global (unpartitioned) windows are never used: a global top-1 is a
 TakeOrderedAndProject and a global max is a scalar aggregate.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trestle.operators.blocks import rows_further, running_sums
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -73,21 +75,14 @@ def global_top1(df: DataFrame, order: Sequence, descending: bool = True) -> Data
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: str | Column, cols: Sequence[str],
-                frame: str = "rows", suffix: str = "_running") -> DataFrame:
-    """W-5/W-6: running totals per key.
+                frame: str = "rows", suffix: str = "_running", tie: Sequence = ()) -> DataFrame:
+    """W-5/W-6: running totals per key, in blocks.
 
-    ``frame='rows'`` is ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW``; ``frame='range'`` is the default
-    frame of ``SUM() OVER (ORDER BY ..)``: peers (equal order values) share the total, and the total stays NULL
-    until the first non-NULL value.
+    ``frame='rows'`` is ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW`` (``tie`` columns order its ties);
+    ``frame='range'`` is the default frame of ``SUM() OVER (ORDER BY ..)``: peers (equal order values) share the total,
+    and the total stays NULL until the first non-NULL value.
     """
-    w = Window.partitionBy(*keys).orderBy(_order([order], False)[0])
-    if frame == "rows":
-        w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    elif frame == "range":
-        w = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    else:
-        raise ValueError(frame)
-    return df.withColumns({f"{c}{suffix}": F.sum(c).over(w) for c in cols})
+    return running_sums(df, keys, _order([order, *tie], False), {f"{c}{suffix}": c for c in cols}, frame)
 
 
 def where_max(df: DataFrame, c: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -103,8 +98,8 @@ def where_max(df: DataFrame, c: str, keys: Sequence[str] = ()) -> DataFrame:
     return df.filter(F.col(c) == mx)
 
 
-def rows_back(df: DataFrame, keys: Sequence[str], order: str, c: str, n: int, name: str | None = None,
+def rows_back(df: DataFrame, keys: Sequence[str], order: str, wanted: Mapping[str, tuple[str, int]],
               descending: bool = True) -> DataFrame:
-    """W-9: ``LEAD(c, n) OVER (PARTITION BY keys ORDER BY order DESC)``: the value n rows further in the order."""
-    w = Window.partitionBy(*keys).orderBy(*_order([order], descending))
-    return df.withColumn(name or f"{c}_lead{n}", F.lead(c, n).over(w))
+    """W-9: ``LEAD(c, n) OVER (PARTITION BY keys ORDER BY order DESC)`` for each ``name: (c, n)``: the value n rows
+    further in the order, in blocks."""
+    return rows_further(df, keys, _order([order], descending), wanted)

@@ -12,6 +12,8 @@ from pathlib import Path
 from trestle.oracle.fixtures import FIXTURE_DEPS, FIXTURE_SQL
 
 SQL_DIR = Path(__file__).parent / "sql"
+#: Analogs that are large next to their base table and joined with themselves: made once, so joins see plain columns.
+MATERIALIZED = {"fx_task"}
 _FX = re.compile(r"\bfx_\w+\b")
 
 
@@ -47,7 +49,7 @@ def compose(body: str) -> str:
     queries = sorted({m for m in _Q.findall(body) if (SQL_DIR / f"{m}.sql").exists()})
     if not used and not queries:
         return body.strip()
-    parts = [f"{n} AS ({sqls[n].strip()})" for n in _order(used, deps)]
+    parts = [f"{n} AS {'MATERIALIZED ' if n in MATERIALIZED else ''}({sqls[n].strip()})" for n in _order(used, deps)]
     parts += [f"q_{m} AS ({compose((SQL_DIR / f'{m}.sql').read_text())})" for m in queries]
     ctes = ",\n".join(parts)
     stripped = body.lstrip()

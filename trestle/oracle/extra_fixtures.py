@@ -3,6 +3,9 @@
 The Spark side of each lives in ``trestle.sources.analogs``.
 """
 
+from trestle.plans.form_maps import (INCIDENT_COLUMNS, OPPORTUNITY_BOOLEANS, OPPORTUNITY_COLUMNS, OPPORTUNITY_NUMBERS,
+                                     OPPORTUNITY_TIMES, OSHA_COLUMNS, PRACTICE_AREA_COLUMNS, snake)
+
 EXTRA_SQL: dict[str, str] = {
     # AP lines (APTL): one line per lineitem, same company/job coding as the job-cost analog.
     "fx_ap_line": """
@@ -69,6 +72,7 @@ from events
 """,
     "fx_opp_delivery_method": """
 select user_id as opportunity_id,
+  event_id % 3 + 1 as delivery_method_id,
   case event_id % 3 when 0 then 'Design-Build' when 1 then 'CM at Risk' else 'Hard Bid' end as delivery_method_name,
   cast(ts as date) as last_load_dt
 from events
@@ -121,6 +125,30 @@ select * from (values
 ) as b(metric, low, below, grade)
 """,
 }
+# Grade limits.  The nearest limit that a value keeps gives the grade; a value that keeps none is an F.
+EXTRA_SQL |= {
+    "fx_grade_upto": """
+select metric, cast(bound as double) as bound, grade from (values
+  ('invalid_dates', 0, 'A'), ('invalid_dates', 2, 'B'), ('invalid_dates', 3, 'c'), ('invalid_dates', 5, 'D'),
+  ('lags', 2, 'A'), ('lags', 4, 'B'), ('lags', 6, 'C'), ('lags', 8, 'D'), ('leads', 0, 'A'), ('leads', 1, 'D'),
+  ('missing_logic', 4, 'A'), ('missing_logic', 7, 'B'), ('missing_logic', 10, 'C'), ('missing_logic', 15, 'D'),
+  ('long_duration', 1, 'A'), ('long_duration', 2, 'B'), ('long_duration', 3, 'C'), ('long_duration', 4, 'D')
+) as g(metric, bound, grade)
+""",
+    "fx_grade_below": """
+select metric, cast(bound as double) as bound, grade from (values
+  ('soft_constraints', 4, 'A'), ('soft_constraints', 5, 'B'), ('soft_constraints', 6, 'C'), ('soft_constraints', 7, 'D'),
+  ('out_of_sequence', 1, 'A'), ('out_of_sequence', 9, 'B'), ('out_of_sequence', 15, 'C'), ('out_of_sequence', 20, 'D')
+) as g(metric, bound, grade)
+""",
+    "fx_grade_from": """
+select metric, cast(bound as double) as bound, grade from (values
+  ('fs_relationships', 95, 'A'), ('fs_relationships', 90, 'B'), ('fs_relationships', 85, 'C'), ('fs_relationships', 80, 'D'),
+  ('bei', 1, 'A'), ('bei', .95, 'B'), ('bei', .9, 'C'), ('bei', .85, 'D'),
+  ('missed_activities', 100, 'A'), ('missed_activities', 95, 'B'), ('missed_activities', 90, 'C'), ('missed_activities', 85, 'D')
+) as g(metric, bound, grade)
+""",
+}
 # Lookups: accounts, budget codes, phase and cost-type names, each with some entries absent.
 EXTRA_SQL |= {
     "fx_account": """
@@ -145,3 +173,63 @@ from fx_job_cost where cost_type <> '4'
 EXTRA_DEPS: dict[str, list[str]] = {"fx_segment": ["fx_gl"], "fx_account": ["fx_gl", "fx_budget"],
                                     "fx_budget_code": ["fx_budget"], "fx_phase_name": ["fx_job_cost"],
                                     "fx_cost_type": ["fx_job_cost"]}
+
+
+# Wide staging tables as they come out, typed and under their output names.  The values follow the specification of the
+# forms: text by column number and row, unless a column has a value of its own.
+def _wide(columns, given: dict[str, str], key: str, value=None) -> str:
+    out = []
+    for i, (source, name) in enumerate(columns):
+        text = f"'{source} ' || cast({key} % {i + 5} as varchar)"
+        filled = f"case when ({key} + {i}) % 11 <> 0 then {(value and value(i, source)) or text} end"
+        out.append(f"{given.get(source, filled)} as {name}")
+    return ", ".join(out)
+
+
+def _opportunity_value(i: int, c: str) -> str | None:
+    if c in OPPORTUNITY_NUMBERS:
+        text = f"cast(event_id * {i + 7} % 100000 as varchar) || case event_id % 3 when 0 then '' when 1 then '.5' else '.25' end"
+        return f"cast(try_cast({text} as decimal(38,0)) as bigint)"
+    if c in OPPORTUNITY_TIMES:
+        return f"cast(date '1996-01-01' + cast(event_id * {i + 3} % 1500 as int) as timestamp) + interval 510 minute"
+    if c in OPPORTUNITY_BOOLEANS:
+        return f"(event_id + {i}) % 9 = 0"
+    return None
+
+
+_DAY = "cast(cast(ts as date) as timestamp)"
+_LINK = "'http://x/' || cast(event_id as varchar)"
+EXTRA_SQL |= {
+    "fx_opportunity_typed": "select event_id as version_id, " + _wide(
+        [(c, snake(c)) for c in OPPORTUNITY_COLUMNS], {
+            "OpportunityId": "user_id", "OpportunityNumber": "user_id",
+            "Size": "cast(try_cast(cast(value as varchar) as decimal(38,0)) as bigint)",
+            "StageType": "case event_type when 'purchase' then 'Closed Won' when 'error' then 'Closed Lost' when 'view' then 'Open' "
+                         "when 'click' then 'Pending' else 'Lead' end",
+            "DeleteRecord": "event_id % 9 = 0", "ClientName": "'Client ' || cast(user_id % 97 as varchar)",
+            "NextAction": "'<p class=\"n\">Call&nbsp;' || cast(event_id % 9 + 1 as varchar) || '</p><br/>'",
+            "LastModifiedDateTime": "case when event_id % 13 <> 0 then ts end",
+            "Note": "'<div>Note&nbsp;' || cast(event_id % 7 as varchar) || '</div>'"},
+        "event_id", _opportunity_value) + " from events",
+    "fx_incident_typed": "select " + _wide(INCIDENT_COLUMNS.items(), {
+        "link": _LINK, "date": f"{_DAY} + interval 495 minute", "report number": "cast(event_id as varchar)",
+        "hhoa45b9lwo3l2pp": "'Region ' || cast(user_id % 5 as varchar)",
+        "3nmr0xeq7vfwu8fp": "if(event_id % 3 = 0, 'Near Miss', 'Injury')",
+        # the hours 1 to 12 with AM or PM: 12 is the first hour of its half day
+        "zg69dpnrgww804oa": f"{_DAY} + to_minutes(cast((event_id % 12 + 1) % 12 * 60 + 15 + event_id % 2 * 720 as bigint))"},
+        "event_id") + " from events where event_type = 'error' and event_id % 50 <> 0",
+    "fx_osha_typed": "select " + _wide(OSHA_COLUMNS.items(), {
+        "link": _LINK, "date": f"{_DAY} + interval 495 minute", "updated": f"{_DAY} + interval 18 hour",
+        "oshalogincidentdate": _DAY, "oshalogperiodstransferred": "case when event_id % 6 <> 0 then cast(event_id % 30 as varchar) end",
+        **{c: f"cast(date '1970-01-01' + cast(event_id * {n} % 9000 as int) as timestamp)" for c, n in (
+            ("oshalogreportdate", 3), ("oshalogempbirthdate", 5), ("oshalogemphireddate", 7))},
+        **{f"select-{c}": f"if(event_id % {n} = 0, 'true', 'false')" for c, n in (
+            ("days away from work", 4), ("job transfer or restriction", 5), ("death", 97), ("other recordable case", 2))}},
+        "event_id") + " from events where event_type = 'error' and event_id % 50 <> 0",
+    "fx_practice_area_typed": "select " + _wide(PRACTICE_AREA_COLUMNS.items(), {
+        "practiceareaid": "p_partkey % 4 + 1",
+        "practiceareaname": "case p_partkey % 4 when 0 then 'Education' when 1 then 'Healthcare' when 2 then 'Industrial' "
+                            "else 'Water Resources' end",
+        "createdate": "cast(date '1996-01-01' + cast(p_partkey % 900 as int) as timestamp) + interval 12 hour"},
+        "p_partkey") + " from part",
+}

@@ -17,7 +17,10 @@ select cast(l_partkey % 140 + 1 as string) as glco,
   case when l_suppkey % 5 = 0 then '0000' else lpad(cast((l_suppkey % 5) * 200 + (l_suppkey % 4 + 1) * 10 as string), 4, '0') end as part2,
   case l_orderkey % 4 when 0 then '300' when 1 then '004' when 2 then '311' else '000' end as part3,
   cast(date_trunc('month', l_shipdate) as date) as mth,
-  cast(floor(l_extendedprice * 100) as bigint) * case when l_linenumber <= 2 then -1 else 1 end as netamt_cents
+  cast(floor(l_extendedprice * 100) as bigint) * case when l_linenumber <= 2 then -1 else 1 end as netamt_cents,
+  case l_linenumber % 3 when 0 then 'GJ' when 1 then ' AP' else 'AR ' end as jrnl, ' ' || cast(l_orderkey % 1000 as string) as glref,
+  cast(l_partkey % 7 + 1 as string) as sourceco, case when l_linenumber % 2 = 0 then 'GL Entry' else 'JC Detail' end as source,
+  case when l_orderkey % 50 = 0 then 'Y' else 'N' end as adjust, case when l_orderkey % 90 = 0 then 'Y' else 'N' end as purge
 from lineitem
 """,
     "fx_budget": """

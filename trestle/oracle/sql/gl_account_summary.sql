@@ -6,7 +6,7 @@ with name as (
 select e.gl_co, e.gl_account, a.description as account_description, a.acct_type as account_type, e.part1 as natural_account,
   n1.label as natural_account_desc, e.part2 as account_division, coalesce(d.description, n2.label) as division_description,
   e.part3 as account_department, n3.label as department_description, cast(e.mth as varchar) as mth,
-  cast(e.netamt_cents as varchar) as net_amount
+  cast(e.netamt_cents as varchar) as net_amount, trim(e.jrnl) as jrnl, trim(e.glref) as gl_ref, trim(e.sourceco) as source_co, trim(e.source) as source
 from entry e
   join name n1 on n1.partno = 1 and n1.co = e.gl_co and n1.code = e.part1
   join name n3 on n3.partno = 3 and n3.co = e.gl_co and n3.code = e.part3

@@ -1,4 +1,2 @@
-select glco, count(*) as n_rows,
-  case when glco not in ('41','47','51','54','56','58','61','64','67','120','122','124','126','128','130','132','134')
-        and (cast(glco as int) < 71 or cast(glco as int) > 104) then 1 else 0 end as include_company
+select glco, count(*) as n_rows, if(glco in (from fx_excluded_company), 0, 1) as include_company
 from fx_gl group by glco

@@ -1,13 +1,7 @@
-with s as (
-  select link, injury_date, periods_away_restricted,
-    case when lower(trim(select_days_away_from_work)) in ('true','t','yes','y','on','1') then true
-         when lower(trim(select_days_away_from_work)) in ('false','f','no','n','off','0') then false end as days_away,
-    case when lower(trim(select_job_transfer_or_restriction)) in ('true','t','yes','y','on','1') then true
-         when lower(trim(select_job_transfer_or_restriction)) in ('false','f','no','n','off','0') then false end as job_transfer,
-    case when lower(trim(select_death)) in ('true','t','yes','y','on','1') then true
-         when lower(trim(select_death)) in ('false','f','no','n','off','0') then false end as death
-  from q_stg_osha_recordable_incidents
-)
-select *, case when days_away = true then 'Days Away Incident' when job_transfer = true then 'Job Transfer Incident'
-               when death = true then 'Death Incident' else 'Other Recordable Incident' end as incident_type
-from s
+select datetime as submit_datetime, injury_date, job_title, field_office, injury_type, periods_away_restricted,
+  select_days_away_from_work = 'true' as select_days_away_from_work,
+  select_job_transfer_or_restriction = 'true' as select_job_transfer_or_restriction,
+  select_death = 'true' as select_death, select_other_recordable_case = 'true' as select_other_recordable_case, outcome_2 as injury_outcome,
+  coalesce(if(select_days_away_from_work = 'true', 'Days Away', null), if(select_job_transfer_or_restriction = 'true', 'Job Transfer', null),
+    if(select_death = 'true', 'Death', null), 'Other Recordable') || ' Incident' as incident_type
+from q_stg_osha_recordable_incidents

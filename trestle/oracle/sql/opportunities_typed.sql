@@ -1,5 +1 @@
-select version_id, opportunity_id as opportunity_number, opportunity_id, load_ts as last_modified_date_time, stage_type,
-  case when lower(trim(delete_record)) in ('true','t','yes','y','on','1') then true
-       when lower(trim(delete_record)) in ('false','f','no','n','off','0') then false end as delete_record,
-  cast(try_cast(size_text as decimal(38,0)) as bigint) as size, market_name as market, client_name, next_action_html
-from fx_opportunity
+select * from fx_opportunity_typed

@@ -1,3 +1,3 @@
-select region, link, incident_type, datetime_of_incident, report_number, description_1, cast(null as varchar) as employee_involved
+select region, project, incident_type, datetime_of_incident, observer, employee_involved, description_1
 from q_stg_incident_notification
 order by datetime_of_incident desc nulls first, link asc nulls last

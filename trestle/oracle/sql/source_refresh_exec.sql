@@ -11,7 +11,7 @@ select x.n as data_source, x.d as data_date_ref, x.l as last_load_dt
 from (select unnest([
   {n: 'New Sales', d: file.day, l: file.loaded}, {n: 'WIP', d: file.day, l: file.loaded},
   {n: 'Rolling Forecast', d: file.day, l: file.loaded}, {n: 'Pending Backlog', d: file.day, l: file.loaded},
-  {n: 'KPA', d: (select if(count(*) > count(injury_date), null, max(injury_date)) from q_incident_month),
+  {n: 'KPA', d: (select if(count(*) > count(injury_date), null, cast(max(injury_date) as date)) from q_incident_month),
    l: (last_ok at time zone 'America/Los_Angeles') at time zone 'America/New_York'},
   {n: 'GL Actuals', d: (select max(actual_date) from q_cost_nonzero where actual_date <= date '2001-08-01'),
    l: (last_any at time zone 'America/Los_Angeles') at time zone 'America/New_York'},

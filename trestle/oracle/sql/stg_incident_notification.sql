@@ -1,4 +1 @@
-select link, regexp_extract(link, '(\d+)$', 1) as report_number,
-  try_strptime(trim(injury_date_text) || ' ' || injury_time_text, '%m/%d/%Y %I:%M %p') as datetime_of_incident,
-  incident_type, region, injury_date_text as description_1
-from fx_incident where link != 'Link'
+select * from fx_incident_typed

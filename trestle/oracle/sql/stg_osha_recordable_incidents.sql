@@ -1,3 +1 @@
-select link, cast(try_strptime(injury_date_text, '%m/%d/%Y') as date) as injury_date, days_away as select_days_away_from_work,
-  transfer as select_job_transfer_or_restriction, death as select_death, days_lost as periods_away_restricted
-from fx_incident where link != 'Link'
+select * from fx_osha_typed

@@ -1 +1 @@
-select practice_area_id as practiceareaid, practice_area_name as practiceareaname from fx_practice_area
+select * from fx_practice_area_typed

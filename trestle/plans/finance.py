@@ -106,6 +106,13 @@ def accounts_receivable(t: Tables) -> DataFrame:
 
 
 # --- budget -----------------------------------------------------------------------------------------------------
+def budget_lines(t: Tables, since_year: int = BUDGET_SINCE_YEAR) -> DataFrame:
+    """Budget lines with the year and FC number of their code, without lookups."""
+    b = t.fx.budget.filter(F.col("mth") >= F.lit(f"{since_year}-01-01").cast("date"))
+    b = b.withColumns({"budget_year": part("budget_code", " ", 1), "fc_number": regex_group("budget_code", r"FC([0-9.]+)")})
+    return b.filter(F.col("budget_year").try_cast("int") >= since_year)
+
+
 @query("budget_parsed")
 def budget_parsed(t: Tables, since_year: int = BUDGET_SINCE_YEAR) -> DataFrame:
     """R-23: budget lines + account and budget-code lookups + department; year text and FC number from the code.
@@ -113,7 +120,7 @@ def budget_parsed(t: Tables, since_year: int = BUDGET_SINCE_YEAR) -> DataFrame:
     ``budget_year`` and ``fc_number`` stay text (D12: FC numbers order lexicographically downstream); the year
     filter casts the text (D11).
     """
-    b = t.fx.budget.filter(F.col("mth") >= F.lit(f"{since_year}-01-01").cast("date"))
+    b = budget_lines(t, since_year)
     dept = t.fx.dept.select(F.trim("department").alias("_dept"), F.trim("glco").alias("_co"),
                             F.col("description").alias("department_description"))
     acct = t.fx.account.select(F.col("glco").alias("_aco"), F.col("glacct").alias("_acct"),
@@ -125,10 +132,9 @@ def budget_parsed(t: Tables, since_year: int = BUDGET_SINCE_YEAR) -> DataFrame:
     b = (b.join(acct, (b.gl_co == acct._aco) & (b.gl_account == acct._acct), "left")
          .join(code, (b.gl_co == code._bco) & (b.budget_code == code._code), "left"))
     j = b.join(dept, (F.trim(b.account_division) == dept._dept) & (F.trim(b.gl_co) == dept._co), "left")
-    out = j.select("gl_co", "gl_account", "natural_account", "account_division", "account_department",
-                   "account_description", "account_type", "department_description", "budget_code", "budget_description", part("budget_code", " ", 1).alias("budget_year"),
-                   regex_group("budget_code", r"FC([0-9.]+)").alias("fc_number"), "mth", "budget_cents")
-    return out.filter(F.col("budget_year").try_cast("int") >= since_year)
+    return j.select("gl_co", "gl_account", "natural_account", "account_division", "account_department",
+                    "account_description", "account_type", "department_description", "budget_code", "budget_description",
+                    "budget_year", "fc_number", "mth", "budget_cents")
 
 
 # --- spreadsheets -----------------------------------------------------------------------------------------------

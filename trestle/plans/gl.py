@@ -101,7 +101,8 @@ def gl_account_summary(t: Tables) -> DataFrame:
     g = t.fx.gl.select(F.trim("glco").alias("gl_co"), F.concat_ws(".", "part1", "part2", "part3").alias("gl_account"),
                        F.col("part1").alias("natural_account"), F.col("part2").alias("account_division"),
                        F.col("part3").alias("account_department"), F.trim(F.col("mth").cast("string")).alias("mth"),
-                       F.trim(F.col("netamt_cents").cast("string")).alias("net_amount"))
+                       F.trim(F.col("netamt_cents").cast("string")).alias("net_amount"), F.trim("jrnl").alias("jrnl"),
+                       F.trim("glref").alias("gl_ref"), F.trim("sourceco").alias("source_co"), F.trim("source").alias("source"))
     dm = t.fx.dept.select(F.trim("department").alias("_dept"), F.trim("glco").alias("_dco"),
                           F.col("description").alias("_dm_desc"))
     p2 = t.fx.segment.filter(F.col("partno") == 2).select(
@@ -118,7 +119,7 @@ def gl_account_summary(t: Tables) -> DataFrame:
          .join(p3, (g.gl_co == p3._c3) & (g.account_department == p3._i3), "inner"))
     return j.select("gl_co", "gl_account", "account_description", "account_type", "natural_account", "natural_account_desc", "account_division",
                     F.coalesce("_dm_desc", "_p2_desc").alias("division_description"), "account_department",
-                    "department_description", "mth", "net_amount")
+                    "department_description", "jrnl", "gl_ref", "source_co", "source", "mth", "net_amount")
 
 
 @query("gl_segments_required")
@@ -249,23 +250,32 @@ def budget_versions(b: DataFrame) -> DataFrame:
     """
     from trestle.operators.windows import latest_per_key
 
+    b = named_budget(b)
+    plan = latest_per_key(b.filter(F.col("budget_type") == "Plan"), ["gl_account", "budget_name", "mth"],
+                          ["fc_number"], tie=[F.col("gl_co").asc(), F.col("budget_code").asc(),
+                                              F.col("budget_cents").asc()])
+    return plan.unionByName(forecast_versions(b))
+
+
+def named_budget(b: DataFrame) -> DataFrame:
+    """Budget lines with ``budget_name``, ``mth_year`` and ``budget_type``."""
     mth_year = F.year("mth")
     fc_round = F.round(F.col("fc_number").try_cast("double")).cast("bigint").cast("string")
     name = F.when(F.col("budget_year").try_cast("int") != mth_year,
                   F.concat(mth_year.cast("string"), F.lit(" Plan"))).otherwise(
         F.concat(F.col("budget_year"), F.lit(" FC"), fc_round))
     b = b.withColumns({"budget_name": name, "mth_year": mth_year})
-    b = b.withColumn("budget_type", F.when(F.col("budget_name").like("%Plan%"), "Plan")
-                     .when(F.col("budget_name").like("%FC%"), "FC"))
-    plan = latest_per_key(b.filter(F.col("budget_type") == "Plan"), ["gl_account", "budget_name", "mth"],
-                          ["fc_number"], tie=[F.col("gl_co").asc(), F.col("budget_code").asc(),
-                                              F.col("budget_cents").asc()])
-    fc = b.filter(F.col("budget_type") == "FC")
+    return b.withColumn("budget_type", F.when(F.col("budget_name").like("%Plan%"), "Plan")
+                        .when(F.col("budget_name").like("%FC%"), "FC"))
+
+
+def forecast_versions(named: DataFrame) -> DataFrame:
+    """The FC part of :func:`budget_versions`."""
+    fc = named.filter(F.col("budget_type") == "FC")
     fc_max = (fc.groupBy(F.col("budget_name").alias("_bn"), F.floor(F.col("fc_number").try_cast("double")).alias("_base"))
               .agg(F.max("fc_number").alias("_max_fc")).drop("_base"))
     # fc_max has one row per budget version.  It is not hinted: with the hint the plan measured 2.5x slower,
     # and AQE turns this join into a broadcast once the (tiny) aggregate stage is measured; if it ever stayed a
     # sort-merge join, AQE's skew handling splits the few hot (name, FC number) partitions of the FC side.
-    fc = (fc.join(fc_max, (fc.budget_name == fc_max._bn) & (fc.fc_number == fc_max._max_fc), "inner")
-          .drop("_bn", "_max_fc"))
-    return plan.unionByName(fc)
+    return (fc.join(fc_max, (fc.budget_name == fc_max._bn) & (fc.fc_number == fc_max._max_fc), "inner")
+            .drop("_bn", "_max_fc"))

@@ -3,16 +3,16 @@ pending backlog and rolling forecast marts (R-51, R-52)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trestle import DEFAULT_AS_OF
 from trestle.functions import region_code, safe_div
 from trestle.operators import reshape as U
-from trestle.operators.windows import where_max
 from trestle.plans.gl import (GL_SINCE_YEAR, budget_versions, gl_account_summary, gl_budget, gl_flagged)
 from trestle.plans.registry import query
 from trestle.sources import control as S
+from trestle.sources.landing import land_fresh
 from trestle.sources.tables import Tables
 
 # The regional divisions of the budget mart.
@@ -36,7 +36,9 @@ def division_budget(t: Tables) -> DataFrame:
     aggregated, so there is one output row per revenue line, next to the division's total (margin)."""
     from trestle.plans.finance import budget_parsed
 
-    v = budget_versions(budget_parsed(t).filter(F.col("account_division").isin(*REGION_DIVISIONS)))
+    # Read twice below: lines and their totals.
+    v = land_fresh(budget_versions(budget_parsed(t).filter(F.col("account_division").isin(*REGION_DIVISIONS))).select(
+        "gl_co", "account_division", "department_description", "natural_account", "budget_name", "mth_year", "mth", "budget_cents"))
     margin = (v.groupBy("gl_co", "account_division", "department_description", "budget_name", "mth_year", "mth")
               .agg(F.sum("budget_cents").alias("margin")))
     rev = v.filter(F.col("natural_account") == REVENUE_ACCOUNT).select(
@@ -80,7 +82,7 @@ def revenue_metrics(t: Tables, as_of=DEFAULT_AS_OF, since_year: int = METRICS_SI
     """R-49: monthly revenue, direct and indirect cost and margin in six labelled slices.
 
     Actual slices (two years back, last year, YTD) are labelled in one pass over the monthly actuals (U-8);
-    the plan slices keep the rows of the text-greatest FC number of their slice (W-7, a scalar max per slice).
+    the plan slices keep the rows of the text-greatest FC number of their slice (W-7).
     """
     y = as_of.year
     act = _pl_sums(gl_flagged(t).filter((F.col("include_company") == 1)
@@ -92,13 +94,14 @@ def revenue_metrics(t: Tables, as_of=DEFAULT_AS_OF, since_year: int = METRICS_SI
     bud = _pl_sums(gl_budget(t).filter((F.col("include_company") == 1)
                                                     & (F.col("mth") >= F.lit(f"{since_year}-01-01").cast("date"))),
                    "budget_cents", ["mth", "budget_type", "budget_name", "fc_number", "mth_year"])
-    plan_now = where_max(bud.filter((F.col("mth_year") == y) & (F.col("budget_type") == "Plan")), "fc_number") \
-        .withColumn("rev_type", F.lit(f"{y} Plan"))
-    plan_next = where_max(bud.filter((F.col("mth_year") == y + 1) & (F.col("budget_type") == "Plan")), "fc_number") \
-        .withColumn("rev_type", F.lit(f"{y + 1} Plan"))
-    fc_now = bud.filter((F.col("mth_year") == y) & (F.col("budget_type") == "FC")).withColumn("rev_type", F.col("budget_name"))
+    # The budget slices are labelled in one pass as well; its months and versions are few after the sums.
+    plan, fc = F.col("budget_type") == "Plan", (F.col("budget_type") == "FC") & (F.col("mth_year") == y)
+    bud = bud.filter((plan & F.col("mth_year").isin(y, y + 1)) | fc)
+    newest = F.max("fc_number").over(Window.partitionBy("budget_type", "mth_year"))
+    budget = bud.withColumn("_newest", newest).filter(fc | (F.col("fc_number") == F.col("_newest"))).withColumn(
+        "rev_type", F.when(fc, F.col("budget_name")).otherwise(F.concat(F.col("mth_year").cast("string"), F.lit(" Plan"))))
     cols = ["mth", "rev_type", "revenue", "direct_cost", "indirect_cost"]
-    out = U.stack_rows(*[d.select(*cols) for d in (actual, plan_now, plan_next, fc_now)])
+    out = U.stack_rows(*[d.select(*cols) for d in (actual, budget)])
     return out.withColumn("margin", F.col("revenue") - F.col("direct_cost") - F.col("indirect_cost"))
 
 

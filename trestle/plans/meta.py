@@ -7,6 +7,8 @@ relations are attached as scalar subqueries (J-7), so no join is involved.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +19,7 @@ from trestle.functions import date_lit, shift_zone
 from trestle.operators import joins as J
 from trestle.operators import windows as W
 from trestle.plans.registry import query
+from trestle.session import checkpoint_dir
 from trestle.sources import control as S
 from trestle.sources.tables import Tables, source
 
@@ -58,8 +61,8 @@ def _cols(df: DataFrame) -> DataFrame:
 
 def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFrame:
     from trestle.plans.crm_safety import current_versions, osha_recordable_incidents
-    from trestle.plans.finance import actual_cost
-    from trestle.plans.gl import gl_budget
+    from trestle.plans.finance import actual_cost, budget_lines
+    from trestle.plans.gl import forecast_versions, named_budget
 
     log = S.load_window(refresh_log(t))                       # one row: first/last successful load
     freshness = refresh_log(t).agg(F.max("last_load_dt").alias("last_altered"))   # S-10 analog (one row)
@@ -78,10 +81,10 @@ def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFr
                                              _ny(F.col("last_altered")).alias("last_load_dt"))
     parts.append(gl)
 
-    fc = gl_budget(t).filter(F.col("budget_type") == "FC")
-    top = W.global_top1(fc.select("budget_name", "mth_year", "fc_number"), ["mth_year", "fc_number"]).select("budget_name")
-    # ``top`` is a top-1 (one row): a proven bound for the broadcast
-    bud = fc.join(F.broadcast(top), "budget_name").agg(F.min("mth").alias("data_date_ref"))
+    # One row per forecast version: when it begins, and its place in the order that tells the newest one.
+    fc = forecast_versions(named_budget(budget_lines(t))).groupBy("budget_name").agg(
+        F.max(F.struct("mth_year", "fc_number")).alias("_at"), F.min("mth").alias("data_date_ref"))
+    bud = W.global_top1(fc, ["_at", "budget_name"]).agg(F.min("data_date_ref").alias("data_date_ref"))
     bud = J.with_params(bud, freshness).select(F.lit("GL Budget").alias("data_source"), "data_date_ref",
                                                F.lit(None).alias("first_load_dt"),
                                                _ny(F.col("last_altered")).alias("last_load_dt"))
@@ -119,15 +122,49 @@ def register(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """S-9: full rebuild of a table model as parquet (overwrite, atomic per job commit).
+def rebuild_table(df: DataFrame, name: str, partition_by: list[str], folder: str) -> DataFrame:
+    """S-9: ``df`` as the catalog table ``name``, rebuilt whole behind a stage; returns the table.
 
-    ``path`` is a folder on shared storage; on a catalog-backed cluster use ``saveAsTable`` the same way.
+    The model is written to a stage first.  If that fails, the table is as it was.  Then the staged rows replace the
+    table's partitions: a dynamic partition overwrite writes beside them and moves the new files in when its job commits.
+    Partitions that the rebuild no longer has are dropped.  Partition columns hold no nulls; their values are few (a
+    snapshot week each), so their list may come to the driver.
     """
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    spark = df.sparkSession
+    stage = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(stage)
+    columns = [*[c for c in df.columns if c not in partition_by], *partition_by]
+    staged = spark.read.schema(df.schema).parquet(stage).select(*columns)
+    if not spark.catalog.tableExists(name):
+        fields = ", ".join(f"`{c}` {staged.schema[c].dataType.simpleString()}" for c in columns)
+        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet PARTITIONED BY ({', '.join(partition_by)}) "
+                  f"LOCATION '{folder.rstrip('/')}/table'")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        staged.write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+    new = {tuple(map(str, r)) for r in staged.select(*partition_by).distinct().collect()}
+    old = spark.table(name).select(*partition_by).distinct().collect()
+    for r in old:
+        if tuple(map(str, r)) not in new:
+            spec = ", ".join(f"`{c}` = '{v}'" for c, v in zip(partition_by, r))
+            spark.sql(f"ALTER TABLE {name} DROP PARTITION ({spec})")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+@query("grading_table")
+def grading_table(t: Tables) -> DataFrame:
+    """S-9: the grading table (R-58), which the reference materializes, as a catalog table partitioned by week."""
+    from trestle.plans.schedule import grading_long
+
+    model = grading_long(t)
+    tag = hashlib.sha1(t.scope.encode()).hexdigest()[:12]
+    folder = f"{checkpoint_dir(t.spark).rstrip('/')}/trestle-tables/{t.spark.sparkContext.applicationId}/{tag}"
+    return rebuild_table(model, f"trestle_grading_metrics_{tag}", ["start_week"], folder).select(*model.columns)
 
 
 @query("table_freshness")

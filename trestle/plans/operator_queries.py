@@ -52,13 +52,13 @@ def union_controlled_columns(t: Tables) -> DataFrame:
 @query("control_latest_load")
 def control_latest_load(t: Tables) -> DataFrame:
     latest = S.latest_load(t.fx.control)
-    return S.union_controlled(latest, family=_sheet_files(t), family_key="sheet_name", active_only=False)
+    return S.union_controlled(latest, family=_sheet_files(t), family_key="sheet_name", active_only=False, required=True)
 
 
 @query("control_active_one")
 def control_active_one(t: Tables) -> DataFrame:
     one = S.active_table(t.fx.control)
-    return S.union_controlled(one, family=_sheet_files(t), family_key="sheet_name")
+    return S.union_controlled(one, family=_sheet_files(t), family_key="sheet_name", required=True)
 
 
 @query("drop_header_rows")
@@ -214,7 +214,7 @@ def trailing_cost(t: Tables) -> DataFrame:
     wk = t.fx.weekly.join(t.fx.project.select("proj_id", "project_name"), "proj_id")
     wk = wk.select("proj_id", "week_ending", F.col("project_name").alias("job_key"))
     jc = t.fx.job_cost.select(part(F.trim("job"), ".", 1).alias("job_key"), "actual_date", "actual_cents")
-    out = J.trailing_sum(wk, jc, ["job_key"], "week_ending", "actual_date", "actual_cents", 42, "cost_6w")
+    out = J.trailing_sums(wk, jc, ["job_key"], "week_ending", "actual_date", "actual_cents", {"cost_6w": 42})
     return out.fillna(0, ["cost_6w"])
 
 
@@ -300,11 +300,9 @@ def group_count(t: Tables) -> DataFrame:
 
 @query("listagg_distinct")
 def listagg_distinct(t: Tables) -> DataFrame:
-    o = t.fx.opportunity
-    return o.groupBy("opportunity_id").agg(
-        A.listagg_distinct("market_name").alias("markets"),
-        A.listagg_distinct(F.col("version_id") % 5).alias("version_buckets"),
-        A.listagg_distinct(F.when(F.col("stage_type") == "Lead", F.col("stage_type"))).alias("lead_stages"))
+    return A.listagg_distinct(t.fx.opportunity, ["opportunity_id"], {
+        "markets": "market_name", "version_buckets": F.col("version_id") % 5,
+        "lead_stages": F.when(F.col("stage_type") == "Lead", F.col("stage_type"))})
 
 
 @query("global_max")
@@ -375,13 +373,9 @@ def _monthly_phase_cost(t: Tables) -> DataFrame:
 @query("running_rows")
 def running_rows(t: Tables) -> DataFrame:
     """W-5: ROWS running totals; the partition omits the company on purpose, company breaks order ties."""
-    from pyspark.sql import Window
-
-    m = _monthly_phase_cost(t)
-    w = (Window.partitionBy("job", "cost_type", "phase_group", "phase").orderBy("mth", "jcco")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return m.withColumns({"actual_running": F.sum("actual_cents").over(w),
-                          "est_running": F.sum("est_cents").over(w)})
+    m = W.running_sum(_monthly_phase_cost(t), ["job", "cost_type", "phase_group", "phase"], "mth",
+                      ["actual_cents", "est_cents"], tie=["jcco"])
+    return m.withColumnsRenamed({"actual_cents_running": "actual_running", "est_cents_running": "est_running"})
 
 
 @query("running_range")
@@ -401,8 +395,8 @@ def max_over_all(t: Tables) -> DataFrame:
 @query("lead_weeks")
 def lead_weeks(t: Tables) -> DataFrame:
     wk = t.fx.weekly.select("proj_id", "week_ending", "resources_to_date")
-    wk = W.rows_back(wk, ["proj_id"], "week_ending", "resources_to_date", 6, "resources_6_back")
-    return W.rows_back(wk, ["proj_id"], "week_ending", "resources_to_date", 1, "resources_1_back")
+    return W.rows_back(wk, ["proj_id"], "week_ending", {
+        "resources_6_back": ("resources_to_date", 6), "resources_1_back": ("resources_to_date", 1)})
 
 
 # --- 2.7 set operations, reshape --------------------------------------------------------------------------------

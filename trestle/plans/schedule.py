@@ -1,17 +1,18 @@
 """Schedule-quality metrics over weekly task snapshots (R-32..R-43) and the long grading table (R-58).
 
-Grain of every metric: project x snapshot week.  All metrics start from the same base (projects left join
-the task snapshots minus 'OFG'-tagged tasks); that base is landed once (:func:`grading_base`) and every metric
-reads it, and :func:`grading_long` joins the nine metrics on the same (proj_id, start_week) key.
+Grain of every metric: project x snapshot week.  All metrics start from the same base, the task snapshots minus
+'OFG'-tagged tasks, which is landed once (:func:`grading_base`).  What needs only a task and its links is counted for
+all metrics in one pass over the base (:func:`week_stats`, landed too: one row per project and week); the pairs of linked
+tasks, the baseline's tasks and the baseline's durations are one join each.
 
 Scale notes: tasks x weeks is the large side.  Link (TASKPRED) statistics are pre-aggregated per task before
-they meet the snapshots wherever the metric allows it, and the baseline comparison of ``high_duration`` is
-pre-aggregated per (baseline project, task code) instead of fanning out over every baseline snapshot.
+they meet the snapshots, and the baseline comparison of ``high_duration`` is pre-aggregated per (baseline project,
+task code) instead of fanning out over every baseline snapshot.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trestle.functions import case_rules, div0, safe_div
@@ -41,7 +42,7 @@ def grading_base(t: Tables) -> DataFrame:
     """The untagged snapshots shared by the nine metrics, landed once (see ``trestle.sources.landing``)."""
     from trestle.sources.landing import land
 
-    return land(t.spark, t.root, "open_grading_tasks", open_grading_tasks(t))
+    return land(t.spark, t.scope, "open_grading_tasks", open_grading_tasks(t))
 
 
 def _projects(t: Tables) -> DataFrame:
@@ -70,28 +71,59 @@ def _grade(value: Column, bands) -> Column:
     return case_rules([(pred(value), g) for g, pred in bands], "F")
 
 
-def _open_task_stats(t: Tables) -> DataFrame:
-    """Per project-week over the open tasks: remaining tasks, constraint counts, invalid dates, high float.
+def _week_stats(t: Tables) -> DataFrame:
+    links = t.fx.task_pred
+    own = links.groupBy("proj_id", "task_id").agg(
+        F.countDistinct("task_pred_id").alias("_links"), F.count("pred_task_id").alias("_preds"),
+        F.sum(F.when(F.col("pred_type") == "PR_FS", 1).otherwise(0)).alias("_fs"),
+        F.sum(F.when(F.col("lag_hr_cnt") > 0, 1).otherwise(0)).alias("_lags"),
+        F.sum(F.when(F.col("lag_hr_cnt") < 0, 1).otherwise(0)).alias("_leads"))
+    followed = links.select("proj_id", F.col("pred_task_id").alias("task_id")).distinct().withColumn("_followed", F.lit(True))
+    projects = _projects(t).select("proj_id", "last_recalc_date", "day_hr_cnt")
+    # Baseline projects are no rows of the project table; their weeks count too.
+    x = (grading_base(t).join(projects, "proj_id", "left").join(own, ["proj_id", "task_id"], "left")
+         .join(followed, ["proj_id", "task_id"], "left"))
+    is_open, c, tt = F.col("act_end_date").isNull(), F.col("cstr_type"), F.col("task_type")
+    no_pred, no_succ = F.coalesce("_preds", F.lit(0)) == 0, F.col("_followed").isNull()
+    missing = ((tt.isin("TT_Task", "TT_LOE") & (no_pred | no_succ)) | ((tt == "TT_Mile") & no_succ)
+               | ((tt == "TT_FinMile") & no_pred))
+    counts = {
+        "open_rows": is_open, "actual_complete": ~is_open, "due": F.col("target_end_date") <= F.col("start_week"),
+        "num_hard_consts": is_open & c.isin(*HARD_CONSTRAINTS),
+        "num_soft_consts": is_open & c.isNotNull() & ~c.isin(*HARD_CONSTRAINTS),
+        "num_invalid_dates": is_open & (F.col("act_start_date") > F.col("last_recalc_date")),
+        "high_float": is_open & (F.col("total_float_hr_cnt") / F.col("day_hr_cnt") > 44),
+        "total_missing_logic_cnt": is_open & missing,
+    }
+    sums = {"total_remaining_relationships": "_links", "total_fs_relationships": "_fs", "lags_cnt": "_lags", "leads_cnt": "_leads"}
+    made = [F.sum(F.when(cond, 1).otherwise(0)).alias(name) for name, cond in counts.items()]
+    made += [F.sum(F.when(is_open, F.coalesce(col, F.lit(0))).otherwise(0)).alias(name) for name, col in sums.items()]
+    # One row per task first, so that tasks are counted once each without a second copy of the rows.
+    task = x.groupBy("proj_id", "start_week", "task_id").agg(*made)
+    known = F.col("task_id").isNotNull()
+    return task.groupBy("proj_id", "start_week").agg(
+        F.count("task_id").alias("total_tasks_cnt"),
+        F.sum(F.when(known & (F.col("open_rows") > 0), 1).otherwise(0)).alias("total_tasks_remaining"),
+        *[F.sum(name).alias(name) for name in (*counts, *sums)])
+
+
+def week_stats(t: Tables) -> DataFrame:
+    """Per project and snapshot week everything that needs only a task and its own links, from one pass over the base
+    (one join of the tasks with their links' counts); landed once and shared by the metrics."""
+    from trestle.sources.landing import land
+
+    return land(t.spark, t.scope, "schedule_week_stats", _week_stats(t))
 
-    Shared by the constraints and float metrics (project attributes ride along as grouping columns; they are
-    one per project); inside the grading table the identical aggregate is computed once.
-    """
-    tp = _task_proj(t).filter(F.col("act_end_date").isNull())
-    c = F.col("cstr_type")
-    fl = F.col("total_float_hr_cnt") / F.col("day_hr_cnt")
-    return tp.groupBy("proj_id", "proj_name", "start_week", "last_recalc_date", "day_hr_cnt", "week_hr_cnt",
-                      "completion_date").agg(
-        F.countDistinct("task_id").alias("total_tasks_remaining"),
-        F.sum(F.when(c.isin(*HARD_CONSTRAINTS), 1).otherwise(0)).alias("num_hard_consts"),
-        F.sum(F.when(~c.isin(*HARD_CONSTRAINTS) & c.isNotNull(), 1).otherwise(0)).alias("num_soft_consts"),
-        F.sum(F.when(F.col("act_start_date") > F.col("last_recalc_date"), 1).otherwise(0)).alias("num_invalid_dates"),
-        F.sum(F.when(fl > 44, 1).otherwise(0)).alias("high_float"))
+
+def _open_weeks(t: Tables) -> DataFrame:
+    """Project attributes and counts of the weeks in which a project has open tasks."""
+    return week_stats(t).filter(F.col("open_rows") > 0).join(_projects(t), "proj_id")
 
 
 @query("sched_constraints")
 def constraints(t: Tables) -> DataFrame:
     """R-35: hard constraints (A if <= 1), soft-constraint share, actual starts after the data date."""
-    g = _open_task_stats(t)
+    g = _open_weeks(t)
     g = g.withColumn("pct_soft_consts", div0("num_soft_consts", "total_tasks_remaining") * 100)
     n_inv = F.col("num_invalid_dates")
     return g.filter(F.col("start_week").isNotNull()).select(
@@ -106,29 +138,10 @@ def constraints(t: Tables) -> DataFrame:
         .alias("invalid_date_grade"))
 
 
-def _open_links(t: Tables) -> DataFrame:
-    tp = _task_proj(t).filter(F.col("act_end_date").isNull())
-    links = t.fx.task_pred.select("proj_id", "task_id", "pred_task_id", "pred_type", "task_pred_id", "lag_hr_cnt")
-    return tp.join(links, ["proj_id", "task_id"], "left")
-
-
-def _link_stats(t: Tables) -> DataFrame:
-    """Per project-week: distinct links of the open tasks, finish-to-start links, lags and leads (rows).
-
-    Shared by the relationship and lag/lead metrics: one join of open tasks to links, one aggregate; inside
-    the grading table the identical subplan is computed once (exchange reuse).
-    """
-    return _open_links(t).groupBy("proj_id", "proj_name", "start_week").agg(
-        F.countDistinct("task_pred_id").alias("total_remaining_relationships"),
-        F.sum(F.when(F.col("pred_type") == "PR_FS", 1).otherwise(0)).alias("total_fs_relationships"),
-        F.sum(F.when(F.col("lag_hr_cnt") > 0, 1).otherwise(0)).alias("lags_cnt"),
-        F.sum(F.when(F.col("lag_hr_cnt") < 0, 1).otherwise(0)).alias("leads_cnt"))
-
-
 @query("sched_relationships")
 def relationships(t: Tables) -> DataFrame:
     """R-41: finish-to-start share of the open tasks' links."""
-    r = _link_stats(t)
+    r = _open_weeks(t)
     r = r.withColumn("fs_pct", div0("total_fs_relationships", "total_remaining_relationships") * 100)
     return r.filter(F.col("start_week").isNotNull()).select(
         "proj_id", "proj_name", "start_week", "total_remaining_relationships", "total_fs_relationships",
@@ -140,7 +153,7 @@ def relationships(t: Tables) -> DataFrame:
 @query("sched_lag_lead")
 def lag_lead(t: Tables) -> DataFrame:
     """R-38: lag and lead shares; the denominator counts distinct links, the numerators count rows."""
-    r = _link_stats(t)
+    r = _open_weeks(t)
     r = r.withColumns({"lags_pct": div0("lags_cnt", "total_remaining_relationships") * 100,
                        "leads_pct": div0("leads_cnt", "total_remaining_relationships") * 100})
     lp = F.col("leads_pct")
@@ -156,25 +169,8 @@ def lag_lead(t: Tables) -> DataFrame:
 @query("sched_missing_logic")
 def missing_logic(t: Tables) -> DataFrame:
     """R-39: open tasks without predecessor or successor, start milestones without successor, finish
-    milestones without predecessor.  The successor count is a distinct count of the task itself (0 or 1).
-
-    Links are reduced to one row per task (predecessor count, successor flag) before meeting the snapshots.
-    """
-    tp = _task_proj(t).filter(F.col("act_end_date").isNull())
-    links = t.fx.task_pred
-    preds = links.groupBy("proj_id", "task_id").agg(F.countDistinct("pred_task_id").alias("num_pred_tasks"))
-    succs = (links.groupBy("proj_id", F.col("pred_task_id").alias("task_id"))
-             .agg(F.countDistinct("pred_task_id").alias("num_suc_tasks")))
-    x = (tp.join(preds, ["proj_id", "task_id"], "left").join(succs, ["proj_id", "task_id"], "left")
-         .fillna(0, ["num_pred_tasks", "num_suc_tasks"]))
-    tt = F.col("task_type")
-    no_pred, no_succ = F.col("num_pred_tasks") == 0, F.col("num_suc_tasks") == 0
-    g = x.groupBy("proj_id", "proj_name", "start_week").agg(
-        F.countDistinct("task_id").alias("total_tasks_cnt"),
-        F.sum(F.when(tt.isin("TT_Task", "TT_LOE") & (no_pred | no_succ), 1).otherwise(0)).alias("_task"),
-        F.sum(F.when((tt == "TT_Mile") & no_succ, 1).otherwise(0)).alias("_start"),
-        F.sum(F.when((tt == "TT_FinMile") & no_pred, 1).otherwise(0)).alias("_end"))
-    g = g.withColumn("total_missing_logic_cnt", F.col("_task") + F.col("_start") + F.col("_end"))
+    milestones without predecessor."""
+    g = _open_weeks(t).withColumn("total_tasks_cnt", F.col("total_tasks_remaining"))
     n = F.col("total_missing_logic_cnt")
     return g.filter(F.col("start_week").isNotNull()).select(
         "proj_id", "proj_name", "start_week", "total_tasks_cnt", "total_missing_logic_cnt",
@@ -232,8 +228,12 @@ def float_metrics(t: Tables) -> DataFrame:
     The critical path comes from the newest snapshot week only (earliest open finish milestone, W-1) and is
     applied to every week of the project.  Weeks are ROUNDed, not floored, plus the remainder (kept).
     """
-    floats = _open_task_stats(t).select("proj_id", "proj_name", "day_hr_cnt", "week_hr_cnt", "start_week",
-                                        "completion_date", "total_tasks_remaining", "high_float")
+    floats = _open_weeks(t)
+    # Projects without any snapshot follow with an empty week.
+    without = _projects(t).join(week_stats(t).select("proj_id").distinct(), "proj_id", "left_anti")
+    floats = floats.unionByName(without.withColumns({"total_tasks_remaining": F.lit(0).cast("long"), "high_float": F.lit(0).cast(
+        "long")}), allowMissingColumns=True).select("proj_id", "proj_name", "day_hr_cnt", "week_hr_cnt", "start_week",
+                                                    "completion_date", "total_tasks_remaining", "high_float")
     weekly = t.fx.weekly.select("proj_id", F.col("week_ending").alias("start_week"), "total_float")
     ff = floats.join(weekly, ["proj_id", "start_week"], "left")
     tasks = grading_base(t)
@@ -306,21 +306,18 @@ def high_duration(t: Tables) -> DataFrame:
 def baseline_metrics(t: Tables) -> DataFrame:
     """R-43: baseline execution index and missed activities against the *earliest* dated baseline.
 
-    The snapshots are reduced to one row per project and week before they meet the projects.
+    Counts of one project's week, current or baseline, come from the shared pass (:func:`week_stats`).
     """
     proj = _projects(t)
     earliest = W.earliest_per_key(_baselines(t), ["orig_proj_id"], ["last_baseline_update_date", "baseline_proj_id"])
     pb = proj.select("proj_id", "proj_name").join(
         earliest.select(F.col("orig_proj_id").alias("proj_id"), "baseline_proj_id"), "proj_id", "left")
     tasks = grading_base(t)
-    actual = (tasks.groupBy("proj_id", "start_week")
-              .agg(F.countDistinct("task_id").alias("total_tasks_cnt"),
-                   F.sum(F.when(F.col("act_end_date").isNotNull(), 1).otherwise(0)).alias("actual_complete")))
+    weeks = week_stats(t)
+    actual = weeks.select("proj_id", "start_week", "total_tasks_cnt", "actual_complete")
     bl_tasks = tasks.select(F.col("proj_id").alias("baseline_proj_id"), "start_week", "task_code",
-                            F.col("act_end_date").alias("bs_act_end"), F.col("target_end_date").alias("bs_target"),
                             F.col("early_end_date").alias("bs_early_end"))
-    bcomplete = (bl_tasks.groupBy("baseline_proj_id", "start_week")
-                 .agg(F.sum(F.when(F.col("bs_target") <= F.col("start_week"), 1).otherwise(0)).alias("baseline_complete")))
+    bcomplete = weeks.select(F.col("proj_id").alias("baseline_proj_id"), "start_week", F.col("due").alias("baseline_complete"))
     both = pb.join(actual, "proj_id").join(bcomplete, ["baseline_proj_id", "start_week"], "left")
     cur = tasks.select("proj_id", "start_week", "task_code", "act_end_date")
     missed = (cur.join(pb.select("proj_id", "baseline_proj_id"), "proj_id")
@@ -347,8 +344,7 @@ def resource_look_ahead(t: Tables) -> DataFrame:
     """R-42: field labour cost of the last 6 weeks and last week, resources earned over 6 snapshots (LEAD over
     descending weeks), CPI and the look-ahead ratio.
 
-    Cost detail is reduced to one row per (job key, day) before it meets the project-weeks, so the trailing
-    windows are conditional sums over distinct days, not over transactions.  The job key is the text before
+    Both trailing windows of the labour cost come from one event sweep (J-9).  The job key is the text before
     the first '.' of the (trimmed) job.  The reference picks an arbitrary row per project-week; rows are
     unique per project-week here.
     """
@@ -361,22 +357,13 @@ def resource_look_ahead(t: Tables) -> DataFrame:
                        & ~F.left(F.col("phase"), F.lit(2)).isin(*LABOR_EXCLUDED_PHASES))
              .groupBy(F.split_part(F.trim("job"), F.lit("."), F.lit(1)).alias("job_key"), "actual_date")
              .agg(F.sum("actual_cents").alias("_cost")))
-    probe = psw.select("job_key", "start_week").distinct()
-    d = F.col("actual_date")
-    six = d.between(F.date_add(F.date_sub("start_week", 42), 1), F.col("start_week"))
-    one = d.between(F.date_add(F.date_sub("start_week", 7), 1), F.col("start_week"))
-    in_window = (probe.job_key == labor.job_key) & labor.actual_date.between(
-        F.date_add(F.date_sub(probe.start_week, 42), 1), probe.start_week)
-    cost = (probe.join(labor, in_window, "inner").groupBy(probe.job_key, probe.start_week)
-            .agg(F.sum(F.when(six, F.col("_cost")).otherwise(0)).alias("total_labor_cost"),
-                 F.sum(F.when(one, F.col("_cost")).otherwise(0)).alias("current_labor_cost")))
-    fl = psw.join(cost, ["job_key", "start_week"], "left").fillna(0, ["total_labor_cost", "current_labor_cost"])
+    fl = J.trailing_sums(psw, labor, ["job_key"], "start_week", "actual_date", "_cost", {
+        "total_labor_cost": 42, "current_labor_cost": 7}).fillna(0, ["total_labor_cost", "current_labor_cost"])
     sub = t.fx.weekly.select(F.col("proj_id").alias("p6_proj_id"), F.col("week_ending").alias("start_week"),
                              "resources_to_date", "next_week_resources")
     # Weeks without a subtotal neither count as steps back nor give a row.
     used = psw.select("p6_proj_id", "start_week").join(sub, ["p6_proj_id", "start_week"])
-    wk = Window.partitionBy("p6_proj_id").orderBy(F.col("start_week").desc_nulls_first())
-    used = used.withColumn("resource_6wa", F.lead("resources_to_date", 6).over(wk)).select(
+    used = W.rows_back(used, ["p6_proj_id"], "start_week", {"resource_6wa": ("resources_to_date", 6)}).select(
         "p6_proj_id", "start_week", (F.col("resources_to_date") - F.col("resource_6wa")).alias("resources_used_6_weeks"),
         "next_week_resources")
     x = fl.join(used, ["p6_proj_id", "start_week"])

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trestle.functions.dates import month_floor
+from trestle.plans.form_maps import (INCIDENT_COLUMNS, OPPORTUNITY_BOOLEANS, OPPORTUNITY_COLUMNS, OPPORTUNITY_NUMBERS,
+                                     OPPORTUNITY_TIMES, OSHA_COLUMNS, PRACTICE_AREA_COLUMNS)
 
 
 def _cents(c: Column) -> Column:
@@ -61,6 +63,12 @@ class Analogs:
             part1.alias("part1"), part2.alias("part2"), part3.alias("part3"),
             month_floor(li.l_shipdate).alias("mth"),
             (_cents(li.l_extendedprice * 100) * F.when(ln <= 2, -1).otherwise(1)).alias("netamt_cents"),
+            F.when(ln % 3 == 0, "GJ").when(ln % 3 == 1, " AP").otherwise("AR ").alias("jrnl"),
+            F.concat(F.lit(" "), (li.l_orderkey % 1000).cast("string")).alias("glref"),
+            (li.l_partkey % 7 + 1).cast("string").alias("sourceco"),
+            F.when(ln % 2 == 0, "GL Entry").otherwise("JC Detail").alias("source"),
+            F.when(li.l_orderkey % 50 == 0, "Y").otherwise("N").alias("adjust"),
+            F.when(li.l_orderkey % 90 == 0, "Y").otherwise("N").alias("purge"),
         )
 
     @cached_property
@@ -466,37 +474,128 @@ class Analogs:
             F.when(o.o_orderkey % 5 == 0, "False").otherwise("True").alias("include_job"),
         )
 
-    # --- CRM child tables (outside the fixture specification) ------------------------------------------------
+    # --- CRM child tables under their source names (outside the fixture specification) ------------------------------
     @cached_property
-    def opp_practice_area(self) -> DataFrame:
+    def crm_office_division(self) -> DataFrame:
+        return self.office_division.select(
+            F.col("office_division_id").alias("OfficeDivisionId"),
+            F.col("office_division_description").alias("OfficeDivisionDescription"),
+            F.col("opportunity_id").alias("OpportunityId"), F.col("last_load_dt").alias("last_modified_dt"))
+
+    @cached_property
+    def crm_practice_area(self) -> DataFrame:
         e = self.t("events")
         k = e.event_id % 4
         name = F.when(k == 0, "Education").when(k == 1, "Healthcare").when(k == 2, "Industrial").otherwise("Water")
-        return e.select(e.user_id.alias("opportunity_id"), (k + 1).alias("practice_area_id"),
-                        name.alias("practice_area_name"), F.to_date(e.ts).alias("last_load_dt"))
+        return e.select(e.user_id.alias("OpportunityId"), (k + 1).alias("practiceareaid"),
+                        name.alias("practiceareaname"), F.to_date(e.ts).alias("last_modified_dt"))
 
     @cached_property
-    def opp_delivery_method(self) -> DataFrame:
+    def crm_delivery_method(self) -> DataFrame:
         e = self.t("events")
         k = e.event_id % 3
         name = F.when(k == 0, "Design-Build").when(k == 1, "CM at Risk").otherwise("Hard Bid")
-        return e.select(e.user_id.alias("opportunity_id"), name.alias("delivery_method_name"),
+        return e.select(e.user_id.alias("OpportunityId"), (k + 1).alias("DeliveryMethodID"), name.alias("DeliveryMethodName"),
                         F.to_date(e.ts).alias("last_load_dt"))
 
     @cached_property
-    def opp_debrief(self) -> DataFrame:
+    def crm_debrief(self) -> DataFrame:
         e = self.t("events")
         k = e.event_id % 3
         text = F.when(k == 0, "Yes").when(k == 1, "no").otherwise("n/a")
-        return e.select(e.user_id.alias("opportunity_id"), text.alias("debrief_text"), e.ts.alias("last_load_dt"))
+        return e.select(e.user_id.alias("OpportunityId"), text.alias("Debrief Call Complete?"), e.ts.alias("last_load_dt"))
 
     @cached_property
-    def opp_uom(self) -> DataFrame:
+    def crm_uom(self) -> DataFrame:
         e = self.t("events")
-        return e.select(e.user_id.alias("opportunity_id"),
-                        F.when(e.event_id % 2 == 0, "SF").otherwise("LF").alias("unit_of_measure"),
+        return e.select(e.user_id.alias("OpportunityId"),
+                        F.when(e.event_id % 2 == 0, "SF").otherwise("LF").alias("Unit of Measure"),
                         e.ts.alias("last_load_dt"))
 
+    # --- wide forms under their source names: every column is text but for ids and load times -----------------------
+    @staticmethod
+    def _filler(k: Column, i: int, name: str) -> Column:
+        """What column ``i`` of a form holds in row ``k``, unless it is given."""
+        return F.when((k + i) % 11 != 0, F.concat(F.lit(f"{name} "), (k % (i + 5)).cast("string"))).alias(name)
+
+    @cached_property
+    def crm_opportunity(self) -> DataFrame:
+        """The CRM's opportunity versions; ``version_id`` tells versions of one load time apart."""
+        o = self.opportunity
+        k, first = F.col("version_id"), F.lit("1996-01-01").cast("date")
+        given = {
+            "OpportunityId": F.col("opportunity_id"), "OpportunityNumber": F.col("opportunity_id"), "Size": F.col("size_text"),
+            "StageType": F.col("stage_type"), "DeleteRecord": F.col("delete_record"), "ClientName": F.col("client_name"),
+            "NextAction": F.col("next_action_html"), "LastModifiedDateTime": F.col("load_ts"),
+            "Note": F.concat(F.lit("<div>Note&nbsp;"), (k % 7).cast("string"), F.lit("</div>")),
+        }
+
+        def column(i: int, c: str) -> Column:
+            if c in given:
+                return given[c].alias(c)
+            filler = self._filler(k, i, c)
+            if c in OPPORTUNITY_NUMBERS:
+                part = F.when(k % 3 == 0, "").when(k % 3 == 1, ".5").otherwise(".25")
+                filler = F.concat((k * (i + 7) % 100_000).cast("string"), part)
+            elif c in OPPORTUNITY_TIMES:
+                filler = F.concat(_add_days(first, k * (i + 3) % 1500).cast("string"), F.lit(" 08:30:00"))
+            elif c in OPPORTUNITY_BOOLEANS:
+                m = (k + i) % 9
+                filler = F.when(m == 0, "yes").when(m == 1, "No").when(m == 2, "0").otherwise("false")
+            return F.when((k + i) % 11 != 0, filler).alias(c)
+
+        return o.select("version_id", *[column(i, c) for i, c in enumerate(OPPORTUNITY_COLUMNS)])
+
+    def _form(self, columns, given: dict[str, str]) -> DataFrame:
+        e = self.t("events").filter(F.col("event_type") == "error")
+        made = self._incident_fields(e)
+        return made.select(*[F.expr(given[c]).alias(c) if c in given else self._filler(F.col("k"), i, c)
+                             for i, c in enumerate(columns)])
+
+    @staticmethod
+    def _incident_fields(e: DataFrame) -> DataFrame:
+        """What the incident forms have in common (see ``incident``)."""
+        return e.select(
+            F.col("event_id").alias("k"), F.col("user_id").alias("u"), F.to_date("ts").alias("day"),
+            F.when(F.col("event_id") % 50 == 0, "Link").otherwise(
+                F.concat(F.lit("http://x/"), F.col("event_id").cast("string"))).alias("link"))
+
+    @cached_property
+    def incident_form(self) -> DataFrame:
+        return self._form(INCIDENT_COLUMNS, {
+            "link": "link", "date": "concat(cast(day as string), ' 08:15:00')", "report number": "cast(k as string)",
+            "hhoa45b9lwo3l2pp": "concat('Region ', cast(u % 5 as string))",
+            "3nmr0xeq7vfwu8fp": "if(k % 3 = 0, 'Near Miss', 'Injury')",
+            "zg69dpnrgww804oa": "concat(' ', date_format(day, 'MM/dd/yyyy'), ' ', lpad(cast(k % 12 + 1 as string), 2, '0'), ':15 ',"
+                                " if(k % 2 = 0, 'AM', 'PM'), ' ')"})
+
+    @cached_property
+    def osha_form(self) -> DataFrame:
+        def some_day(i):
+            return f"date_format(date_add(date'1970-01-01', cast(k * {i} % 9000 as int)), 'MM/dd/yyyy')"
+
+        def flag(n):
+            return f"if(k % {n} = 0, 'true', 'false')"
+
+        return self._form(OSHA_COLUMNS, {
+            "link": "link", "date": "concat(cast(day as string), ' 08:15:00')", "updated": "concat(cast(day as string), ' 18:00:00')",
+            "oshalogreportdate": some_day(3), "oshalogincidentdate": "date_format(day, 'MM/dd/yyyy')",
+            "oshalogempbirthdate": some_day(5), "oshalogemphireddate": some_day(7),
+            "oshalogperiodstransferred": "if(k % 6 <> 0, cast(k % 30 as string), null)",
+            "select-days away from work": flag(4), "select-job transfer or restriction": flag(5), "select-death": flag(97),
+            "select-other recordable case": flag(2)})
+
+    @cached_property
+    def practice_area_form(self) -> DataFrame:
+        k = F.col("k")
+        rows = self.t("part").select(F.col("p_partkey").alias("k")).withColumns({
+            "id": k % 4 + 1, "name": F.when(k % 4 == 0, "Education").when(k % 4 == 1, "Healthcare").when(
+                k % 4 == 2, "Industrial").otherwise("Water Resources")})
+        given = {"practiceareaid": F.col("id"), "practiceareaname": F.col("name"),
+                 "createdate": F.concat(_add_days(F.lit("1996-01-01").cast("date"), k % 900).cast("string"), F.lit(" 12:00:00"))}
+        return rows.select(*[given[c].alias(c) if c in given else self._filler(k, i, c)
+                             for i, c in enumerate(PRACTICE_AREA_COLUMNS)])
+
 
 # --- landing ----------------------------------------------------------------------------------------------------
 # Production sources are landed tables with plain columns.  The analogs are projections of the test tables
@@ -506,10 +605,14 @@ class Analogs:
 # and read back as a parquet table.
 
 
+#: Families of same-shaped files are partitioned by file, so that files which are not asked for are not read.
+PARTITIONED = {"sheet": ["sheet_name"], "wip_sheet": ["sheet_name"]}
+
+
 def _land(self, name: str, df: DataFrame) -> DataFrame:
     from trestle.sources.landing import land
 
-    return land(self.t.spark, self.t.root, f"analog-{name}", df)
+    return land(self.t.spark, self.t.scope, f"analog-{name}", df, PARTITIONED.get(name))
 
 
 def _landed_property(name: str, build):

@@ -1,8 +1,9 @@
 """Control-table driven sources (S-2..S-7, S-10, S-11).
 
 A control table lists same-shaped files (one spreadsheet per month).  All files are one DataFrame with a file-name
-column (one multi-path parquet read, or a table partitioned by file); the control rows are joined to it on the name,
-without a driver round trip.
+column, best a table partitioned by it.  The names in the control table are a scalar subquery that filters this column
+before the scan opens any file, so files that the control table does not name are not read; the control rows are then
+joined on the name.  There is no driver round trip.
 """
 
 from __future__ import annotations
@@ -19,17 +20,23 @@ def _control_rows(control: DataFrame, active_only: bool) -> DataFrame:
 
 
 def union_controlled(control: DataFrame, *, family: DataFrame, family_key: str = "table_name", active_only: bool = True,
-                     columns: Sequence[str] | None = None, with_month: bool = True) -> DataFrame:
+                     columns: Sequence[str] | None = None, with_month: bool = True, required: bool = False) -> DataFrame:
     """S-2/S-3/S-4: UNION ALL of the files named by the control table plus ``source_table``/``file_month_year``.
 
     ``columns`` projects a fixed column list (S-4); with ``with_month=False`` only ``source_table`` is added and
-    the file list is the distinct names (the fixed-column variant lists names via a distinct, M-3).
+    the file list is the distinct names (the fixed-column variant lists names via a distinct, M-3).  With ``required``
+    the query fails when it runs and the control table names no file (S-5, S-6).
     """
     rows = _control_rows(control, active_only)
     if not with_month:
         rows = rows.select("table_name").distinct()
     keep = [c for c in family.columns if c != family_key] if columns is None else list(columns)
-    files = family.select(family_key, *keep)
+    names = F.collect_set("table_name")       # one per file
+    if required:
+        names = F.when(F.count(F.lit(1)) == 0, F.raise_error(F.lit("the control table names no file")).cast(
+            "array<string>")).otherwise(names)
+    listed = rows.agg(names.alias("names")).scalar()
+    files = family.select(family_key, *keep).filter(F.array_contains(listed, F.col(family_key)))
     # The control side is one row per landed file; AQE broadcasts it once its runtime size is known.
     joined = files.join(rows, files[family_key] == rows["table_name"], "inner")
     prov = [F.col("table_name").alias("source_table"), *([F.col("file_month_year")] if with_month else [])]

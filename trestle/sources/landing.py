@@ -1,10 +1,12 @@
 """Land a DataFrame once per Spark application as a parquet table in the session's checkpoint folder.
 
-Used for the source analogs (production sources are landed tables) and for intermediates shared by many
-models (the untagged task snapshots behind the nine schedule metrics).  The write goes through the standard
-file committer into the shared checkpoint folder (``spark.checkpoint.dir`` on a cluster), so a lost executor
+Used for the source analogs (production sources are landed tables), for intermediates shared by many models (the
+untagged task snapshots behind the schedule metrics) and for blocks of ordered work.  The write goes through the
+standard file committer into the shared checkpoint folder (``spark.checkpoint.dir`` on a cluster), so a lost executor
 only reruns its tasks; reading the table back keeps column pruning and filter pushdown, and cuts the lineage.
-``TRESTLE_LAND=0`` keeps everything lazy (plan inspection).
+
+Named tables belong to a ``scope``: the folder of the sources with the state of its files, so changed sources are landed
+anew.  ``TRESTLE_LAND=0`` keeps everything lazy (plan inspection).
 """
 
 from __future__ import annotations
@@ -12,31 +14,55 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from trestle.session import checkpoint_dir
 
 _LANDED: dict = {}
-_LOCK = threading.Lock()   # queries built from several threads land each table once
+_LOCKS: dict = {}          # one per table: queries built from several threads land each table once
+_LOCK = threading.Lock()   # held only to find the lock of a table
+
+
+def _is_off() -> bool:
+    return os.environ.get("TRESTLE_LAND", os.environ.get("TRESTLE_LAND_ANALOGS", "1")) == "0"
+
+
+def _root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/trestle-landed/{spark.sparkContext.applicationId}"
+
+
+def source_state(spark: SparkSession, root: str) -> str:
+    """A digest of the names, sizes and modification times of what lies in the folder ``root``."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
+    return hashlib.sha1(repr(found).encode()).hexdigest()[:12]
 
 
 def land(spark: SparkSession, scope: str, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-    if os.environ.get("TRESTLE_LAND", os.environ.get("TRESTLE_LAND_ANALOGS", "1")) == "0":
+    if _is_off():
         return df
-    app = spark.sparkContext.applicationId
-    key = (app, scope, name)
+    key = (spark.sparkContext.applicationId, scope, name)
     with _LOCK:
-        return _land_locked(spark, app, key, scope, name, df, partition_by)
-
-
-def _land_locked(spark, app, key, scope, name, df, partition_by):
-    if key not in _LANDED:
-        tag = hashlib.sha1(scope.encode()).hexdigest()[:12]
-        path = f"{checkpoint_dir(spark).rstrip('/')}/trestle-landed/{app}/{tag}/{name}"
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        _LANDED[key] = spark.read.parquet(path)
-    return _LANDED[key]
+        lock = _LOCKS.setdefault(key, threading.Lock())
+    with lock:
+        if key not in _LANDED:
+            w = df.write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            path = f"{_root(spark)}/{hashlib.sha1(scope.encode()).hexdigest()[:12]}/{name}"
+            w.parquet(path)
+            _LANDED[key] = spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+        return _LANDED[key]
+
+
+def land_fresh(df: DataFrame) -> DataFrame:
+    """``df`` written to a folder of its own and read back."""
+    if _is_off():
+        return df
+    path = f"{_root(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

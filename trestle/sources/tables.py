@@ -34,6 +34,13 @@ class Tables:
             return self(name)
         raise AttributeError(name)
 
+    @cached_property
+    def scope(self) -> str:
+        """What landed tables belong to: the folder and the state of its files."""
+        from trestle.sources.landing import source_state
+
+        return f"{self.root}@{source_state(self.spark, self.root)}"
+
     @cached_property
     def fx(self):
         from trestle.sources.analogs import Analogs
