@@ -1,24 +1,28 @@
 """Line deduplication by a deletion-neighbourhood join.
 
-A line is its sequence of words (runs of anything but space and 0x09 to 0x0D).  Of equal lines only the earliest
-stays; a line of at least ``FUZZY`` words also goes if an earlier one of at least that many words differs from it by
-one word changed, added or left out.  "Earlier" is by document id, then line number, and also counts lines that go
-themselves, so the result does not depend on any order of work.  Lines of fewer than ``LEAST`` words always stay.
+A line is its sequence of words (runs of anything but space and 0x09 to 0x0D).  Of equal lines with a word only the
+earliest stays; a line of at least ``FUZZY`` words also goes if an earlier line of at least that many words differs from
+it by one word changed, added or left out.  "Earlier" is by document, then line number, and also counts lines that go
+themselves, so the result does not depend on any order of work.
+
+A document is an id and a text: rows with the same id and different texts are different documents, in the order of the
+MD5 of their texts.  The sum is only looked at where an id has several texts.
 
 Every line is hashed once.  Two lines one word apart share their first or their last words up to the middle, so only
 lines whose half is also the half of a different line emit variants: themselves and, for each place in the other half,
 themselves without that word.  Variants meet by hash; in each group of equal variants only the earliest line is kept,
 by an aggregate, so a group of any size costs one row per line and never a pair of its members.  What is left are pairs
-of a line and one earlier witness, whose words are compared before the line is dropped.
+of a line and one earlier witness, whose words are compared before the line is dropped.  Should the earliest witness
+only have the same hash, all other lines that share a variant with the line are compared with it.
 
 Only DataFrame functions are used.  Word places are hashed into sums over prefixes, so the variants of a line of n
 words take n steps; lines of more than ``LONG`` words get their sums from a window over their words instead of an
 array, which keeps the work of very long lines in proportion.
 
 Defined cases: a null text has no lines; blank lines stay; an id that is null comes before all others; rows that
-repeat an id are one document, whose equal lines at the same place are not copies of each other; ``apply`` passes all
-columns through, and leaves out documents of which no line with a word is left although they had one; an empty table
-gives an empty table.
+repeat an id and a text are one document, whose equal lines at the same place are not copies of each other; ``apply``
+passes all columns through, and leaves out documents of which no line with a word is left although they had one; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -28,13 +32,25 @@ from pyspark.sql import functions as F
 
 from trestle.llm.common import land
 
-LEAST, FUZZY, LONG = 3, 8, 2048
+FUZZY, LONG = 8, 2048
 _OTHER = "[\\t-\\r]"
 _NO_ID = -(1 << 63)
 
 
-def _doc(id_col: str) -> Column:
-    return F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with the key of the document, ``_trestle_key``: its id, and its text's sum if the id has several texts."""
+    own = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
+    digest = F.coalesce(F.md5(F.col(text_col).cast("string").cast("binary")), F.lit(""))
+    several = docs.select(own.alias("_trestle_id"), digest.alias("x")).groupBy("_trestle_id").agg(
+        F.min("x").alias("x"), F.max("x").alias("_trestle_several")).filter("x < _trestle_several").drop("x")
+    rows = docs.join(land(several), own == F.col("_trestle_id"), "left")
+    version = F.when(F.col("_trestle_several").isNotNull(), digest).otherwise("")
+    return rows.withColumn("_trestle_key", F.struct(own.alias("id"), version.alias("version"))).drop(
+        "_trestle_id", "_trestle_several")
+
+
+def _texts(keyed: DataFrame, text_col: str) -> DataFrame:
+    return keyed.select(F.col("_trestle_key").alias("doc"), F.col(text_col).cast("string").alias("text"))
 
 
 def _lines(text: Column) -> Column:
@@ -52,10 +68,10 @@ def _half(side: int, n: Column, k: Column, words: Column) -> Column:
     return F.when(n >= FUZZY, F.xxhash64(F.lit(side), k, F.slice(words, start, k)))
 
 
-def hashed_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def hashed_lines(texts: DataFrame) -> DataFrame:
     """One row per line: its place, number of words, hashes, and the hashes of its halves (for either length that a
-    partner can have).  Short lines are left out when the table is read, where the filter needs no second split."""
-    rows = docs.select(_doc(id_col).alias("doc"), F.posexplode(_lines(F.col(text_col))).alias("line", "text"))
+    partner can have).  Blank lines are left out when the table is read, where the filter needs no second split."""
+    rows = texts.select("doc", F.posexplode(_lines(F.col("text"))).alias("line", "text"))
     rows = rows.select("doc", "line", _words(F.col("text")).alias("words"))
     rows = rows.select("doc", "line", "words", F.size("words").alias("n"))
     n, words = F.col("n"), F.col("words")
@@ -139,8 +155,7 @@ def _one_word_apart(a: Column, b: Column) -> Column:
     return (many - few <= 1) & (same(a, b) + same(F.reverse(a), F.reverse(b)) >= many - 1)
 
 
-def near_lines(docs: DataFrame, lines: DataFrame, classes: DataFrame, id_col: str, text_col: str,
-               long_line: int = LONG) -> DataFrame:
+def near_lines(texts: DataFrame, lines: DataFrame, classes: DataFrame, long_line: int = LONG) -> DataFrame:
     """``h, g`` of the classes of lines that an earlier line is one word away from."""
     halves = lines.filter(F.col("n") >= FUZZY).select("h", "g", F.explode(F.array(*[
         F.struct(F.lit(side).alias("side"), F.col(c).alias("half"))
@@ -151,14 +166,13 @@ def near_lines(docs: DataFrame, lines: DataFrame, classes: DataFrame, id_col: st
                                                            F.max(F.col("side") == 1).alias("by_end"))
     live = classes.join(live, ["h", "g"])
 
-    # The words of the lines that are left: one row per document goes through the join, then one per line.
+    # The words of the lines that are left: one row per document goes through the join, with its own lines, then one
+    # per line.
     wanted = live.groupBy("doc").agg(F.collect_list(F.struct("line", "h", "g", "n", "by_head", "by_end")).alias("x"))
-    texts = docs.select(_doc(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     found = texts.join(wanted, "doc").select("doc", F.explode(F.transform(F.array(_lines(F.col("text"))), lambda rows:
         F.transform("x", lambda x: F.struct(x.alias("x"), F.get(rows, x["line"]).alias("text"))))[0]).alias("y"))
     less = F.floor((F.col("n") - 2) / 2).cast("int")
-    found = found.select("doc", "y.x.*", _words(F.col("y.text")).alias("words")).filter(
-        (F.xxhash64("words") == F.col("h"))).withColumns({      # a row of another text with the same id is not meant
+    found = found.select("doc", "y.x.*", _words(F.col("y.text")).alias("words")).withColumns({
             "low": F.when(F.col("by_end"), F.lit(1)).otherwise(less + 1),
             "high": F.when(F.col("by_head"), F.col("n")).otherwise(F.col("n") - less)})
     found = land(found.dropDuplicates(["h", "g"]))
@@ -178,17 +192,31 @@ def near_lines(docs: DataFrame, lines: DataFrame, classes: DataFrame, id_col: st
         F.min("witness").alias("witness")).select("h", "g", "witness.doc", "witness.line")
     mine = found.select("h", "g", "words")
     other = found.select("doc", "line", F.col("words").alias("earlier"))
-    return (pairs.join(mine, ["h", "g"]).join(other, ["doc", "line"])
-            .filter(_one_word_apart(F.col("words"), F.col("earlier"))).select("h", "g"))
+    tried = land(pairs.join(mine, ["h", "g"]).join(other, ["doc", "line"]).select(
+        "h", "g", _one_word_apart(F.col("words"), F.col("earlier")).alias("near")))
+    near, failed = tried.filter("near").select("h", "g"), tried.filter("NOT near").select("h", "g")
+    return near if failed.isEmpty() else near.union(_other_witnesses(variants, failed, mine, other))
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_line: int = LONG) -> DataFrame:
+def _other_witnesses(variants: DataFrame, failed: DataFrame, mine: DataFrame, other: DataFrame) -> DataFrame:
+    """``h, g`` of the ``failed`` classes that any earlier line with an equal variant is one word away from."""
+    own = variants.join(failed, ["h", "g"]).alias("m")
+    every = variants.select("key", "place", "doc", "line").alias("o")
+    meet = own.join(every, F.expr("m.key = o.key AND (m.place = o.place OR m.place = 0 OR o.place = 0)"
+                                  " AND struct(o.doc, o.line) < struct(m.doc, m.line)"))
+    meet = meet.select("m.h", "m.g", "o.doc", "o.line").distinct()
+    return meet.join(mine, ["h", "g"]).join(other, ["doc", "line"]).filter(
+        _one_word_apart(F.col("words"), F.col("earlier"))).select("h", "g").distinct()
+
+
+def _gone(keyed: DataFrame, text_col: str, long_line: int) -> DataFrame:
     """``doc, dropped``: the numbers (from 0, ascending) of the lines that go, per document that loses any."""
-    lines = land(hashed_lines(docs, id_col, text_col)).filter(F.col("n") >= LEAST)
+    texts = _texts(keyed, text_col)
+    lines = land(hashed_lines(texts)).filter("n > 0")
     classes = land(lines.groupBy("h", "g").agg(F.min(F.struct("doc", "line")).alias("first"),
                                                F.count("*").alias("m"), F.first("n").alias("n")))
     places = classes.select("h", "g", "n", "first.doc", "first.line")
-    near = land(near_lines(docs, lines, places.filter(F.col("n") >= FUZZY), id_col, text_col, long_line))
+    near = land(near_lines(texts, lines, places.filter(F.col("n") >= FUZZY), long_line))
     near = near.withColumn("near", F.lit(True))
     judged = classes.join(near, ["h", "g"], "left").filter("m > 1 OR near").select(
         "h", "g", "first", F.coalesce("near", F.lit(False)).alias("near"))
@@ -197,11 +225,17 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return gone.groupBy("doc").agg(F.sort_array(F.collect_set("line")).alias("dropped"))
 
 
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_line: int = LONG) -> DataFrame:
+    """``doc`` (``id``, ``version``) and ``dropped``: the numbers (from 0, ascending) of the lines that go."""
+    return _gone(_keyed(docs, id_col, text_col), text_col, long_line)
+
+
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_lines, n_kept, dropped`` for every row of ``docs``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _doc(id_col).alias("doc"),
-                       F.when(F.col(text_col).isNull(), 0).otherwise(F.size(_lines(F.col(text_col)))).alias("n_lines"))
-    gone = rows.join(dropped_lines(docs, id_col, text_col), "doc", "left")
+    keyed = _keyed(docs.select(id_col, text_col), id_col, text_col)
+    rows = keyed.select(F.col(id_col).cast("long").alias("doc_id"), F.col("_trestle_key").alias("doc"),
+                        F.when(F.col(text_col).isNull(), 0).otherwise(F.size(_lines(F.col(text_col)))).alias("n_lines"))
+    gone = rows.join(_gone(keyed, text_col, LONG), "doc", "left")
     none = F.array().cast("array<int>")
     return gone.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"),
                        (F.col("n_lines") - F.size(F.coalesce("dropped", none))).cast("long").alias("n_kept"),
@@ -210,8 +244,9 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def apply(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """``docs`` with the lines taken out of the text (and ``length_col``, if there is one, counted anew)."""
-    gone = dropped_lines(docs, id_col, text_col).withColumnsRenamed({"doc": "_trestle_doc", "dropped": "_trestle_gone"})
-    rows = docs.join(gone, _doc(id_col) == F.col("_trestle_doc"), "left")
+    keyed = _keyed(docs, id_col, text_col)
+    gone = _gone(keyed, text_col, LONG).withColumnsRenamed({"doc": "_trestle_doc", "dropped": "_trestle_gone"})
+    rows = keyed.join(gone, F.col("_trestle_key") == F.col("_trestle_doc"), "left")
     lines = _lines(F.col(text_col))
     left = F.transform(F.array(lines), lambda x: F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(x) - 1), "_trestle_gone"), lambda i: F.get(x, i)))[0]

@@ -165,15 +165,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL["op4_line_dedup"] = r"""
 WITH d AS (
-  SELECT doc_id, text, row_number() OVER () AS r FROM documents
+  SELECT doc_id, text, struct_pack(id := coalesce(doc_id, -9223372036854775808), sum := coalesce(md5(text), '')) AS doc
+  FROM documents
 ), l AS (
-  SELECT doc_id, unnest(range(len(lines))) AS line, unnest(lines) AS s
-  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM d WHERE text IS NOT NULL)
+  SELECT doc, unnest(range(len(lines))) AS line, unnest(lines) AS s
+  FROM (SELECT doc, string_split(text, chr(10)) AS lines FROM d WHERE text IS NOT NULL)
 ), w AS (
-  SELECT doc_id, line, regexp_extract_all(s, '[^\x20\x09-\x0D]+') AS words FROM l
+  SELECT doc, line, regexp_extract_all(s, '[^\x20\x09-\x0D]+') AS words FROM l
 ), c AS (
-  SELECT words, len(words) AS n, min(struct_pack(d := doc_id, l := line)) AS first
-  FROM w WHERE len(words) >= 3 GROUP BY words
+  SELECT words, len(words) AS n, min(struct_pack(d := doc, l := line)) AS first
+  FROM w WHERE len(words) > 0 GROUP BY words
 ), v AS (
   SELECT words, n, first, i, list_concat(words[1 : i - 1], words[i + 1 : n]) AS rest
   FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM c WHERE n >= 8)
@@ -188,15 +189,15 @@ WITH d AS (
   UNION SELECT more FROM longer WHERE f_more > f_less
   UNION SELECT less FROM longer WHERE f_less > f_more
 ), gone AS (
-  SELECT w.doc_id, list_sort(list(DISTINCT w.line)) AS dropped
+  SELECT w.doc, list_sort(list(DISTINCT w.line)) AS dropped
   FROM w JOIN c ON w.words = c.words LEFT JOIN near ON near.words = w.words
-  WHERE near.words IS NOT NULL OR struct_pack(d := w.doc_id, l := w.line) <> c.first
-  GROUP BY w.doc_id
+  WHERE near.words IS NOT NULL OR struct_pack(d := w.doc, l := w.line) <> c.first
+  GROUP BY w.doc
 )
 SELECT d.doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines,
        CAST(coalesce(len(string_split(text, chr(10))), 0) - coalesce(len(dropped), 0) AS BIGINT) AS n_kept,
        coalesce(array_to_string(dropped, ','), '') AS dropped
-FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id
+FROM d LEFT JOIN gone ON d.doc = gone.doc
 """
 
 
