@@ -17,16 +17,18 @@ after all trees, its classes are joined exactly: two sets that reach the thresho
 at places that their sizes bound (``pairs``).  Pairs of different components that do are compared on their full sets.
 So the links do not depend on the number of tasks or on how large a region may be.
 
-Sets are compared by 64-bit shingle hashes and classes are named by a 64-bit hash of the set.
+Sets are compared by 64-bit shingle hashes, and equal sets are found by a 128-bit hash of the whole set.  A text is
+looked up again by its id and its MD5, so rows that share an id, or have none, are as good as any others.
 
 Defined cases: null, empty and blank texts have an empty set and are linked with nothing; texts with fewer words than
 a shingle have one shingle, the whole sequence; repeated rows are one class; an id that is null takes part in links but
-never names a component (a component without an id has none, and its rows are kept); other columns are ignored by
-``groups`` and passed through by ``keep``; an empty table gives an empty table.
+never names a component (a component without an id has none); other columns are ignored by ``groups`` and passed through
+by ``keep``; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -95,23 +97,27 @@ def signature(found: np.ndarray) -> np.ndarray:
     return (_mix(least) >> np.uint64(48)).astype(">u2")
 
 
-def node_of(found: np.ndarray) -> int:
-    return int(np.array(xxhash.xxh3_64_intdigest(found.tobytes()), np.uint64).view(np.int64))
+def name_of(found: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set, as two longs."""
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(found.tobytes()))
 
 
 def profiles(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, node, signature`` (node null for empty sets; two longs per tree)."""
+    """``doc_id, digest, n_shingles, x, y, signature`` (name and signature null for empty sets; two longs per tree)."""
     def run(batches):
         for b in batches:
-            out = {c: [] for c in ("n_shingles", "node", "signature")}
+            out = {c: [] for c in ("n_shingles", "x", "y", "signature")}
             for text in b.column(1).to_pylist():
                 found = shingles(text, size)
+                x, y = name_of(found) if len(found) else (None, None)
                 out["n_shingles"].append(len(found))
-                out["node"].append(node_of(found) if len(found) else None)
+                out["x"].append(x)
+                out["y"].append(y)
                 out["signature"].append(signature(found).view(">i8").astype("<i8") if len(found) else None)
-            yield {"doc_id": b.column(0), **out}
+            yield {"doc_id": b.column(0), "digest": b.column(2), **out}
 
-    return map_batches(docs, run, "doc_id long, n_shingles long, node long, signature array<long>")
+    return map_batches(docs.select("doc_id", "text", "digest"), run,
+                       "doc_id long, digest string, n_shingles long, x long, y long, signature array<long>")
 
 
 @dataclass
@@ -226,7 +232,7 @@ def links(rows: DataFrame, threshold: int) -> DataFrame:
 def _common(sets: DataFrame) -> np.ndarray:
     """The shingles that are frequent in a sample of ``found``, the rarest of them first."""
     total = sets.agg(F.sum(F.length("found"))).first()[0] or 0
-    sample = sets.filter(F.pmod("node", F.lit(total // 8 // SAMPLE + 1)) == 0).select("found")
+    sample = sets.filter(F.pmod(F.xxhash64("node"), F.lit(total // 8 // SAMPLE + 1)) == 0).select("found")
 
     def run(batches):
         for b in batches:
@@ -310,30 +316,36 @@ def exact_links(sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``node, found``: the full sets of the classes in ``wanted`` (``node, doc_id``)."""
-    rows = docs.join(wanted.select(F.col("doc_id").alias("_id"), "node"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    """``node, found``: the full sets of the classes in ``wanted`` (``node, x, y, rep``), from the text of each one's
+    representative."""
+    wanted = wanted.select("node", "x", "y", F.col("rep.doc_id").alias("_id"), F.col("rep.digest").alias("_digest"))
+    rows = docs.join(wanted, (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id")))
 
     def run(batches):
         for b in batches:
             out = {"node": [], "found": []}
-            for text, node in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for text, *name, node in zip(*(b.column(k).to_pylist() for k in range(4))):
                 found = shingles(text, size)
-                if len(found) and node_of(found) == node:      # another text may have the same id
+                if len(found) and name_of(found) == tuple(name):
                     out["node"].append(node)
                     out["found"].append(found.tobytes())
             yield out
 
-    return map_batches(rows.select("text", "node"), run, "node long, found binary").dropDuplicates(["node"])
+    return map_batches(rows.select("text", "x", "y", "node"), run, "node long, found binary").dropDuplicates(["node"])
 
 
-def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
-    docs = texts(docs, id_col, text_col)
+def _with_digest(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("digest", F.md5(F.col("text").cast("binary")))
+
+
+def _labelled(docs: DataFrame, size: int, threshold: int) -> DataFrame:
+    """``doc_id, digest, n_shingles, rep`` per row of ``doc_id, text, digest``: ``rep`` is the representative of the
+    row's component, its smallest id (no id comes last), then its smallest digest."""
     rows = land(profiles(docs, size))
-    classes = land(rows.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"),
-        F.first("n_shingles").alias("n_shingles")))
+    rep = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    classes = land(rows.filter("x IS NOT NULL").groupBy("x", "y").agg(
+        F.min(rep).alias("rep"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"),
+    ).withColumn("node", F.monotonically_increasing_id()))
 
     heads = classes.select("node", "n_shingles", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)),
                                                             lambda t: F.col("signature")[2 * t])).alias("tree", "head"))
@@ -342,7 +354,7 @@ def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "d
                                                 large.alias("large")).filter("x < y")
     keys = land(heads.drop("n_shingles").join(crowded.select("tree", "head", "large"), ["tree", "head"]))
     near = land(classes.join(keys.select("node").distinct(), "node"))
-    near = land(near.drop("doc_id", "n_shingles").join(_whole_sets(docs, near, size), "node"))
+    near = land(near.select("node", "signature").join(_whole_sets(docs, near, size), "node"))
 
     def forest(now, comp):
         return now.join(near, "node").select(
@@ -365,25 +377,40 @@ def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "d
         rest = land(near.select("node", "found").join(rest, "node"))
         labels = components(land(found.union(exact_links(rest, threshold))))
 
-    # The smallest id of each component, for the classes that have links; other classes are components.
+    # The representative of each component, for the classes that have links; other classes are components.
     linked = classes.join(labels, "node")
-    least = linked.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    linked = linked.select("node", "root").join(least, "root").select("node", "component_id")
-    of_class = classes.select("node", "doc_id").join(linked, "node", "left").select(
-        "node", F.coalesce("component_id", "doc_id").alias("component_id"))
-    full = rows.filter("node IS NOT NULL").join(of_class, "node").select("doc_id", "n_shingles", "component_id")
-    empty = rows.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.union(empty).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"),
-                                                           F.col("component_id").isNull()))
+    least = linked.groupBy("root").agg(F.min("rep").alias("least"))
+    linked = linked.select("node", "root").join(least, "root").select("node", "least")
+    of_class = classes.select("node", "x", "y", "rep").join(linked, "node", "left").select(
+        "x", "y", F.coalesce("least", "rep").alias("rep"))
+    full = rows.filter("x IS NOT NULL").join(of_class, ["x", "y"]).select("doc_id", "digest", "n_shingles", "rep")
+    return full.union(rows.filter("x IS NULL").select("doc_id", "digest", "n_shingles", rep.alias("rep")))
+
+
+def groups(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
+    rows = _labelled(_with_digest(texts(docs, id_col, text_col)), size, threshold)
+    return rows.select("doc_id", "n_shingles", F.col("rep.doc_id").alias("component_id")).withColumn(
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
 def keep(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """One row of each group, with all its columns.
+    """One document of each group, with all its columns: the one of the smallest id (no id comes last).
 
-    Rows that repeat an id are one document, of which one row stays; rows without an id stay.
+    A document is an id and a text.  Of different texts with the smallest id the one of the smallest MD5 stays; of rows
+    with the same id and text the one whose columns have the smallest hash.
     """
-    ids = groups(docs, size, threshold, id_col, text_col).filter("kept AND doc_id IS NOT NULL")
-    ids = ids.select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias(id_col)).distinct()
-    stay = docs.join(ids, id_col, "left_semi").dropDuplicates([id_col])
-    return stay.unionByName(docs.filter(F.col(id_col).isNull()))
+    rows = _labelled(_with_digest(texts(docs, id_col, text_col)), size, threshold)
+    stay = rows.filter(F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("digest") == F.col("rep.digest")))
+    stay = land(stay.groupBy(F.col("doc_id").alias("_trestle_id"), F.col("digest").alias("_trestle_digest")).agg(
+        F.count("*").alias("_trestle_rows")))
+    own = F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+    found = docs.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("_trestle_id"))
+                      & (own == F.col("_trestle_digest")))
+    once = found.filter("_trestle_rows = 1").select(docs.columns)
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    again = found.filter("_trestle_rows > 1").groupBy("_trestle_id", "_trestle_digest").agg(
+        F.min_by(every, F.xxhash64(F.to_json(every))).alias("row"))
+    return once.unionByName(again.select("row.*"))
