@@ -43,6 +43,19 @@ def test_both_paths_against_plain_python(code):
     assert judged(code, 0) == want
 
 
+def test_many_rules_over_many_ranges(code):
+    rules = [(f"h{i % 400}.example.{('org', 'com')[i % 2]}/{'p' * (i % 7)}{i}", ("allow", "block")[i % 3 == 0]) for i in range(3000)]
+    urls = [f"http://www.{rule}/x" for rule, _ in rules[::3]] + ["http://h1.example.com/"] * 500
+    pages = code.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_filter.judge(pages, code.createDataFrame(rules, "rule string, verdict string"), max_index_bytes=10_000)
+    assert got.count() == len(urls)
+    best = {r: v for r, v in rules}
+    for r in got.collect():
+        want = max((x for x in best if urls[r["page_id"]][11:].startswith(x)), key=len, default=None) \
+            if r["page_id"] < 1000 else None
+        assert (r["rule"], r["verdict"]) == (want, best.get(want, "allow"))
+
+
 def test_no_rules_and_no_pages(code):
     none = code.createDataFrame([], "rule string, verdict string")
     pages = code.createDataFrame([(1, "http://a.org/")], "page_id long, url string")

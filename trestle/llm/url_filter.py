@@ -7,12 +7,13 @@ one vectorised binary search in the memory-mapped array, and a hit counts only i
 longest rule that fits decides.  URLs that no rule fits get the default verdict.
 
 The index is sent to the executors as one broadcast, which is allowed up to ``MAX_INDEX_BYTES``; each worker maps it
-from an unlinked file of its own, so nothing stays behind and a lost executor maps it again.  Beyond that size
-:func:`judge` deals probes and rules by digest instead (a join), with the same result.
+from an unlinked file of its own, so nothing stays behind and a lost executor maps it again.  Beyond that size the array
+is dealt over tasks by ranges of digests, and the distinct probes go to the range of theirs (``_by_ranges``); each part
+is searched in the same way, with the same result.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path and fits no rule; rows that repeat are
-judged each on its own; of rules with the same string the one with the smaller verdict counts; a rule without ``/`` covers nothing, as every path
-starts with one; other columns are ignored; an empty table gives an empty table.
+judged each on its own; of rules with the same string the one with the smaller verdict counts; a rule without ``/``
+covers nothing, as every path starts with one; other columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trestle.llm.common import map_batches
+from trestle.llm.common import map_batches, shuffle_width
 
 MAX_INDEX_BYTES = 256 << 20
 SEED = 42      # of Spark's own xxhash64, so that both sides compute the same digests
@@ -71,13 +72,18 @@ class Index:
         return out
 
 
+def index_of(rules: list[tuple[int, str, str]]) -> Index:
+    """The array of ``digest, rule, verdict`` in ascending order of the digests."""
+    strings = [rule.encode() for _, rule, _ in rules]
+    return Index(np.array([digest for digest, _, _ in rules], "<i8").tobytes(), b"".join(strings),
+                 np.cumsum([0, *map(len, strings)], dtype="<i8").tobytes(), [verdict for _, _, verdict in rules],
+                 sorted({len(s) - s.index(b"/") for s in strings if b"/" in s}))
+
+
 def build_index(rules: DataFrame) -> Index:
     """The sorted array for rows of ``rule, verdict`` with distinct rules."""
-    got = rules.select("rule", "verdict", F.xxhash64("rule").alias("digest")).orderBy("digest", "rule").collect()
-    strings = [r["rule"].encode() for r in got]
-    return Index(np.array([r["digest"] for r in got], "<i8").tobytes(), b"".join(strings),
-                 np.cumsum([0, *map(len, strings)], dtype="<i8").tobytes(), [r["verdict"] for r in got],
-                 sorted({len(s) - s.index(b"/") for s in strings if b"/" in s}))
+    got = rules.select(F.xxhash64("rule").alias("digest"), "rule", "verdict").orderBy("digest", "rule").collect()
+    return index_of([tuple(r) for r in got])
 
 
 def _probes(host: str, path: str, path_lengths: list[int]) -> list[bytes]:
@@ -104,7 +110,9 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     rules = (rules.select(F.col("rule").cast("string"), F.col("verdict").cast("string")).filter("rule IS NOT NULL")
              .groupBy("rule").agg(F.min("verdict").alias("verdict")))
     size = rules.agg(F.coalesce(F.sum(F.octet_length("rule") + 32), F.lit(0))).first()[0]
-    return _by_array(rows, rules, default) if size <= max_index_bytes else _by_join(rows, rules, default)
+    if size <= max_index_bytes:
+        return _by_array(rows, rules, default)
+    return _by_ranges(rows, rules, default, bits=int(size // max(max_index_bytes // 4, 1)).bit_length())
 
 
 def _by_array(rows: DataFrame, rules: DataFrame, default: str) -> DataFrame:
@@ -132,26 +140,58 @@ def _by_array(rows: DataFrame, rules: DataFrame, default: str) -> DataFrame:
     return map_batches(rows, run, f"page_id {kind}, host string, path string, rule string, verdict string")
 
 
-def _by_join(rows: DataFrame, rules: DataFrame, default: str) -> DataFrame:
-    """The same by joining probes and rules on digest and string, for rule lists beyond the broadcast bound."""
+def _by_ranges(rows: DataFrame, rules: DataFrame, default: str, bits: int) -> DataFrame:
+    """The same for rule lists beyond the bound of a broadcast: the sorted array is dealt by ranges of digests (their
+    leading ``bits``), and every probe goes to the part that its digest falls into.
+
+    A task reads a part's rules first, makes their array, and searches the probes as they come.  Hosts, paths and probes
+    are made distinct before they move, so a frequent one is searched once.
+    """
     lengths = (rules.filter(F.instr("rule", "/") > 0)
                .select((F.octet_length("rule") - F.octet_length(F.substring_index("rule", "/", 1))).alias("n"))
                .distinct().agg(F.sort_array(F.collect_list("n"))).first()[0])     # at most the longest path's length
 
-    def run(batches):
+    def probes(batches):
         for b in batches:
-            hosts, paths, probes = [], [], []
+            hosts, paths, out = [], [], []
             for host, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own = [p.decode("utf-8", "ignore") for p in _probes(host, path, lengths)]
                 hosts += [host] * len(own)
                 paths += [path] * len(own)
-                probes += own
-            yield {"host": hosts, "path": paths, "probe": probes}
+                out += own
+            yield {"host": hosts, "path": paths, "probe": out}
 
-    targets = map_batches(rows.select("host", "path").distinct(), run, "host string, path string, probe string")
-    rules = rules.withColumn("digest", F.xxhash64("rule"))
-    hits = targets.join(rules, (F.xxhash64("probe") == F.col("digest")) & (F.col("probe") == F.col("rule")))
-    best = hits.groupBy("host", "path").agg(
+    def search(batches):
+        part, index, held = None, None, []
+        for b in batches:
+            at, kind, digest, text, verdict = (b.column(k).to_pylist() for k in range(5))
+            lo = 0
+            found = {"rule": [], "verdict": []}
+            while lo < b.num_rows:
+                if at[lo] != part:
+                    part, index, held = at[lo], None, []
+                hi = lo
+                while hi < b.num_rows and (at[hi], kind[hi]) == (part, kind[lo]):
+                    hi += 1
+                if kind[lo] == 0:
+                    held += zip(digest[lo:hi], text[lo:hi], verdict[lo:hi])
+                elif held:
+                    index = index or index_of(held)
+                    for k in index.find([t.encode() for t in text[lo:hi]]):
+                        if k >= 0:
+                            found["rule"].append(held[k][1])
+                            found["verdict"].append(held[k][2])
+                lo = hi
+            yield found
+
+    targets = map_batches(rows.select("host", "path").distinct(), probes, "host string, path string, probe string")
+    asked = targets.select("probe").distinct().select(F.lit(1).alias("kind"), F.xxhash64("probe").alias("digest"),
+                                                    F.col("probe").alias("text"), F.lit(None).cast("string").alias("verdict"))
+    known = rules.select(F.lit(0).alias("kind"), F.xxhash64("rule").alias("digest"), F.col("rule").alias("text"), "verdict")
+    dealt = known.union(asked).select(F.shiftrightunsigned("digest", 64 - bits).alias("part"), "*").repartition(
+        shuffle_width(rows.sparkSession), "part").sortWithinPartitions("part", "kind", "digest", "text")
+    hits = map_batches(dealt, search, "rule string, verdict string")
+    best = targets.join(hits, F.col("probe") == F.col("rule")).groupBy("host", "path").agg(
         F.max(F.struct(F.length("rule").alias("n"), "rule", "verdict")).alias("best"))
     return rows.join(best, ["host", "path"], "left").select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"),
