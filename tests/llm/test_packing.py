@@ -54,7 +54,6 @@ def check_places(rows, size=2048):
 
 def check_pieces(rows, texts, size=2048):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     own = {}
     for r in rows:
         own.setdefault(r["doc_id"], []).append(r)

@@ -23,7 +23,8 @@ def test_chunks_give_the_ids_of_the_library(file):
     enc = tokens.TextEncoder(public_tokenizers.path(file), max_chunks=50)     # tables that fill up again and again
     rng = random.Random(8)
     texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 25))) for _ in range(6000)]
-    texts += ["", " ", "\n", "a ", " a", "a\n", "\na", *[t for t in ODD_TEXTS if t]]
+    texts += ["", " ", "\n", "a ", " a", "a\n", "\na", "a<|endoftext|>b c", "<|startoftext|> x", "<|ENDOFTEXT|>", "<|endoftext|>",
+              *[t for t in ODD_TEXTS if t]]
     for text, ids in zip(texts, enc.encode(pa.array(texts))):
         assert ids.tobytes() == enc.by_library(text), repr(text)
 
@@ -38,7 +39,6 @@ def test_index_is_minimal_and_perfect():
 def test_query_against_the_library(code):
     sf = "/root/testdata/sf0.001"
     t = Tokenizer.from_file(public_tokenizers.path(FILES[0]))
-    t.encode_special_tokens = True
     start = 0
     got = table_of(QUERIES["op10_token_store"](code, sf))
     docs = code.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
@@ -68,3 +68,17 @@ def test_odd_rows_unknown_keys_and_width(code, odd_docs, no_docs):
 def test_null_and_zero_are_different_keys():
     rows = pd.DataFrame({"key": [0, 0], "copy": [0, 0], "is_null": [0, 1]})
     assert len(set(token_store._keys(rows).tolist())) == 2
+
+
+def test_keys_that_no_displacement_parts_are_an_error():
+    h = token_store.hashes(np.array([5, 5, 6]), np.zeros(3, np.int64))
+    with pytest.raises(ArithmeticError):
+        token_store.build_seeds(h)
+
+
+def test_one_id_on_many_rows(code):
+    docs = code.range(300).selectExpr("if(id < 280, 7, if(id < 290, null, id)) as doc_id", "concat('text number ', id) as text")
+    store = token_store.write(docs, public_tokenizers.path(FILES[0]), end_id=2)
+    keys = code.read.parquet(f"{store.root}/entries").select("doc_id", "copy")
+    assert keys.filter("doc_id = 7").distinct().count() == 280
+    assert token_store.read_digests(code, store, token_store.lookup(code, store, keys)).count() == 300

@@ -86,6 +86,8 @@ def build_seeds(h: np.ndarray) -> np.ndarray:
         if size[b] < 2:
             break
         own, first = h[order[starts[b]:starts[b + 1]]], 0
+        if len(np.unique(own)) < len(own):      # no displacement can part them
+            raise ArithmeticError("two keys of the index share all 64 bits of their hash")
         while True:      # 64 displacements at once
             tried = np.arange(first, first + 64)
             slots = _slot(own[None, :], tried[:, None], n)

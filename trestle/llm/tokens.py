@@ -5,7 +5,8 @@ level, and lower-cased words with white space dropped) a single space begins a n
 piece of its own or nothing, so the ids of a text are those of its chunks one after another.  Other texts go to the
 library whole.  Arrow finds the distinct chunks of some megabytes of text at once; a chunk that the worker meets for
 the first time is encoded by the library: plain words straight by its model, a word with marks after it as both
-parts, and all else by the whole tokenizer.
+parts, and all else by the whole tokenizer.  Texts that hold the string of a special token also go to the library whole,
+which gives that token's id for it, as it does by default.
 """
 
 from __future__ import annotations
@@ -47,23 +48,33 @@ class TextEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True       # their strings are ordinary text here
+        self.tokenizer.encode_special_tokens = True       # in chunks, their strings are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]           # found in raw texts before anything else
+        self.added_anywhere = self.tokenizer.normalizer is not None and any(t.normalized for t in added)
         self.model = self.tokenizer.model
         self.folds = self.tokenizer.normalizer is not None
         # The printable characters that stand for single bytes in the vocabulary.
         self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.space = "" if self.folds else self.as_bytes(" ")[0][0]
-        self.line_end = self.by_library("\n")
+        self.line_end = self.plain("\n")
         self.first, self.later = _Known(self, ""), _Known(self, " ")
 
     def by_library(self, text: str) -> bytes:
-        return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        """Ids of a whole text as the library gives them by default."""
+        self.tokenizer.encode_special_tokens = False
+        ids = self.plain(text)
+        self.tokenizer.encode_special_tokens = True
+        return ids
+
+    def plain(self, chunk: str) -> bytes:
+        return _pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def word(self, word: str, lead: str) -> bytes:
         """Ids of a chunk of letters only."""
         if not word.isascii():
             if self.folds and max(word) >= _FOLDS_ALONE:
-                return self.by_library(lead + word)
+                return self.plain(lead + word)
             word = self.as_bytes(word.lower() if self.folds else word)[0][0]
         elif self.folds:
             word = word.lower()
@@ -75,7 +86,7 @@ class TextEncoder:
         both = _WORD_AND_MARKS(chunk)
         if both and both[1].isalpha() and (not self.folds or max(chunk) < _FOLDS_ALONE):
             return (self.later if lead else self.first)[both[1]] + self.first[both[2]]
-        return self.by_library(lead + chunk) if lead or chunk else b""
+        return self.plain(lead + chunk) if lead or chunk else b""
 
     def part(self, part: str) -> bytes:
         """Ids of what stands between two spaces of the prepared texts."""
@@ -109,6 +120,10 @@ class TextEncoder:
         """Ids of each text, in order."""
         texts = texts.cast(pa.string())
         whole = pc.match_substring_regex(texts, _WHITE + _WHITE)
+        for token in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        if self.added_anywhere:
+            whole = pc.or_(whole, True)
         clean = texts.filter(pc.invert(whole))
         got = self._encode_clean(clean) if len(clean) else iter(())
         for is_whole, text in zip(whole.to_pylist(), texts):
