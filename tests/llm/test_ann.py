@@ -54,6 +54,16 @@ def test_query_recall(code):
     assert recall(found(QUERIES["op1_hilbert_ann"](code, sf)), exact(ids, x)) >= 0.9
 
 
+def test_query_recall_with_blocks_much_smaller_than_the_table(code, monkeypatch):
+    """2,000 vectors without structure in blocks of 64: what the windows leave out is really not looked at."""
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    monkeypatch.setattr(ann, "WIDE", 2)
+    sf = "/root/testdata/sf0.1"
+    rows = code.read.parquet(f"{sf}/embeddings.parquet").collect()
+    ids, x = np.array([r["vec_id"] for r in rows]), np.array([r["embedding"] for r in rows], np.float64)
+    assert len(ids) >= 2000 and recall(found(QUERIES["op1_hilbert_ann"](code, sf)), exact(ids, x)) >= 0.9
+
+
 def test_narrow_windows_on_clusters(code, monkeypatch):
     """Blocks much smaller than the table: the windows, not the whole table, must hold the neighbours."""
     monkeypatch.setattr(ann, "BLOCK", 64)

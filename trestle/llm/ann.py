@@ -12,8 +12,8 @@ found by brute force, their distances along the curves are read off, and the num
 that reach ``TARGET`` of them at the least cost.  Clustered vectors get narrow windows; vectors without any structure
 get windows that cover most of the table, because no ordering can do better for them.
 
-Equal vectors are one class that carries its ``TOP + 1`` smallest ids, so a vector that very many rows share costs no
-more than another.
+Equal vectors are one class (grouped by the vector itself) that carries its ``TOP + 1`` smallest ids, so a vector that
+very many rows share costs no more than another.
 
 Defined cases: vectors that are null, empty, zero, of a length other than the most frequent one, or that hold null or
 non-finite components take no part, nor do rows without an id; rows that repeat an id and its vector count once; an id
@@ -146,14 +146,15 @@ def classes(rows: DataFrame, id_col: str, vector_col: str, every: int) -> tuple[
             flat = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(b.num_rows, -1) + 0
             yield {"id": b.column(0), "v": [x.tobytes() for x in flat]}
 
-    rows = map_batches(rows, run, "id long, v binary").withColumn("key", F.xxhash64("v"))
-    rows = land(rows.dropDuplicates(["id", "key"]))
+    rows = land(map_batches(rows, run, "id long, v binary").distinct())
     is_query = F.col("id") % every == 0
-    few = rows.withColumn("k", F.row_number().over(Window.partitionBy("key").orderBy("id"))).filter(F.col("k") <= TOP + 1)
-    few = few.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.first("v").alias("v"))
-    asked = rows.groupBy("key").agg(F.max(is_query).alias("is_query"))
-    one = land(few.join(asked, "key").select("key", "ids", F.col("ids")[0].alias("first"), "v", "is_query"))
-    return one, rows.filter(is_query).select(F.col("id").alias("query_id"), "key"), kind
+    few = rows.withColumn("k", F.row_number().over(Window.partitionBy("v").orderBy("id"))).filter(F.col("k") <= TOP + 1)
+    few = few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    asked = rows.groupBy("v").agg(F.max(is_query).alias("is_query"))
+    one = land(few.join(asked, "v").select(F.monotonically_increasing_id().alias("key"), "ids", F.col("ids")[0].alias("first"),
+                                           "v", "is_query"))
+    queries = rows.filter(is_query).join(one.filter("is_query").select("v", "key"), "v")
+    return one, queries.select(F.col("id").alias("query_id"), "key"), kind
 
 
 def places(one: DataFrame, curves: Curves, kind: str) -> DataFrame:
@@ -200,7 +201,7 @@ def places(one: DataFrame, curves: Curves, kind: str) -> DataFrame:
 
 def calibrate(one: DataFrame, placed: DataFrame, n: int, kind: str) -> tuple[int, int]:
     """Number of curves and half width of the window that reach ``TARGET`` at the least cost."""
-    asked = one.filter("is_query").orderBy(F.xxhash64("key")).limit(CALIBRATE).select("key", "v").collect()
+    asked = one.filter("is_query").orderBy(F.xxhash64("v"), "key").limit(CALIBRATE).select("key", "v").collect()
     if not asked:
         return 2, BLOCK
     q, own = _matrix([bytes(r["v"]) for r in asked], kind), np.array([r["key"] for r in asked])
@@ -253,7 +254,7 @@ def search(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
             yield {"x": [float(np.linalg.norm(_matrix(b.column(0), kind), axis=1).max())] if b.num_rows else []}
 
     norm = map_batches(one.select("v"), norms, "x double").agg(F.max("x")).first()[0]
-    sample = one.orderBy("key").limit(SAMPLE).select("v").collect()
+    sample = one.orderBy(F.xxhash64("v"), "key").limit(SAMPLE).select("v").collect()
     curves = fit_curves(_matrix([bytes(r["v"]) for r in sample], kind), norm)
     placed = places(one, curves, kind)
     used, half = calibrate(one, placed, n, kind)
