@@ -86,6 +86,40 @@ def test_odd_rows(odd_docs, no_docs):
     assert sorted(r["line"] for r in kept.collect()) == [i for i in range(len(ODD_TEXTS)) if i != 12]
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(code):
+    long = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(7, "quite another text with words of its own here", 1), (7, long, 2), (3, long + " thirteen", 3), (7, long, 4),
+            (None, long, 5), (None, "no id and nothing like the others at all", 6), (None, "no id and nothing like the others at all", 7),
+            (8, "", 8), (8, None, 9), (9, " ", 10)]
+    docs = code.createDataFrame(rows, "doc_id long, text string, n long")
+    kept = sorted(r["n"] for r in lsh_forest.keep(docs, size=4).collect())
+    assert [n for n in kept if n not in (6, 7, 8, 9)] == [1, 3, 10]     # one of each group, each unrelated text
+    assert len({6, 7} & set(kept)) == 1 and len({8, 9} & set(kept)) == 1     # equal id and text: one row
+    got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in lsh_forest.groups(docs, size=4).collect()}
+    assert got[3, 10] == 3 and got[7, 9] == 3 and got[None, 9] == 3 and got[7, 6] == 7 and got[None, 6] is None
+    again = sorted(r["n"] for r in lsh_forest.keep(docs.repartition(7), size=4).collect())
+    assert again == kept                                                    # also which of the equal rows stays
+
+
+def test_rows_grow_with_the_table_when_every_id_is_null(code, monkeypatch):
+    """Classes meet the texts by id and digest: without ids, no text meets the others' classes."""
+    from trestle.llm import common
+
+    def landed(n):
+        sizes = []
+        with monkeypatch.context() as m:
+            m.setattr(lsh_forest, "land", lambda df: sizes.append((out := common.land(df)).count()) or out)
+            texts = [t for k in range(n) for t in [f"text {k} " + " ".join(f"w{k}_{i}" for i in range(40))]]
+            texts += [t + " end" for t in texts]
+            docs = code.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+            got = lsh_forest.groups(docs, size=4)
+            sizes.append(got.count())
+        return sizes
+
+    few, many = landed(30), landed(120)
+    assert len(few) == len(many) and all(b <= 4.5 * max(a, 4) for a, b in zip(few, many))
+
+
 def test_regions_cover_the_run_and_share_prefixes():
     rng = np.random.default_rng(0)
     tail = np.sort(rng.integers(0, 1 << 63, 20_000))
