@@ -20,6 +20,8 @@ SUBSET = [
     "listagg_distinct", "trailing_cost", "change_orders", "budget_parsed", "forecast_carry_forward",
     "job_dimension", "gl_actuals", "gl_budget", "revenue_metrics", "dim_region_market", "job_cost_indicators",
     "wip_schedule", "sched_float", "sched_baseline", "grading_long", "opportunities_current", "joint_ventures",
+    "lead_weeks", "sched_resource_look_ahead", "sched_missing_logic", "sched_out_of_sequence", "opportunities_typed",
+    "stg_osha_recordable_incidents", "order_mixed", "source_refresh_exec",
 ]
 KEYS = sorted(load_all()) if os.environ.get("TRESTLE_ALL_ORACLES") == "1" else SUBSET
 

@@ -1,5 +1,9 @@
 """Sinks (S-8, S-9) and table freshness (S-10)."""
 
+import datetime as dt
+import os
+from zoneinfo import ZoneInfo
+
 import pytest
 
 from conftest import SF_SMALL
@@ -48,3 +52,25 @@ def test_table_freshness_reads_file_metadata(spark):
 def test_table_freshness_query(tables):
     got = {r["table_name"]: r["last_altered"] for r in meta.table_freshness(tables).collect()}
     assert set(got) == {"orders", "lineitem", "customer", "events"} and all(got.values())
+
+
+def test_ledger_freshness_from_the_files(tables):
+    """R-60/R-73 with the S-10 scan: the ledger and budget rows carry the change time of their files."""
+    got = {r["data_source"]: r["last_load_dt"] for r in meta.source_rows(tables, freshness=meta.file_freshness).collect()}
+    changed = dt.datetime.fromtimestamp(os.path.getmtime(f"{SF_SMALL}/lineitem.parquet"), ZoneInfo(meta.REPORT_ZONE))
+    for name in ("GL Actuals", "GL Budget"):
+        assert abs(got[name] - changed.replace(tzinfo=None)) < dt.timedelta(seconds=2)
+
+
+def test_changed_sources_are_landed_anew(spark, tmp_path):
+    from trestle.sources.landing import land
+    from trestle.sources.tables import Tables
+
+    def landed():
+        t = Tables(spark, str(tmp_path))
+        return land(spark, t.scope, "copy", t("orders")).count()
+
+    spark.range(3).write.parquet(str(tmp_path / "orders.parquet"))
+    assert landed() == landed() == 3
+    spark.range(5).write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
+    assert landed() == 5

@@ -36,7 +36,8 @@ def listagg_distinct(df: DataFrame, keys: Sequence[str], values: Mapping[str, Co
     over all tasks and joined in runs of ``RUN`` values, and only the texts of the runs meet per key, in order; so a
     group of very many values is sorted and joined by many tasks.  Numbers sort as numbers, then become text.
     """
-    items = []
+    items = [F.struct(F.lit(-1).alias("_i"), F.lit(None).cast("decimal(38,9)").alias("_d"),
+                      F.lit(None).cast("double").alias("_f"), F.lit("").alias("_s"))]      # keeps keys without values
     for i, c in enumerate(values.values()):
         c = F.col(c) if isinstance(c, str) else c
         kind = df.select(c.alias("c")).schema["c"].dataType
@@ -53,13 +54,9 @@ def listagg_distinct(df: DataFrame, keys: Sequence[str], values: Mapping[str, Co
         "_run", F.floor(F.monotonically_increasing_id() / RUN))
     text = F.array_sort(F.collect_list(F.struct("_d", "_f", "_s")))
     texts = runs.groupBy(*keys, "_i", "_run").agg(F.array_join(F.transform(text, lambda x: x["_s"]), sep).alias("_t"))
-    lists = texts.groupBy(*keys).agg(*[
+    return texts.groupBy(*keys).agg(*[
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_i") == i, F.struct("_run", "_t")))),
                                  lambda x: x["_t"]), sep).alias(name) for i, name in enumerate(values)])
-    every = df.select(*keys).distinct()
-    lists = lists.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    return every.join(lists, same, "left").select(*keys, *[F.coalesce(n, F.lit("")).alias(n) for n in values])
 
 
 def global_agg(df: DataFrame, *aggs: Column) -> DataFrame:

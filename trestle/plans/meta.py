@@ -59,13 +59,28 @@ def _cols(df: DataFrame) -> DataFrame:
                      F.col("last_load_dt").cast("timestamp_ntz").alias("last_load_dt"))
 
 
-def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFrame:
+def load_freshness(t: Tables, name: str) -> DataFrame:
+    """When the newest load of a source was, by the load log: it stands for the S-10 scan where rows must compare."""
+    return refresh_log(t).agg(F.max("last_load_dt").alias("last_altered"))
+
+
+def file_freshness(t: Tables, name: str) -> DataFrame:
+    """S-10: when the files of the table behind a source last changed, in the source's zone."""
+    shown_in = t.spark.conf.get("spark.sql.session.timeZone")
+    return S.table_freshness(source(t, name)).select(shift_zone("last_altered", shown_in, SOURCE_ZONE).alias("last_altered"))
+
+
+#: Tables behind the ledger and the budget.
+LEDGER_TABLE, BUDGET_TABLE = "lineitem", "lineitem"
+
+
+def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True, freshness=load_freshness) -> DataFrame:
+    """One row per source; ``freshness`` tells when a table last changed (``file_freshness`` on landed tables)."""
     from trestle.plans.crm_safety import current_versions, osha_recordable_incidents
     from trestle.plans.finance import actual_cost, budget_lines
     from trestle.plans.gl import forecast_versions, named_budget
 
     log = S.load_window(refresh_log(t))                       # one row: first/last successful load
-    freshness = refresh_log(t).agg(F.max("last_load_dt").alias("last_altered"))   # S-10 analog (one row)
     parts = [_control_row(t, name) for name in ("New Sales", "WIP", "Rolling Forecast", "Pending Backlog")]
 
     safety = W.global_top1(osha_recordable_incidents(t).select("injury_date"), ["injury_date"])
@@ -76,7 +91,7 @@ def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFr
 
     now_date = date_lit(as_of)
     gl = actual_cost(t).filter(F.col("actual_date") <= now_date).agg(F.max("actual_date").alias("data_date_ref"))
-    gl = J.with_params(gl, freshness).select(F.lit("GL Actuals").alias("data_source"), "data_date_ref",
+    gl = J.with_params(gl, freshness(t, LEDGER_TABLE)).select(F.lit("GL Actuals").alias("data_source"), "data_date_ref",
                                              F.lit(None).alias("first_load_dt"),
                                              _ny(F.col("last_altered")).alias("last_load_dt"))
     parts.append(gl)
@@ -85,7 +100,7 @@ def source_rows(t: Tables, as_of=DEFAULT_AS_OF, with_crm: bool = True) -> DataFr
     fc = forecast_versions(named_budget(budget_lines(t))).groupBy("budget_name").agg(
         F.max(F.struct("mth_year", "fc_number")).alias("_at"), F.min("mth").alias("data_date_ref"))
     bud = W.global_top1(fc, ["_at", "budget_name"]).agg(F.min("data_date_ref").alias("data_date_ref"))
-    bud = J.with_params(bud, freshness).select(F.lit("GL Budget").alias("data_source"), "data_date_ref",
+    bud = J.with_params(bud, freshness(t, BUDGET_TABLE)).select(F.lit("GL Budget").alias("data_source"), "data_date_ref",
                                                F.lit(None).alias("first_load_dt"),
                                                _ny(F.col("last_altered")).alias("last_load_dt"))
     parts.append(bud)

@@ -34,12 +34,13 @@ def _root(spark: SparkSession) -> str:
 
 
 def source_state(spark: SparkSession, root: str) -> str:
-    """A digest of the names, sizes and modification times of what lies in the folder ``root``."""
+    """A digest of what lies in the folder ``root``: names and modification times, number and size of all files."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
-    return hashlib.sha1(repr(found).encode()).hexdigest()[:12]
+    whole = fs.getContentSummary(path)
+    return hashlib.sha1(repr((found, whole.getFileCount(), whole.getLength())).encode()).hexdigest()[:12]
 
 
 def land(spark: SparkSession, scope: str, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
