@@ -41,6 +41,15 @@ def test_running_sum_rows_vs_range(spark):
     assert [r[1] for r in sorted(rows(W.running_sum(first, ["k"], "m", ["x"], frame="range"), "m", "x_running"))] == [None, 4]
 
 
+@pytest.fixture
+def many_blocks(spark):
+    """Partitions stay as many as they are, however small."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, "true")
+
+
 def _one_hot_key(spark):
     """A key with most of the rows, with ties and nulls in order and value; dealt over all partitions."""
     return spark.range(3000).selectExpr(
@@ -49,7 +58,7 @@ def _one_hot_key(spark):
 
 
 @pytest.mark.parametrize("frame", ["rows", "range"])
-def test_running_sums_of_one_hot_key_in_blocks(spark, frame):
+def test_running_sums_of_one_hot_key_in_blocks(spark, many_blocks, frame):
     df = _one_hot_key(spark)
     w = Window.partitionBy("k").orderBy(F.col("m").asc_nulls_last(), *([F.col("id")] if frame == "rows" else []))
     w = (w.rowsBetween if frame == "rows" else w.rangeBetween)(Window.unboundedPreceding, Window.currentRow)
@@ -61,7 +70,7 @@ def test_running_sums_of_one_hot_key_in_blocks(spark, frame):
 
 
 @pytest.mark.parametrize("n", [1, 6, 500])
-def test_lead_of_one_hot_key_in_blocks(spark, n):
+def test_lead_of_one_hot_key_in_blocks(spark, many_blocks, n):
     df = _one_hot_key(spark).withColumn("at", F.col("id") * 3 % 3001)
     w = Window.partitionBy("k").orderBy(F.col("at").desc_nulls_first())
     want = df.withColumns({"a": F.lead("x", n).over(w), "b": F.lead("id", 2).over(w)})
@@ -69,7 +78,7 @@ def test_lead_of_one_hot_key_in_blocks(spark, n):
     assert sorted(rows(got), key=str) == sorted(rows(want), key=str)
 
 
-def test_trailing_sums_against_a_range_join(spark):
+def test_trailing_sums_against_a_range_join(spark, many_blocks):
     facts = spark.range(4000).selectExpr("id % 3 as k", "date_add('2024-01-01', cast(id * 7919 % 400 as int)) as d",
                                          "if(id % 5 = 0, null, id) as v")
     df = spark.range(300).selectExpr("if(id % 7 = 6, null, id % 7) as k", "date_add('2023-12-01', cast(id * 3 as int)) as at")
@@ -127,7 +136,7 @@ def test_listagg_distinct_sorted_and_empty(spark):
     assert got == {1: "9, 10", 2: ""}                       # numbers sort numerically; no values gives '' (D8)
 
 
-def test_listagg_distinct_of_very_many_values_and_repeats(spark, monkeypatch):
+def test_listagg_distinct_of_very_many_values_and_repeats(spark, many_blocks, monkeypatch):
     monkeypatch.setattr(A, "RUN", 16)
     df = spark.range(20_000).selectExpr(
         "if(id % 10 = 9, id % 20, null) as k", "id % 700 as whole", "concat('v', id % 900) as text",

@@ -49,8 +49,7 @@ def listagg_distinct(df: DataFrame, keys: Sequence[str], values: Mapping[str, Co
     order = [*keys, "_i", "_d", "_f", "_s"]
     single = df.select(*keys, F.explode(F.array(*items)).alias("_x")).select(*keys, "_x.*").filter(
         "_s IS NOT NULL").distinct()
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = single.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn(
+    runs = single.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
         "_run", F.floor(F.monotonically_increasing_id() / RUN))
     text = F.array_sort(F.collect_list(F.struct("_d", "_f", "_s")))
     texts = runs.groupBy(*keys, "_i", "_run").agg(F.array_join(F.transform(text, lambda x: x["_s"]), sep).alias("_t"))

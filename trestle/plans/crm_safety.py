@@ -172,15 +172,14 @@ def int_opportunities(t: Tables) -> DataFrame:
     uom = _latest(stg_opportunity_uom(t), ["unit_of_measure"]).select("opportunity_id", "unit_of_measure")
     rm = dim_region_market(t)
     markets = rm.select("unanet_market_id").distinct()
-    pa = stg_opportunity_practicearea(t)
+    # Only the newest load of an opportunity is listed, so the others go before the lists are made.
+    pa = W.top_rank(stg_opportunity_practicearea(t), ["opportunity_id"], ["last_load_dt"])
     pa = pa.join(markets, pa.practice_area_id == markets.unanet_market_id, "left")
-    pa = A.listagg_distinct(pa, ["opportunity_id", "last_load_dt"], {
+    pa = A.listagg_distinct(pa, ["opportunity_id"], {
         "market_number": "unanet_market_id",        # the reference lists the market ids under this name
         "practice_area_name": "practice_area_name"})
-    pa = _latest(pa, []).drop("last_load_dt")
-    dm = A.listagg_distinct(stg_opportunity_delivery_method(t), ["opportunity_id", "last_load_dt"], {
-        "delivery_method_name": "delivery_method_name"})
-    dm = _latest(dm, []).drop("last_load_dt")
+    dm = W.top_rank(stg_opportunity_delivery_method(t), ["opportunity_id"], ["last_load_dt"])
+    dm = A.listagg_distinct(dm, ["opportunity_id"], {"delivery_method_name": "delivery_method_name"})
     regions = rm.filter(~F.col("region_number").like("%9.%")).select("unanet_region_id", "region_number").distinct()
     od = stg_office_division(t)
     od = od.join(regions, od.office_division_id == regions.unanet_region_id, "left")

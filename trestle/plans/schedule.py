@@ -350,7 +350,7 @@ def resource_look_ahead(t: Tables) -> DataFrame:
     """
     proj = _projects(t).select(F.col("proj_id").alias("p6_proj_id"), F.col("project_name").alias("job_key"),
                                "proj_name")
-    weeks = grading_base(t).select(F.col("proj_id").alias("p6_proj_id"), "start_week").distinct()
+    weeks = week_stats(t).select(F.col("proj_id").alias("p6_proj_id"), "start_week")
     psw = proj.join(weeks, "p6_proj_id", "left")
     jc = t.fx.job_cost
     labor = (jc.filter((F.col("jcco") == LABOR_COMPANY) & (F.col("cost_type") == LABOR_COST_TYPE)
