@@ -58,7 +58,7 @@ def _task_proj(t: Tables) -> DataFrame:
     """
     tasks, projects = grading_base(t), _projects(t)
     found = tasks.join(projects, "proj_id")
-    without = projects.join(tasks.select("proj_id").distinct(), "proj_id", "left_anti")
+    without = projects.join(week_stats(t).select("proj_id").distinct(), "proj_id", "left_anti")
     return found.unionByName(without, allowMissingColumns=True)
 
 
@@ -195,19 +195,18 @@ def out_of_sequence(t: Tables) -> DataFrame:
     Predecessors are looked up in the same (untagged) snapshot and week; links whose predecessor is tagged
     or missing are not seen.  A zero denominator gives NULL (D4).
     """
-    tp = _task_proj(t)
     links = t.fx.task_pred.select("proj_id", "task_id", "pred_task_id", "pred_type")
-    succ = tp.select("proj_id", "proj_name", "task_id", "start_week", "act_start_date", "act_end_date")
-    pred = grading_base(t).select(
+    tasks = grading_base(t).select("proj_id", "task_id", "start_week", "act_start_date", "act_end_date")
+    succ = tasks.filter(F.col("act_end_date").isNull())
+    pred = tasks.select(
         "proj_id", F.col("task_id").alias("pred_task_id"), "start_week",
         F.col("act_start_date").alias("pred_act_start_date"), F.col("act_end_date").alias("pred_act_end_date"))
-    x = (succ.join(links, ["proj_id", "task_id"], "inner")
-         .join(pred, ["proj_id", "pred_task_id", "start_week"], "inner")
-         .filter(F.col("act_end_date").isNull()))
+    x = succ.join(links, ["proj_id", "task_id"]).join(pred, ["proj_id", "pred_task_id", "start_week"])
     rule = case_rules([((F.col("pred_type") == typ) & F.col(need).isNull() & F.col(prog).isNotNull(), 1)
                        for typ, need, prog in OUT_OF_SEQUENCE_RULES], 0)
-    g = x.groupBy("proj_id", "proj_name", "start_week").agg(
+    g = x.groupBy("proj_id", "start_week").agg(
         F.countDistinct("pred_task_id").alias("total_task_cnt"), F.sum(rule).alias("out_seq_cnt"))
+    g = g.join(_projects(t).select("proj_id", "proj_name"), "proj_id")
     pct = safe_div(F.col("out_seq_cnt"), F.col("total_task_cnt")) * 100
     g = g.withColumn("out_seq_pct", pct)
     return g.filter(F.col("start_week").isNotNull()).select(
