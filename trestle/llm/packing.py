@@ -22,14 +22,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trestle.llm.common import land, map_batches, shuffle_width, texts
-from trestle.llm.tokens import MAX_CHUNKS, encode_all
+from trestle.llm.tokens import encode_all
 
 SEQUENCE = 2048
 END_ID = 0
+KNOWN_CHUNKS = 150_000    # entries of a worker's table of known chunks
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = END_ID, id_col: str = "doc_id",
-           text_col: str = "text", max_chunks: int = MAX_CHUNKS) -> DataFrame:
+           text_col: str = "text", max_chunks: int = KNOWN_CHUNKS) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: documents with their end id; only longer ones than ``size`` are
     cut, into pieces of ``size`` of which the first may be shorter."""
     end = np.array([end_id], "<u4").tobytes()
@@ -139,7 +140,7 @@ def pack(items: DataFrame, size: int = SEQUENCE, length_col: str = "length", ord
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, end_id: int = END_ID,
-                   max_chunks: int = MAX_CHUNKS) -> DataFrame:
+                   max_chunks: int = KNOWN_CHUNKS) -> DataFrame:
     """Tokenize, cut and pack: one row per piece with its sequence and place.
 
     ``max_chunks`` bounds each worker's table of known chunks; a smaller one takes less memory and more time.
