@@ -79,3 +79,27 @@ def test_clusters_are_unit_rows():
     got = langid.cluster(rows, 4)
     assert got.shape == (4, 8) and np.allclose(np.linalg.norm(got, axis=1), 1, atol=1e-5)
     assert len(langid.cluster(rows[:2], 4)) == 2
+
+
+def test_centroids_and_limits_come_from_all_rows(code):
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join("".join(rng.choice(list("abcdefgh" if i % 4 else "stuvwxyz"), 4)) for _ in range(9)), "aa" if i % 3 else "bb")
+            for i in range(400)]
+    docs = code.createDataFrame([*rows, *rows[:90]], "doc_id long, text string, lang string").repartition(7)
+    model = langid.fit(docs, sample=5)
+    for lang in ("aa", "bb"):
+        own = [t for i, t, x in rows if x == lang and zlib.crc32(str(i).encode()) % 3 != 1]
+        found, _ = langid.vectors(own, model.idf)
+        centres = model.centres[[x == lang for x in model.langs]]
+        near = found @ centres.T
+        for j, c in enumerate(centres):
+            assert (near.argmax(1) == j).any()
+            assert np.allclose(c, langid.unit(found[near.argmax(1) == j].sum(0)[None])[0], atol=1e-5)
+        want = langid.REJECT_PART * np.quantile(near.max(1), langid.REJECT_QUANTILE)
+        assert np.allclose([x for x, y in zip(model.least, model.langs) if y == lang], want, atol=2e-6)
+
+
+def test_sums_do_not_depend_on_the_order_of_rows(code):
+    docs = code.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    one, other = langid.fit(docs), langid.fit(docs.orderBy("text").repartition(5))
+    assert np.array_equal(one.centres, other.centres) and np.array_equal(one.least, other.least)

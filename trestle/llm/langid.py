@@ -1,10 +1,11 @@
 """Language identification by the nearest of several centroids per language.
 
 A text becomes a normalised TF-IDF vector of hashed character n-grams (1 to 3 letters, other characters count as one
-space).  Document frequencies are counted over all training rows, as one partial sum per task.  Every language's
-sample is clustered into a few centroids by spherical k-means inside a Spark group of its own; the samples are bounded
-in texts and characters (``bounded_sample``).  A text gets the language of its most similar centroid by
-cosine; texts far from every centroid are rejected.
+space).  Document frequencies are counted over all training rows, as one partial sum per task.  The distinct training
+rows of every language are clustered into a few centroids by spherical k-means: each round is a pass over all of them,
+with one partial sum per task and centroid.  Only the places where the rounds start come from few texts of bounded size
+(``bounded_sample``).  A text gets the language of its most similar centroid by cosine; texts far from every centroid
+are rejected, by limits that come from the similarities of all distinct training rows.
 
 Only the text is ever looked at in a prediction.  Training uses rows with a language whose crc32(id) mod 3 is not 1.
 
@@ -23,16 +24,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trestle.llm.common import is_held_out, map_batches
+from trestle.llm.common import is_held_out, land, map_batches
 
 BUCKETS = 4096
 CENTROIDS = 4      # per language
-SAMPLE = 1500      # distinct training texts per language for the centroids, twice as many at most
+SAMPLE = 1500      # distinct training texts per language among which k-means looks for its starts, twice as many at most
 SAMPLE_CHARS = 30_000_000      # characters of them per language, at most
 ROUNDS = 12
 UNKNOWN = "und"
 #: A text is rejected if it is less similar to its centroid than this part of the least similar training texts are.
 REJECT_PART, REJECT_QUANTILE = 0.25, 0.001
+#: Vectors are summed as multiples of 1 / UNIT, so that sums do not depend on how the rows are dealt to tasks.
+UNIT = 1 << 24
+BINS = 1 << 20     # steps between the similarities 0 and 1 in which the limits of rejection are found
+STEP = 256         # texts that are vectors at the same time in a prediction, and in a round (few stay in the cache)
+ROUND_STEP = 32
 
 
 @lru_cache(maxsize=1)
@@ -68,18 +74,26 @@ def vectors(texts: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.nd
     return rows, known
 
 
+def starts(rows: np.ndarray, k: int = CENTROIDS) -> np.ndarray:
+    """Spread-out rows (each the row least similar to those chosen before)."""
+    found = [int(np.argmax(rows @ rows.mean(0)))]
+    near = rows @ rows[found[0]]
+    while len(found) < min(k, len(rows)):
+        found.append(int(np.argmin(near)))
+        near = np.maximum(near, rows @ rows[found[-1]])
+    return rows[found]
+
+
+def unit(sums: np.ndarray) -> np.ndarray:
+    return (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+
+
 def cluster(rows: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> np.ndarray:
-    """Spherical k-means from spread-out starts (each the row least similar to those chosen before)."""
-    starts = [int(np.argmax(rows @ rows.mean(0)))]
-    near = rows @ rows[starts[0]]
-    while len(starts) < min(k, len(rows)):
-        starts.append(int(np.argmin(near)))
-        near = np.maximum(near, rows @ rows[starts[-1]])
-    centres = rows[starts]
+    """Spherical k-means of rows in memory, from spread-out starts."""
+    centres = starts(rows, k)
     for _ in range(rounds):
         own = np.argmax(rows @ centres.T, axis=1)
-        sums = np.stack([rows[own == j].sum(0) if (own == j).any() else centres[j] for j in range(len(centres))])
-        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+        centres = unit(np.stack([rows[own == j].sum(0) if (own == j).any() else centres[j] for j in range(len(centres))]))
     return centres.astype(np.float32)
 
 
@@ -90,7 +104,7 @@ class Model:
     langs: list[str]          # per centre
     least: np.ndarray         # per centre: less similar texts are rejected
 
-    def predict(self, texts: list[str | None], step: int = 256):
+    def predict(self, texts: list[str | None], step: int = STEP):
         """Language, similarity and rejection of each text."""
         langs, scores, rejected = [], np.zeros(len(texts)), np.ones(len(texts), bool)
         for lo in range(0, len(texts), step):
@@ -154,21 +168,96 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     chosen = bounded_sample(rows, per_lang, sample, sample_chars)
 
-    def centroids(group):
+    def first(group):
         import pandas as pd
 
         found, known = vectors(group["text"].tolist(), idf)
-        found = found[known]
-        if not len(found):
-            return pd.DataFrame({c: pd.Series([], dtype=object) for c in ("lang", "centre", "least")})
-        centres = cluster(found)
-        least = REJECT_PART * float(np.quantile((found @ centres.T).max(1), REJECT_QUANTILE))
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [c.tobytes() for c in centres], "least": least})
-
-    got = (chosen.groupBy("lang").applyInPandas(centroids, "lang string, centre binary, least double")
-           .orderBy("lang", "centre").collect())           # CENTROIDS rows per language
-    centres = np.array([np.frombuffer(r["centre"], np.float32) for r in got], np.float32).reshape(-1, BUCKETS)
-    return Model(idf, centres, [r["lang"] for r in got], np.array([r["least"] for r in got]))
+        found = starts(found[known]) if known.any() else []
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]] * len(found), "centre": [c.tobytes() for c in found]})
+
+    got = chosen.groupBy("lang").applyInPandas(first, "lang string, centre binary").collect()
+    centres = {lang: np.stack([np.frombuffer(c, np.float32) for c in sorted(r["centre"] for r in got if r["lang"] == lang)])
+               for lang in sorted({r["lang"] for r in got})}     # CENTROIDS rows per language
+    if not centres:
+        return Model(idf, np.zeros((0, BUCKETS), np.float32), [], np.zeros(0))
+    # Texts are only moved if some rows stand there twice; else every pass reads the table itself.
+    if not rows.groupBy("doc_id", "lang", F.xxhash64("text")).count().filter("count > 1").isEmpty():
+        rows = land(rows.distinct())
+    for _ in range(ROUNDS):
+        new = next_round(rows, idf, centres)
+        same = all(np.array_equal(new[lang], centres[lang]) for lang in centres)
+        centres = new
+        if same:
+            break
+    least = limits(rows, idf, centres)
+    return Model(idf, np.concatenate([*centres.values()]), [lang for lang, c in centres.items() for _ in c],
+                 np.array([least[lang] for lang, c in centres.items() for _ in c]))
+
+
+def _by_language(batches, idf: np.ndarray, centres: dict[str, np.ndarray]):
+    """The vectors of the texts with a letter and what is the most similar centroid of their own language."""
+    for b in batches:
+        texts, langs = b.column(0).to_pylist(), np.array(b.column(1).to_pylist(), object)
+        for lo in range(0, len(texts), ROUND_STEP):
+            some = langs[lo:lo + ROUND_STEP]
+            found, known = vectors(texts[lo:lo + ROUND_STEP], idf)
+            for lang in {*some[known]} & {*centres}:
+                own = found[known & (some == lang)]
+                yield lang, own, own @ centres[lang].T
+
+
+def next_round(rows: DataFrame, idf: np.ndarray, centres: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The centroids after one more round over all ``text, lang`` of ``rows``."""
+    shared = rows.sparkSession.sparkContext.broadcast((idf, centres))
+
+    def sums(batches):
+        total = {}
+        for lang, found, near in _by_language(batches, *shared.value):
+            if lang not in total:
+                total[lang] = np.zeros((len(shared.value[1][lang]), BUCKETS))
+            mine = near.argmax(1)[None, :] == np.arange(near.shape[1])[:, None]
+            total[lang] += mine.astype(np.float64) @ np.rint(found.astype(np.float64) * UNIT)
+        keys = [(lang, j) for lang, x in total.items() for j in range(len(x)) if x[j].any()]
+        yield {"lang": [k[0] for k in keys], "j": [k[1] for k in keys], "sums": [total[i][j].tobytes() for i, j in keys]}
+
+    def add(group):
+        import pandas as pd
+
+        whole = sum(np.frombuffer(x, np.float64) for x in group["sums"])
+        return pd.DataFrame({"lang": group["lang"].iloc[:1], "j": group["j"].iloc[:1], "sums": [whole.tobytes()]})
+
+    schema = "lang string, j int, sums binary"
+    got = map_batches(rows.select("text", "lang"), sums, schema).groupBy("lang", "j").applyInPandas(add, schema).collect()
+    out = {lang: c.copy() for lang, c in centres.items()}      # a centroid without rows stays
+    for r in got:
+        out[r["lang"]][r["j"]] = unit(np.frombuffer(r["sums"], np.float64)[None] / UNIT)[0]
+    return out
+
+
+def limits(rows: DataFrame, idf: np.ndarray, centres: dict[str, np.ndarray]) -> dict[str, float]:
+    """Per language the similarity below which a text is rejected, from all ``text, lang`` of ``rows``."""
+    shared = rows.sparkSession.sparkContext.broadcast((idf, centres))
+
+    def bins(batches):
+        for lang, _, near in _by_language(batches, *shared.value):
+            at, n = np.unique(np.rint(near.max(1).astype(np.float64) * BINS).astype(np.int64), return_counts=True)
+            yield {"lang": [lang] * len(at), "bin": at, "n": n}
+
+    # At most BINS + 1 rows per language, however many texts there are.
+    counted = map_batches(rows.select("text", "lang"), bins, "lang string, bin long, n long").groupBy("lang", "bin").agg(
+        F.sum("n").alias("n"))
+    of_lang = Window.partitionBy("lang")
+    place = (F.sum("n").over(of_lang) - 1) * REJECT_QUANTILE
+    upto = of_lang.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.select("lang", "bin", "n", F.sum("n").over(upto).alias("upto"), place.alias("place"))
+    near = placed.filter((F.col("upto") > F.floor("place")) & (F.col("upto") - F.col("n") <= F.ceil("place"))).collect()
+    out = {}
+    for lang in {r["lang"] for r in near}:
+        own = sorted((r["bin"], r["upto"], r["place"]) for r in near if r["lang"] == lang)
+        at = own[0][2]
+        low, high = (next(b for b, upto, _ in own if upto > place) for place in (np.floor(at), np.ceil(at)))
+        out[lang] = REJECT_PART * (low + (high - low) * (at - np.floor(at))) / BINS
+    return out
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
