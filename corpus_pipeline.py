@@ -17,7 +17,8 @@ KNOWN_CHUNKS = 100_000   # workers are shared with the stages before, so their t
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without letters, or far from every language that the corpus has, go."""
+    """Texts without letters, or far from every language that the corpus has, go.  The languages are learned from all
+    rows; ``fit``'s ``sample`` only bounds where its rounds start."""
     share_code(spark)
     return langid.keep(docs, langid.fit(docs))
 

@@ -103,3 +103,15 @@ def test_sums_do_not_depend_on_the_order_of_rows(code):
     docs = code.read.parquet("/root/testdata/sf0.001/documents.parquet")
     one, other = langid.fit(docs), langid.fit(docs.orderBy("text").repartition(5))
     assert np.array_equal(one.centres, other.centres) and np.array_equal(one.least, other.least)
+
+
+def test_the_pipeline_learns_from_all_rows(code, monkeypatch):
+    import corpus_pipeline
+
+    met = []
+    whole = langid.next_round
+    monkeypatch.setattr(langid, "next_round", lambda rows, *a: met.append(rows.count()) or whole(rows, *a))
+    rows = [(i, f"wort {i} und mehr {i * 7}", "de", "x", 1.0) for i in range(4500)]
+    docs = code.createDataFrame(rows, "doc_id long, text string, lang string, source string, score double")
+    assert corpus_pipeline.language_id(code, docs, "").count() == len(rows)
+    assert {*met} == {sum(zlib.crc32(str(r[0]).encode()) % 3 != 1 for r in rows)}
