@@ -107,3 +107,41 @@ def test_query_shape(code):
     df = QUERIES["op3_toxicity"](code, sf)
     assert df.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
     assert df.count() == code.read.parquet(f"{sf}/documents.parquet").count()
+
+
+def test_rows_beyond_the_start_are_learned_and_set_the_thresholds(code):
+    rows = corpus(1500, 5)
+    rows += [(5000 + i, f"taba reno {w} solin", "fr", k) for i, (w, k) in enumerate([("glorp", 1), ("miba", 0)] * 300)]
+    docs = code.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string").repartition(6)
+    labels = code.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    whole = toxicity.all_training_rows(docs.union(docs), labels)
+    assert whole.count() == sum(zlib.crc32(str(r[0]).encode()) % 3 != 1 for r in rows)
+    model = toxicity.fit(docs, labels, sample=60)
+    got = table_of(toxicity.score(docs, model))
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 == 1]
+    assert np.mean([got[r[0]][0]["predicted"] == r[3] for r in held]) > 0.93
+    assert set(model.thresholds) == {"en", "de", "fr"}
+    # The score's scale has the fewest errors over all rows kept for it, not over the start's.
+    kept = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1 and toxicity.is_kept([r[0]])[0]]
+    scores, truth = np.array([got[r[0]][0]["score"] for r in kept]), np.array([r[3] for r in kept])
+    errors = [np.sum((scores >= c) != truth) for c in np.unique([*scores, 0, 1])]
+    assert np.sum((scores >= 0.7) != truth) <= min(errors) + 1
+
+
+def test_a_pass_moves_the_model_by_all_tasks(code):
+    rows = corpus(600, 9)
+    docs = code.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = code.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    whole = toxicity.all_training_rows(docs, labels)
+    models = []
+    for _ in range(2):
+        t = toxicity.train([r[1] for r in rows[:40]], np.array([r[3] for r in rows[:40]], np.float32),
+                           [r[2] for r in rows[:40]], np.zeros(40, bool))
+        before = t.model.embedding.copy()
+        toxicity.one_pass(whole, t, 0)
+        models.append(t.model)
+        moved = np.flatnonzero((before != t.model.embedding).any(1))
+        words = {f for r in rows for w in toxicity.words(r[1]) for f in toxicity.features(w)}
+        assert len(moved) and {*moved.tolist()} <= words
+    assert np.array_equal(models[0].embedding, models[1].embedding)
+    assert np.isfinite(models[0].embedding).all()

@@ -2,10 +2,13 @@
 
 A word is embedded as the sum of hashed rows: one for the word and some for its first and last letters, so unseen
 forms of a known stem are near to it.  Filters of one, two and three words run over the whole text; the largest value
-of each filter feeds a logistic output.  The classifier is fitted on a bounded sample of labelled rows whose crc32(id)
-mod 3 is not 1: about ``SAMPLE`` of each label, at most twice as many and ``SAMPLE_CHARS`` characters
-(``training_rows``).  A fifth of them are kept from the training, to fit the scale of the score and a threshold per
-language.
+of each filter feeds a logistic output.
+
+The classifier is fitted on all distinct labelled rows whose crc32(id) mod 3 is not 1.  It starts on the driver with few
+of them (``training_rows``: about ``SAMPLE`` of each label, at most twice as many and ``SAMPLE_CHARS`` characters).  If
+there are more, ``PASSES`` passes over all of them follow: every task goes on from the common model with its own rows,
+and the steps of the tasks are averaged, those of an embedding row by how often a task moved it.  A fifth of the rows are
+kept from the training; all of those fit the scale of the score and a threshold per language.
 
 Scores come from the text alone.  The language column is used only to pick a threshold for ``flagged``; ``predicted``
 is the score against 0.7 in every language.
@@ -22,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +33,9 @@ from trestle.llm.common import is_held_out, land, map_batches
 
 ROWS, DIM = 1 << 16, 16                  # hashed embedding table
 WIDTHS, FILTERS = (1, 2, 3), 8           # filters per width
-SAMPLE, SAMPLE_CHARS = 4000, 30_000_000  # bounds of the training sample, per label
+SAMPLE, SAMPLE_CHARS = 4000, 30_000_000  # bounds of the rows with which the training starts, per label
+PASSES = 2                               # over all training rows, if there are more than those
+SLICES, STEPS = 64, 1000                 # parts of the embedding that are averaged apart; steps of a logit in the cuts
 EPOCHS, BATCH, RATE, SEED = 12, 16, 0.15, 17
 DROP = 0.4                               # share of a text's words that a training step leaves out
 CUT = 0.7                                # score from which a text is predicted to be toxic
@@ -131,116 +137,248 @@ class Scorer:
         return m.score(m.logit(self.table[numbers]))
 
 
-def train(texts: list[str], labels: np.ndarray, langs: list[str | None], held: np.ndarray) -> Model:
+class Training:
+    """A model in training, with the sums of its squared gradients."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.squares = {"bias": np.zeros_like(model.biases), "weights": np.zeros_like(model.weights),
+                        **{j: np.zeros_like(f) for j, f in enumerate(model.filters)}}
+        self.embedding_squares = np.zeros(ROWS, np.float32)
+
+    def _step(self, name, value, grad):
+        s = self.squares[name]
+        s += grad * grad
+        value -= RATE * grad / (np.sqrt(s) + 1e-6)
+
+    def dense(self) -> list[np.ndarray]:
+        """All arrays but for the embedding's."""
+        return [*self.model.filters, self.model.biases, self.model.weights, *self.squares.values()]
+
+    def epochs(self, texts: list[str], labels: np.ndarray, use: np.ndarray, rng, n: int, hits: np.ndarray | None = None):
+        """Train ``n`` times on the texts numbered in ``use``; ``hits`` counts the moves of each embedding row."""
+        m, n_out = self.model, len(WIDTHS) * FILTERS
+        vocabulary = Vocabulary()
+        numbers = [vocabulary.numbers(t) for t in texts]
+        rows = np.concatenate([np.zeros((1, N_FEATURES), np.int32), np.array(vocabulary.rows, np.int32).reshape(-1, N_FEATURES)])
+        used = np.ones((len(rows), 1), np.float32)
+        used[0] = 0                                             # the padding adds nothing
+        for _ in range(n):
+            rng.shuffle(use)
+            for lo in range(0, len(use), BATCH):
+                g_filters = [np.zeros_like(f) for f in m.filters]
+                g_bias, g_weights, g_out = np.zeros(n_out, np.float32), np.zeros(n_out, np.float32), 0.0
+                places, gradients = [], []
+                batch = use[lo:lo + BATCH]
+                for i in batch:
+                    w = numbers[i]
+                    w = np.concatenate(([0], w[rng.random(len(w)) >= DROP], [0, 0]))    # no single word may be enough
+                    own, back = np.unique(w, return_inverse=True)
+                    x = (m.embedding[rows[own]].sum(1) * used[own])[back]
+                    best, top = [], []
+                    for f in m.filters:
+                        k_places = len(w) - len(f) + 1
+                        y = sum(x[k:k + k_places] @ f[k] for k in range(len(f)))
+                        best.append(y.argmax(0))
+                        top.append(y.max(0))
+                    value = np.concatenate(top) + m.biases
+                    active = value > 0
+                    pooled = np.where(active, value, 0)
+                    d = 1 / (1 + np.exp(-np.clip(pooled @ m.weights + m.bias, -40, 40))) - labels[i]
+                    g_out += d
+                    g_weights += d * pooled
+                    dv = d * m.weights * active
+                    g_bias += dv
+                    for j, f in enumerate(m.filters):
+                        dj = dv[j * FILTERS:(j + 1) * FILTERS]
+                        for k in range(len(f)):
+                            at = best[j] + k
+                            g_filters[j][k] += x[at].T * dj
+                            places.append(w[at])
+                            gradients.append(f[k].T * dj[:, None])
+                scale = 1 / len(batch)
+                self._step("bias", m.biases, g_bias * scale)
+                self._step("weights", m.weights, g_weights * scale + 1e-4 * m.weights)
+                m.bias -= 0.02 * g_out * scale
+                for j, f in enumerate(m.filters):
+                    self._step(j, f, g_filters[j] * scale + 1e-4 * f)
+                at, grad = np.concatenate(places), np.concatenate(gradients) * scale
+                real = at > 0
+                hit, where = np.unique(rows[at[real]], return_inverse=True)
+                total = np.zeros((len(hit), DIM), np.float32)
+                np.add.at(total, where.reshape(-1), np.repeat(grad[real], N_FEATURES, axis=0))
+                self.embedding_squares[hit] += (total * total).mean(1)
+                m.embedding[hit] -= RATE * total / (np.sqrt(self.embedding_squares[hit])[:, None] + 1e-6)
+                if hits is not None:
+                    hits[hit] += 1
+
+
+def train(texts: list[str], labels: np.ndarray, langs: list[str | None], held: np.ndarray) -> Training:
     """Fit the network on the rows that are not ``held``, then the score's scale and the thresholds on those."""
     rng = np.random.default_rng(SEED)
     n_out = len(WIDTHS) * FILTERS
     m = Model(rng.normal(0, 0.1, (ROWS, DIM)).astype(np.float32),
               [rng.normal(0, 0.4, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
               np.zeros(n_out, np.float32), rng.normal(0, 0.3, n_out).astype(np.float32), 0.0)
+    t = Training(m)
     if not len(texts) or labels.min() == labels.max():
-        return m
-    vocabulary = Vocabulary()
-    numbers = [vocabulary.numbers(t) for t in texts]
-    rows = np.concatenate([np.zeros((1, N_FEATURES), np.int32), np.array(vocabulary.rows, np.int32).reshape(-1, N_FEATURES)])
-    used = np.ones((len(rows), 1), np.float32)
-    used[0] = 0                                             # the padding adds nothing
-    use, squares = np.flatnonzero(~held), {}
-
-    def step(name, value, grad):
-        s = squares.setdefault(name, np.zeros_like(value))
-        s += grad * grad
-        value -= RATE * grad / (np.sqrt(s) + 1e-6)
-
-    embedding_squares = np.zeros(ROWS, np.float32)
-    for _ in range(EPOCHS):
-        rng.shuffle(use)
-        for lo in range(0, len(use), BATCH):
-            g_filters = [np.zeros_like(f) for f in m.filters]
-            g_bias, g_weights, g_out = np.zeros(n_out, np.float32), np.zeros(n_out, np.float32), 0.0
-            places, gradients = [], []
-            batch = use[lo:lo + BATCH]
-            for i in batch:
-                w = numbers[i]
-                w = np.concatenate(([0], w[rng.random(len(w)) >= DROP], [0, 0]))    # no single word may be enough
-                own, back = np.unique(w, return_inverse=True)
-                x = (m.embedding[rows[own]].sum(1) * used[own])[back]
-                best, top = [], []
-                for f in m.filters:
-                    n = len(w) - len(f) + 1
-                    y = sum(x[k:k + n] @ f[k] for k in range(len(f)))
-                    best.append(y.argmax(0))
-                    top.append(y.max(0))
-                value = np.concatenate(top) + m.biases
-                active = value > 0
-                pooled = np.where(active, value, 0)
-                d = 1 / (1 + np.exp(-np.clip(pooled @ m.weights + m.bias, -40, 40))) - labels[i]
-                g_out += d
-                g_weights += d * pooled
-                dv = d * m.weights * active
-                g_bias += dv
-                for j, f in enumerate(m.filters):
-                    dj = dv[j * FILTERS:(j + 1) * FILTERS]
-                    for k in range(len(f)):
-                        at = best[j] + k
-                        g_filters[j][k] += x[at].T * dj
-                        places.append(w[at])
-                        gradients.append(f[k].T * dj[:, None])
-            scale = 1 / len(batch)
-            step("bias", m.biases, g_bias * scale)
-            step("weights", m.weights, g_weights * scale + 1e-4 * m.weights)
-            m.bias -= 0.02 * g_out * scale
-            for j, f in enumerate(m.filters):
-                step(j, f, g_filters[j] * scale + 1e-4 * f)
-            at, grad = np.concatenate(places), np.concatenate(gradients) * scale
-            real = at > 0
-            hit, where = np.unique(rows[at[real]], return_inverse=True)
-            total = np.zeros((len(hit), DIM), np.float32)
-            np.add.at(total, where.reshape(-1), np.repeat(grad[real], N_FEATURES, axis=0))
-            embedding_squares[hit] += (total * total).mean(1)
-            m.embedding[hit] -= RATE * total / (np.sqrt(embedding_squares[hit])[:, None] + 1e-6)
+        return t
+    t.epochs(texts, labels, np.flatnonzero(~held), rng, EPOCHS)
     m.trained = True
     scorer = Scorer(m)
     test = np.flatnonzero(held) if held.any() and labels[held].min() < labels[held].max() else np.arange(len(texts))
-    m.slope, m.shift = 1.0, 0.0
-    raw = np.array([np.log(s / (1 - s)) for s in np.clip([scorer(texts[i]) for i in test], 1e-9, 1 - 1e-9)])
-    _calibrate(m, raw, labels[test], [langs[i] for i in test])
-    return m
+    raw = np.array([_raw(m, scorer(texts[i])) for i in test])
+    _calibrate(m, raw, labels[test], np.ones(len(test), np.int64), [langs[i] for i in test])
+    return t
+
 
+def _raw(m: Model, score: float) -> float:
+    """The logit before the score's scale."""
+    s = np.clip(score, 1e-9, 1 - 1e-9)
+    return (np.log(s / (1 - s)) - m.shift) / m.slope
 
-def _calibrate(m: Model, raw: np.ndarray, labels: np.ndarray, langs: list[str | None]) -> None:
-    """Shift the score so that its best cut is ``CUT``, and find the best cut of every language."""
-    def best_cut(values, truth):
+
+def _calibrate(m: Model, raw: np.ndarray, labels: np.ndarray, times: np.ndarray, langs: list[str | None]) -> None:
+    """Shift the score so that its best cut is ``CUT``, and find the best cut of every language; entry i counts
+    ``times[i]`` times."""
+    def best_cut(values, truth, n):
         order = np.argsort(values)
-        v, t = values[order], truth[order]
-        errors = np.concatenate(([0], np.cumsum(t))) + np.concatenate((np.cumsum((1 - t)[::-1])[::-1], [0]))
+        v, t, n = values[order], truth[order], n[order]
+        errors = np.concatenate(([0], np.cumsum(n * t))) + np.concatenate((np.cumsum((n * (1 - t))[::-1])[::-1], [0]))
         least = np.flatnonzero(errors == errors.min())
         k = int(least[len(least) // 2])                     # cut below the k-th value
         return float((v[max(k - 1, 0)] + v[min(k, len(v) - 1)]) / 2)
 
     target = float(np.log(CUT / (1 - CUT)))
-    cut = best_cut(raw, labels)
-    m.slope, m.shift = 1.0, target - cut
+    cut = best_cut(raw, labels, times)
+    m.slope, m.shift, m.thresholds = 1.0, target - cut, {}
     for lang in {x for x in langs if x is not None}:
         own = np.array([x == lang for x in langs])
         if labels[own].min() < labels[own].max():
-            m.thresholds[lang] = m.score(best_cut(raw[own], labels[own]))
+            m.thresholds[lang] = m.score(best_cut(raw[own], labels[own], times[own]))
+
+
+def is_kept(ids) -> np.ndarray:
+    """Which rows are kept from the training, for the score's scale."""
+    return np.array([xxhash.xxh32_intdigest(str(i)) % 5 == 0 for i in ids], bool)
+
+
+def all_training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      label_col: str = "toxic", lang_col: str | None = "lang") -> DataFrame:
+    """``_id, text, lang, label``: all distinct labelled texts that are not held out, landed."""
+    rows, marks = _rows_and_marks(docs, labels, id_col, text_col, label_col, lang_col)
+    found = rows.filter(~is_held_out("_id")).join(marks.distinct(), "_id").select("_id", "text", "lang", "label").distinct()
+    # In an order that has nothing to do with the label, and is the same on each run.
+    return land(found.sortWithinPartitions(F.xxhash64("_id", "text", F.lit(5)), "_id", "label", "lang"))
+
+
+def one_pass(rows: DataFrame, t: Training, number: int) -> None:
+    """Train ``t`` once on all ``_id, text, lang, label`` of ``rows`` that are not kept for the score's scale."""
+    shared = rows.sparkSession.sparkContext.broadcast(t)      # a fixed size
+    size = ROWS // SLICES
+
+    def run(batches):
+        from copy import deepcopy
+
+        start, own, hits, n = shared.value, deepcopy(shared.value), np.zeros(ROWS, np.int64), 0
+        task = TaskContext.get().partitionId()
+        rng = np.random.default_rng([SEED, number, task])
+        for b in batches:
+            use = np.flatnonzero(~is_kept(b.column(0).to_pylist()))
+            texts, labels = b.column(1).take(use).to_pylist(), np.array(b.column(3).take(use).to_pylist(), np.float32)
+            own.epochs(texts, labels, np.arange(len(texts)), rng, 1, hits)
+            n += len(texts)
+        out = {"slice": [], "task": [], "n": [], "rows": [], "steps": []}
+
+        def add(*values):
+            for c, v in zip(out.values(), values, strict=True):
+                c.append(v)
+
+        if n:
+            steps = [x.astype(np.float64).ravel() - y.ravel() for x, y in zip(own.dense(), start.dense(), strict=True)]
+            add(-1, task, n, b"", np.concatenate([*steps, [own.model.bias - start.model.bias]]).tobytes())
+        for k in range(SLICES):
+            at = k * size + np.flatnonzero(hits[k * size:(k + 1) * size])
+            if len(at):
+                add(k, task, n, np.stack([at, hits[at]]).tobytes(), np.column_stack([
+                    own.model.embedding[at] - start.model.embedding[at],
+                    own.embedding_squares[at] - start.embedding_squares[at]]).astype(np.float32).tobytes())
+        yield out
+
+    def mean(group):
+        import pandas as pd
+
+        group, k = group.sort_values("task"), int(group["slice"].iloc[0])
+        if k < 0:
+            weights = group["n"].to_numpy()
+            total = sum(n * np.frombuffer(x, np.float64) for n, x in zip(weights, group["steps"]))
+            return pd.DataFrame({"slice": [k], "rows": [b""], "steps": [(total / weights.sum()).tobytes()]})
+        total, weights = np.zeros((size, DIM + 1)), np.zeros(size)
+        for r, x in zip(group["rows"], group["steps"]):
+            at, n = np.frombuffer(r, np.int64).reshape(2, -1)
+            total[at - k * size] += n[:, None] * np.frombuffer(x, np.float32).reshape(-1, DIM + 1)
+            weights[at - k * size] += n
+        hit = np.flatnonzero(weights)
+        return pd.DataFrame({"slice": [k], "rows": [(hit + k * size).tobytes()],
+                             "steps": [(total[hit] / weights[hit, None]).tobytes()]})
+
+    moved = map_batches(rows.select("_id", "text", "lang", "label"), run,
+                        "slice int, task int, n long, rows binary, steps binary")
+    for r in moved.groupBy("slice").applyInPandas(mean, "slice int, rows binary, steps binary").collect():    # the model
+        steps = np.frombuffer(r["steps"], np.float64)
+        if r["slice"] < 0:
+            lo = 0
+            for x in t.dense():
+                x += steps[lo:lo + x.size].reshape(x.shape).astype(x.dtype)
+                lo += x.size
+            t.model.bias += float(steps[lo])
+        else:
+            at, steps = np.frombuffer(r["rows"], np.int64), steps.reshape(-1, DIM + 1)
+            t.model.embedding[at] += steps[:, :DIM].astype(np.float32)
+            t.embedding_squares[at] += steps[:, DIM].astype(np.float32)
+
+
+def calibrate(rows: DataFrame, m: Model) -> None:
+    """Fit the score's scale and the thresholds on all rows that are kept from the training (on all rows, if those have
+    one label only).  Logits are counted in steps of 1 / ``STEPS``."""
+    shared = rows.sparkSession.sparkContext.broadcast(m)
+
+    def logits(batches, every: bool):
+        scorer, m = Scorer(shared.value), shared.value
+        for b in batches:
+            use = np.flatnonzero(is_kept(b.column(0).to_pylist()) | every)
+            at = [round(_raw(m, scorer(t)) * STEPS) for t in b.column(1).take(use).to_pylist()]
+            yield {"lang": b.column(2).take(use), "label": b.column(3).take(use), "at": at}
+
+    for every in (False, True):
+        found = map_batches(rows.select("_id", "text", "lang", "label"), lambda x, every=every: logits(x, every),
+                            "lang string, label int, at long").groupBy("lang", "label", "at").count().collect()
+        if len({r["label"] for r in found}) == 2:
+            found.sort(key=lambda r: (r["at"], r["label"], str(r["lang"])))
+            _calibrate(m, np.array([r["at"] / STEPS for r in found]), np.array([r["label"] for r in found], np.float64),
+                       np.array([r["count"] for r in found]), [r["lang"] for r in found])
+            return
+
+
+def _rows_and_marks(docs, labels, id_col, text_col, label_col, lang_col):
+    lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+                       lang.alias("lang"))
+    marks = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).filter(
+        F.col("label").isin(0, 1) & ~is_held_out("_id"))
+    return rows, marks
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "toxic", lang_col: str | None = "lang", sample: int = SAMPLE,
                   sample_chars: int = SAMPLE_CHARS) -> DataFrame:
-    """``_id, text, lang, label``: distinct labelled texts, per label at most ``2 * sample`` of them and ``sample_chars``
-    characters (longer texts are no training texts).
+    """``_id, text, lang, label`` with which the training starts: distinct labelled texts, per label at most ``2 * sample``
+    of them and ``sample_chars`` characters (longer texts only come in the passes over all rows).
 
     Ids are drawn from the labels, so that only texts of chosen ids are moved.  An id may stand on very many rows: what
     it brings is thinned again by a hash of id and text, and made distinct by an aggregate, before a label's rows meet.
     """
-    lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-                       lang.alias("lang"))
-    marks = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).filter(
-        F.col("label").isin(0, 1) & ~is_held_out("_id"))
+    rows, marks = _rows_and_marks(docs, labels, id_col, text_col, label_col, lang_col)
 
     def parts(df):
         """Rows and characters per label, at most two rows."""
@@ -274,9 +412,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         lang_col: str | None = "lang", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> Model:
     got = training_rows(docs, labels, id_col, text_col, label_col, lang_col, sample, sample_chars)
     got = sorted(got.collect(), key=lambda r: (r["_id"], r["label"], r["text"], str(r["lang"])))
-    held = np.array([xxhash.xxh32_intdigest(str(r["_id"])) % 5 == 0 for r in got], bool)
-    return train([r["text"] for r in got], np.array([r["label"] for r in got], np.float32),
-                 [r["lang"] for r in got], held)
+    t = train([r["text"] for r in got], np.array([r["label"] for r in got], np.float32), [r["lang"] for r in got],
+              is_kept(r["_id"] for r in got))
+    rows = all_training_rows(docs, labels, id_col, text_col, label_col, lang_col)
+    if t.model.trained and rows.count() > len(got):
+        for number in range(PASSES):
+            one_pass(rows, t, number)
+        calibrate(rows, t.model)
+    return t.model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
