@@ -37,8 +37,8 @@ REJECT_PART, REJECT_QUANTILE = 0.25, 0.001
 #: Vectors are summed as multiples of 1 / UNIT, so that sums do not depend on how the rows are dealt to tasks.
 UNIT = 1 << 24
 BINS = 1 << 20     # steps between the similarities 0 and 1 in which the limits of rejection are found
-STEP = 256         # texts that are vectors at the same time in a prediction, and in a round (few stay in the cache)
-ROUND_STEP = 32
+STEP = 256         # texts that are vectors at the same time in a prediction
+ROUND_STEP = 32    # and in a round of k-means
 
 
 @lru_cache(maxsize=1)
@@ -70,8 +70,12 @@ def vectors(texts: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.nd
         c = counts(text)
         if c is not None:
             rows[i], known[i] = np.sqrt(c) * idf, True
+    return normalised(rows), known
+
+
+def normalised(rows: np.ndarray) -> np.ndarray:
     rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
-    return rows, known
+    return rows
 
 
 def starts(rows: np.ndarray, k: int = CENTROIDS) -> np.ndarray:
@@ -180,9 +184,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                for lang in sorted({r["lang"] for r in got})}     # CENTROIDS rows per language
     if not centres:
         return Model(idf, np.zeros((0, BUCKETS), np.float32), [], np.zeros(0))
-    # Texts are only moved if some rows stand there twice; else every pass reads the table itself.
+    # Texts are only moved if some rows stand there twice.
     if not rows.groupBy("doc_id", "lang", F.xxhash64("text")).count().filter("count > 1").isEmpty():
-        rows = land(rows.distinct())
+        rows = rows.distinct()
+    rows = land(counted(rows))
     for _ in range(ROUNDS):
         new = next_round(rows, idf, centres)
         same = all(np.array_equal(new[lang], centres[lang]) for lang in centres)
@@ -194,20 +199,42 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                  np.array([least[lang] for lang, c in centres.items() for _ in c]))
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """``lang, at, n``: the buckets of each text with a letter and how often each occurs, so that the rounds need not
+    count again."""
+    def run(batches):
+        for b in batches:
+            out = {"lang": [], "at": [], "n": []}
+            for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                c = counts(text)
+                if c is not None:
+                    at = np.flatnonzero(c)
+                    out["lang"].append(lang)
+                    out["at"].append(at.astype(np.uint16).tobytes())
+                    out["n"].append(c[at].astype(np.uint32).tobytes())
+            yield out
+
+    return map_batches(rows.select("text", "lang"), run, "lang string, at binary, n binary")
+
+
 def _by_language(batches, idf: np.ndarray, centres: dict[str, np.ndarray]):
-    """The vectors of the texts with a letter and what is the most similar centroid of their own language."""
+    """The vectors of ``lang, at, n`` and how similar they are to the centroids of their own language."""
     for b in batches:
-        texts, langs = b.column(0).to_pylist(), np.array(b.column(1).to_pylist(), object)
-        for lo in range(0, len(texts), ROUND_STEP):
-            some = langs[lo:lo + ROUND_STEP]
-            found, known = vectors(texts[lo:lo + ROUND_STEP], idf)
-            for lang in {*some[known]} & {*centres}:
-                own = found[known & (some == lang)]
+        of_lang = {}
+        for lang, at, n in zip(*(b.column(i).to_pylist() for i in range(3))):
+            of_lang.setdefault(lang, []).append((np.frombuffer(at, np.uint16), np.frombuffer(n, np.uint32)))
+        for lang in of_lang.keys() & centres.keys():
+            for lo in range(0, len(of_lang[lang]), ROUND_STEP):
+                some = of_lang[lang][lo:lo + ROUND_STEP]
+                own = np.zeros((len(some), BUCKETS), np.float32)
+                for i, (at, n) in enumerate(some):
+                    own[i, at] = np.sqrt(n.astype(np.int64)) * idf[at]
+                own = normalised(own)
                 yield lang, own, own @ centres[lang].T
 
 
 def next_round(rows: DataFrame, idf: np.ndarray, centres: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """The centroids after one more round over all ``text, lang`` of ``rows``."""
+    """The centroids after one more round over all ``lang, at, n`` of ``rows`` (``counted``)."""
     shared = rows.sparkSession.sparkContext.broadcast((idf, centres))
 
     def sums(batches):
@@ -227,7 +254,7 @@ def next_round(rows: DataFrame, idf: np.ndarray, centres: dict[str, np.ndarray])
         return pd.DataFrame({"lang": group["lang"].iloc[:1], "j": group["j"].iloc[:1], "sums": [whole.tobytes()]})
 
     schema = "lang string, j int, sums binary"
-    got = map_batches(rows.select("text", "lang"), sums, schema).groupBy("lang", "j").applyInPandas(add, schema).collect()
+    got = map_batches(rows.select("lang", "at", "n"), sums, schema).groupBy("lang", "j").applyInPandas(add, schema).collect()
     out = {lang: c.copy() for lang, c in centres.items()}      # a centroid without rows stays
     for r in got:
         out[r["lang"]][r["j"]] = unit(np.frombuffer(r["sums"], np.float64)[None] / UNIT)[0]
@@ -235,7 +262,7 @@ def next_round(rows: DataFrame, idf: np.ndarray, centres: dict[str, np.ndarray])
 
 
 def limits(rows: DataFrame, idf: np.ndarray, centres: dict[str, np.ndarray]) -> dict[str, float]:
-    """Per language the similarity below which a text is rejected, from all ``text, lang`` of ``rows``."""
+    """Per language the similarity below which a text is rejected, from all ``lang, at, n`` of ``rows``."""
     shared = rows.sparkSession.sparkContext.broadcast((idf, centres))
 
     def bins(batches):
@@ -244,12 +271,12 @@ def limits(rows: DataFrame, idf: np.ndarray, centres: dict[str, np.ndarray]) ->
             yield {"lang": [lang] * len(at), "bin": at, "n": n}
 
     # At most BINS + 1 rows per language, however many texts there are.
-    counted = map_batches(rows.select("text", "lang"), bins, "lang string, bin long, n long").groupBy("lang", "bin").agg(
+    binned = map_batches(rows.select("lang", "at", "n"), bins, "lang string, bin long, n long").groupBy("lang", "bin").agg(
         F.sum("n").alias("n"))
     of_lang = Window.partitionBy("lang")
     place = (F.sum("n").over(of_lang) - 1) * REJECT_QUANTILE
     upto = of_lang.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.select("lang", "bin", "n", F.sum("n").over(upto).alias("upto"), place.alias("place"))
+    placed = binned.select("lang", "bin", "n", F.sum("n").over(upto).alias("upto"), place.alias("place"))
     near = placed.filter((F.col("upto") > F.floor("place")) & (F.col("upto") - F.col("n") <= F.ceil("place"))).collect()
     out = {}
     for lang in {r["lang"] for r in near}:
