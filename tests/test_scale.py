@@ -4,7 +4,6 @@ import pytest
 
 from trestle.plans import schedule
 from trestle.plans.registry import load_all
-from trestle.sources.analogs import Analogs
 from trestle.sources.tables import Tables
 
 from conftest import SF_SMALL, rows
@@ -48,3 +47,14 @@ def test_tags_count_by_week_and_empty_keys_stay(spark):
     got = {r.start_week and str(r.start_week): r for r in schedule._week_stats(t).collect()}
     assert {k: (r.total_tasks_cnt, r.open_rows, r.lags_cnt) for k, r in got.items()} == {
         "2024-01-01": (2, 4, 1), None: (1, 1, 1)}
+
+
+def test_the_wide_form_is_made_by_need(spark, monkeypatch):
+    from trestle.sources import landing
+
+    landed = []
+    land = landing.land
+    monkeypatch.setattr(landing, "land", lambda s, scope, name, *a: landed.append(name) or land(s, scope, name, *a))
+    t = Tables(spark, SF_SMALL)
+    assert rows(t.fx.crm_opportunity.groupBy().count()) == rows(t.fx.opportunity.groupBy().count())
+    assert landed == ["analog-opportunity"]
