@@ -49,6 +49,16 @@ def test_tags_count_by_week_and_empty_keys_stay(spark):
         "2024-01-01": (2, 4, 1), None: (1, 1, 1)}
 
 
+@pytest.mark.parametrize("build", [load_all()["cond_sum"], lambda t: t.fx.weekly])
+def test_groups_of_few_rows_are_not_gathered_map_side(lazy, build):
+    """The task that makes the rows of a snapshot file keeps no table of their groups: rows are dealt first."""
+    text = build(lazy)._jdf.queryExecution().executedPlan().toString()
+    lines = [x for x in text.split("== Initial Plan ==")[-1].splitlines()]
+    groups = [i for i, x in enumerate(lines) if "HashAggregate" in x and "proj_id" in x]
+    deal = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    assert len(groups) == 2 and len(deal) == 1 and max(groups) < deal[0]
+
+
 def test_the_wide_form_is_made_by_need(spark, monkeypatch):
     from trestle.sources import landing
 
