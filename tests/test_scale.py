@@ -68,3 +68,9 @@ def test_the_wide_form_is_made_by_need(spark, monkeypatch):
     t = Tables(spark, SF_SMALL)
     assert rows(t.fx.crm_opportunity.groupBy().count()) == rows(t.fx.opportunity.groupBy().count())
     assert landed == ["analog-opportunity"]
+
+
+@pytest.mark.parametrize("key", ["sched_resource_look_ahead", "sched_high_duration"])
+def test_no_counts_are_made_for_who_needs_only_projects_and_weeks(spark, monkeypatch, key):
+    monkeypatch.setattr(schedule, "week_stats", lambda t: pytest.fail("counts all links and tasks"))
+    assert load_all()[key](Tables(spark, SF_SMALL)).count() > 0
