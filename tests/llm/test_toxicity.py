@@ -145,3 +145,30 @@ def test_a_pass_moves_the_model_by_all_tasks(code):
         assert len(moved) and {*moved.tolist()} <= words
     assert np.array_equal(models[0].embedding, models[1].embedding)
     assert np.isfinite(models[0].embedding).all()
+
+
+def test_texts_without_a_label_are_not_moved_to_the_join(code):
+    docs = code.range(20_000).selectExpr("id doc_id", "concat('text ', id) text", "'en' lang")
+    docs = docs.union(docs.limit(300)).union(code.sql("select cast(null as long), 'none', 'en'"))
+    labels = code.range(0, 20_000, 50).selectExpr("id doc_id", "cast(id % 100 = 0 as int) toxic").union(
+        code.sql("select cast(null as long), 1"))
+    rows, marks = toxicity._rows_and_marks(docs, labels, "doc_id", "text", "toxic", "lang")
+    few = toxicity.likely(rows, marks)
+    want = {i for i in range(0, 20_000, 50) if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert few.columns == rows.columns and len(want) < few.count() < 0.25 * rows.count()
+    assert {r["_id"] for r in few.collect()} >= want
+    code.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted((r["_id"], r["text"], r["label"]) for r in toxicity.all_training_rows(docs, labels).collect())
+    finally:
+        code.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [(i, f"text {i}", int(i % 100 == 0)) for i in sorted(want)]
+    as_text = labels.selectExpr("concat('0', doc_id) doc_id", "toxic")         # equal to the ids only as numbers
+    assert toxicity.likely(rows, toxicity._rows_and_marks(docs, as_text, "doc_id", "text", "toxic", "lang")[1]) is rows
+
+
+def test_features_are_those_of_characters():
+    for w in ("a", "it's", "grubba", "überß", "ös", "abıcdéf", "日本語の文章", "\U0001f600x"):
+        parts = [f"={w}", *(f"<{w[:k]}" for k in (3, 4, 5)), *(f"{w[-k:]}>" for k in (3, 4, 5))]
+        want = tuple(toxicity.xxhash.xxh32_intdigest(p.encode()) % toxicity.ROWS for p in parts)
+        assert toxicity.features(w.encode()) == want

@@ -34,6 +34,7 @@ from trestle.llm.common import is_held_out, land, map_batches
 ROWS, DIM = 1 << 16, 16                  # hashed embedding table
 WIDTHS, FILTERS = (1, 2, 3), 8           # filters per width
 SAMPLE, SAMPLE_CHARS = 4000, 30_000_000  # bounds of the rows with which the training starts, per label
+BITS, MAX_BITS = 8, 1 << 26              # of the filter of labelled ids: for each, and in all (a million rows)
 PASSES = 2                               # over all training rows, if there are more than those
 SLICES, STEPS = 64, 1000                 # parts of the embedding that are averaged apart; steps of a logit in the cuts
 EPOCHS, BATCH, RATE, SEED = 12, 16, 0.15, 17
@@ -51,9 +52,14 @@ def words(text: str | None) -> list[bytes]:
 
 def features(word: bytes) -> tuple[int, ...]:
     """Rows of the embedding table: the whole word, its first 3, 4, 5 and its last 3, 4, 5 characters."""
-    w = word.decode("utf-8", "replace")
-    parts = [f"={w}", *(f"<{w[:k]}" for k in (3, 4, 5)), *(f"{w[-k:]}>" for k in (3, 4, 5))]
-    return tuple(xxhash.xxh32_intdigest(p.encode()) & (ROWS - 1) for p in parts)
+    if word.isascii():                  # a byte is a character
+        a, b, c, x, y, z = word[:3], word[:4], word[:5], word[-3:], word[-4:], word[-5:]
+    else:
+        w = word.decode("utf-8", "replace")
+        a, b, c, x, y, z = (p.encode() for p in (w[:3], w[:4], w[:5], w[-3:], w[-4:], w[-5:]))
+    h, most = xxhash.xxh32_intdigest, ROWS - 1      # written out: most of the work on texts is new words
+    return (h(b"=" + word) & most, h(b"<" + a) & most, h(b"<" + b) & most, h(b"<" + c) & most,
+            h(x + b">") & most, h(y + b">") & most, h(z + b">") & most)
 
 
 N_FEATURES = len(features(b"a"))
@@ -73,8 +79,10 @@ class Vocabulary(dict):
 
     def numbers(self, text: str | None) -> np.ndarray:
         """Word numbers of a text between paddings, so that it has at least one place for every filter."""
-        got = list(map(self.__getitem__, words(text)))
-        return np.array([0, *got, 0] if got else [0, 0, 0], np.int32)
+        found = words(text)
+        out = np.zeros(max(3, len(found) + 2), np.int32)
+        out[1:len(found) + 1] = np.fromiter(map(self.__getitem__, found), np.int32, len(found))
+        return out
 
 
 @dataclass
@@ -92,7 +100,7 @@ class Model:
     def taps(self, rows: array) -> np.ndarray:
         """What each word adds to each place of each filter: one row per word."""
         e = self.embedding[np.array(rows, np.int32).reshape(-1, N_FEATURES)].sum(1)
-        return np.concatenate([e @ f[k] for f in self.filters for k in range(len(f))], axis=1)
+        return e @ np.concatenate([f[k] for f in self.filters for k in range(len(f))], axis=1)
 
     def logit(self, taps: np.ndarray) -> float:
         """Output for the tap rows of a text's word numbers."""
@@ -267,11 +275,29 @@ def all_training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
                       label_col: str = "toxic", lang_col: str | None = "lang") -> DataFrame:
     """``_id, text, lang, label``: all distinct labelled texts that are not held out, landed."""
     rows, marks = _rows_and_marks(docs, labels, id_col, text_col, label_col, lang_col)
-    found = rows.filter(~is_held_out("_id")).join(marks.distinct(), "_id").select("_id", "text", "lang", "label").distinct()
+    marks = land(marks.distinct())
+    found = likely(rows.filter(~is_held_out("_id")), marks).join(marks, "_id").select("_id", "text", "lang", "label").distinct()
     # In an order that has nothing to do with the label, and is the same on each run.
     return land(found.sortWithinPartitions(F.xxhash64("_id", "text", F.lit(5)), "_id", "label", "lang"))
 
 
+def likely(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``_id`` is not in ``marks``, so that their texts are not shuffled to the join.
+
+    Every id of ``marks`` sets the bit of its hash, about ``BITS`` bits an id, in a broadcast table of 64 bits a row."""
+    if rows.schema["_id"].dataType != marks.schema["_id"].dataType:
+        return rows                                           # the join compares other values than those
+    words = min(MAX_BITS, max(64, BITS * marks.count())) // 64
+
+    def place(part: str):
+        return F.expr(f"pmod(xxhash64(_id, 6), {64 * words}L) {part}")
+
+    bits = marks.groupBy(place("div 64").alias("_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place("% 64").cast("int"))).alias("_bits"))
+    return rows.withColumn("_word", place("div 64")).join(F.broadcast(bits), "_word").filter(
+        F.getbit("_bits", place("% 64").cast("int")) == 1).drop("_word", "_bits")
+
+
 def one_pass(rows: DataFrame, t: Training, number: int) -> None:
     """Train ``t`` once on all ``_id, text, lang, label`` of ``rows`` that are not kept for the score's scale."""
     shared = rows.sparkSession.sparkContext.broadcast(t)      # a fixed size
