@@ -208,3 +208,35 @@ def test_no_named_file_is_an_error_when_it_is_required(spark, tmp_path):
 def test_drop_header_rows_drops_nulls(spark):
     df = spark.createDataFrame([("Link",), ("http://x",), (None,)], "link string")
     assert rows(S.drop_header_rows(df, "link", "Link")) == [("http://x",)]
+
+
+def test_combined_budget_lines_give_the_same_plans_and_sums(spark):
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    from tests.conftest import SF_SMALL
+    from trestle.plans.finance import budget_lines
+    from trestle.plans.gl import gl_budget
+    from trestle.sources.tables import Tables
+
+    made = [("1", "41010.0210", f"{year} {fc}", date(1999, m, 1), cents + m) for m in (1, 2) for year in (1998, 1999)
+            for fc in ("FC9", "FC10", "FC2.6", "BASE") for cents in (500, 20, 300)]
+    made += [(co, "61000.0410", "1998 FC9", date(1999, 3, 1), cents) for co, cents in
+             [("2", 7), ("2", None), ("5", 3), (None, 4), (None, 9)]]
+    made += [("2", "51000.0410", "1999 FC3.1", date(1999, 3, 1), cents) for cents in (None, 5, 6)]
+    made += [("7", "51000.0410", code, date(1999, 4, 1), None) for code in ("1999 FC3.1", "1999 FC3.1", None)]
+    t = Tables(spark, SF_SMALL)
+    t.fx.budget = spark.createDataFrame(made * 2, "gl_co string, gl_account string, budget_code string, mth date, budget_cents long")
+    lines, few = gl_budget(t), gl_budget(t, combined=True)
+    assert few.columns == lines.columns
+    # As many rows as there are companies, accounts, codes and months with a year.
+    assert budget_lines(t, combined=True).count() == len({m[:4] for m in made if m[2]})
+    keys = [c for c in lines.columns if c != "budget_cents"]
+
+    def sums(df):
+        return sorted(map(repr, df.groupBy(*keys).agg(F.sum("budget_cents").alias("cents")).collect()))
+
+    assert sums(lines) == sums(few) and few.count() < lines.count()
+    plans = [sorted(map(repr, d.filter("budget_type = 'Plan'").collect())) for d in (lines, few)]
+    assert plans[0] == plans[1] and len(plans[0]) > 2
