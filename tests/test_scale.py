@@ -74,3 +74,9 @@ def test_the_wide_form_is_made_by_need(spark, monkeypatch):
 def test_no_counts_are_made_for_who_needs_only_projects_and_weeks(spark, monkeypatch, key):
     monkeypatch.setattr(schedule, "week_stats", lambda t: pytest.fail("counts all links and tasks"))
     assert load_all()[key](Tables(spark, SF_SMALL)).count() > 0
+
+
+def test_a_source_set_by_hand_is_landed_apart(spark):
+    t, other = Tables(spark, SF_SMALL), Tables(spark, SF_SMALL)
+    t.fx.budget = t.fx.budget.limit(3)
+    assert t.fx.budget_code.count() <= 3 < other.fx.budget_code.count() and t.scope != other.scope
