@@ -76,6 +76,124 @@ def test_no_counts_are_made_for_who_needs_only_projects_and_weeks(spark, monkeyp
     assert load_all()[key](Tables(spark, SF_SMALL)).count() > 0
 
 
+@pytest.fixture
+def odd_schedule(spark):
+    """Few projects, tasks and weeks, many repeats and nulls."""
+    import random
+
+    r = random.Random(5)
+
+    def pick(*values):
+        return r.choice((*values, None)) if r.random() < 0.4 else r.choice(values)
+
+    weeks = ["2024-01-01", "2024-01-08", "2024-01-15"]
+    days = ["2023-12-20", "2024-01-03", "2024-01-10", "2024-02-01"]
+    tasks = [(pick(1, 2, 3, 11, 12), pick(*range(6)), pick(*weeks), pick("A", "B", "C"), pick("TT_Task", "TT_LOE", "TT_Mile", "TT_FinMile"),
+              r.choice((1, 2)), r.choice((None, *days)), r.choice((None, None, *days)), pick(*days), pick(*days), pick("CS_MEO", "CS_MSO", "CS_X"),
+              pick(10, 400, 500), pick(80, 200, 400)) for _ in range(260)]
+    t = Tables(spark, SF_SMALL)
+    made = spark.createDataFrame(tasks, """proj_id long, task_id long, start_week string, task_code string, task_type string,
+        wbs_id int, act_start_date string, act_end_date string, target_end_date string, early_end_date string, cstr_type string,
+        total_float_hr_cnt long, target_drtn_hr_cnt long""")
+    dates = [c for c in made.columns if "date" in c or c == "start_week"]
+    t.fx.task = made.withColumns({c: made[c].cast("date") for c in dates})
+    t.fx.task_tag = spark.sql("select * from values (1L, 2L, date'2024-01-08', 'OFG'), (2L, 3L, null, 'OFG'), "
+                              "(11L, 1L, date'2024-01-01', 'OFG') as x(proj_id, task_id, start_week, short_name)")
+    t.fx.task_pred = spark.createDataFrame(
+        [(pick(1, 2, 3), pick(*range(6)), pick(*range(6)), pick(*range(30)), pick("PR_FS", "PR_SS", "PR_SF", "PR_FF"), pick(-1, 0, 2))
+         for _ in range(60)], "proj_id long, task_id long, pred_task_id long, task_pred_id long, pred_type string, lag_hr_cnt int")
+    t.fx.project = spark.sql("""select *, '1' project_name, 40 week_hr_cnt, date'2024-06-30' completion_date from values
+        (1L, 'P1', 11L, date'2024-01-02', 8), (1L, 'P1b', 11L, date'2024-01-12', 10), (2L, 'P2', 12L, null, 8), (3L, 'P3', 13L, date'2024-01-05', 8),
+        (4L, 'P4', 11L, date'2024-01-05', 8) as x(proj_id, proj_name, baseline_proj_id, last_recalc_date, day_hr_cnt)""")
+    t.fx.baseline = spark.sql("""select * from values (1L, 11L, date'2024-01-01'), (1L, 12L, date'2024-01-03'), (2L, 12L, date'2024-01-01'),
+        (3L, 11L, null), (4L, 11L, date'2024-01-01') as x(orig_proj_id, baseline_proj_id, last_baseline_update_date)""")
+    t.fx.task.createOrReplaceTempView("snapshots")
+    schedule.open_grading_tasks(t).createOrReplaceTempView("open_snapshots")
+    for name in ("task_pred", "project"):
+        getattr(t.fx, name).createOrReplaceTempView(name)
+    yield t
+    for name in ("snapshots", "open_snapshots", "task_pred", "project"):
+        spark.catalog.dropTempView(name)
+
+
+def same(got, want) -> bool:
+    assert sorted(map(repr, rows(got, *want.columns))) == sorted(map(repr, rows(want)))
+    return want.count() > 3
+
+
+def test_counts_per_week_are_those_of_single_snapshots(spark, odd_schedule):
+    assert same(schedule.week_stats(odd_schedule), spark.sql("""
+        with own as (select proj_id, task_id, count(distinct task_pred_id) n, count(pred_task_id) preds,
+            count_if(pred_type = 'PR_FS') fs, count_if(lag_hr_cnt > 0) lags, count_if(lag_hr_cnt < 0) leads from task_pred group by 1, 2),
+        followed as (select distinct proj_id, pred_task_id task_id, true f from task_pred),
+        x as (select t.*, p.last_recalc_date, p.day_hr_cnt, own.*except(proj_id, task_id), f, act_end_date is null o
+            from open_snapshots t left join project p on p.proj_id = t.proj_id left join own on own.proj_id = t.proj_id and
+            own.task_id = t.task_id left join followed w on w.proj_id = t.proj_id and w.task_id = t.task_id)
+        select proj_id, start_week, count(distinct task_id) total_tasks_cnt, count(distinct if(o, task_id, null)) total_tasks_remaining,
+            count_if(o) open_rows, count_if(not o) actual_complete, count_if(target_end_date <= start_week) due,
+            count_if(o and cstr_type in ('CS_MEO', 'CS_MSO')) num_hard_consts,
+            count_if(o and cstr_type not in ('CS_MEO', 'CS_MSO')) num_soft_consts,
+            count_if(o and act_start_date > last_recalc_date) num_invalid_dates,
+            count_if(o and total_float_hr_cnt / day_hr_cnt > 44) high_float,
+            count_if(o and (task_type in ('TT_Task', 'TT_LOE') and (coalesce(preds, 0) = 0 or f is null)
+                or task_type = 'TT_Mile' and f is null or task_type = 'TT_FinMile' and coalesce(preds, 0) = 0)) total_missing_logic_cnt,
+            sum(if(o, coalesce(n, 0), 0)) total_remaining_relationships, sum(if(o, coalesce(fs, 0), 0)) total_fs_relationships,
+            sum(if(o, coalesce(lags, 0), 0)) lags_cnt, sum(if(o, coalesce(leads, 0), 0)) leads_cnt from x group by 1, 2""".replace(
+                "own.*except(proj_id, task_id)", "n, preds, fs, lags, leads")))
+
+
+def test_links_out_of_sequence_are_those_of_single_snapshots(spark, odd_schedule):
+    assert same(schedule._out_of_sequence(odd_schedule), spark.sql("""
+        select s.proj_id, s.start_week, count(distinct p.task_id) total_task_cnt, count_if(
+            pred_type = 'PR_FS' and p.act_end_date is null and s.act_start_date is not null
+            or pred_type = 'PR_SS' and p.act_start_date is null and s.act_start_date is not null
+            or pred_type = 'PR_SF' and p.act_start_date is null and s.act_end_date is not null
+            or pred_type = 'PR_FF' and p.act_end_date is null and s.act_end_date is not null) out_seq_cnt
+        from open_snapshots s join task_pred l on l.proj_id = s.proj_id and l.task_id = s.task_id
+        join open_snapshots p on p.proj_id = s.proj_id and p.task_id = l.pred_task_id and p.start_week = s.start_week
+        where s.act_end_date is null group by 1, 2"""))
+
+
+def test_baseline_counts_are_those_of_single_snapshots(spark, odd_schedule):
+    pairs = spark.sql("select proj_id, baseline_proj_id from project where proj_id <> 3 or proj_id is null")
+    pairs.createOrReplaceTempView("pairs")
+    assert same(schedule._missed(odd_schedule, pairs), spark.sql("""
+        select c.proj_id, c.start_week, count(*) num_missed_tasks from open_snapshots c join pairs using (proj_id)
+        join open_snapshots b on b.proj_id = baseline_proj_id and b.task_code = c.task_code and b.start_week = c.start_week
+        where c.act_end_date > b.early_end_date or c.act_end_date is null and b.early_end_date <= c.start_week group by 1, 2"""))
+    spark.sql("select * from values (1L, 12L), (2L, 12L), (4L, 11L) as x(proj_id, bl_id)").createOrReplaceTempView("newest")
+    assert same(schedule._high_duration(odd_schedule), spark.sql("""
+        with tp as (select p.proj_id, proj_name, day_hr_cnt, start_week, task_code, bl_id from project p
+            left join open_snapshots t on t.proj_id = p.proj_id left join newest n on n.proj_id = p.proj_id where act_end_date is null)
+        select tp.proj_id, proj_name, bl_id baseline_proj_id, tp.start_week, count(*) remaining_tasks_cnt,
+            count_if(target_drtn_hr_cnt / day_hr_cnt > 20) long_duration_cnt
+        from tp left join open_snapshots b on b.proj_id = bl_id and b.task_code = tp.task_code group by 1, 2, 3, 4"""))
+    for name in ("pairs", "newest"):
+        spark.catalog.dropTempView(name)
+
+
+def test_landing_frees_its_shuffles(spark):
+    import time
+
+    from trestle.sources.landing import land_fresh
+
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        names = [f.rsplit("/", 1)[-1] for f in str(disk.getAllFiles().mkString("\n")).splitlines()]
+        return {f.split("_")[1] for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+    before = shuffles()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    landed = land_fresh(spark.range(1000).repartition(3, "id"))
+    for _ in range(50):
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before and landed.count() == 1000 and spark.conf.get(key) == was
+
+
 def test_a_source_set_by_hand_is_landed_apart(spark):
     t, other = Tables(spark, SF_SMALL), Tables(spark, SF_SMALL)
     t.fx.budget = t.fx.budget.limit(3)
