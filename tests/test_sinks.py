@@ -31,6 +31,17 @@ def test_rebuilt_table(spark, tmp_path):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_a_rebuild_leaves_no_stage(spark, tmp_path):
+    name, folder = "trestle_test_stage", str(tmp_path)
+    model = spark.range(40).selectExpr("date_add('2024-01-01', cast(id % 4 as int)) as week", "id")
+    assert meta.rebuild_table(model, name, ["week"], folder).count() == 40
+    with pytest.raises(Exception, match="broken"):
+        meta.rebuild_table(model.selectExpr("week", "if(id = 39, raise_error('broken'), id) as id"), name, ["week"], folder)
+    assert [p for p in os.listdir(folder) if p.startswith("stage-")] == []
+    assert spark.table(name).count() == 40
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_grading_table_is_rebuilt_by_every_run(spark, tables):
     want = sorted(map(str, schedule.grading_long(tables).collect()))
     assert sorted(map(str, meta.grading_table(tables).collect())) == want
